@@ -9,29 +9,34 @@ from pyspark.sql import functions as F
 from obsflow.schema import MISSING_PRESSURE, MISSING_TEXT
 
 
+def as_column(column):
+    """A column by name, or as it is."""
+    return F.col(column) if isinstance(column, str) else column
+
+
 def number(column):
     """The text as a double, null where it is no number."""
-    return (F.col(column) if isinstance(column, str) else column).try_cast("double")
+    return as_column(column).try_cast("double")
 
 
 def replace_missing(column, replacement, marker=MISSING_TEXT):
     """Replace the missing-value text; everything else, null included, is kept."""
-    c = F.col(column)
-    return F.when(c == marker, F.lit(replacement)).otherwise(c)
+    c = as_column(column)
+    return F.when(c == F.lit(marker), F.lit(replacement)).otherwise(c)
 
 
 def replace_missing_pressure(column="mslp", replacement="0", marker=MISSING_PRESSURE):
     """Replace a text that reads as the missing-pressure number, however written (-1, -1.0)."""
-    c = F.col(column)
-    return F.when(number(column) == F.lit(float(marker)), F.lit(replacement)).otherwise(c)
+    c = as_column(column)
+    return F.when(number(c) == F.lit(float(marker)), F.lit(replacement)).otherwise(c)
 
 
 def encode(column, codes):
     """Swap known labels for their code; unknown labels stay as they are."""
-    c = F.col(column)
+    c = as_column(column)
     branches = F
     for label, code in codes.items():
-        branches = branches.when(c == label, F.lit(str(code)))
+        branches = branches.when(c == F.lit(label), F.lit(str(code)))
     return branches.otherwise(c)
 
 

@@ -32,9 +32,9 @@ def observations(df):
     return with_valid(flatten(parse_json(bytes_to_string(df, [c for c in ("key", "value") if c in df.columns]))))
 
 
-def with_valid(df, column="valid"):
-    """The observation time as a timestamp."""
-    return df.withColumn(column, parse_valid(column))
+def with_valid(df, column="valid", pattern=None):
+    """The observation time as a timestamp, by cast or by a pattern."""
+    return df.withColumn(column, parse_valid(column, pattern))
 
 
 def to_messages(df, key=None, topic=None):
@@ -48,15 +48,18 @@ def to_messages(df, key=None, topic=None):
     return df.select(*out)
 
 
+def imputed(name, replacements=REPLACEMENTS):
+    """A field with its sentinel replaced."""
+    if name not in replacements:
+        return F.col(name)
+    rule = replace_missing_pressure if name == "mslp" else replace_missing
+    return rule(name, replacements[name])
+
+
 def impute(df, replacements=None):
     """Replace sentinels; only columns the frame has are touched."""
     wanted = {**REPLACEMENTS, **(replacements or {})}
-    changes = {}
-    for name, replacement in wanted.items():
-        if name in df.columns:
-            rule = replace_missing_pressure if name == "mslp" else replace_missing
-            changes[name] = rule(name, replacement)
-    return df.withColumns(changes)
+    return df.withColumns({c: imputed(c, wanted) for c in df.columns if c in wanted})
 
 
 def encode_sky(df, column="skyc1", codes=SKY_CODES):
@@ -71,21 +74,22 @@ def encode_station(df, column="station", codes=STATION_CODES):
 
 def scale(df, divisors=DIVISORS):
     """Measured columns as doubles over their divisor."""
-    return df.withColumns({c: number(c) / F.lit(float(d)) for c, d in divisors.items() if c in df.columns})
+    return df.withColumns({c: number(c) / F.lit(float(divisors[c])) for c in df.columns if c in divisors})
 
 
 def feature_engineering(df, replacements=None, sky_codes=SKY_CODES, station_codes=STATION_CODES, divisors=DIVISORS):
-    """Impute, encode and scale.
-
-    Each step is one projection over all its columns; the optimizer folds them
-    into a single one and prunes the columns nothing reads.
-    """
-    return (
-        impute(df, replacements)
-        .transform(encode_sky, codes=sky_codes)
-        .transform(encode_station, codes=station_codes)
-        .transform(scale, divisors=divisors)
-    )
+    """Impute, encode and scale in one projection; columns nothing reads are pruned from it."""
+    wanted = {**REPLACEMENTS, **(replacements or {})}
+    codes = {"skyc1": sky_codes, "station": station_codes}
+    out = []
+    for name in df.columns:
+        c = imputed(name, wanted)
+        if name in codes:
+            c = encode(c, codes[name])
+        if name in divisors:
+            c = number(c) / F.lit(float(divisors[name]))
+        out.append(c.alias(name))
+    return df.select(*out)
 
 
 def impute_mean(df, column, marker=None):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from obsflow.functions.scalar import z_score
-from obsflow.functions.time import DAY, QUARTER_HOUR, TWO_HOURS, WEEK, shift
+from obsflow.functions.time import DAY, QUARTER_HOUR, TWO_HOURS, WEEK, day_number, shift
 from obsflow.operators.filters import aligned, finite_only
 from obsflow.operators.trailing import trailing_mean, trailing_mean_windows
 from obsflow.operators.windows import sliding_stats, spread, window_stats
@@ -50,15 +50,21 @@ def short_term(df, ts="valid", keys="station", form="frames", cold_start_origin=
     """Two-hour trailing means at every quarter hour that has an observation.
 
     The alignment filter comes first: it decides which rows a frame holds.
+    ``week_key`` names the baseline to compare with, by the day it ends on.
     """
     on_quarters = aligned(df, ts)
-    build = {"frames": trailing_mean, "windows": trailing_mean_windows}[form]
-    means = build(on_quarters, ts, MEASURES, keys)
-    return previous_week(
+    if form == "frames":
+        means = trailing_mean(on_quarters, ts, MEASURES, keys, bucket_column="week_key")
+    else:
+        means = trailing_mean_windows(on_quarters, ts, MEASURES, keys).withColumn("week_key", day_number(ts))
+    out = previous_week(
         means.withColumnRenamed("tmpf_avg", "temp").withColumn("window_start", shift(F.col(ts), -TWO_HOURS)),
         ts,
         cold_start_origin,
     )
+    if cold_start_origin is not None:
+        out = out.withColumn("week_key", day_number("prev_week_start") + F.lit(WEEK // DAY))
+    return out
 
 
 def weekly_baseline(df, ts="valid", value="tmpf", keys="station", digits=BASELINE_DIGITS):
@@ -71,11 +77,11 @@ def score(short, baseline, keys=("station",)):
     """Join each average with the week starting on its previous-week date, and score it.
 
     Both sides are aggregates and the date is part of the key, so no station
-    forms a product of its own rows and no key can be crowded.
+    forms a product of its own rows and no key can be crowded. The key is the
+    day the averages are already partitioned by; only the baseline moves.
     """
-    left = short.withColumn("baseline_date", F.to_date("prev_week_start"))
-    right = baseline.withColumn("baseline_date", F.to_date("baseline_start"))
-    joined = left.join(right, [*keys, "baseline_date"])
+    right = baseline.withColumn("week_key", day_number("baseline_start") + F.lit(WEEK // DAY))
+    joined = short.join(right, [*keys, "week_key"])
     z = z_score(F.col("temp"), F.col("avg_temp"), F.col("stddev_temp"))
     return joined.withColumn("z_score", z).select(*SCORED)
 

@@ -12,15 +12,17 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from obsflow.functions.time import DAY, QUARTER_HOUR, TWO_HOURS, WEEK, epoch, interval_text, shift
-from obsflow.operators.windows import _names, moments_result
+from obsflow.operators.windows import _names, moments_result, same_keys
 
 
-def trailing_mean(df, ts, values, keys, seconds=TWO_HOURS, empty=0.0):
+def trailing_mean(df, ts, values, keys, seconds=TWO_HOURS, empty=0.0, bucket_column=None):
     """Mean of each column over the ``seconds`` up to and including each distinct time.
 
     Nulls are skipped; a frame without values gives ``empty``. A slot close to
     the end of its bucket is copied to the next one, where it only serves as
-    history.
+    history. The bucket number (the day, for frames up to a day) can be kept:
+    rows are already partitioned by keys and bucket, so a join on both needs no
+    further shuffle of this side.
     """
     keys = _names(keys)
     bucket = max(DAY, seconds)
@@ -30,16 +32,18 @@ def trailing_mean(df, ts, values, keys, seconds=TWO_HOURS, empty=0.0):
     slots = df.where(F.col(ts).isNotNull()).groupBy(*keys, ts).agg(*partials).withColumn("at", epoch(ts))
     own = F.floor(F.col("at") / F.lit(bucket))
     last = F.floor((F.col("at") + F.lit(seconds)) / F.lit(bucket))
-    carried = slots.withColumn("bucket", F.explode(F.sequence(own, last)))
-    frame = Window.partitionBy(*keys, "bucket").orderBy("at").rangeBetween(-seconds, 0)
+    # Named before the exchange, so the partitioning is known by the kept name.
+    name = bucket_column or "bucket"
+    carried = slots.withColumn(name, F.explode(F.sequence(own, last)))
+    frame = Window.partitionBy(*keys, name).orderBy("at").rangeBetween(-seconds, 0)
     means = [
         F.coalesce(
             F.sum(f"{v}_sum").over(frame) / F.nullif(F.sum(f"{v}_n").over(frame), F.lit(0)), F.lit(empty)
         ).alias(f"{v}_avg")
         for v in values
     ]
-    framed = carried.select(*keys, ts, (F.col("bucket") == own).alias("own"), *means)
-    return framed.where("own").drop("own")
+    framed = carried.select(*keys, ts, name, (F.col(name) == own).alias("own"), *means).where("own")
+    return framed.drop("own") if bucket_column else framed.drop("own", name)
 
 
 def trailing_mean_windows(df, ts, values, keys, seconds=TWO_HOURS, grid=QUARTER_HOUR, empty=0.0):
@@ -82,14 +86,22 @@ def trailing_stats(df, ts, value, keys, seconds=WEEK, pane=DAY, names=("avg_temp
         *keys, F.col(ts).alias("at_ts"), F.col(value).alias("v"), (F.col(value) - centre).alias("x")
     )
     slots = rows.groupBy(*keys, "at_ts").agg(*parts).withColumn("at", epoch("at_ts"))
-    pane_of = lambda c: F.floor(c / F.lit(pane))
-
-    # Last pane: everything in it up to the time. First pane: a probe at the
-    # frame's start meets everything from there on.
-    none = [F.lit(0.0).alias(c) for c in ("n", "s", "q")] + [F.lit(None).cast("double").alias(c) for c in ("lo", "hi")]
-    here = slots.select(*keys, "at", F.col("at").alias("position"), F.lit(False).alias("probe"), "n", "s", "q", "lo", "hi")
-    there = slots.select(*keys, "at", (F.col("at") - F.lit(seconds)).alias("position"), F.lit(True).alias("probe"), *none)
-    both = here.unionByName(there).withColumn("pane", pane_of(F.col("position")))
+
+    def pane_of(c):
+        return F.floor(c / F.lit(pane))
+
+    # Each slot counts in its own pane, and a probe at its frame's start asks the
+    # first pane for everything from there on.
+    moments = ["n", "s", "q", "lo", "hi"]
+    here = F.struct(F.col("at").alias("position"), F.lit(False).alias("probe"), *moments)
+    there = F.struct(
+        (F.col("at") - F.lit(seconds)).alias("position"),
+        F.lit(True).alias("probe"),
+        *[F.lit(0.0).alias(c) for c in ("n", "s", "q")],
+        *[F.lit(None).cast("double").alias(c) for c in ("lo", "hi")],
+    )
+    both = slots.select(*keys, "at", F.explode(F.array(here, there)).alias("e")).select(*keys, "at", "e.*")
+    both = both.withColumn("pane", pane_of(F.col("position")))
     cell = Window.partitionBy(*keys, "pane")
     until = cell.orderBy("position").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     onward = cell.orderBy(F.col("position").desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
@@ -97,25 +109,38 @@ def trailing_stats(df, ts, value, keys, seconds=WEEK, pane=DAY, names=("avg_temp
     def running(function, c):
         return F.when(F.col("probe"), function(c).over(onward)).otherwise(function(c).over(until)).alias(c)
 
-    ends = both.select(
-        *keys, "at", *[running(F.sum, c) for c in ("n", "s", "q")], running(F.min, "lo"), running(F.max, "hi")
+    ends = (
+        both.select(
+            *keys, "at", *[running(F.sum, c) for c in ("n", "s", "q")], running(F.min, "lo"), running(F.max, "hi")
+        )
+        .groupBy(*keys, "at")
+        .agg(*_totals())
+        .withColumn("pane", pane_of(F.col("at")))
     )
 
-    # Whole panes between, counted towards each of the panes they precede.
+    # Whole panes between, counted towards each of the panes that follow them.
+    # They start from the same slots, so their exchange is reused.
     between = seconds // pane - 1
     panes = slots.withColumn("pane", pane_of(F.col("at"))).groupBy(*keys, "pane").agg(*_totals())
     middle = (
-        panes.withColumn("pane", F.explode(F.sequence(F.col("pane") + 1, F.col("pane") + F.lit(between))))
+        panes.withColumn("ahead", F.explode(F.sequence(F.lit(1), F.lit(between))))
+        .withColumn("pane", F.col("pane") + F.col("ahead"))
         .groupBy(*keys, "pane")
         .agg(*_totals())
+        if between
+        else panes.where(F.lit(False))
     )
-    keyed = slots.select(*keys, "at", pane_of(F.col("at")).alias("pane"))
-    centres = keyed.join(middle, [*keys, "pane"]).select(*keys, "at", "n", "s", "q", "lo", "hi")
-    total = (ends.unionByName(centres) if between else ends).groupBy(*keys, "at").agg(*_totals())
-    shifted = F.col("s") / F.nullif(F.col("n"), F.lit(0.0))
-    mean, deviation = moments_result(
-        "n", shifted + centre, F.col("q") - F.col("s") * shifted, "lo", "hi"
+    joined = ends.alias("e").join(middle.alias("m"), same_keys("e", "m", [*keys, "pane"]), "left")
+    added = [(F.col(f"e.{c}") + F.coalesce(F.col(f"m.{c}"), F.lit(0.0))).alias(c) for c in ("n", "s", "q")]
+    total = joined.select(
+        *[F.col(f"e.{k}").alias(k) for k in keys],
+        "at",
+        *added,
+        F.least("e.lo", "m.lo").alias("lo"),
+        F.greatest("e.hi", "m.hi").alias("hi"),
     )
+    shifted = F.col("s") / F.nullif(F.col("n"), F.lit(0.0))
+    mean, deviation = moments_result("n", shifted + centre, F.col("q") - F.col("s") * shifted, "lo", "hi")
     return total.select(
         *keys, F.timestamp_seconds("at").alias(ts), mean.alias(names[0]), deviation.alias(names[1])
     )

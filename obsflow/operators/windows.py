@@ -172,10 +172,7 @@ def window_lists(df, ts, value, keys=(), seconds=7200, slide=3600, page_rows=LIS
     )
     extra = [c for c in summary.columns if c not in group and c != "pages"]
     counted = rows.where(F.col("value").isNotNull()).groupBy(*group, "value").agg(F.count("*").alias("n"))
-    # Null keys form groups of their own here, as they do in the aggregation.
-    left, right = counted.alias("c"), summary.alias("s")
-    same = reduce(lambda a, b: a & b, [F.col(f"c.{g}").eqNullSafe(F.col(f"s.{g}")) for g in group])
-    joined = right.join(left, same, "left").select(
+    joined = summary.alias("s").join(counted.alias("c"), same_keys("s", "c", group), "left").select(
         *[F.col(f"s.{c}").alias(c) for c in [*group, *extra]], "s.pages", "c.value", "c.n"
     )
     pieces = F.sequence(F.lit(0).cast("long"), F.coalesce(F.ceil(F.col("n") / F.lit(page_rows)) - 1, F.lit(0)))
@@ -258,5 +255,10 @@ def day_and_night(day, night):
     return day.withColumn("period", F.lit("day")).unionByName(night.withColumn("period", F.lit("night")))
 
 
+def same_keys(left, right, keys):
+    """Equality of keys between two aliased frames; null is a group of its own, as in an aggregation."""
+    return reduce(lambda a, b: a & b, [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys])
+
+
 def _names(keys):
     return [keys] if isinstance(keys, str) else list(keys)

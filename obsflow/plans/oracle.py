@@ -207,6 +207,7 @@ ORACLE = {
     "zscore_cold_start": f"WITH {COLD} SELECT {SCORED_COLUMNS} FROM scored",
     "json_roundtrip": f"""WITH {RAW} SELECT '{MESSAGE_KEY}' AS event_key, valid, {MESSAGE_FIELDS},
   strftime(valid, '%Y-%m-%d %H:%M:%S') AS valid_text FROM raw""",
+    "pattern_valid": f"WITH {RAW} SELECT event_id, valid FROM raw",
     "reformatted_valid": f"""WITH {RAW} SELECT event_id, strftime(valid, '%Y-%m-%d %H:%M:%S') AS valid_text, tmpf, valid
   FROM raw""",
     "csv_roundtrip": f"WITH {RAW} SELECT strftime(valid, '%Y-%m-%d %H:%M') AS valid, {MESSAGE_FIELDS} FROM raw",

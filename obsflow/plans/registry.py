@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from obsflow.functions.scalar import anomaly_label, steady_round
-from obsflow.functions.time import TWO_HOURS, WEEK, parse_valid, reformat_valid, wall_clock
+from obsflow.functions.time import TWO_HOURS, VALID_FORMAT, WEEK, parse_valid, reformat_valid, wall_clock
 from obsflow.operators import clean, filters, kmeans, scaling, scoring, svm, trailing, windows
 from obsflow.plans import exploration, supervised
 from obsflow.schema import DIVISORS, FIELDS, MESSAGE_KEY
@@ -86,6 +86,10 @@ def json_roundtrip(spark, folder):
     )
 
 
+def pattern_valid(spark, folder):
+    return wall_clock(clean.with_valid(_raw(spark, folder), pattern=VALID_FORMAT).select("event_id", "valid"))
+
+
 def reformatted_valid(spark, folder):
     raw = _raw(spark, folder)
     text = raw.select("event_id", reformat_valid("valid").alias("valid_text"), F.col("tmpf").try_cast("double").alias("tmpf"))
@@ -293,7 +297,7 @@ def access_log_parse(spark, folder):
 STREAM_COLUMNS = ["station", "valid", "tmpf", "relh", "vsby"]
 
 
-def _replayed(spark, folder, build, slices=3):
+def _replayed(spark, folder, build, slices=2):
     return replayed(_clean(spark, folder).select(*STREAM_COLUMNS), "valid", build, slices)
 
 
@@ -317,6 +321,7 @@ QUERIES = {
         zscore_anomalies,
         zscore_cold_start,
         json_roundtrip,
+        pattern_valid,
         reformatted_valid,
         csv_roundtrip,
         impute_sentinels,

@@ -15,10 +15,18 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Keyed state lives off the JVM heap, so it may outgrow executor memory.
+    # Recording a Python call site per expression costs more than planning a query.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
+# Keyed state lives off the JVM heap, so it may outgrow executor memory; each
+# batch uploads its changes only, and a join keeps one store per partition.
+STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.join.stateFormatVersion": "3",
 }
 
 
@@ -27,7 +35,7 @@ def build_session(app_name="obsflow", master=None, shuffle_partitions=None, conf
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    settings = dict(RUNTIME_CONF)
+    settings = {**RUNTIME_CONF, **STATE_CONF}
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     settings.update(conf or {})
@@ -37,9 +45,10 @@ def build_session(app_name="obsflow", master=None, shuffle_partitions=None, conf
 
 
 def prepare(spark):
-    """Give a session somebody else built the one setting results depend on."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    """Give a session somebody else built the zone results depend on, and the other settings."""
+    for key, value in {**RUNTIME_CONF, **STATE_CONF}.items():
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
     return spark
 
 
