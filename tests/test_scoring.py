@@ -35,7 +35,15 @@ def test_no_score_without_spread(rows):
 def test_one_row_per_station_and_time(rows):
     items = week("a", [0.1 * (i % 7) for i in range(28)]) + [("a", "2024-01-08 06:00:00", 0.2)] * 50
     got = scoring.scored_observations(rows(items)).collect()
-    assert len(got) == 1 and got[0]["temp"] == pytest.approx(0.2)
+    crowded = [r for r in got if r["valid"] == datetime(2024, 1, 8, 6)]
+    assert len(crowded) == 1 and crowded[0]["temp"] == pytest.approx(0.2)
+    assert len({r["valid"] for r in got}) == len(got)
+
+
+def test_a_week_counts_from_its_first_row(rows):
+    """Days before the data are no gap: the second day is compared with the first alone."""
+    got = scoring.scored_observations(rows(week("a", [0.1, 0.2, 0.3, 0.4, 0.9]))).collect()
+    assert [(r["valid"], r["avg_temp"]) for r in got] == [(datetime(2024, 1, 2), 0.25)]
 
 
 def test_windows_give_the_same_scores(rows):
