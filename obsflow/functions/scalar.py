@@ -41,12 +41,16 @@ def encode(column, codes):
 
 
 def steady_round(column, digits, guard=12):
-    """Round half up, after rounding away the noise of summation order.
+    """Round half away from zero, blind to the noise of summation order.
 
-    Sums of doubles depend in their last bits on how rows met in tasks; without
-    the first rounding a value on a tie could fall either way between two runs.
+    Sums of doubles depend in their last bits on how rows met in tasks, so a
+    value on a tie could fall either way between two runs. Moving every value
+    outwards by ``10 ** -guard`` first decides ties the same way each time. All
+    of it is double arithmetic, many times faster than decimal rounding.
     """
-    return F.round(F.round(column, guard), digits)
+    unit = F.lit(float(10**digits))
+    moved = column * unit + F.signum(column) * F.lit(10.0 ** (digits - guard))
+    return F.rint(moved) / unit + F.lit(0.0)
 
 
 def z_score(value, mean, deviation):

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from obsflow.functions.scalar import is_finite, outside, steady_round, z_score
 from obsflow.functions.time import DAY, WEEK, interval_text
+from obsflow.session import materialise
 
 LIST_PAGE = 100_000
 
@@ -162,30 +163,44 @@ def window_lists(df, ts, value, keys=(), seconds=7200, slide=3600, page_rows=LIS
     so nothing is dropped and no task ever holds more than about a page.
 
     Equal values are counted before the shuffle and travel as one row; a count
-    above the page size is itself cut into pieces.
+    above the page size is itself cut into pieces. How many pages a window needs
+    is settled first, in a table that names only the windows with more than one
+    (or every window, when statistics are asked for).
     """
     keys = _names(keys)
     rows = spread(df, ts, seconds, slide).select("window_start", "window_end", *keys, F.col(value).alias("value"))
     group = ["window_start", "window_end", *keys]
-    summary = rows.groupBy(*group).agg(
-        F.greatest(F.ceil(F.count("value") / F.lit(page_rows)), F.lit(1)).alias("pages"), *stats
-    )
+    pages = F.greatest(F.ceil(F.count("value") / F.lit(page_rows)), F.lit(1))
+    summary = rows.groupBy(*group).agg(pages.alias("pages"), *stats)
     extra = [c for c in summary.columns if c not in group and c != "pages"]
-    counted = rows.where(F.col("value").isNotNull()).groupBy(*group, "value").agg(F.count("*").alias("n"))
-    joined = summary.alias("s").join(counted.alias("c"), same_keys("s", "c", group), "left").select(
-        *[F.col(f"s.{c}").alias(c) for c in [*group, *extra]], "s.pages", "c.value", "c.n"
+    settled = materialise(summary if stats else summary.where("pages > 1"), "windows")
+    counted = rows.groupBy(*group, "value").agg(F.count("*").alias("n"))
+    joined = (
+        counted.alias("c")
+        .join(settled.alias("s"), same_keys("c", "s", group), "left")
+        .select(
+            *[F.col(f"c.{c}").alias(c) for c in group],
+            *[F.col(f"s.{c}").alias(c) for c in extra],
+            F.coalesce("s.pages", F.lit(1)).alias("pages"),
+            "c.value",
+            "c.n",
+        )
     )
-    pieces = F.sequence(F.lit(0).cast("long"), F.coalesce(F.ceil(F.col("n") / F.lit(page_rows)) - 1, F.lit(0)))
-    left_over = F.coalesce(F.col("n"), F.lit(0)) - F.col("piece") * F.lit(page_rows)
-    paged = joined.withColumn("piece", F.explode(pieces)).select(
+    pieces = F.sequence(F.lit(0).cast("long"), F.ceil(F.col("n") / F.lit(page_rows)) - 1)
+    copies = F.least(F.lit(page_rows), F.col("n") - F.col("piece") * F.lit(page_rows))
+    # Missing values are in no list, but a window that has no others still has an empty one.
+    paged = joined.withColumn("n", F.when(F.col("value").isNotNull(), F.col("n")).otherwise(F.lit(1))).withColumn(
+        "piece", F.explode(pieces)
+    ).select(
         *group,
         *extra,
-        F.pmod(F.xxhash64("value", "piece"), F.col("pages")).alias("page"),
+        F.when(F.col("value").isNull(), F.lit(0)).otherwise(
+            F.pmod(F.xxhash64("value", "piece"), F.col("pages"))
+        ).alias("page"),
         "value",
-        F.least(F.lit(page_rows), left_over).cast("int").alias("copies"),
+        F.when(F.col("value").isNotNull(), copies).otherwise(F.lit(0)).cast("int").alias("copies"),
     )
-    # The explicit exchange includes the page, so the join above may split a
-    # skewed window and its pages still spread over tasks.
+    # The exchange names the page too, so the pages of one window spread over tasks.
     lists = (
         paged.repartition(*group, "page")
         .groupBy(*group, *extra, "page")
@@ -207,8 +222,9 @@ def window_summary(df, ts, value, keys=(), seconds=10, digits=4, page_rows=LIST_
 def with_window_stats(df, ts, columns, keys=(), seconds=10, digits=None):
     """Rows with the mean and deviation of their tumbling window for each column.
 
-    Statistics are aggregated first and joined back, so rows of a crowded
-    window never have to sit in one task: the join splits skewed keys.
+    Statistics are aggregated and written first, so the join is planned on their
+    real size: few windows are broadcast and the rows never shuffle; many are
+    joined by key, where adaptive execution splits a crowded window.
     """
     keys = _names(keys)
     start = F.window(ts, interval_text(seconds))["start"]
@@ -219,7 +235,7 @@ def with_window_stats(df, ts, columns, keys=(), seconds=10, digits=None):
         if digits is not None:
             mean, deviation = steady_round(mean, digits), steady_round(deviation, digits)
         aggregates += [mean.alias(f"{c}_mean"), deviation.alias(f"{c}_stddev")]
-    stats = rows.groupBy(*keys, "window_start").agg(*aggregates)
+    stats = materialise(rows.groupBy(*keys, "window_start").agg(*aggregates), "window-stats")
     return rows.join(stats, [*keys, "window_start"])
 
 

@@ -6,6 +6,7 @@ from obsflow.functions.time import DAY, WEEK
 from obsflow.operators.filters import beyond, day_rows, night_rows
 from obsflow.operators.scoring import range_compare, two_hour_rows
 from obsflow.operators.windows import day_and_night, sliding_stats, window_stats
+from obsflow.session import materialise
 from obsflow.streaming import windows
 from obsflow.streaming.sinks import for_each_batch, to_snapshots
 from obsflow.streaming.store import BatchStore
@@ -53,6 +54,15 @@ def compare_anomalies(observations, baselines, threshold=2.0):
     return beyond(compare(observations, baselines), threshold)
 
 
+def compare_with_itself(observations):
+    """A table against its own sliding weeks.
+
+    The weeks are written first: the join is then planned on their real size,
+    and the many two-hour rows shuffle only if the weeks are too big to broadcast.
+    """
+    return compare(observations, materialise(sliding_week(observations), "weeks"))
+
+
 def run_baseline_stream(observations, snapshots, checkpoint, seconds=10):
     """Keep the sliding weeks of a stream as a table, written anew per batch."""
     return to_snapshots(sliding_week(observations), snapshots, checkpoint, seconds=seconds)

@@ -9,7 +9,9 @@ from obsflow.schema import DIVISORS, FIELDS, MESSAGE_KEY, SKY_CODES, STATION_COD
 
 
 def _round(expression, places=PLACES):
-    return f"CAST(round(CAST(({expression}) AS DECIMAL(38,12)), {places}) AS DOUBLE)"
+    e, unit = f"({expression})", f"1e{places}::DOUBLE"
+    moved = f"round({e} * {unit} + sign({e}) * 1e{places - 12}::DOUBLE)"
+    return f"(CASE WHEN {moved} = 0 THEN 0.0::DOUBLE ELSE {moved} / {unit} END)"
 
 
 def _shown(columns, places=PLACES):

@@ -9,7 +9,7 @@ from obsflow.functions.time import TWO_HOURS, VALID_FORMAT, WEEK, parse_valid, r
 from obsflow.operators import clean, filters, kmeans, scaling, scoring, svm, trailing, windows
 from obsflow.plans import exploration, supervised
 from obsflow.schema import DIVISORS, FIELDS, MESSAGE_KEY
-from obsflow.session import prepare, shared_folder
+from obsflow.session import materialise, prepare, shared_folder
 from obsflow.sources import access_log
 from obsflow.sources.events import log_lines_from_events, observations_from_events, read_events
 from obsflow.sources.files import read_csv, write_csv
@@ -193,13 +193,11 @@ def two_hour_exploded(spark, folder):
 
 
 def range_join_compare(spark, folder):
-    rows = _clean(spark, folder)
-    return _show(exploration.compare(rows, exploration.sliding_week(rows)))
+    return _show(exploration.compare_with_itself(_clean(spark, folder)))
 
 
 def range_join_anomalies(spark, folder):
-    rows = _clean(spark, folder)
-    return _show(exploration.compare_anomalies(rows, exploration.sliding_week(rows)))
+    return _show(filters.beyond(exploration.compare_with_itself(_clean(spark, folder)), 2.0))
 
 
 def _trailing(spark, folder, form):
@@ -270,7 +268,9 @@ def kmeans_assign(spark, folder):
 
 
 def kmeans_distance_anomaly(spark, folder):
-    rows = kmeans.assign(kmeans.feature_rows(_scored(spark, folder)), EXAMPLE_CENTRES)
+    # Read twice, for the moments and for the flags, so scored only once.
+    scored = materialise(_scored(spark, folder), "scored")
+    rows = kmeans.assign(kmeans.feature_rows(scored), EXAMPLE_CENTRES)
     return _show(kmeans.distance_anomalies(rows).select("station", "valid", "distance", "distance_z", "anomaly"))
 
 

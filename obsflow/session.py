@@ -15,6 +15,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # The JVM never compiles a method above 8,000 bytes; a stage that would need
+    # one runs faster as separate operators with compiled expressions.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Recording a Python call site per expression costs more than planning a query.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }

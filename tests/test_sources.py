@@ -63,7 +63,7 @@ def test_kafka_options():
 
 def test_event_adapters(spark):
     events = spark.createDataFrame(
-        [(13, "2024-01-01 00:07:31", 14, "view", 6.55, '{"k": 60}')],
+        [(69, "2024-01-01 00:07:31", 14, "view", 6.55, '{"k": 60}')],
         "event_id long, ts string, user_id long, event_type string, value double, props string",
     ).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
     row = observations_from_events(events).first()

@@ -75,7 +75,9 @@ def test_late_rows_are_dropped_and_counted(spark, tmp_path):
     assert feed([("a", "2024-01-12 00:00", 9.0)]) == 0
     assert feed([("a", "2024-01-05 12:00", 100.0), ("a", "2024-01-19 00:00", 9.0)]) == 1
     got = spark.read.parquet(out).orderBy("window_start").collect()
-    assert [(r["window_start"], r["avg_temp"]) for r in got] == [(datetime(2024, 1, 4), 2.0)]
+    assert [(r["window_start"], r["avg_temp"]) for r in got] == [
+        (datetime(2024, 1, 4), 2.0), (datetime(2024, 1, 11), 9.0)
+    ]
 
 
 def test_output_modes_and_memory_sink(spark, clean):
