@@ -44,8 +44,25 @@ def hash_split(df, keys=SPLIT_KEYS, share=TRAIN_SHARE, seed=SPLIT_SEED):
 def train_gate(df, min_rows=MIN_ROWS):
     """One row: how many rows and labels there are, and whether training may start."""
     counts = df.agg(F.count("*").alias("n_rows"), F.coalesce(F.sum("label"), F.lit(0.0)).alias("n_positive"))
-    ready = (F.col("n_rows") > min_rows) & (F.col("n_positive") > 0) & (F.col("n_positive") < F.col("n_rows"))
-    return counts.withColumn("ready", ready)
+    return counts.withColumn("ready", _ready("n_rows", "n_positive", min_rows))
+
+
+def split_gate(df, min_rows=MIN_ROWS):
+    """One row: whether the batch is large enough and its training part has both classes.
+
+    Both questions are answered by one pass.
+    """
+    train = F.col("is_train")
+    counts = df.agg(
+        F.count("*").alias("n_rows"),
+        F.count_if(train).alias("n_train"),
+        F.coalesce(F.sum(F.when(train, F.col("label"))), F.lit(0.0)).alias("n_positive"),
+    )
+    return counts.withColumn("ready", (F.col("n_rows") > min_rows) & _ready("n_train", "n_positive", 0))
+
+
+def _ready(rows, positive, min_rows):
+    return (F.col(rows) > min_rows) & (F.col(positive) > 0) & (F.col(positive) < F.col(rows))
 
 
 def fit(train, iterations=ITERATIONS, regularisation=REGULARISATION):
@@ -91,11 +108,9 @@ def train_and_detect(scored, min_rows=MIN_ROWS, share=TRAIN_SHARE, seed=SPLIT_SE
     points = features(rows).select("is_train", "label", "features", *scored.columns)
     points = points.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        gate = train_gate(points).first()
-        train = points.where("is_train")
-        if not gate["ready"] or not train_gate(train, 0).first()["ready"]:
+        if not split_gate(points, min_rows).first()["ready"]:
             return None
-        model = fit(train)
+        model = fit(points.where("is_train"))
         weights = [float(w) for w in model.coefficients]
         # The prediction is arithmetic on the row, so it needs no model object
         # and the persisted rows may go before the result is read.

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from obsflow.functions.scalar import number
 from obsflow.functions.time import DAY, WEEK
 from obsflow.operators.filters import beyond, day_rows, night_rows
 from obsflow.operators.scoring import range_compare, two_hour_rows
@@ -12,6 +13,11 @@ from obsflow.streaming.sinks import for_each_batch, to_snapshots
 from obsflow.streaming.store import BatchStore
 
 
+def measured(observations):
+    """Station, time and temperature as a number; rows without a readable time are dropped."""
+    return observations.select("station", "valid", number("tmpf").alias("tmpf")).where("valid IS NOT NULL")
+
+
 def weekly_day(observations, delay=None):
     """Weeks of day rows."""
     return _weekly(day_rows(observations), delay or windows.WEEKLY_DELAY)

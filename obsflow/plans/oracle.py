@@ -314,4 +314,9 @@ FROM events""",
 WHERE window_end <= (SELECT max(valid) FROM clean) - INTERVAL 15 MINUTES""",
     "stream_trailing_mean": f"WITH {SHORT} SELECT {SHORT_COLUMNS} FROM short WHERE {CLOSED_SHORT}",
     "stream_zscore_join": f"WITH {SCORED} SELECT {SCORED_COLUMNS} FROM scored WHERE {CLOSED_SHORT}",
+    "stream_count_sorted": "SELECT event_type, count(*) AS count FROM events GROUP BY event_type",
+    "stream_range_join": f"WITH {RANGED} SELECT {RANGED_COLUMNS} FROM ranged WHERE abs(z_score) > 2",
+    "anomaly_log": f"""WITH {POINTS},
+moments AS (SELECT avg(distance) AS m, stddev_samp(distance) AS s FROM assigned)
+SELECT station, valid, {_shown(POINT)}, (distance - m) / nullif(s, 0) > 1 AS prediction FROM assigned, moments""",
 }

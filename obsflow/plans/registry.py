@@ -7,14 +7,16 @@ from pyspark.sql import functions as F
 from obsflow.functions.scalar import anomaly_label, steady_round
 from obsflow.functions.time import TWO_HOURS, VALID_FORMAT, WEEK, parse_valid, reformat_valid, wall_clock
 from obsflow.operators import clean, filters, kmeans, scaling, scoring, svm, trailing, windows
-from obsflow.plans import exploration, supervised
+from obsflow.plans import exploration, supervised, unsupervised
 from obsflow.schema import DIVISORS, FIELDS, MESSAGE_KEY
-from obsflow.session import materialise, prepare, shared_folder
+from obsflow.session import materialise, prepare, shared_folder, write_shared
 from obsflow.sources import access_log
 from obsflow.sources.events import log_lines_from_events, observations_from_events, read_events
-from obsflow.sources.files import read_csv, write_csv
+from obsflow.sources.files import read_csv, stream_parquet, write_csv
 from obsflow.streaming import windows as stream_windows
-from obsflow.streaming.replay import replayed
+from obsflow.streaming.replay import replay, replayed
+from obsflow.streaming.sinks import for_each_batch, read_snapshot, to_snapshots
+from obsflow.streaming.store import BatchStore
 
 # Places that results are shown with, so both engines agree on the last bits.
 PLACES = 6
@@ -314,6 +316,55 @@ def stream_zscore_join(spark, folder):
     return _show(_replayed(spark, folder, stream_windows.scored))
 
 
+def stream_count_sorted(spark, folder):
+    """Complete mode: an ordered aggregate rewritten per batch, read from its last snapshot."""
+    events = _events(spark, folder).select("event_id", "event_type")
+    stream = stream_parquet(spark, write_shared(events, "in"), events.schema)
+    out, checkpoint = shared_folder(spark, "snapshots"), shared_folder(spark, "checkpoint")
+    to_snapshots(windows.count_by(stream, "event_type"), out, checkpoint).awaitTermination()
+    return read_snapshot(spark, out)
+
+
+def stream_range_join(spark, folder):
+    """Sliding weeks kept as snapshots of a stream, and the stream compared with the last one."""
+    rows = _clean(spark, folder).select(*STREAM_COLUMNS)
+    source = write_shared(rows, "in")
+    weeks, out = shared_folder(spark, "weeks"), shared_folder(spark, "out")
+    for run, target in ((exploration.run_baseline_stream, [weeks]), (exploration.run_compare_stream, [weeks, out])):
+        stream = stream_parquet(spark, source, rows.schema)
+        run(stream, *target, shared_folder(spark, "checkpoint"), seconds=None).awaitTermination()
+    return _show(BatchStore(spark, out).read().drop("batch_id"))
+
+
+def anomaly_log(spark, folder):
+    """Flags appended batch by batch as text with a header; the log is the union of its batches."""
+    scored = _scored(spark, folder)
+    stream = stream_parquet(spark, write_shared(scored, "in"), scored.schema)
+    out, checkpoint = shared_folder(spark, "log"), shared_folder(spark, "checkpoint")
+
+    def handle(batch, batch_id):
+        flagged = unsupervised.detect(batch, EXAMPLE_CENTRES)
+        BatchStore(batch.sparkSession, out, "csv").write(unsupervised.log_lines(flagged), batch_id)
+
+    for_each_batch(stream, handle, checkpoint).awaitTermination()
+    log = BatchStore(spark, out, "csv").read()
+    values = [F.col(c).cast("double").alias(c) for c in kmeans.FEATURES]
+    return _show(log.select("station", F.col("valid").cast("timestamp"), *values, F.col("prediction").cast("boolean")))
+
+
+def stream_kmeans(spark, folder):
+    """The whole unsupervised job over a replay; its centres move, so no SQL says the same."""
+    raw = _timed(spark, folder)
+    out, model = shared_folder(spark, "log"), shared_folder(spark, "model")
+    checkpoint = shared_folder(spark, "checkpoint")
+
+    def run(stream):
+        return unsupervised.run_stream(stream, out, model, checkpoint, EXAMPLE_CENTRES, decay=0.9, seconds=None)
+
+    replay(raw.drop("event_id"), "valid", run, 2)
+    return BatchStore(spark, out, "csv").read().select("station", "valid", *kmeans.FEATURES, "prediction")
+
+
 QUERIES = {
     f.__name__: f
     for f in [
@@ -367,5 +418,9 @@ QUERIES = {
         stream_weekly,
         stream_trailing_mean,
         stream_zscore_join,
+        stream_count_sorted,
+        stream_range_join,
+        anomaly_log,
+        stream_kmeans,
     ]
 }

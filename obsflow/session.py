@@ -70,11 +70,17 @@ def shared_folder(spark, name):
     return os.path.join(parent, f"{name}-{uuid.uuid4().hex}")
 
 
+def write_shared(df, name="table"):
+    """Write a table to a fresh shared folder and return the folder."""
+    folder = shared_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    return folder
+
+
 def materialise(df, name="table"):
     """Write an intermediate result to the shared folder and go on from the files.
 
-    For results several jobs read: they survive lost executors and are computed once.
+    For results several jobs read: they survive lost executors and are computed
+    once. Joins with them are planned on the size the files really have.
     """
-    folder = shared_folder(df.sparkSession, name)
-    df.write.parquet(folder)
-    return df.sparkSession.read.parquet(folder)
+    return df.sparkSession.read.parquet(write_shared(df, name))

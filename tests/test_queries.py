@@ -8,7 +8,7 @@ import __spark_entry__ as entry
 from tools.compare import compare, connect
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
-ROWS_ONLY = {"svm_fit_predict"}
+ROWS_ONLY = {"svm_fit_predict", "stream_kmeans"}
 
 
 @pytest.fixture(scope="module")
@@ -31,7 +31,7 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-STREAMED = {"stream_weekly", "stream_trailing_mean", "stream_zscore_join"}
+STREAMED = {n for n in entry.queries() if n.startswith("stream_")} | {"anomaly_log"}
 
 
 @pytest.mark.parametrize("name", [n for n in entry.queries() if n not in STREAMED | ROWS_ONLY])
