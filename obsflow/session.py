@@ -33,8 +33,31 @@ STATE_CONF = {
 }
 
 
+MIB = 1 << 20
+
+
+def sizing(data_bytes, cores):
+    """Partition settings for a batch over so many bytes on so many cores.
+
+    Splits grow from 128 MiB to 1 GiB, so a large scan stays at a few waves of
+    tasks. Shuffles start from one partition per 256 MiB of input, at most
+    20,000; adaptive execution then merges what turned out small.
+    """
+    split = min(max(data_bytes // (cores * 8), 128 * MIB), 1024 * MIB)
+    partitions = min(max(data_bytes // (256 * MIB), cores), 20_000)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * MIB),
+    }
+
+
 def build_session(app_name="obsflow", master=None, shuffle_partitions=None, conf=None):
-    """A session with the settings the jobs expect; ``master`` only for local runs."""
+    """A session with the settings the jobs expect; ``master`` only for local runs.
+
+    ``shuffle_partitions`` also fixes the number of state partitions of a
+    stream for the life of its checkpoint.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)

@@ -13,25 +13,31 @@ def parse_lines(df, column="value"):
 
     The quotes cut a line into its parts, so one split replaces a pattern match per field.
     """
-    parts = F.split(F.col(column), '"')
-    whole = F.size(parts) >= 6
-    head, request, answer = (F.get(parts, F.lit(i)) for i in (0, 1, 2))
-    answer = F.split(F.trim(answer), " ")
-
-    def field(expression):
-        return F.when(whole, expression)
-
-    bracketed = F.substring_index(F.substring_index(head, "[", -1), "]", 1)
-    target = F.substring(request, F.instr(request, " ") + 1, F.length(request))
-    return df.select(
-        field(F.substring_index(head, " ", 1)).alias("ip"),
-        F.try_to_timestamp(field(bracketed), F.lit(TIME_FORMAT)).alias("ts"),
-        field(F.substring_index(request, " ", 1)).alias("request_type"),
-        field(F.regexp_replace(target, r" HTTP/\S+$", "")).alias("path"),
-        field(F.get(answer, F.lit(0))).try_cast("int").alias("status"),
-        field(F.get(answer, F.lit(1))).try_cast("long").alias("response_size"),
-        field(F.get(parts, F.lit(3))).alias("referer"),
-        field(F.get(parts, F.lit(5))).alias("agent"),
+    cut = df.select(F.split(F.col(column), '"').alias("parts"))
+    # A line in another format has too few parts; without an array all its fields are null.
+    whole = cut.select(F.when(F.size("parts") >= 6, F.col("parts")).alias("parts"))
+
+    def part(i):
+        return F.get("parts", F.lit(i))
+
+    named = whole.select(
+        part(0).alias("head"),
+        part(1).alias("request"),
+        F.split(F.trim(part(2)), " ").alias("answer"),
+        part(3).alias("referer"),
+        part(5).alias("agent"),
+    )
+    bracketed = F.substring_index(F.substring_index("head", "[", -1), "]", 1)
+    target = F.substring("request", F.instr("request", " ") + 1, F.length("request"))
+    return named.select(
+        F.substring_index("head", " ", 1).alias("ip"),
+        F.try_to_timestamp(bracketed, F.lit(TIME_FORMAT)).alias("ts"),
+        F.substring_index("request", " ", 1).alias("request_type"),
+        F.regexp_replace(target, r" HTTP/\S+$", "").alias("path"),
+        F.get("answer", F.lit(0)).try_cast("int").alias("status"),
+        F.get("answer", F.lit(1)).try_cast("long").alias("response_size"),
+        "referer",
+        "agent",
     )
 
 

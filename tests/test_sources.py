@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from obsflow.operators.clean import to_messages
 from obsflow.schema import FIELDS, RAW_SCHEMA
-from obsflow.session import shared_folder
+from obsflow.session import MIB, shared_folder, sizing
 from obsflow.sources import access_log, files, kafka
 from obsflow.sources.events import log_lines_from_events, observations_from_events
 
@@ -87,3 +87,12 @@ def test_shared_folder_needs_a_setting_on_a_cluster(spark):
     with pytest.raises(ValueError):
         shared_folder(Elsewhere, "x")
     assert shared_folder(spark, "x") != shared_folder(spark, "x")
+
+
+def test_sizing_follows_the_data():
+    small = sizing(10 * MIB, 8)
+    assert small["spark.sql.files.maxPartitionBytes"] == str(128 * MIB)
+    assert small["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "8"
+    large = sizing(100 * MIB * MIB, 4000)
+    assert large["spark.sql.files.maxPartitionBytes"] == str(1024 * MIB)
+    assert large["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "20000"
