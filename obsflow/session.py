@@ -73,7 +73,7 @@ def build_session(app_name="obsflow", master=None, shuffle_partitions=None, conf
 def prepare(spark):
     """Give a session somebody else built the zone results depend on, and the other settings."""
     for key, value in {**RUNTIME_CONF, **STATE_CONF}.items():
-        if spark.conf.get(key, None) != value:
+        if spark.conf.get(key, None) != value and spark.conf.isModifiable(key):
             spark.conf.set(key, value)
     return spark
 

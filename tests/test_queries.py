@@ -1,6 +1,8 @@
 """Every registered query against its SQL, and the shape of its plan."""
 
 import os
+import subprocess
+import sys
 
 import pytest
 
@@ -62,3 +64,21 @@ def test_scoring_join_does_not_move_the_averages_again(spark):
 def test_entry_runs(spark):
     df = entry.entry(spark)
     assert "z_score" in df.columns and df.count() == 341
+
+
+def test_queries_run_in_a_session_built_elsewhere():
+    """A plain session in another zone: the settings that may change are set, the others left."""
+    script = (
+        "from pyspark.sql import SparkSession\n"
+        "import __spark_entry__ as entry\n"
+        "from tools.compare import compare, connect\n"
+        "builder = SparkSession.builder.master('local[4]').config('spark.ui.enabled', 'false')\n"
+        "spark = builder.config('spark.sql.session.timeZone', 'America/New_York').getOrCreate()\n"
+        f"con = connect('{FOLDER}')\n"
+        "for name in ('flagship_zscore', 'weekly_day', 'stream_weekly'):\n"
+        f"    count, problem = compare(spark, con, '{FOLDER}', name)\n"
+        "    assert count and not problem, (name, problem)\n"
+    )
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    done = subprocess.run([sys.executable, "-c", script], cwd=root, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]
