@@ -15,7 +15,7 @@ from obsflow.sources.events import log_lines_from_events, observations_from_even
 from obsflow.sources.files import read_csv, stream_parquet, write_csv
 from obsflow.streaming import windows as stream_windows
 from obsflow.streaming.replay import replay, replayed
-from obsflow.streaming.sinks import for_each_batch, read_snapshot, to_snapshots
+from obsflow.streaming.sinks import for_each_batch, read_snapshot, state_partitions, to_snapshots
 from obsflow.streaming.store import BatchStore
 
 # Places that results are shown with, so both engines agree on the last bits.
@@ -321,7 +321,9 @@ def stream_count_sorted(spark, folder):
     events = _events(spark, folder).select("event_id", "event_type")
     stream = stream_parquet(spark, write_shared(events, "in"), events.schema)
     out, checkpoint = shared_folder(spark, "snapshots"), shared_folder(spark, "checkpoint")
-    to_snapshots(windows.count_by(stream, "event_type"), out, checkpoint).awaitTermination()
+    with state_partitions(spark):
+        query = to_snapshots(windows.count_by(stream, "event_type"), out, checkpoint)
+    query.awaitTermination()
     return read_snapshot(spark, out)
 
 
@@ -332,7 +334,9 @@ def stream_range_join(spark, folder):
     weeks, out = shared_folder(spark, "weeks"), shared_folder(spark, "out")
     for run, target in ((exploration.run_baseline_stream, [weeks]), (exploration.run_compare_stream, [weeks, out])):
         stream = stream_parquet(spark, source, rows.schema)
-        run(stream, *target, shared_folder(spark, "checkpoint"), seconds=None).awaitTermination()
+        with state_partitions(spark):
+            query = run(stream, *target, shared_folder(spark, "checkpoint"), seconds=None)
+        query.awaitTermination()
     return _show(BatchStore(spark, out).read().drop("batch_id"))
 
 

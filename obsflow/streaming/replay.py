@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from obsflow.session import shared_folder
+from obsflow.streaming.sinks import state_partitions, to_files
 
 
 def time_slices(df, ts, slices):
@@ -29,13 +30,13 @@ def replay(df, ts, run, slices=4):
     for low, high in time_slices(df, ts, slices):
         at = F.unix_micros(ts)
         df.where((at >= low) & (at < high)).write.mode("append").parquet(folder)
-        run(spark.readStream.schema(df.schema).parquet(folder)).awaitTermination()
+        with state_partitions(spark):
+            query = run(spark.readStream.schema(df.schema).parquet(folder))
+        query.awaitTermination()
 
 
 def replayed(df, ts, build, slices=4):
     """The appended result of ``build(stream)`` over a replayed table, read back as a batch."""
-    from obsflow.streaming.sinks import to_files
-
     spark = df.sparkSession
     out, checkpoint = shared_folder(spark, "result"), shared_folder(spark, "checkpoint")
     schema = []

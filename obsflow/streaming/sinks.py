@@ -2,9 +2,28 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from obsflow.streaming.store import BatchStore
 
 
+@contextmanager
+def state_partitions(spark, count=None):
+    """Queries started inside keep their state in so many partitions, by default two per core at most.
+
+    A stream opens every state partition in every batch, so it wants as many as
+    the cores can serve, where a batch query lets adaptive execution merge. A
+    query takes a copy of the settings when it starts; afterwards they are as before.
+    """
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(count or min(int(before), 2 * spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def trigger_options(seconds=None):
     """Every so many seconds, or, without a number, all there is and then stop."""
     return {"processingTime": f"{seconds} seconds"} if seconds else {"availableNow": True}
