@@ -8,7 +8,7 @@ from obsflow.functions.scalar import z_score
 from obsflow.functions.time import DAY, QUARTER_HOUR, TWO_HOURS, WEEK, day_number, shift
 from obsflow.operators.filters import aligned, finite_only
 from obsflow.operators.trailing import trailing_mean, trailing_mean_windows
-from obsflow.operators.windows import sliding_stats, spread, window_stats
+from obsflow.operators.windows import sliding_stats, spread
 
 # Fixed value: places the weekly mean and deviation are rounded to.
 BASELINE_DIGITS = 4
@@ -137,8 +137,3 @@ def range_compare(rows, baselines, keys=("station",)):
     dated = rows.withColumn("on_date", F.date_add("prev_week_end", 1))
     z = z_score(F.col("temperature"), F.col("avg_temp"), F.col("stddev_temp"))
     return dated.join(offered, [*keys, "on_date"]).drop("on_date").withColumn("z_score", z)
-
-
-def weekly_windows(df, ts="valid", value="tmpf", keys=("station",)):
-    """Tumbling weeks: mean and deviation."""
-    return window_stats(df, ts, value, keys, WEEK)

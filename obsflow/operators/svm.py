@@ -7,7 +7,6 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.ml.classification import LinearSVC
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from obsflow.functions.scalar import anomaly_label, dot, hash_share
@@ -119,8 +118,3 @@ def train_and_detect(scored, min_rows=MIN_ROWS, share=TRAIN_SHARE, seed=SPLIT_SE
         return Detection(predictions, weights, auroc)
     finally:
         points.unpersist()
-
-
-def vector_column(columns):
-    """Columns as one vector without a fitted assembler."""
-    return array_to_vector(F.array(*columns))

@@ -17,17 +17,14 @@ from obsflow.session import materialise
 LIST_PAGE = 100_000
 
 
-def spread(df, ts, seconds, slide=None, keep_struct=False):
+def spread(df, ts, seconds, slide=None):
     """Every row once per window that holds it, with the window's start and end.
 
     No shuffle. Collecting the values of sliding windows into lists and
     exploding them again yields these same rows.
     """
     window = F.window(ts, interval_text(seconds), interval_text(slide or seconds))
-    out = df.withColumn("window", window)
-    if keep_struct:
-        return out
-    return out.select(
+    return df.withColumn("window", window).select(
         F.col("window.start").alias("window_start"),
         F.col("window.end").alias("window_end"),
         *[c for c in df.columns],
