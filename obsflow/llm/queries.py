@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
+from obsflow.llm import sharding
 from obsflow.llm.blocks import shipped
+from obsflow.llm.bpe import bpe_decode, bpe_encode
+from obsflow.llm.ngram_join import jaccard_components
 from obsflow.llm.substring_dedup import dedup_substrings
+from obsflow.llm.topk import top_k
+
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def _table(spark, folder, name):
@@ -23,8 +30,57 @@ def op1_substring_dedup(spark, folder):
     )
 
 
+def op2_bpe(spark, folder):
+    """Token ids of every text and the text they decode to."""
+    encoded = bpe_encode(_table(spark, folder, "documents").select("doc_id", "text"), VOCABULARY).drop("text")
+    return bpe_decode(encoded, VOCABULARY).select(
+        "doc_id",
+        (F.octet_length("_ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("_ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("_decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def op4_ngram_jaccard_join(spark, folder):
+    """Components of documents that share nine tenths of their three-word shingles."""
+    return jaccard_components(_table(spark, folder, "documents"), shingle=3, percent=90)
+
+
+def op5_sharding(spark, folder):
+    """The shard of every document."""
+    placed = sharding.place(_table(spark, folder, "documents").select("doc_id"))
+    return placed.select("doc_id", F.col("_slot").alias("slot"), F.col("_shard").alias("shard"))
+
+
+def op6_top_k(spark, folder):
+    """The five best scores among all vectors for every fiftieth one."""
+    vectors = _table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
+_OP6 = """
+    WITH whole AS (
+        SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+        WHERE vec_id IS NOT NULL AND len(embedding) > 0
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), scored AS (
+        SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+        FROM whole q JOIN whole c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+    ), ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scored
+    )
+    SELECT query_id, place::INTEGER AS rank, vec_id, score FROM ranked WHERE place <= 5
+"""
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_bpe": op2_bpe,
+    "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
+    "op5_sharding": op5_sharding,
+    "op6_top_k": op6_top_k,
 }
 
-ORACLE = {}
+ORACLE = {
+    "op5_sharding": sharding.place_sql("documents", "doc_id", sharding.SHARDS, sharding.SLOTS),
+    "op6_top_k": _OP6,
+}
