@@ -13,6 +13,7 @@ import os
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import functions as F
 
 PER_PARTITION = 2
@@ -88,3 +89,29 @@ def with_keys(docs):
     return docs.withColumns(
         {"_k": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "_t": F.xxhash64(F.coalesce("text", F.lit("")))}
     )
+
+
+def squeeze(df):
+    """``df`` with ``text`` compressed, for joins that move whole texts; ``loosen`` undoes it in a task."""
+
+    def run(batches):
+        packer = zstandard.ZstdCompressor(level=3)
+        for b in batches:
+            at = b.schema.get_field_index("text")
+            small = [None if x is None else packer.compress(x) for x in b.column(at).cast(pa.binary()).to_pylist()]
+            yield b.set_column(at, "text", pa.array(small, type=pa.binary()))
+
+    kinds = [f"`{f.name}` {'binary' if f.name == 'text' else f.dataType.simpleString()}" for f in df.schema]
+    return df.mapInArrow(run, ", ".join(kinds))
+
+
+def loosen(batches, rows=2000):
+    """Batches of a squeezed frame, a few thousand rows at a time, with ``text`` as it was."""
+    opener = zstandard.ZstdDecompressor()
+    for whole in batches:
+        for lo in range(0, whole.num_rows, rows):
+            b = whole.slice(lo, rows)
+            at = b.schema.get_field_index("text")
+            large = [None if x is None else opener.decompress(x) for x in b.column(at).to_pylist()]
+            yield b.set_column(at, "text", pa.array(large, type=pa.binary()).cast(pa.string()))
+

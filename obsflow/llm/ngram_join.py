@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import functions as F
 
-from obsflow.llm.blocks import batch, block_of, changes, deal, n_blocks, pack, shipped, unpack, with_keys
+from obsflow.llm.blocks import batch, block_of, changes, deal, loosen, n_blocks, pack, shipped, squeeze, unpack, with_keys
 from obsflow.llm.links import components
 from obsflow.llm.words import mix, slices
 from obsflow.session import materialise
@@ -181,23 +181,42 @@ def _mark(shingle, percent, blocks):
 
 
 def _shared_keys(key, table):
-    """Block side: the pieces that two rows or more hold, with those rows."""
+    """Block side: the pieces that two rows or more hold, with those rows, packed and in order."""
     keys, rows = [], []
     for r in table.select(["row", "owner", "key"]).to_pylist():
         keys.append(unpack(r["key"], np.uint64))
         rows.append(r["row"] + np.cumsum(unpack(r["owner"], np.int32).astype(np.int64)))
     keys, rows = np.concatenate(keys), np.concatenate(rows)
-    order = np.argsort(keys, kind="stable")
+    order = np.lexsort((rows, keys))
     group = np.cumsum(changes(keys[order])) - 1
     order = order[np.bincount(group)[group] > 1]
-    return pa.table({"key": pa.array(keys[order].view(np.int64)), "row": pa.array(rows[order])})
+    return pa.table({"key": pa.array([pack(keys[order])], type=pa.binary()), "row": pa.array([pack(rows[order])], type=pa.binary())})
+
+
+def _stars(with_key):
+    """Task side: every row of a piece with the first row of it, distinct within a block or with the piece."""
+
+    def run(batches):
+        for b in batches:
+            for keys, rows in zip(b.column("key").to_pylist(), b.column("row").to_pylist()):
+                keys, rows = unpack(keys, np.int64), unpack(rows, np.int64)
+                new = changes(keys)
+                first = rows[np.maximum.accumulate(np.where(new, np.arange(len(keys)), 0))]
+                if with_key:
+                    yield pa.record_batch([pa.array(keys), pa.array(first), pa.array(rows)], names=["key", "a", "b"])
+                    continue
+                later = rows != first
+                pairs = np.unique(np.stack([first[later], rows[later]], axis=1), axis=0)
+                yield pa.record_batch([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["a", "b"])
+
+    return run
 
 
 def _set_blobs(shingle):
     """Task side: the set of each document as packed sorted hashes."""
 
     def run(batches):
-        for b in batches:
+        for b in loosen(batches):
             row = b.column("row")
             for part in slices(b.column("text"), lower=True):
                 hashes, first = sets_of(part, shingle)
@@ -243,11 +262,7 @@ def _cross_pairs(limit):
             taken[met] += 1
             a.append(np.full(len(met), row[i]))
             b.append(row[met])
-        a, b = np.concatenate(a), np.concatenate(b)
-        more = np.zeros(len(a), dtype=bool)
-        if (taken >= limit).any():
-            more[:] = True
-        return pa.table({"a": pa.array(a), "b": pa.array(b), "more": pa.array(more)})
+        return pa.table({"a": pa.array(np.concatenate(a)), "b": pa.array(np.concatenate(b))})
 
     return run
 
@@ -275,40 +290,66 @@ def jaccard_components(docs, shingle=SHINGLE, percent=PERCENT):
     )
     reps = members.where("n > 0").select("row", "name").join(classes.select("name", "rep"), "name").select("row", "rep")
     shared = marks.where("block is not null").select("block", "row", "owner", "key")
-    shared = shared.groupBy("block").applyInArrow(_shared_keys, "key long, row long")
-    groups = shared.join(reps, "row").select("key", F.col("rep").alias("row")).distinct()
-    sole = groups.groupBy("key").agg(F.min("row").alias("a"), F.max("row").alias("z")).where("a <> z")
-    groups = materialise(groups.join(sole.select("key", "a"), "key"), "groups")
+    shared = materialise(shared.groupBy("block").applyInArrow(_shared_keys, "key binary, row binary"), "shared")
+
+    def by_rep(pairs):
+        """Rows of pairs replaced by the first row with an equal set."""
+        for c in ("a", "b"):
+            pairs = pairs.join(reps.select(F.col("row").alias(c), F.col("rep").alias(f"{c}_rep")), c)
+        return pairs.drop("a", "b").withColumnsRenamed({"a_rep": "a", "b_rep": "b"})
+
+    stars = by_rep(shared.mapInArrow(_stars(False), "a long, b long").distinct()).where("a <> b")
+    stars = materialise(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "stars")
 
     # The sets of the rows that meet others, from their texts.
-    places = classes.select("place.*").join(groups.select("row").distinct(), "row", "left_semi")
-    held = places.join(keyed.select("_k", "_t", "text"), ["_k", "_t"]).select("row", "text")
-    sets = held.mapInArrow(_set_blobs(shingle), "row long, elements binary").dropDuplicates(["row"])
-    sets = materialise(sets, "sets")
+    met = stars.select("a").union(stars.select("b")).distinct().withColumnRenamed("a", "row")
+    places = classes.select("place.*").join(met, "row", "left_semi")
+    texts = squeeze(keyed.select("_k", "_t", "text"))
+    held = texts.join(places.hint("merge"), ["_k", "_t"]).select("row", "text")
+    sets = held.mapInArrow(_set_blobs(shingle), "row long, elements binary")
+    sets = materialise(sets.dropDuplicates(["row"]), "sets")
 
     def verified(pairs):
         x = sets.select(F.col("row").alias("a"), F.col("elements").alias("x"))
         y = sets.select(F.col("row").alias("b"), F.col("elements").alias("y"))
-        met = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")
-        return materialise(met.mapInArrow(_verify(percent), "a long, b long, linked boolean"), "checked")
-
-    # First everybody against the first of each piece, then what is still apart.
-    checked = verified(groups.where("row <> a").select("a", F.col("row").alias("b")).distinct())
+        both = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")
+        return materialise(both.mapInArrow(_verify(percent), "a long, b long, linked boolean"), "checked")
+
+    def labels():
+        return materialise(components(checked.where("linked").select("a", "b")), "components")
+
+    def label(rows, found, column):
+        """``rows`` with the component of ``column``: itself where it has no link."""
+        named = found.select(F.col("node").alias(column), F.col("component").alias("found"))
+        of = F.coalesce("found", column).alias(f"{column}_component")
+        return rows.join(named, column, "left").select(*rows.columns, of)
+
+    # First everybody against the first of each piece. A piece of which every row is
+    # then in the component of its first is settled; the others are opened.
+    checked = verified(stars)
+    found = labels()
+    apart = label(label(stars, found, "a"), found, "b").where("a_component <> b_component").select("a", "b")
+    members = members.select("row", "doc_id", "n", "name")
+    first_row, row = reps.select(F.col("row").alias("a"), F.col("rep").alias("a_rep")), reps.select(F.col("row").alias("b"), F.col("rep").alias("b_rep"))
+    flat = shared.mapInArrow(_stars(True), "key long, a long, b long").join(first_row, "a").join(row, "b")
+    flat = flat.select("key", F.col("a_rep").alias("first"), F.col("b_rep").alias("row"))
+    ends = apart.select(F.col("a").alias("x"), F.col("b").alias("y"))
+    touched = flat.select("key", F.least("first", "row").alias("x"), F.greatest("first", "row").alias("y"))
+    touched = touched.join(ends, ["x", "y"], "left_semi").select("key").distinct()
+    groups = flat.select("key", "row").join(touched, "key", "left_semi").distinct()
+    large = groups.groupBy("key").agg(F.count("*").alias("m")).where("m > 2").select("key")
+    groups = materialise(groups.join(large, "key", "left_semi"), "groups")
     limit = 16
     while True:
-        found = materialise(components(checked.where("linked").select("a", "b")), "components")
-        label = F.coalesce("component", "row").alias("component")
-        apart = groups.select("key", "row").join(found.withColumnRenamed("node", "row"), "row", "left").select("key", "row", label)
-        split = apart.groupBy("key").agg(F.min("component").alias("u"), F.max("component").alias("v"), F.count("*").alias("m"))
-        # A piece that two rows hold was settled by the first round.
-        split = split.where("u <> v and m > 2").select("key")
-        pairs = apart.join(split, "key").groupBy("key").applyInArrow(_cross_pairs(limit), "a long, b long, more boolean")
-        pairs = pairs.groupBy("a", "b").agg(F.max("more").alias("more")).join(checked.select("a", "b"), ["a", "b"], "left_anti")
-        pairs = materialise(pairs, "pairs")
-        state = pairs.agg(F.count("*"), F.max("more")).first()
-        if not state[0]:
+        split = label(groups, found, "row").withColumnRenamed("row_component", "component")
+        several = split.groupBy("key").agg(F.min("component").alias("u"), F.max("component").alias("v")).where("u <> v")
+        split = split.join(several.select("key"), "key", "left_semi")
+        pairs = split.groupBy("key").applyInArrow(_cross_pairs(limit), "a long, b long").distinct()
+        pairs = materialise(pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
+        if pairs.isEmpty():
             break
-        checked = materialise(checked.union(verified(pairs.select("a", "b"))), "checked")
+        checked = materialise(checked.union(verified(pairs)), "checked")
+        found = labels()
         limit *= 16
     found = found.select(F.col("node").alias("rep"), "component")
     labelled = classes.select("name", "rep", "class_id").join(found, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
