@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from obsflow.llm import sharding
 from obsflow.llm.blocks import shipped
 from obsflow.llm.bpe import bpe_decode, bpe_encode
+from obsflow.llm.fingerprints import fingerprints
+from obsflow.llm.line_dedup import dedup_lines
 from obsflow.llm.ngram_join import jaccard_components
+from obsflow.llm.packing import pack_sequences
 from obsflow.llm.substring_dedup import dedup_substrings
 from obsflow.llm.topk import top_k
 
@@ -41,6 +44,18 @@ def op2_bpe(spark, folder):
     )
 
 
+def op3_line_dedup(spark, folder):
+    """Lines that are similar to no earlier line, per document."""
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    docs = docs.withColumn("n_lines", F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("long"))
+    return dedup_lines(docs).select(
+        "doc_id",
+        "n_lines",
+        F.col("_n_removed").alias("n_removed"),
+        F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
 def op4_ngram_jaccard_join(spark, folder):
     """Components of documents that share nine tenths of their three-word shingles."""
     return jaccard_components(_table(spark, folder, "documents"), shingle=3, percent=90)
@@ -58,6 +73,17 @@ def op6_top_k(spark, folder):
     return top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5)
 
 
+def op7_packing(spark, folder):
+    """All documents in sequences of at most 2048 tokens."""
+    pieces = pack_sequences(_table(spark, folder, "documents"), VOCABULARY, window=2048, end=1)
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+def op8_fingerprints(spark, folder):
+    """Fingerprints of all documents and of their edited texts."""
+    return fingerprints(_table(spark, folder, "documents"))
+
+
 _OP6 = """
     WITH whole AS (
         SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
@@ -75,9 +101,12 @@ _OP6 = """
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_bpe": op2_bpe,
+    "op3_line_dedup": op3_line_dedup,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op5_sharding": op5_sharding,
     "op6_top_k": op6_top_k,
+    "op7_packing": op7_packing,
+    "op8_fingerprints": op8_fingerprints,
 }
 
 ORACLE = {
