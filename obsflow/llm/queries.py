@@ -10,10 +10,13 @@ from obsflow.llm.blocks import shipped
 from obsflow.llm.bpe import bpe_decode, bpe_encode
 from obsflow.llm.fingerprints import fingerprints
 from obsflow.llm.line_dedup import dedup_lines
+from obsflow.llm.labelled import held_out
 from obsflow.llm.ngram_join import jaccard_components
 from obsflow.llm.packing import pack_sequences
+from obsflow.llm.quality import fit_quality, score_quality
 from obsflow.llm.substring_dedup import dedup_substrings
 from obsflow.llm.topk import top_k
+from obsflow.llm.toxicity import fit_toxicity, score_toxicity
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -84,6 +87,31 @@ def op8_fingerprints(spark, folder):
     return fingerprints(_table(spark, folder, "documents"))
 
 
+def _scored(scored, modulus, remainder):
+    return scored.select(
+        "doc_id",
+        held_out(F.col("doc_id"), modulus, remainder).alias("held_out"),
+        F.col("_score").alias("score"),
+        F.col("_predicted").alias("predicted"),
+    )
+
+
+def op9_quality_classifier(spark, folder):
+    """Quality of every document, learnt from labels of those that are not held out."""
+    docs, labels = (_table(spark, folder, t) for t in ("documents", "labels"))
+    docs = docs.select("doc_id", "text")
+    model = fit_quality(docs, labels, out=lambda c: held_out(c, 5, 0))
+    return _scored(score_quality(docs, model, threshold=0.3), 5, 0)
+
+
+def op10_toxicity(spark, folder):
+    """Toxicity of every document, learnt from labels of those that are not held out."""
+    docs, labels = (_table(spark, folder, t) for t in ("documents", "labels"))
+    docs = docs.select("doc_id", "text")
+    model = fit_toxicity(docs, labels, out=lambda c: held_out(c, 3, 1))
+    return _scored(score_toxicity(docs, model, threshold=0.7), 3, 1)
+
+
 _OP6 = """
     WITH whole AS (
         SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
@@ -107,6 +135,8 @@ QUERIES = {
     "op6_top_k": op6_top_k,
     "op7_packing": op7_packing,
     "op8_fingerprints": op8_fingerprints,
+    "op9_quality_classifier": op9_quality_classifier,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE = {

@@ -21,6 +21,9 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: Everything but ASCII letters and the bytes of longer characters.
+NO_LETTER = np.ones(256, dtype=bool)
+NO_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
 _power = {"up": np.ones(1, dtype=np.uint64), "down": np.ones(1, dtype=np.uint64)}
@@ -122,8 +125,8 @@ def cuts(offsets, limit):
         lo = hi
 
 
-def slices(column, lower=False, limit=SLICE_BYTES):
-    """The column as slices with the bounds of their words; ``lower``: A-Z become a-z."""
+def slices(column, lower=False, limit=SLICE_BYTES, gaps=_SPACE):
+    """The column as slices with the bounds of their words; ``lower``: A-Z become a-z; ``gaps``: bytes between words."""
     if not len(column):
         return
     data, offsets = buffers(column)
@@ -132,7 +135,7 @@ def slices(column, lower=False, limit=SLICE_BYTES):
         own = _LOWER[own] if lower else own
         at = offsets[lo : hi + 1] - offsets[lo]
         word = np.zeros(len(own) + 2, dtype=bool)
-        np.logical_not(_SPACE[own], out=word[1:-1])
+        np.logical_not(gaps[own], out=word[1:-1])
         begins, ends = word[1:-1] & ~word[:-2], word[1:-1] & ~word[2:]
         inner = at[1:-1]
         inner = inner[(inner > 0) & (inner < len(own))]
