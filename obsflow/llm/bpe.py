@@ -27,8 +27,8 @@ from obsflow.llm.words import buffers, cuts
 
 #: Fixed value: the split pattern of the byte-level vocabularies.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-KEPT_PIECES = 600_000
-BATCH_BYTES = 2 << 20
+KEPT_PIECES = 200_000
+BATCH_BYTES = 1 << 20
 _NONE = np.iinfo(np.int64).max
 
 
@@ -79,7 +79,7 @@ class Vocabulary:
         for height in np.unique(level):
             # Few rows at a time of tall trees: memory stays at some megabytes.
             rows = np.flatnonzero((level == height) & (sizes > 0))
-            step = max(1, (1 << 20) >> int(height))
+            step = max(1, (1 << 18) >> int(height))
             for lo in range(0, len(rows), step):
                 own = rows[lo : lo + step]
                 for i, ids in zip(own, self._merge([pieces[i] for i in own], sizes[own], 1 << int(height))):
@@ -169,8 +169,8 @@ class Pieces:
     def _learn(self, known, fresh, lead):
         # A piece must not begin or end with white space: its neighbours could join it.
         fresh = [w for w in fresh if w and not w[0].isspace() and not w[-1].isspace()]
-        for lo in range(0, len(fresh), 50_000):
-            own = fresh[lo : lo + 50_000]
+        for lo in range(0, len(fresh), 20_000):
+            own = fresh[lo : lo + 20_000]
             known.update(zip(own, self._encode([lead + w for w in own])))
 
     def __call__(self, texts):
