@@ -31,7 +31,9 @@ BEGINNINGS = (4, 5, 6)
 SAMPLE = 5000
 #: Weight of the squared score difference between a document and its counterfactual.
 PENALTY = 1.0
-DECAY = 2e-3
+DECAY = 1e-3
+#: A bucket must occur in so many sampled documents to carry a weight.
+LEAST = 3
 #: Names of groups in the languages of the corpus; a parameter.
 IDENTITY = (
     "women men girls boys mothers fathers muslims christians jews hindus buddhists atheists immigrants refugees "
@@ -118,28 +120,45 @@ class Model:
     heat: float = 1.0
 
 
-def train(own, swapped, labels, share, penalty=PENALTY, decay=DECAY, epochs=40, seed=11):
-    """Fit weights on lists of feature buckets, of documents and of their counterfactuals."""
+def evidence(own, labels):
+    """How far each bucket tells the labels apart: absolute log ratio of its shares of documents, 0 where it is rare."""
+    counts = np.zeros((2, BUCKETS))
+    for buckets, label in zip(own, labels):
+        counts[int(label), np.unique(buckets)] += 1
+    sizes = np.array([(labels == 0).sum(), (labels == 1).sum()])[:, None]
+    ratio = np.abs(np.diff(np.log((counts + 1) / (sizes + 2)), axis=0)[0])
+    return np.where(counts.sum(axis=0) >= LEAST, ratio, 0.0)
+
+
+def train(own, swapped, labels, share, penalty=PENALTY, decay=DECAY, epochs=30, seed=11):
+    """Fit weights on lists of feature buckets, of documents and of their counterfactuals.
+
+    A weight is the evidence of its bucket times a fitted factor, so that thousands
+    of rare words of few documents don't outweigh the words that many share.
+    """
     random = np.random.default_rng(seed)
     order = random.permutation(len(labels))
     cut = max(len(order) * 4 // 5, 1)
     fitted, rest = order[:cut], order[cut:]
-    w, bias = np.zeros(BUCKETS), np.zeros(1)
-    adam = Adam([w, bias], 0.05)
+    scale = evidence([own[i] for i in fitted], labels[fitted])
+    v, bias = np.zeros(BUCKETS), np.zeros(1)
+    adam = Adam([v, bias], 0.01)
     for _ in range(epochs):
         random.shuffle(fitted)
-        for lo in range(0, len(fitted), 1000):
-            at = fitted[lo : lo + 1000]
+        for lo in range(0, len(fitted), 500):
+            at = fitted[lo : lo + 500]
             n = len(at)
             a, b = [own[i] for i in at], [swapped[i] for i in at]
-            a_owner, b_owner = (np.repeat(np.arange(n), [len(x) for x in v]) for v in (a, b))
+            a_owner, b_owner = (np.repeat(np.arange(n), [len(x) for x in v_]) for v_ in (a, b))
             a, b = np.concatenate(a), np.concatenate(b)
+            w = v * scale
             score = _sums(w, a, a_owner, n)
             error = (sigmoid(score + bias) - labels[at]) * share[at] / n
             drift = 2 * penalty * (score - _sums(w, b, b_owner, n)) / n
             gradient = np.bincount(a, weights=(error + drift)[a_owner], minlength=BUCKETS)
             gradient -= np.bincount(b, weights=drift[b_owner], minlength=BUCKETS)
-            adam.step([gradient + decay * w / n, np.array([error.sum()])])
+            adam.step([gradient * scale + decay * v, np.array([error.sum()])])
+    w = v * scale
     model = Model(w.astype(np.float32), float(bias[0]))
     if len(rest):
         scores = np.array([float(w[own[i]].sum()) for i in rest]) + model.bias
