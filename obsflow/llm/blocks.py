@@ -81,16 +81,31 @@ def batch(schema, rows):
 
 
 def with_keys(docs):
-    """``docs`` with ``_k``, the id or ``NO_ID``, and ``_t``, a hash of the text.
+    """``text`` of ``docs`` with ``_k``, the id or ``NO_ID``, ``_t``, a hash of the text, and the other columns in ``_row``.
 
-    The pair names a document: rows alike in both are one document repeated,
-    and rows that share only the id are ordered by the hash.
+    The pair of keys names a document: rows alike in both are one document
+    repeated, and rows that share only the id are ordered by the hash. In one
+    struct, the other columns clash with no name that an operator uses.
     """
-    return docs.withColumns(
-        {"_k": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "_t": F.xxhash64(F.coalesce("text", F.lit("")))}
+    return docs.select(
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_k"),
+        F.xxhash64(F.coalesce("text", F.lit(""))).alias("_t"),
+        "text",
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text")).alias("_row"),
     )
 
 
+def without_keys(df, docs, *added):
+    """The columns of ``docs`` from a frame with ``text`` and ``_row``, then ``added``."""
+    columns = [F.col("text") if c == "text" else F.col(f"_row.`{c}`").alias(c) for c in docs.columns]
+    return df.select(*columns, *added)
+
+
+def but(docs, *names):
+    """``docs`` without columns of these names."""
+    return docs.select(*(F.col(f"`{c}`") for c in docs.columns if c not in names))
+
+
 def squeeze(df):
     """``df`` with ``text`` compressed, for joins that move whole texts; ``loosen`` undoes it in a task."""
 

@@ -19,7 +19,21 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from obsflow.llm.blocks import batch, block_of, changes, deal, loosen, n_blocks, pack, shipped, squeeze, unpack, with_keys
+from obsflow.llm.blocks import (
+    batch,
+    block_of,
+    but,
+    changes,
+    deal,
+    loosen,
+    n_blocks,
+    pack,
+    shipped,
+    squeeze,
+    unpack,
+    with_keys,
+    without_keys,
+)
 from obsflow.llm.words import mix, slices
 from obsflow.session import materialise
 
@@ -312,24 +326,18 @@ def _finish(percent):
     return run
 
 
-def _drop(names):
+def _drop(batches):
     """Task side: texts without the lines that are gone."""
-
-    def run(batches):
-        for b in loosen(batches):
-            texts, removed = [], []
-            for text, own, gone in zip(b.column("text").to_pylist(), b.column("_t").to_pylist(), b.column("gone").to_pylist()):
-                out = {x["line"] for x in gone or () if x["t"] == own}
-                if out:
-                    text = "\n".join(x for i, x in enumerate(text.split("\n")) if i not in out)
-                texts.append(text)
-                removed.append(len(out))
-            arrays = {c: b.column(c) for c in names}
-            arrays["text"] = pa.array(texts, type=pa.string())
-            arrays["_n_removed"] = pa.array(removed, type=pa.int64())
-            yield pa.record_batch(list(arrays.values()), names=list(arrays))
-
-    return run
+    for b in loosen(batches):
+        texts, removed = [], []
+        for text, own, gone in zip(b.column("text").to_pylist(), b.column("_t").to_pylist(), b.column("gone").to_pylist()):
+            out = {x["line"] for x in gone or () if x["t"] == own}
+            if out:
+                text = "\n".join(x for i, x in enumerate(text.split("\n")) if i not in out)
+            texts.append(text)
+            removed.append(len(out))
+        arrays = [b.column("_row"), pa.array(texts, type=pa.string()), pa.array(removed, type=pa.int64())]
+        yield pa.record_batch(arrays, names=["_row", "text", "_n_removed"])
 
 
 _LINE = ["k", "t", "line"]
@@ -373,10 +381,10 @@ def dedup_lines(docs, percent=PERCENT):
     other by a hash of their texts. Other columns stay; one named
     ``_n_removed`` is replaced. Words are compared by 64-bit hashes.
     """
-    names = [c for c in docs.columns if c != "_n_removed"]
-    docs = docs.select(*(F.col(f"`{c}`") for c in names))
+    docs = but(docs, "_n_removed")
     gone = removed_lines(docs, percent)
     gone = gone.groupBy(F.col("k").alias("_k")).agg(F.collect_list(F.struct("t", "line")).alias("gone"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    joined = squeeze(with_keys(docs)).join(gone.hint("merge"), "_k", "left")
-    return joined.mapInArrow(_drop(names), f"{fields}, _n_removed long")
+    keyed = squeeze(with_keys(docs))
+    row = keyed.schema["_row"].dataType.simpleString()
+    cut = keyed.join(gone.hint("merge"), "_k", "left").mapInArrow(_drop, f"_row {row}, text string, _n_removed long")
+    return without_keys(cut, docs, "_n_removed")

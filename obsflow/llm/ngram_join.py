@@ -23,7 +23,20 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import functions as F
 
-from obsflow.llm.blocks import batch, block_of, changes, deal, loosen, n_blocks, pack, shipped, squeeze, unpack, with_keys
+from obsflow.llm.blocks import (
+    batch,
+    block_of,
+    changes,
+    deal,
+    loosen,
+    n_blocks,
+    pack,
+    shipped,
+    squeeze,
+    unpack,
+    with_keys,
+    without_keys,
+)
 from obsflow.llm.links import components
 from obsflow.llm.words import mix, slices
 from obsflow.session import materialise
@@ -267,22 +280,10 @@ def _cross_pairs(limit):
     return run
 
 
-def jaccard_components(docs, shingle=SHINGLE, percent=PERCENT):
-    """One row per document: ``doc_id``, ``n_shingles``, ``class_id``, ``component_id``.
-
-    Two documents link when 100 times the shingles they share are at least
-    ``percent`` times the shingles either has. ``component_id`` is the smallest
-    ``doc_id`` reachable by links, ``class_id`` the smallest with an equal set.
-    Words are compared with A-Z in lower case.
-
-    Documents without words, and null texts, have no shingles and link with
-    nothing. Rows that repeat an id or a text link like others. A null id is no
-    candidate for the smallest: it gets the component of its links, or null.
-    Columns other than ``doc_id`` and ``text`` are not read.
-    Shingles are compared by 64-bit hashes.
-    """
+def _labelled(docs, shingle, percent):
+    """Every document (``row``, keys, id, size of its set) with its class and its component, null for empty sets."""
     spark = shipped(docs.sparkSession)
-    keyed = with_keys(docs.select("doc_id", "text"))
+    keyed = with_keys(docs.select("doc_id", "text")).select("_k", "_t", "text", F.col("_row.doc_id").cast("long").alias("doc_id"))
     marks = materialise(keyed.mapInArrow(_mark(shingle, percent, n_blocks(spark)), _MARKS_DDL), "marks")
     members = marks.where("block is null").select("row", "doc_id", "_k", "_t", "n", "name")
     classes = members.where("n > 0").groupBy("name").agg(
@@ -329,7 +330,6 @@ def jaccard_components(docs, shingle=SHINGLE, percent=PERCENT):
     checked = verified(stars)
     found = labels()
     apart = label(label(stars, found, "a"), found, "b").where("a_component <> b_component").select("a", "b")
-    members = members.select("row", "doc_id", "n", "name")
     first_row, row = reps.select(F.col("row").alias("a"), F.col("rep").alias("a_rep")), reps.select(F.col("row").alias("b"), F.col("rep").alias("b_rep"))
     flat = shared.mapInArrow(_stars(True), "key long, a long, b long").join(first_row, "a").join(row, "b")
     flat = flat.select("key", F.col("a_rep").alias("first"), F.col("b_rep").alias("row"))
@@ -354,10 +354,43 @@ def jaccard_components(docs, shingle=SHINGLE, percent=PERCENT):
     found = found.select(F.col("node").alias("rep"), "component")
     labelled = classes.select("name", "rep", "class_id").join(found, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     smallest = labelled.groupBy("component").agg(F.min("class_id").alias("component_id"))
-    labelled = labelled.join(smallest, "component").select("name", "class_id", "component_id")
-    return members.join(labelled, "name", "left").select(
+    labelled = labelled.join(smallest, "component").select("name", "class_id", "component", "component_id")
+    return members.join(labelled, "name", "left")
+
+
+def jaccard_components(docs, shingle=SHINGLE, percent=PERCENT):
+    """One row per document: ``doc_id``, ``n_shingles``, ``class_id``, ``component_id``.
+
+    Two documents link when 100 times the shingles they share are at least
+    ``percent`` times the shingles either has. ``component_id`` is the smallest
+    ``doc_id`` reachable by links, ``class_id`` the smallest with an equal set.
+    Words are compared with A-Z in lower case.
+
+    Documents without words, and null texts, have no shingles and link with
+    nothing. Rows that repeat an id or a text link like others. A null id is no
+    candidate for the smallest: it gets the component of its links, or null.
+    Columns other than ``doc_id`` and ``text`` are not read.
+    Shingles are compared by 64-bit hashes.
+    """
+    return _labelled(docs, shingle, percent).select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.coalesce("class_id", "doc_id").alias("class_id"),
         F.coalesce("component_id", "doc_id").alias("component_id"),
     )
+
+
+def one_of_each(docs, shingle=SHINGLE, percent=PERCENT):
+    """``docs`` with one document of each component: that of the smallest id, nulls last.
+
+    Documents without words stay. Rows alike in id and text are one document,
+    which comes once. Columns stay.
+    """
+    known = _labelled(docs, shingle, percent)
+    place = F.struct(F.col("doc_id").isNull(), "doc_id", "_t", "_k")
+    kept = known.where("component is not null").groupBy("component").agg(F.min(place).alias("place"))
+    kept = kept.select("place._k", "place._t").union(known.where("component is null").select("_k", "_t")).distinct()
+    keyed = squeeze(with_keys(docs))
+    row = keyed.schema["_row"].dataType.simpleString()
+    chosen = keyed.join(kept.hint("merge"), ["_k", "_t"], "left_semi").dropDuplicates(["_k", "_t"])
+    return without_keys(chosen.select("_row", "text").mapInArrow(loosen, f"_row {row}, text string"), docs)

@@ -112,6 +112,13 @@ def op10_toxicity(spark, folder):
     return _scored(score_toxicity(docs, model, threshold=0.7), 3, 1)
 
 
+def pipeline(spark, folder):
+    """All stages of the corpus pipeline."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(shipped(spark), folder)
+
+
 _OP6 = """
     WITH whole AS (
         SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
@@ -137,6 +144,7 @@ QUERIES = {
     "op8_fingerprints": op8_fingerprints,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_toxicity": op10_toxicity,
+    "pipeline": pipeline,
 }
 
 ORACLE = {

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from obsflow.llm.blocks import (
     batch,
     block_of,
+    but,
     changes,
     deal,
     n_blocks,
@@ -35,6 +36,7 @@ from obsflow.llm.blocks import (
     shipped,
     unpack,
     with_keys,
+    without_keys,
 )
 from obsflow.llm.words import mix, slices
 
@@ -261,56 +263,52 @@ def _factor(window):
     return run
 
 
-def _cut(names):
+def _cut(batches):
     """Task side: cut the spans out of each text."""
-
-    def run(batches):
-        for b in batches:
-            ends = b.column("spans").to_pylist()
-            hashes = b.column("_t").to_pylist()
-            texts, n_words, n_removed, kept_hash, spans = [], [], [], [], []
-            column = b.column("text")
-            for part in slices(column):
-                for d in range(part.n_docs):
-                    row, lo, hi = part.lo + d, part.first[d], part.first[d + 1]
-                    body = part.data[part.offsets[d] : part.offsets[d + 1]].tobytes()
-                    own = [np.frombuffer(x["words"], np.int32) for x in ends[row] or () if x["_t"] == hashes[row]]
-                    n_words.append(int(hi - lo))
-                    if not own:
-                        texts.append(body)
-                        n_removed.append(0)
-                        spans.append([])
-                        kept_hash.append(hashlib.sha256(b" ".join(body.split())).hexdigest())
-                        continue
-                    pairs = np.concatenate(own).reshape(-1, 2).astype(np.int64)
-                    depth = np.bincount(pairs[:, 0], minlength=hi - lo + 1) - np.bincount(pairs[:, 1], minlength=hi - lo + 1)
-                    gone = np.cumsum(depth[:-1]) > 0
-                    edge = np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]]).astype(np.int8))).reshape(-1, 2)
-                    start = np.append(part.start[lo:hi] - part.offsets[d], len(body))
-                    kept, done = [], 0
-                    for i, j in edge:
-                        kept.append(body[done : start[i]])
-                        done = start[j]
-                    kept.append(body[done:])
-                    kept = b"".join(kept)
-                    texts.append(kept)
-                    n_removed.append(int(gone.sum()))
-                    spans.append([{"start": int(i), "end": int(j)} for i, j in edge])
-                    kept_hash.append(hashlib.sha256(b" ".join(kept.split())).hexdigest())
-            arrays = {c: b.column(c) for c in names}
-            text = pa.array([x.decode() for x in texts], type=pa.string())
-            if column.null_count:
-                text = pa.compute.if_else(pa.compute.is_null(column), pa.scalar(None, pa.string()), text)
-            arrays["text"] = text
-            arrays |= {
-                "_n_words": pa.array(n_words, type=pa.int64()),
-                "_n_removed": pa.array(n_removed, type=pa.int64()),
-                "_kept_sha256": pa.array(kept_hash, type=pa.string()),
-                "_spans": pa.array(spans, type=pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-            }
-            yield pa.record_batch(list(arrays.values()), names=list(arrays))
-
-    return run
+    for b in batches:
+        ends = b.column("spans").to_pylist()
+        hashes = b.column("_t").to_pylist()
+        texts, n_words, n_removed, kept_hash, spans = [], [], [], [], []
+        column = b.column("text")
+        for part in slices(column):
+            for d in range(part.n_docs):
+                row, lo, hi = part.lo + d, part.first[d], part.first[d + 1]
+                body = part.data[part.offsets[d] : part.offsets[d + 1]].tobytes()
+                own = [np.frombuffer(x["words"], np.int32) for x in ends[row] or () if x["_t"] == hashes[row]]
+                n_words.append(int(hi - lo))
+                if not own:
+                    texts.append(body)
+                    n_removed.append(0)
+                    spans.append([])
+                    kept_hash.append(hashlib.sha256(b" ".join(body.split())).hexdigest())
+                    continue
+                pairs = np.concatenate(own).reshape(-1, 2).astype(np.int64)
+                depth = np.bincount(pairs[:, 0], minlength=hi - lo + 1) - np.bincount(pairs[:, 1], minlength=hi - lo + 1)
+                gone = np.cumsum(depth[:-1]) > 0
+                edge = np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]]).astype(np.int8))).reshape(-1, 2)
+                start = np.append(part.start[lo:hi] - part.offsets[d], len(body))
+                kept, done = [], 0
+                for i, j in edge:
+                    kept.append(body[done : start[i]])
+                    done = start[j]
+                kept.append(body[done:])
+                kept = b"".join(kept)
+                texts.append(kept)
+                n_removed.append(int(gone.sum()))
+                spans.append([{"start": int(i), "end": int(j)} for i, j in edge])
+                kept_hash.append(hashlib.sha256(b" ".join(kept.split())).hexdigest())
+        arrays = {"_row": b.column("_row")}
+        text = pa.array([x.decode() for x in texts], type=pa.string())
+        if column.null_count:
+            text = pa.compute.if_else(pa.compute.is_null(column), pa.scalar(None, pa.string()), text)
+        arrays["text"] = text
+        arrays |= {
+            "_n_words": pa.array(n_words, type=pa.int64()),
+            "_n_removed": pa.array(n_removed, type=pa.int64()),
+            "_kept_sha256": pa.array(kept_hash, type=pa.string()),
+            "_spans": pa.array(spans, type=pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
+        }
+        yield pa.record_batch(list(arrays.values()), names=list(arrays))
 
 
 def dedup_substrings(docs, window=WINDOW, anchor=ANCHOR):
@@ -331,7 +329,8 @@ def dedup_substrings(docs, window=WINDOW, anchor=ANCHOR):
     """
     spark = shipped(docs.sparkSession)
     blocks = n_blocks(spark)
-    names = docs.columns
+    added = {"_n_words": "long", "_n_removed": "long", "_kept_sha256": "string", "_spans": "array<struct<start: long, end: long>>"}
+    docs = but(docs, *added)
     # All columns travel, so that both joins below read one and the same exchange.
     keyed = with_keys(docs)
     repeated = (
@@ -350,6 +349,7 @@ def dedup_substrings(docs, window=WINDOW, anchor=ANCHOR):
         .groupBy("_k")
         .agg(F.collect_list(F.struct("_t", "words")).alias("spans"))
     )
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    added = "_n_words long, _n_removed long, _kept_sha256 string, _spans array<struct<start: long, end: long>>"
-    return keyed.join(spans.hint("merge"), "_k", "left").mapInArrow(_cut(names), f"{fields}, {added}")
+    kinds = {"_row": keyed.schema["_row"].dataType.simpleString(), "text": "string", **added}
+    fields = ", ".join(f"{c} {kind}" for c, kind in kinds.items())
+    cut = keyed.join(spans.hint("merge"), "_k", "left").mapInArrow(_cut, fields)
+    return without_keys(cut, docs, *added)

@@ -31,7 +31,7 @@ BEGINNINGS = (4, 5, 6)
 SAMPLE = 5000
 #: Weight of the squared score difference between a document and its counterfactual.
 PENALTY = 1.0
-DECAY = 1e-3
+DECAY = 0.05
 #: A bucket must occur in so many sampled documents to carry a weight.
 LEAST = 3
 #: Names of groups in the languages of the corpus; a parameter.
@@ -121,16 +121,16 @@ class Model:
 
 
 def evidence(own, labels):
-    """How far each bucket tells the labels apart: absolute log ratio of its shares of documents, 0 where it is rare."""
+    """How far each bucket tells the labels apart: squared log ratio of its shares of documents, 0 where it is rare."""
     counts = np.zeros((2, BUCKETS))
     for buckets, label in zip(own, labels):
         counts[int(label), np.unique(buckets)] += 1
     sizes = np.array([(labels == 0).sum(), (labels == 1).sum()])[:, None]
     ratio = np.abs(np.diff(np.log((counts + 1) / (sizes + 2)), axis=0)[0])
-    return np.where(counts.sum(axis=0) >= LEAST, ratio, 0.0)
+    return np.where(counts.sum(axis=0) >= LEAST, ratio**2, 0.0)
 
 
-def train(own, swapped, labels, share, penalty=PENALTY, decay=DECAY, epochs=30, seed=11):
+def train(own, swapped, labels, share, penalty=PENALTY, decay=DECAY, epochs=40, seed=11):
     """Fit weights on lists of feature buckets, of documents and of their counterfactuals.
 
     A weight is the evidence of its bucket times a fitted factor, so that thousands
