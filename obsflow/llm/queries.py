@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from obsflow.llm import sharding
+from obsflow.llm import sharding, sql
 from obsflow.llm.blocks import shipped
 from obsflow.llm.bpe import bpe_decode, bpe_encode
 from obsflow.llm.fingerprints import fingerprints
@@ -119,20 +119,6 @@ def pipeline(spark, folder):
     return corpus_pipeline.run(shipped(spark), folder)
 
 
-_OP6 = """
-    WITH whole AS (
-        SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
-        WHERE vec_id IS NOT NULL AND len(embedding) > 0
-          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
-    ), scored AS (
-        SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
-        FROM whole q JOIN whole c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
-    ), ranked AS (
-        SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scored
-    )
-    SELECT query_id, place::INTEGER AS rank, vec_id, score FROM ranked WHERE place <= 5
-"""
-
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_bpe": op2_bpe,
@@ -148,6 +134,9 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op1_substring_dedup": sql.OP1,
+    "op3_line_dedup": sql.OP3,
+    "op4_ngram_jaccard_join": sql.OP4,
     "op5_sharding": sharding.place_sql("documents", "doc_id", sharding.SHARDS, sharding.SLOTS),
-    "op6_top_k": _OP6,
+    "op6_top_k": sql.OP6,
 }
