@@ -27,7 +27,7 @@ from obsflow.llm.words import buffers, cuts
 
 #: Fixed value: the split pattern of the byte-level vocabularies.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-KEPT_PIECES = 200_000
+KEPT_PIECES = 150_000
 BATCH_BYTES = 1 << 20
 _NONE = np.iinfo(np.int64).max
 
@@ -158,30 +158,34 @@ class Pieces:
     """Encodes texts piece by piece, and every distinct piece once while it is remembered.
 
     A piece is a word with the single space before it, or a word that begins a
-    line. ``encode`` maps a list of texts to their packed ids.
+    line. ``encode`` maps a list of texts to their packed ids. What was not met
+    since the memory last filled is forgotten when it fills again.
     """
 
     def __init__(self, encode):
         self._encode = encode
-        self._spaced, self._bare = {}, {}
+        self._known = {"": {}, " ": {}}
+        self._before = {"": {}, " ": {}}
         self._feed = encode(["\n"])[0]
 
-    def _learn(self, known, fresh, lead):
+    def _learn(self, lead, words):
+        known, before = self._known[lead], self._before[lead]
+        fresh = words.difference(known)
+        known.update((w, before[w]) for w in fresh if w in before)
         # A piece must not begin or end with white space: its neighbours could join it.
-        fresh = [w for w in fresh if w and not w[0].isspace() and not w[-1].isspace()]
+        fresh = [w for w in fresh if w and w not in known and not w[0].isspace() and not w[-1].isspace()]
         for lo in range(0, len(fresh), 20_000):
             own = fresh[lo : lo + 20_000]
             known.update(zip(own, self._encode([lead + w for w in own])))
 
     def __call__(self, texts):
         """Packed ids of each text."""
-        if len(self._spaced) + len(self._bare) > KEPT_PIECES:
-            self._spaced.clear()
-            self._bare.clear()
+        if sum(map(len, self._known.values())) > KEPT_PIECES:
+            self._before, self._known = self._known, {"": {}, " ": {}}
         lines = [[line.split(" ") for line in text.split("\n")] for text in texts]
-        self._learn(self._bare, {x[0] for own in lines for x in own}.difference(self._bare), "")
-        self._learn(self._spaced, set(chain.from_iterable(x[1:] for own in lines for x in own)).difference(self._spaced), " ")
-        bare, spaced = self._bare.__getitem__, self._spaced.__getitem__
+        self._learn("", {x[0] for own in lines for x in own})
+        self._learn(" ", set(chain.from_iterable(x[1:] for own in lines for x in own)))
+        bare, spaced = self._known[""].__getitem__, self._known[" "].__getitem__
         out = []
         for text, own in zip(texts, lines):
             try:
