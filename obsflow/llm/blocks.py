@@ -24,7 +24,12 @@ ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)
 
 
 def shipped(spark):
-    """Let Python workers on this machine import the package; a cluster installs it or uses --py-files."""
+    """Let Python workers on this machine import the package; a cluster installs it or uses --py-files.
+
+    Also lets Spark remove the shuffle files of a query when the query ends: the
+    operators go on from written tables, and those files would only fill disks.
+    """
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
     if ROOT not in paths:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, paths)])

@@ -311,8 +311,10 @@ def _labelled(docs, shingle, percent):
     sets = materialise(sets.dropDuplicates(["row"]), "sets")
 
     def verified(pairs):
-        x = sets.select(F.col("row").alias("a"), F.col("elements").alias("x"))
-        y = sets.select(F.col("row").alias("b"), F.col("elements").alias("y"))
+        # Dealt by row once: both joins read the same exchange.
+        dealt = sets.repartition("row")
+        x = dealt.select(F.col("row").alias("a"), F.col("elements").alias("x"))
+        y = dealt.select(F.col("row").alias("b"), F.col("elements").alias("y"))
         both = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")
         return materialise(both.mapInArrow(_verify(percent), "a long, b long, linked boolean"), "checked")
 
