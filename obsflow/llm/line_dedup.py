@@ -41,7 +41,7 @@ PERCENT = 80
 #: Counters of the rarity table (1 MB in all), whatever the number of words.
 COUNTERS = 1 << 18
 #: Earlier partners of a line that one group names; groups with more are finished exactly in a second step.
-NAMED = 8
+NAMED = 2
 
 
 def line_bounds(part):
@@ -67,6 +67,17 @@ def _line_sets(part):
     return words[new], line[new], doc, number
 
 
+def _names(words, line, n):
+    """128 bits that name the set of words of each of ``n`` lines, whatever their order."""
+    ends = np.cumsum(np.bincount(line, minlength=n))
+    begins = np.concatenate([[0], ends[:-1]]) if n else ends
+    out = np.zeros((n, 2), dtype=np.uint64)
+    for i in (0, 1):
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(words, 71 + i))])
+        out[:, i] = mix(total[ends] - total[begins], 75)
+    return out
+
+
 def _slot(words):
     return (words >> np.uint64(46)).astype(np.int64)
 
@@ -103,14 +114,16 @@ def bitmaps(words, line, n):
 _NAMES, _GONE, _WORDS = 0, 1, 2
 _ROWS = pa.schema(
     [("block", pa.int32()), ("kind", pa.int32())]
-    + [(c, pa.binary()) for c in ("k", "t", "doc", "line", "key", "name", "bits", "size", "place")]
-)
-_ROWS_DDL = "block int, kind int, " + ", ".join(f"{c} binary" for c in ("k", "t", "doc", "line", "key", "name", "bits", "size", "place"))
-_FOUND_DDL = "kind int, key long, k long, t long, line int, k0 long, t0 long, line0 int"
-_FOUND = pa.schema(
-    [("kind", pa.int32()), ("key", pa.int64()), ("k", pa.int64()), ("t", pa.int64()), ("line", pa.int32())]
-    + [("k0", pa.int64()), ("t0", pa.int64()), ("line0", pa.int32())]
+    + [(c, pa.binary()) for c in ("k", "doc", "line", "key", "name", "bits", "size", "place")]
 )
+_ROWS_DDL = "block int, kind int, " + ", ".join(f"{c} binary" for c in ("k", "doc", "line", "key", "name", "bits", "size", "place"))
+#: The place of a line: id of its document, number, and name, which tells apart rows that share an id.
+_LINE = ["k", "line", "name"]
+_FIRST = ["k0", "line0", "name0"]
+_PLACE = [("k", pa.int64()), ("line", pa.int32()), ("name", pa.int64())]
+_PLACE_DDL = "k long, line int, name long"
+_FOUND_DDL = f"kind int, key long, {_PLACE_DDL}, k0 long, line0 int, name0 long"
+_FOUND = pa.schema([("kind", pa.int32()), ("key", pa.int64()), *_PLACE, *((f"{c}0", kind) for c, kind in _PLACE)])
 _PAIR, _OPEN, _MEMBER = 2, 3, 4
 
 
@@ -119,20 +132,16 @@ def _post(counts, percent, blocks):
 
     def run(batches):
         for b in batches:
-            ids, hashes = (b.column(c).to_numpy(zero_copy_only=False) for c in ("_k", "_t"))
+            ids = b.column("_k").to_numpy(zero_copy_only=False)
             for part in slices(b.column("text")):
                 words, line, doc, number = _line_sets(part)
                 sizes = np.bincount(line, minlength=len(doc))
-                names = np.zeros((len(doc), 2), dtype=np.uint64)
-                for i in (0, 1):
-                    total = np.concatenate([[np.uint64(0)], np.cumsum(mix(words, 71 + i))])
-                    end = np.cumsum(sizes)
-                    names[:, i] = mix(total[end] - total[end - sizes], 75)
-                k, t = ids[part.lo + doc], hashes[part.lo + doc]
+                names = _names(words, line, len(doc))
+                k = ids[part.lo + doc]
                 some = np.flatnonzero(sizes)
-                order = some[np.lexsort((number[some], t[some], k[some], names[some, 1], names[some, 0]))]
+                order = some[np.lexsort((number[some], k[some], names[some, 1], names[some, 0]))]
                 new = changes(names[order, 0], names[order, 1])
-                place = changes(k[order], t[order], number[order])
+                place = changes(k[order], number[order])
                 first, again = order[new], order[~new & place]
 
                 def rows_of(kind, where, lines, **more):
@@ -145,15 +154,15 @@ def _post(counts, percent, blocks):
                         yield (
                             block,
                             kind,
-                            pack(ids[part.lo + held]),
-                            pack(hashes[part.lo + held]),
+                            pack(np.diff(ids[part.lo + held], prepend=0)),
                             pack(np.diff(back, prepend=0).astype(np.int32)),
                             pack(number[own].astype(np.int32)),
                             *row.values(),
                         )
 
                 rows = [*rows_of(_NAMES, block_of(names[first, 0], blocks), first, name=names[first])]
-                rows += rows_of(_GONE, block_of(mix(t[again].astype(np.uint64)), blocks), again)
+                spread = mix(mix(k[again].astype(np.uint64)) ^ number[again].astype(np.uint64))
+                rows += rows_of(_GONE, block_of(spread, blocks), again, name=names[again, 1])
                 # The rarest words of lines that can have a partner of another name.
                 sizes_first = np.zeros(len(doc), dtype=np.int64)
                 sizes_first[first] = sizes[first]
@@ -195,40 +204,42 @@ def _meet(percent):
     def run(key, table):
         out = {f.name: [] for f in _FOUND}
 
-        def give(kind, keys, k, t, line, k0=None, t0=None, line0=None):
-            zero = np.zeros(len(k), np.int64)
-            for c, v in zip(out, (np.full(len(k), kind), keys, k, t, line, k0, t0, line0)):
-                out[c].append(zero if v is None else v)
+        def give(kind, keys, late, early=None):
+            zero = np.zeros(len(late["k"]), np.int64)
+            place = [late[c].astype(np.int64, copy=False).view(np.int64) for c in _LINE]
+            other = [early[c].astype(np.int64, copy=False).view(np.int64) for c in _LINE] if early else [zero] * 3
+            for c, v in zip(out, (zero + kind, zero if keys is None else keys, *place, *other)):
+                out[c].append(v)
+
+        def at(own, rows):
+            return {c: own[c][rows] for c in _LINE}
 
         columns = {}
         for row in table.to_pylist():
             doc = np.cumsum(unpack(row["doc"], np.int32).astype(np.int64))
-            own = {"k": unpack(row["k"], np.int64)[doc], "t": unpack(row["t"], np.int64)[doc], "line": unpack(row["line"], np.int32).astype(np.int64)}
-            for c, kind in (("key", np.uint64), ("name", np.uint64), ("bits", np.uint64), ("size", np.int32), ("place", np.int32)):
+            own = {"k": np.cumsum(unpack(row["k"], np.int64))[doc], "line": unpack(row["line"], np.int32).astype(np.int64)}
+            for c, kind in (("key", np.uint64), ("name", np.int64), ("bits", np.uint64), ("size", np.int32), ("place", np.int32)):
                 if row[c] is not None:
                     own[c] = unpack(row[c], kind)
             for c, v in own.items():
                 columns.setdefault(row["kind"], {}).setdefault(c, []).append(v)
         columns = {kind: {c: np.concatenate(v) for c, v in own.items()} for kind, own in columns.items()}
         if _GONE in columns:
-            own = columns[_GONE]
-            give(_GONE, None, own["k"], own["t"], own["line"])
+            give(_GONE, None, columns[_GONE])
         if _NAMES in columns:
             own = columns[_NAMES]
-            name = own["name"].reshape(-1, 2)
-            order = np.lexsort((own["line"], own["t"], own["k"], name[:, 1], name[:, 0]))
-            later = order[~changes(name[order, 0], name[order, 1])]
-            first = order[np.maximum.accumulate(np.where(changes(name[order, 0], name[order, 1]), np.arange(len(order)), 0))]
-            first = first[~changes(name[order, 0], name[order, 1])]
-            other = (own["k"][later] != own["k"][first]) | (own["t"][later] != own["t"][first]) | (own["line"][later] != own["line"][first])
-            later = later[other]
-            give(_GONE, None, own["k"][later], own["t"][later], own["line"][later])
+            whole, own["name"] = own["name"].reshape(-1, 2), own["name"].reshape(-1, 2)[:, 1]
+            order = np.lexsort((own["line"], own["k"], whole[:, 1], whole[:, 0]))
+            new = changes(whole[order, 0], whole[order, 1])
+            first = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
+            later = order[(own["k"][order] != own["k"][first]) | (own["line"][order] != own["line"][first])]
+            give(_GONE, None, at(own, later))
         if _WORDS in columns:
             own = columns[_WORDS]
             # One posting for each name and word: that of the first line of the name.
-            order = np.lexsort((own["line"], own["t"], own["k"], own["name"], own["key"]))
+            order = np.lexsort((own["line"], own["k"], own["name"], own["key"]))
             order = order[changes(own["key"][order], own["name"][order])]
-            order = order[np.lexsort((own["line"][order], own["t"][order], own["k"][order], own["key"][order]))]
+            order = order[np.lexsort((own["name"][order], own["line"][order], own["k"][order], own["key"][order]))]
             own = {c: v[order] for c, v in own.items()}
             group = np.cumsum(changes(own["key"])) - 1
             start = np.flatnonzero(changes(own["key"]))
@@ -251,15 +262,15 @@ def _meet(percent):
                 good = (100 * np.minimum(x, y) >= percent * np.maximum(x, y)) & (room >= need) & (apart <= x + y - 2 * need)
                 late, early = active[good], early[good]
                 named[late] += 1
-                give(_PAIR, None, own["k"][late], own["t"][late], own["line"][late], own["k"][early], own["t"][early], own["line"][early])
+                give(_PAIR, None, at(own, late), at(own, early))
                 step += 1
             # A line named NAMED times may have more partners: its group is kept whole for the second step.
             full = (named >= NAMED) & (rank > NAMED)
             if full.any():
                 word = own["key"].view(np.int64)
-                give(_OPEN, word[full], own["k"][full], own["t"][full], own["line"][full])
+                give(_OPEN, word[full], at(own, full))
                 kept = np.isin(group, np.unique(group[full]))
-                give(_MEMBER, word[kept], own["k"][kept], own["t"][kept], own["line"][kept])
+                give(_MEMBER, word[kept], at(own, kept))
         arrays = [pa.array(np.concatenate(v) if v else [], type=_FOUND.field(c).type) for c, v in out.items()]
         return pa.table(arrays, schema=_FOUND)
 
@@ -269,22 +280,20 @@ def _meet(percent):
 def _elements(batches):
     """Task side: the word sets of the lines asked for."""
     for b in loosen(batches):
-        asked, hashes = b.column("asked").to_pylist(), b.column("_t").to_pylist()
-        ids = b.column("_k").to_pylist()
+        asked, ids = b.column("asked").to_pylist(), b.column("_k").to_pylist()
         for part in slices(b.column("text")):
             words, line, doc, number = _line_sets(part)
+            names = _names(words, line, len(doc))[:, 1].view(np.int64)
             first = np.searchsorted(doc, np.arange(part.n_docs + 1))
             begin = np.searchsorted(line, np.arange(len(doc) + 1))
-            out = {"k": [], "t": [], "line": [], "elements": []}
+            out = {"k": [], "line": [], "name": [], "elements": []}
             for d in range(part.n_docs):
-                row = part.lo + d
-                for x in {x["line"] for x in asked[row] if x["t"] == hashes[row]}:
-                    at = first[d] + x
-                    out["k"].append(ids[row])
-                    out["t"].append(hashes[row])
-                    out["line"].append(x)
-                    out["elements"].append(pack(words[begin[at] : begin[at + 1]]))
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary())
+                for x in asked[part.lo + d]:
+                    at = first[d] + x["line"]
+                    if at < first[d + 1] and names[at] == x["name"]:
+                        for c, v in zip(out, (ids[part.lo + d], x["line"], x["name"], pack(words[begin[at] : begin[at + 1]]))):
+                            out[c].append(v)
+            kinds = (*(kind for _, kind in _PLACE), pa.binary())
             yield pa.record_batch([pa.array(v, type=kind) for v, kind in zip(out.values(), kinds)], names=list(out))
 
 
@@ -302,7 +311,7 @@ def _verify(percent):
         for b in batches:
             pairs = zip(b.column("x").to_pylist(), b.column("y").to_pylist())
             good = [_similar(unpack(x, np.uint64), unpack(y, np.uint64), percent) for x, y in pairs]
-            yield pa.record_batch([b.column(c) for c in ("k", "t", "line")], names=["k", "t", "line"]).filter(pa.array(good, type=pa.bool_()))
+            yield pa.record_batch([b.column(c) for c in _LINE], names=_LINE).filter(pa.array(good, type=pa.bool_()))
 
     return run
 
@@ -311,7 +320,8 @@ def _finish(percent):
     """Group side: unsettled lines of a large group against all earlier ones, until one is similar."""
 
     def run(key, table):
-        rows = sorted(table.to_pylist(), key=lambda r: (r["k"], r["t"], r["line"]))
+        rows = {tuple(r[c] for c in _LINE): r for r in table.to_pylist()}
+        rows = [rows[place] for place in sorted(rows)]
         sets = [unpack(r["elements"], np.uint64) for r in rows]
         sizes = np.array([len(s) for s in sets])
         gone = []
@@ -320,8 +330,7 @@ def _finish(percent):
                 near = np.flatnonzero(100 * np.minimum(sizes[:i], sizes[i]) >= percent * np.maximum(sizes[:i], sizes[i]))
                 if any(_similar(sets[i], sets[j], percent) for j in near):
                     gone.append(r)
-        kinds = {"k": pa.int64(), "t": pa.int64(), "line": pa.int32()}
-        return pa.table({c: pa.array([r[c] for r in gone], type=kind) for c, kind in kinds.items()})
+        return pa.table({c: pa.array([r[c] for r in gone], type=kind) for c, kind in _PLACE})
 
     return run
 
@@ -329,41 +338,48 @@ def _finish(percent):
 def _drop(batches):
     """Task side: texts without the lines that are gone."""
     for b in loosen(batches):
-        texts, removed = [], []
-        for text, own, gone in zip(b.column("text").to_pylist(), b.column("_t").to_pylist(), b.column("gone").to_pylist()):
-            out = {x["line"] for x in gone or () if x["t"] == own}
-            if out:
-                text = "\n".join(x for i, x in enumerate(text.split("\n")) if i not in out)
-            texts.append(text)
-            removed.append(len(out))
+        texts, removed = b.column("text").to_pylist(), [0] * b.num_rows
+        gone = b.column("gone").to_pylist()
+        touched = [i for i, x in enumerate(gone) if x]
+        for part in slices(b.column("text").take(pa.array(touched, type=pa.int64()))):
+            words, line, doc, _ = _line_sets(part)
+            names = _names(words, line, len(doc))[:, 1].view(np.int64)
+            first = np.searchsorted(doc, np.arange(part.n_docs + 1))
+            for d in range(part.n_docs):
+                i = touched[part.lo + d]
+                # Rows that share an id have lines of other names at the same numbers.
+                own = names[first[d] : first[d + 1]]
+                out = {x["line"] for x in gone[i] if x["line"] < len(own) and own[x["line"]] == x["name"]}
+                texts[i] = "\n".join(x for j, x in enumerate(texts[i].split("\n")) if j not in out)
+                removed[i] = len(out)
         arrays = [b.column("_row"), pa.array(texts, type=pa.string()), pa.array(removed, type=pa.int64())]
         yield pa.record_batch(arrays, names=["_row", "text", "_n_removed"])
 
 
-_LINE = ["k", "t", "line"]
-
-
 def removed_lines(docs, percent=PERCENT):
-    """``k``, ``t``, ``line``: the lines (from 0) that repeat an earlier one, by the keys of ``with_keys``."""
+    """``k``, ``line`` (from 0), ``name``: the lines that repeat an earlier one, by the keys of ``with_keys``."""
     spark = shipped(docs.sparkSession)
-    keyed = with_keys(docs.select("doc_id", "text")).select("_k", "_t", "text")
+    keyed = with_keys(docs.select("doc_id", "text")).select("_k", "text")
     posted = keyed.mapInArrow(_post(rarity(docs), percent, n_blocks(spark)), _ROWS_DDL)
     found = materialise(posted.groupBy("block").applyInArrow(_meet(percent), _FOUND_DDL), "lines")
-    pairs = found.where(f"kind = {_PAIR}").select(*_LINE, "k0", "t0", "line0").distinct()
+    pairs = found.where(f"kind = {_PAIR}").select(*_LINE, *_FIRST).distinct()
     open_lines = found.where(f"kind = {_OPEN}").select("key", *_LINE)
     members = found.where(f"kind = {_MEMBER}").select("key", *_LINE)
-    asked = pairs.select(*_LINE).union(pairs.select("k0", "t0", "line0")).union(members.select(*_LINE)).distinct()
-    asked = asked.groupBy(F.col("k").alias("_k")).agg(F.collect_list(F.struct("t", "line")).alias("asked"))
-    sets = squeeze(keyed).join(asked.hint("merge"), "_k").mapInArrow(_elements, "k long, t long, line int, elements binary")
-    sets = materialise(sets.dropDuplicates(_LINE), "sets")
-    earlier = sets.select(*(F.col(c).alias(f"{c}0") for c in _LINE), F.col("elements").alias("y"))
-    met = pairs.join(sets.withColumnRenamed("elements", "x"), _LINE).join(earlier, ["k0", "t0", "line0"]).select(*_LINE, "x", "y")
-    near = materialise(met.mapInArrow(_verify(percent), "k long, t long, line int").distinct(), "near")
+    asked = pairs.select(*_LINE).union(pairs.select(*_FIRST)).union(members.select(*_LINE)).distinct()
+    asked = asked.groupBy(F.col("k").alias("_k")).agg(F.collect_list(F.struct("line", "name")).alias("asked"))
+    sets = squeeze(keyed).join(asked.hint("merge"), "_k").mapInArrow(_elements, f"{_PLACE_DDL}, elements binary")
+    sets = materialise(sets, "sets")
+    # Dealt by place once: both joins read the same exchange.
+    dealt = sets.repartition(*_LINE)
+    later = dealt.withColumnRenamed("elements", "x")
+    earlier = dealt.select(*(F.col(c).alias(f"{c}0") for c in _LINE), F.col("elements").alias("y"))
+    met = pairs.join(later, _LINE).join(earlier, _FIRST).select(*_LINE, "x", "y")
+    near = materialise(met.mapInArrow(_verify(percent), _PLACE_DDL).distinct(), "near")
     # What the named partners did not settle goes against its whole group.
     left = open_lines.join(near, _LINE, "left_anti").withColumn("unsettled", F.lit(True))
     groups = members.join(left.select("key").distinct(), "key", "left_semi").join(left, ["key", *_LINE], "left")
     groups = groups.join(sets, _LINE).select("key", *_LINE, "elements", F.coalesce("unsettled", F.lit(False)).alias("unsettled"))
-    rest = groups.groupBy("key").applyInArrow(_finish(percent), "k long, t long, line int")
+    rest = materialise(groups.groupBy("key").applyInArrow(_finish(percent), _PLACE_DDL), "rest")
     return found.where(f"kind = {_GONE}").select(*_LINE).union(near).union(rest).distinct()
 
 
@@ -376,14 +392,14 @@ def dedup_lines(docs, percent=PERCENT):
     a smaller line number; lines are judged on the input. Lines without
     words stay. A document keeps its row even if no line is left.
 
-    Null texts stay null. A null id comes before every other. Rows alike in id and
-    text are one document repeated; rows that share only the id follow each
-    other by a hash of their texts. Other columns stay; one named
-    ``_n_removed`` is replaced. Words are compared by 64-bit hashes.
+    Null texts stay null. A null id comes before every other. Rows that share an id
+    are one document: of their lines of one number, equal ones are one line, and
+    others follow each other by a hash of their words. Other columns stay; one
+    named ``_n_removed`` is replaced. Words are compared by 64-bit hashes.
     """
     docs = but(docs, "_n_removed")
     gone = removed_lines(docs, percent)
-    gone = gone.groupBy(F.col("k").alias("_k")).agg(F.collect_list(F.struct("t", "line")).alias("gone"))
+    gone = gone.groupBy(F.col("k").alias("_k")).agg(F.collect_list(F.struct("line", "name")).alias("gone"))
     keyed = squeeze(with_keys(docs))
     row = keyed.schema["_row"].dataType.simpleString()
     cut = keyed.join(gone.hint("merge"), "_k", "left").mapInArrow(_drop, f"_row {row}, text string, _n_removed long")

@@ -26,20 +26,19 @@ def substring(rows, order, k=20):
     return out
 
 
-def lines(rows, order, percent=80):
-    """The text without later similar lines."""
-    earlier, out = [], {}
-    for row in sorted(rows, key=order):
-        kept, removed = [], 0
-        for line in (row[1] or "").split("\n"):
-            own = frozenset(words(line))
-            if own and any(100 * len(own & x) >= percent * len(own | x) for x in earlier):
-                removed += 1
-            else:
-                kept.append(line)
-            if own:
-                earlier.append(own)
-        out[row] = (None if row[1] is None else "\n".join(kept)), removed
+def lines(rows, percent=80):
+    """The text without later similar lines, for rows of (id, text, ...); rows that share an id are one document."""
+    places = {(row[0], n, frozenset(words(x))) for row in rows for n, x in enumerate((row[1] or "").split("\n"))}
+    earlier, gone = [], set()
+    for place in sorted((p for p in places if p[2]), key=lambda p: p[:2]):
+        if any(100 * len(place[2] & x) >= percent * len(place[2] | x) for x in earlier):
+            gone.add(place)
+        earlier.append(place[2])
+    out = {}
+    for row in rows:
+        own = (row[1] or "").split("\n")
+        kept = [x for n, x in enumerate(own) if (row[0], n, frozenset(words(x))) not in gone]
+        out[row] = (None if row[1] is None else "\n".join(kept)), len(own) - len(kept)
     return out
 
 

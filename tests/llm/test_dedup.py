@@ -61,7 +61,7 @@ def test_repeated_word_and_short_window(spark):
 
 def test_lines_equal_brute_force(documents, rows, monkeypatch):
     want = {}
-    for row, found in brute.lines(rows, by_reading).items():
+    for row, found in brute.lines(rows).items():
         want.setdefault(row[0], set()).add(found)
     for named in (line_dedup.NAMED, 1):
         monkeypatch.setattr(line_dedup, "NAMED", named)
@@ -74,7 +74,7 @@ def test_lines_of_few_words(spark):
     texts = ["a b c d e\na b c d\nq", "a b c d\n\nA b c d e\nq q q", "d c b a e f\nr"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: r.text for r in dedup_lines(docs).collect()}
-    want = brute.lines(list(enumerate(texts)), lambda r: r[0])
+    want = brute.lines(list(enumerate(texts)))
     assert got == {i: want[i, t][0] for i, t in enumerate(texts)}
 
 
@@ -87,7 +87,7 @@ def test_large_groups_of_near_lines_are_finished(spark, monkeypatch):
     rows = list(enumerate(texts))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: r._n_removed for r in dedup_lines(docs).collect()}
-    assert got == {i: brute.lines(rows, lambda r: r[0])[i, t][1] for i, t in rows}
+    assert got == {i: brute.lines(rows)[i, t][1] for i, t in rows}
 
 
 def test_components_equal_brute_force(documents, rows):
