@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import argparse
+import logging
 
 from obsflow.operators.clean import observations, with_valid
 from obsflow.plans import exploration, supervised, unsupervised
 from obsflow.session import build_session
 from obsflow.sources import files, kafka
+from obsflow.streaming.sinks import dropped_rows
 
 
 def parser():
@@ -32,7 +34,13 @@ def parser():
         source.add_argument("--json", help="folder of JSON messages, one a line")
         source.add_argument("--csv", help="folder of CSV files")
         job.add_argument("--topic", default=kafka.TOPIC)
-        job.add_argument("--group", default=kafka.GROUP)
+        job.add_argument("--group", help="Kafka consumer group; without it, Spark names one per query")
+        job.add_argument("--per-trigger", type=int, help="at most so many Kafka offsets in a batch")
+        job.add_argument(
+            "--files-per-trigger",
+            type=int,
+            help="at most so many files in a batch, oldest file first; rows of a later batch that are behind the watermark are dropped",
+        )
         job.add_argument("--checkpoint", required=True)
         job.add_argument("--seconds", type=int, help="trigger; without it, take what there is and stop")
         if name != "baselines":
@@ -50,10 +58,10 @@ def parser():
 def source(spark, args):
     """The stream of observations a command names."""
     if args.csv:
-        return with_valid(files.stream_csv(spark, args.csv, files_per_trigger=1000))
+        return with_valid(files.stream_csv(spark, args.csv, files_per_trigger=args.files_per_trigger))
     if args.json:
-        return observations(files.stream_messages(spark, args.json))
-    return observations(kafka.read_kafka(spark, args.servers, args.topic, args.group))
+        return observations(files.stream_messages(spark, args.json, args.files_per_trigger))
+    return observations(kafka.read_kafka(spark, args.servers, args.topic, args.group, per_trigger=args.per_trigger))
 
 
 def start(spark, args):
@@ -78,7 +86,13 @@ def main(argv=None):
     if args.job == "publish":
         kafka.publish(files.read_csv(spark, args.csv), args.servers, args.topic)
     else:
-        start(spark, args).awaitTermination()
+        query = start(spark, args)
+        try:
+            query.awaitTermination()
+        finally:
+            late = dropped_rows(query)
+            if late:
+                logging.getLogger("obsflow").warning("%d rows came behind the watermark and were dropped", late)
 
 
 if __name__ == "__main__":

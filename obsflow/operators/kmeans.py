@@ -82,17 +82,22 @@ def cluster_sums(assigned, columns=FEATURES):
 
 
 def updated_centres(assigned, centres, decay=1.0, columns=FEATURES):
-    """The moved centres as a table of k rows: old weight and position against the batch's own."""
+    """The moved centres as a table of k rows: old weight and position against the batch's own.
+
+    A centre without rows keeps its place and its decayed weight.
+    """
+    k = assigned.sparkSession.range(len(centres.points)).select(F.col("id").cast("int").alias("cluster"))
+    sums = k.join(cluster_sums(assigned, columns), "cluster", "left")
     old = {
         "weight": _by_cluster(centres.weights),
         **{c: _by_cluster([p[i] for p in centres.points]) for i, c in enumerate(columns)},
     }
     kept = old["weight"] * F.lit(float(decay))
-    total = kept + F.col("n")
-    return cluster_sums(assigned, columns).select(
+    total = kept + F.coalesce("n", F.lit(0))
+    return sums.select(
         "cluster",
         total.alias("weight"),
-        *[((old[c] * kept + F.col(c)) / total).alias(c) for c in columns],
+        *[F.when(F.col("n").isNull(), old[c]).otherwise((old[c] * kept + F.col(c)) / total).alias(c) for c in columns],
     )
 
 
@@ -103,14 +108,18 @@ def _by_cluster(values):
 def step(assigned, centres, decay=1.0, columns=FEATURES):
     """The model after one batch. Only k rows reach the driver.
 
-    Centres without rows keep their place and decay. A centre whose weight has
+    Centres without rows keep their place and decay; a batch without any row leaves
+    the model as it was, so the pace of the triggers does not change it. A centre whose weight has
     all but vanished is revived beside the heaviest one, which shares its weight.
     """
     if not 0.0 <= decay <= 1.0:
         raise ValueError("the decay lies between 0 and 1")
     points = [list(p) for p in centres.points]
     weights = [w * decay for w in centres.weights]
-    for row in updated_centres(assigned, centres, decay, columns).collect():
+    rows = updated_centres(assigned, centres, decay, columns).collect()
+    if all(row["weight"] == weights[row["cluster"]] for row in rows):
+        return centres
+    for row in rows:
         points[row["cluster"]] = [row[c] for c in columns]
         weights[row["cluster"]] = row["weight"]
     heavy = max(range(len(weights)), key=weights.__getitem__)

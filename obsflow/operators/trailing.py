@@ -12,7 +12,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from obsflow.functions.time import DAY, QUARTER_HOUR, TWO_HOURS, WEEK, epoch, interval_text, shift
-from obsflow.operators.windows import _names, moments_result, same_keys
+from obsflow.operators.windows import _names, merge_moments, moments_result, same_keys
 
 
 def trailing_mean(df, ts, values, keys, seconds=TWO_HOURS, empty=0.0, bucket_column=None):
@@ -67,84 +67,106 @@ def trailing_stats(df, ts, value, keys, seconds=WEEK, pane=DAY, names=("avg_temp
     A frame is the end of its first pane, the whole panes between, and its last
     pane up to the time itself. The two ends are running sums inside one pane
     and the middle comes from a small table of panes, so the work grows with
-    the rows, not with rows times frame length. Values enter relative to the
-    overall mean, which keeps the squares small.
+    the rows, not with rows times frame length. Sums are taken around the mean of
+    their own key and pane, and parts are merged as count, mean and squared
+    deviations, so no key suffers from the range of another. Times count in
+    microseconds.
     """
     if seconds % pane:
         raise ValueError("the pane must divide the frame")
     keys = _names(keys)
-    centre = df.agg(F.avg(value).alias("centre")).scalar()
-    x = F.col("x")
-    parts = [
-        F.count(x).cast("double").alias("n"),
-        F.coalesce(F.sum(x), F.lit(0.0)).alias("s"),
-        F.coalesce(F.sum(x * x), F.lit(0.0)).alias("q"),
+    frame, width = int(seconds) * 1_000_000, int(pane) * 1_000_000
+    n = F.count("v").cast("double")
+    rows = df.where(F.col(ts).isNotNull()).select(*keys, F.unix_micros(ts).alias("at"), F.col(value).alias("v"))
+    slots = rows.groupBy(*keys, "at").agg(
+        n.alias("n"),
+        F.avg("v").alias("mean"),
+        (F.var_pop("v") * n).alias("m2"),
         F.min("v").alias("lo"),
         F.max("v").alias("hi"),
-    ]
-    rows = df.where(F.col(ts).isNotNull()).select(
-        *keys, F.col(ts).alias("at_ts"), F.col(value).alias("v"), (F.col(value) - centre).alias("x")
     )
-    slots = rows.groupBy(*keys, "at_ts").agg(*parts).withColumn("at", epoch("at_ts"))
 
     def pane_of(c):
-        return F.floor(c / F.lit(pane))
+        return F.floor(c / F.lit(width))
 
     # Each slot counts in its own pane, and a probe at its frame's start asks the
     # first pane for everything from there on.
-    moments = ["n", "s", "q", "lo", "hi"]
+    moments = ["n", "mean", "m2", "lo", "hi"]
     here = F.struct(F.col("at").alias("position"), F.lit(False).alias("probe"), *moments)
     there = F.struct(
-        (F.col("at") - F.lit(seconds)).alias("position"),
+        (F.col("at") - F.lit(frame)).alias("position"),
         F.lit(True).alias("probe"),
-        *[F.lit(0.0).alias(c) for c in ("n", "s", "q")],
-        *[F.lit(None).cast("double").alias(c) for c in ("lo", "hi")],
+        F.lit(0.0).alias("n"),
+        *[F.lit(None).cast("double").alias(c) for c in moments[1:]],
     )
     both = slots.select(*keys, "at", F.explode(F.array(here, there)).alias("e")).select(*keys, "at", "e.*")
     both = both.withColumn("pane", pane_of(F.col("position")))
     cell = Window.partitionBy(*keys, "pane")
     until = cell.orderBy("position").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     onward = cell.orderBy(F.col("position").desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = cell.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    centre = F.sum(F.col("mean") * F.col("n")).over(whole) / F.nullif(F.sum("n").over(whole), F.lit(0.0))
+    off = F.col("mean") - F.col("centre")
+    centred = both.withColumn("centre", centre).select(
+        *keys, "at", "pane", "position", "probe", "n", "lo", "hi", "centre",
+        F.coalesce(F.col("n") * off, F.lit(0.0)).alias("s"),
+        F.coalesce(F.col("m2") + F.col("n") * off * off, F.lit(0.0)).alias("q"),
+    )
 
     def running(function, c):
         return F.when(F.col("probe"), function(c).over(onward)).otherwise(function(c).over(until)).alias(c)
 
+    shifted = F.col("s") / F.nullif(F.col("n"), F.lit(0.0))
+    part = F.struct(
+        "n",
+        (F.col("centre") + shifted).alias("mean"),
+        F.coalesce(F.col("q") - F.col("s") * shifted, F.lit(0.0)).alias("m2"),
+        "lo",
+        "hi",
+    )
     ends = (
-        both.select(
-            *keys, "at", *[running(F.sum, c) for c in ("n", "s", "q")], running(F.min, "lo"), running(F.max, "hi")
+        centred.select(
+            *keys, "at", "probe", "centre", *[running(F.sum, c) for c in ("n", "s", "q")], running(F.min, "lo"), running(F.max, "hi")
         )
         .groupBy(*keys, "at")
-        .agg(*_totals())
+        .agg(F.sort_array(F.collect_list(F.struct("probe", part.alias("part")))).alias("parts"))
         .withColumn("pane", pane_of(F.col("at")))
     )
 
-    # Whole panes between, counted towards each of the panes that follow them.
-    # They start from the same slots, so their exchange is reused.
+    # Whole panes between, counted towards each of the panes that follow them:
+    # at most as many for a frame as it has panes.
     between = seconds // pane - 1
-    panes = slots.withColumn("pane", pane_of(F.col("at"))).groupBy(*keys, "pane").agg(*_totals())
+    off = F.col("mean") - F.col("centre")
+    panes = (
+        slots.withColumn("pane", pane_of(F.col("at")))
+        .withColumn("centre", centre)
+        .groupBy(*keys, "pane", "centre")
+        .agg(
+            F.sum("n").alias("n"),
+            F.coalesce(F.sum(F.col("n") * off), F.lit(0.0)).alias("s"),
+            F.coalesce(F.sum(F.col("m2") + F.col("n") * off * off), F.lit(0.0)).alias("q"),
+            F.min("lo").alias("lo"),
+            F.max("hi").alias("hi"),
+        )
+        .select(*keys, "pane", part.alias("part"))
+    )
+    ahead = F.explode(F.sequence(F.lit(1), F.lit(between))) if between else F.lit(1)
     middle = (
-        panes.withColumn("ahead", F.explode(F.sequence(F.lit(1), F.lit(between))))
-        .withColumn("pane", F.col("pane") + F.col("ahead"))
-        .groupBy(*keys, "pane")
-        .agg(*_totals())
-        if between
-        else panes.where(F.lit(False))
+        panes.where(F.lit(between > 0))
+        .withColumn("ahead", ahead)
+        .groupBy(*keys, (F.col("pane") + F.col("ahead")).alias("pane"))
+        .agg(F.sort_array(F.collect_list(F.struct("ahead", "part"))).alias("parts"))
     )
     joined = ends.alias("e").join(middle.alias("m"), same_keys("e", "m", [*keys, "pane"]), "left")
-    added = [(F.col(f"e.{c}") + F.coalesce(F.col(f"m.{c}"), F.lit(0.0))).alias(c) for c in ("n", "s", "q")]
+    empty = F.struct(F.lit(0.0).alias("n"), *[F.lit(None).cast("double").alias(c) for c in moments[1:]])
+    inner = F.aggregate("m.parts", empty, lambda a, p: merge_moments(a, p["part"]))
+    outer = F.aggregate("e.parts", empty, lambda a, p: merge_moments(a, p["part"]))
     total = joined.select(
         *[F.col(f"e.{k}").alias(k) for k in keys],
         "at",
-        *added,
-        F.least("e.lo", "m.lo").alias("lo"),
-        F.greatest("e.hi", "m.hi").alias("hi"),
-    )
-    shifted = F.col("s") / F.nullif(F.col("n"), F.lit(0.0))
-    mean, deviation = moments_result("n", shifted + centre, F.col("q") - F.col("s") * shifted, "lo", "hi")
-    return total.select(
-        *keys, F.timestamp_seconds("at").alias(ts), mean.alias(names[0]), deviation.alias(names[1])
+        F.when(F.col("m.parts").isNull(), outer).otherwise(merge_moments(outer, inner)).alias("t"),
     )
-
-
-def _totals():
-    return [*[F.sum(c).alias(c) for c in ("n", "s", "q")], F.min("lo").alias("lo"), F.max("hi").alias("hi")]
+    mean, deviation = moments_result("t.n", "t.mean", "t.m2", "t.lo", "t.hi")
+    kind = df.schema[ts].dataType.simpleString()
+    at = F.timestamp_micros("at").cast(kind) if kind != "timestamp" else F.timestamp_micros("at")
+    return total.select(*keys, at.alias(ts), mean.alias(names[0]), deviation.alias(names[1]))

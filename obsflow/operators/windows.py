@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from obsflow.functions.scalar import is_finite, outside, steady_round, z_score
-from obsflow.functions.time import DAY, WEEK, interval_text
+from obsflow.functions.time import DAY, WEEK, epoch, interval_text
 from obsflow.session import materialise
 
 LIST_PAGE = 100_000
@@ -79,7 +79,8 @@ def _pane_moments(value):
     )
 
 
-def _merge_moments(a, b):
+def merge_moments(a, b):
+    """Moments (count, mean, squared deviations, range) of two parts together."""
     n = a["n"] + b["n"]
     delta = b["mean"] - a["mean"]
     both = F.struct(
@@ -130,7 +131,7 @@ def sliding_stats(df, ts, value, keys=(), seconds=WEEK, slide=DAY, digits=None,
         *keys,
         F.timestamp_seconds("start").alias("window_start"),
         F.timestamp_seconds(F.col("start") + F.lit(seconds)).alias("window_end"),
-        F.aggregate("parts", empty, lambda a, p: _merge_moments(a, p["moments"])).alias("t"),
+        F.aggregate("parts", empty, lambda a, p: merge_moments(a, p["moments"])).alias("t"),
     )
     mean, deviation = moments_result("t.n", "t.mean", "t.m2", "t.lo", "t.hi")
     if digits is not None:
@@ -219,12 +220,14 @@ def window_summary(df, ts, value, keys=(), seconds=10, digits=4, page_rows=LIST_
 def with_window_stats(df, ts, columns, keys=(), seconds=10, digits=None):
     """Rows with the mean and deviation of their tumbling window for each column.
 
-    Statistics are aggregated and written first, so the join is planned on their
+    Every row stays: a null key is a group of its own, and a row without a time has
+    no window and no statistics. Statistics are aggregated and written first, so the join is planned on their
     real size: few windows are broadcast and the rows never shuffle; many are
     joined by key, where adaptive execution splits a crowded window.
     """
     keys = _names(keys)
-    start = F.window(ts, interval_text(seconds))["start"]
+    # F.window would drop rows without a time.
+    start = F.timestamp_seconds(F.floor(epoch(ts) / F.lit(seconds)) * F.lit(seconds))
     rows = df.withColumn("window_start", start)
     aggregates = []
     for c in columns:
@@ -232,8 +235,12 @@ def with_window_stats(df, ts, columns, keys=(), seconds=10, digits=None):
         if digits is not None:
             mean, deviation = steady_round(mean, digits), steady_round(deviation, digits)
         aggregates += [mean.alias(f"{c}_mean"), deviation.alias(f"{c}_stddev")]
-    stats = materialise(rows.groupBy(*keys, "window_start").agg(*aggregates), "window-stats")
-    return rows.join(stats, [*keys, "window_start"])
+    timed = rows.where(F.col("window_start").isNotNull())
+    stats = materialise(timed.groupBy(*keys, "window_start").agg(*aggregates), "window-stats")
+    group = [*keys, "window_start"]
+    joined = rows.alias("r").join(stats.alias("s"), same_keys("r", "s", group), "left")
+    added = [F.col(f"s.`{c}`") for c in stats.columns if c not in group]
+    return joined.select(*[F.col(f"r.`{c}`") for c in [*group, *[c for c in rows.columns if c not in group]]], *added)
 
 
 def window_outliers(df, ts, value, seconds=10, threshold=1.0, digits=4):

@@ -75,14 +75,19 @@ def run_baseline_stream(observations, snapshots, checkpoint, seconds=10):
 
 
 def run_compare_stream(observations, snapshots, out, checkpoint, seconds=10, threshold=2.0):
-    """Flag the rows of each batch against the latest snapshot of the baselines."""
+    """Flag the rows of each batch against the latest snapshot of the baselines.
+
+    Without a snapshot the batch fails, so that a restart takes it again: no
+    row passes by before there is something to compare it with.
+    """
 
     def handle(batch, batch_id):
         spark = batch.sparkSession
         table = BatchStore(spark, snapshots)
         latest = table.latest()
-        if latest is not None:
-            found = compare_anomalies(batch, table.read(latest), threshold)
-            BatchStore(spark, out).write(found, batch_id)
+        if latest is None:
+            raise RuntimeError(f"no snapshot of baselines in {snapshots}; start the baselines job first")
+        found = compare_anomalies(batch, table.read(latest), threshold)
+        BatchStore(spark, out).write(found, batch_id)
 
     return for_each_batch(observations, handle, checkpoint, seconds=seconds)

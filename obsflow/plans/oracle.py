@@ -187,12 +187,13 @@ def _moved():
     )
     olds = ", ".join(f"o{i}" for i in range(len(POINT)))
     moved = ", ".join(
-        f"{_round(f'(o{i} * kept + sum({c})) / (kept + count(*))')} AS {c}" for i, c in enumerate(POINT)
+        f"{_round(f'CASE WHEN count(cluster) = 0 THEN o{i} ELSE (o{i} * kept + sum({c})) / (kept + count(cluster)) END')} AS {c}"
+        for i, c in enumerate(POINT)
     )
     return f"""WITH {POINTS},
 centres(id, kept, {olds}) AS (VALUES {values})
-SELECT cluster, {_round('kept + count(*)')} AS weight, {moved}
-FROM assigned JOIN centres ON cluster = id GROUP BY cluster, kept, {olds}"""
+SELECT id::INTEGER AS cluster, {_round('kept + count(cluster)')} AS weight, {moved}
+FROM centres LEFT JOIN assigned ON cluster = id GROUP BY id, kept, {olds}"""
 
 
 MESSAGE_FIELDS = ", ".join(f for f in FIELDS if f != "valid")

@@ -23,7 +23,10 @@ PLACES = 6
 
 # Fixed example model for the queries with given weights and centres.
 EXAMPLE_WEIGHTS = [0.9, -0.4, 0.3, -0.7, 0.2]
-EXAMPLE_CENTRES = kmeans.Centres([[0.2, 0.02, -0.5], [0.5, 0.05, 0.5], [0.8, 0.08, 2.0]], [100.0, 50.0, 10.0])
+# The last one is too far off to win a point.
+EXAMPLE_CENTRES = kmeans.Centres(
+    [[0.2, 0.02, -0.5], [0.5, 0.05, 0.5], [0.8, 0.08, 2.0], [90.0, -90.0, 900.0]], [100.0, 50.0, 10.0, 20.0]
+)
 
 COLD_START = "2024-01-01"
 

@@ -74,11 +74,14 @@ def run_stream(
         spark = batch.sparkSession
         log, models = BatchStore(spark, out, "csv"), BatchStore(spark, model)
         current = load_centres(models, batch_id) or first
+        # The flags read the batch twice, the sinks read the flags twice: each is computed once.
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         flagged = detect(batch, current, threshold).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             log.write(log_lines(flagged), batch_id)
             save_centres(spark, models, kmeans.step(flagged, current, decay), batch_id)
         finally:
             flagged.unpersist()
+            batch.unpersist()
 
     return for_each_batch(scored, handle, checkpoint, seconds=seconds)

@@ -40,11 +40,11 @@ def sizing(data_bytes, cores):
     """Partition settings for a batch over so many bytes on so many cores.
 
     Splits grow from 128 MiB to 1 GiB, so a large scan stays at a few waves of
-    tasks. Shuffles start from one partition per 256 MiB of input, at most
-    20,000; adaptive execution then merges what turned out small.
+    tasks. Shuffles start from one partition per 256 MiB of input, whatever that
+    comes to; adaptive execution then merges what turned out small.
     """
     split = min(max(data_bytes // (cores * 8), 128 * MIB), 1024 * MIB)
-    partitions = min(max(data_bytes // (256 * MIB), cores), 20_000)
+    partitions = max(data_bytes // (256 * MIB), cores)
     return {
         "spark.sql.files.maxPartitionBytes": str(split),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),

@@ -8,36 +8,39 @@ from pyspark.sql import functions as F
 TIME_FORMAT = "dd/MMM/yyyy:HH:mm:ss Z"
 
 
+# Quoted text, in which a backslash takes the next character as it is.
+_QUOTED = r'"([^"\\]*+(?:\\.[^"\\]*+)*+)"'
+_LINE = rf"^([0-9A-Fa-f:.]+) \S+ \S+ \[([^\]]+)\] {_QUOTED} (\d{{3}}) (\d+|-) {_QUOTED} {_QUOTED}(?: {_QUOTED})?\s*$"
+_CUT = "\u0001"
+
+
 def parse_lines(df, column="value"):
     """One row per line; all fields of a line in another format are null.
 
-    The quotes cut a line into its parts, so one split replaces a pattern match per field.
+    One anchored pattern takes a line apart, escaped quotes included, which stay
+    escaped. A line counts only if it has an address, a time that exists and a status.
     """
-    cut = df.select(F.split(F.col(column), '"').alias("parts"))
-    # A line in another format has too few parts; without an array all its fields are null.
-    whole = cut.select(F.when(F.size("parts") >= 6, F.col("parts")).alias("parts"))
+    groups = _CUT.join(f"${i}" for i in range(1, 8))
+    parts = F.split(F.regexp_replace(F.col(column), _LINE, groups), _CUT)
+    # A line that the pattern does not match comes back in one part.
+    cut = df.select(F.when(F.size(parts) == 7, parts).alias("parts"))
 
     def part(i):
         return F.get("parts", F.lit(i))
 
-    named = whole.select(
-        part(0).alias("head"),
-        part(1).alias("request"),
-        F.split(F.trim(part(2)), " ").alias("answer"),
-        part(3).alias("referer"),
-        part(5).alias("agent"),
-    )
-    bracketed = F.substring_index(F.substring_index("head", "[", -1), "]", 1)
-    target = F.substring("request", F.instr("request", " ") + 1, F.length("request"))
-    return named.select(
-        F.substring_index("head", " ", 1).alias("ip"),
-        F.try_to_timestamp(bracketed, F.lit(TIME_FORMAT)).alias("ts"),
-        F.substring_index("request", " ", 1).alias("request_type"),
+    timed = cut.select("parts", F.try_to_timestamp(part(1), F.lit(TIME_FORMAT)).alias("ts"))
+    whole = timed.select(F.when(F.col("ts").isNotNull(), F.col("parts")).alias("parts"), "ts")
+    request = part(2)
+    target = F.substring(request, F.instr(request, " ") + 1, F.length(request))
+    return whole.select(
+        part(0).alias("ip"),
+        "ts",
+        F.substring_index(request, " ", 1).alias("request_type"),
         F.regexp_replace(target, r" HTTP/\S+$", "").alias("path"),
-        F.get("answer", F.lit(0)).try_cast("int").alias("status"),
-        F.get("answer", F.lit(1)).try_cast("long").alias("response_size"),
-        "referer",
-        "agent",
+        part(3).try_cast("int").alias("status"),
+        part(4).try_cast("long").alias("response_size"),
+        part(5).alias("referer"),
+        part(6).alias("agent"),
     )
 
 

@@ -10,14 +10,16 @@ def read_csv(spark, path, header=True, schema=RAW_SCHEMA):
     return spark.read.schema(schema).option("header", header).option("enforceSchema", True).csv(path)
 
 
-def stream_csv(spark, path, header=True, schema=RAW_SCHEMA, files_per_trigger=1):
-    """The same files as a stream; the pace is a number of files per trigger."""
-    return (
-        spark.readStream.schema(schema)
-        .option("header", header)
-        .option("maxFilesPerTrigger", files_per_trigger)
-        .csv(path)
-    )
+def stream_csv(spark, path, header=True, schema=RAW_SCHEMA, files_per_trigger=None):
+    """The same files as a stream, all there are in each batch.
+
+    ``files_per_trigger`` sets a pace. Files are then taken by age, so rows of a
+    later batch may be behind the watermark, where windows drop them.
+    """
+    reader = spark.readStream.schema(schema).option("header", header)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.csv(path)
 
 
 def write_csv(df, path, header=True):

@@ -5,9 +5,8 @@ from __future__ import annotations
 from obsflow.operators.clean import to_messages
 from obsflow.schema import MESSAGE_KEY
 
-# The topic and consumer group of the jobs.
+# Fixed value: the topic of the jobs.
 TOPIC = "topic_test1"
-GROUP = "spark-kafka-example"
 
 
 def source_options(servers, topic=TOPIC, group=None, starting="latest", per_trigger=None, extra=None):

@@ -23,13 +23,15 @@ def replay(df, ts, run, slices=4):
     Each slice is written as files in the shared folder, then ``run(stream)``
     starts the query from its checkpoint, takes all of the slice as one batch
     and ends. Batches are thus in time order however many files a slice has,
-    and the query is restarted from its checkpoint between any two.
+    and the query is restarted from its checkpoint between any two. Rows without
+    a time come with the first slice.
     """
     spark = df.sparkSession
     folder = shared_folder(spark, "replay")
-    for low, high in time_slices(df, ts, slices):
-        at = F.unix_micros(ts)
-        df.where((at >= low) & (at < high)).write.mode("append").parquet(folder)
+    at = F.unix_micros(ts)
+    for i, (low, high) in enumerate(time_slices(df, ts, slices)):
+        own = (at >= low) & (at < high)
+        df.where(own if i else own | at.isNull()).write.mode("append").parquet(folder)
         with state_partitions(spark):
             query = run(spark.readStream.schema(df.schema).parquet(folder))
         query.awaitTermination()

@@ -40,6 +40,12 @@ def start(df, sink, mode="append", seconds=None, checkpoint=None, name=None, opt
     return writer.start()
 
 
+def dropped_rows(query):
+    """Rows that came behind the watermark, in the batches whose progress Spark still holds."""
+    states = [s for p in query.recentProgress for s in p["stateOperators"]]
+    return sum(s["numRowsDroppedByWatermark"] for s in states)
+
+
 def to_console(df, mode="append", seconds=5, checkpoint=None):
     """Print every batch with whole values."""
     return start(df, "console", mode, seconds, checkpoint, options={"truncate": "false"})

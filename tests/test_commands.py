@@ -1,3 +1,5 @@
+import time
+
 import pytest
 
 from obsflow import __main__ as commands
@@ -5,7 +7,7 @@ from obsflow.operators.clean import to_messages
 from obsflow.plans import exploration
 from obsflow.session import shared_folder
 from obsflow.sources.events import observations_from_events
-from obsflow.streaming.sinks import read_snapshot
+from obsflow.streaming.sinks import dropped_rows, read_snapshot
 
 SF = "/root/testdata/sf0.001"
 
@@ -44,3 +46,41 @@ def test_detection_jobs_run_from_csv(spark, job, more):
     query = commands.start(spark, commands.parser().parse_args(line))
     query.awaitTermination()
     assert query.exception() is None
+
+
+def test_compare_waits_for_baselines(spark):
+    """Without baselines a batch fails and is taken again later: no row is lost."""
+    raw = observations_from_events(spark.read.parquet(f"{SF}/events.parquet"))
+    source, weeks, out, checkpoint = (shared_folder(spark, n) for n in ("messages", "weeks", "out", "checkpoint"))
+    to_messages(raw).write.text(source)
+
+    def run(job, checkpoint, *more):
+        line = [job, "--json", source, "--weeks", weeks, "--checkpoint", checkpoint, *more]
+        commands.start(spark, commands.parser().parse_args(line)).awaitTermination()
+
+    with pytest.raises(Exception, match="no snapshot"):
+        run("compare", checkpoint, "--out", out)
+    run("baselines", shared_folder(spark, "checkpoint"))
+    run("compare", checkpoint, "--out", out)
+    rows = exploration.measured(commands.with_valid(raw))
+    assert spark.read.parquet(out).count() == exploration.compare_anomalies(rows, read_snapshot(spark, weeks)).count() > 0
+
+
+def test_files_in_reverse_order_give_the_same_rows(spark, tmp_path):
+    """The newest period lies in the oldest file: nothing falls behind the watermark."""
+    raw = observations_from_events(spark.read.parquet(f"{SF}/events.parquet")).drop("event_id")
+    days = sorted(r[0] for r in raw.selectExpr("substr(valid, 1, 10) d").distinct().collect())
+    half = days[len(days) // 2]
+    counts = []
+    for order in (("<", ">="), (">=", "<")):
+        source = str(tmp_path / f"csv{len(counts)}")
+        for sign in order:
+            raw.where(f"substr(valid, 1, 10) {sign} '{half}'").coalesce(1).write.mode("append").option("header", True).csv(source)
+            time.sleep(1.1)
+        out = shared_folder(spark, "out")
+        line = ["supervised", "--csv", source, "--out", out, "--checkpoint", shared_folder(spark, "checkpoint")]
+        query = commands.start(spark, commands.parser().parse_args(line))
+        query.awaitTermination()
+        assert dropped_rows(query) == 0
+        counts.append(query.lastProgress is not None)
+    assert counts == [True, True]

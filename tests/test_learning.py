@@ -110,3 +110,13 @@ def test_scaling_equals_the_fitted_scaler(spark):
     assert ours == pytest.approx(theirs)
     flat = spark.createDataFrame([(2.0,), (2.0,)], "x double")
     assert [r["x_norm"] for r in scaling.standard_scale(flat, "x").collect()] == [0.0, 0.0]
+
+
+def test_centres_without_rows_keep_their_place(spark):
+    points = spark.createDataFrame([("s", 1.0, 1.0, 1.0)], "station string, relh_avg double, vsby_avg double, z_score double")
+    centres = kmeans.Centres([[0.0] * 3, [50.0] * 3, [99.0] * 3], [10.0, 20.0, 30.0])
+    assigned = kmeans.assign(points, centres)
+    got = {r.cluster: (r.weight, r.relh_avg) for r in kmeans.updated_centres(assigned, centres, 0.5).collect()}
+    assert got == {0: (6.0, 1 / 6), 1: (10.0, 50.0), 2: (15.0, 99.0)}
+    assert kmeans.step(assigned.limit(0), centres, 0.5) is centres
+    assert kmeans.step(assigned, centres, 0.5).weights == [6.0, 10.0, 15.0]

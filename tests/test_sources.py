@@ -9,43 +9,52 @@ from obsflow.session import MIB, shared_folder, sizing
 from obsflow.sources import access_log, files, kafka
 from obsflow.sources.events import log_lines_from_events, observations_from_events
 
+# Invented lines, with addresses reserved for documentation.
 LINES = [
-    '5.78.198.52 - - [22/Jan/2019:03:56:26 +0330] "POST /m/update?a=b HTTP/1.1" 200 171 "https://example.org/x" "Mozilla/5.0 (Linux)" "-"',
-    '54.36.149.41 - - [22/Jan/2019:03:56:14 +0000] "GET /filter/27|13 a,b HTTP/1.1" 304 - "-" "Bot/6.1" "-"',
+    '192.0.2.17 - - [03/Mar/2021:23:10:05 +0330] "POST /basket/add?item=7 HTTP/1.1" 200 512 "https://shop.example/list" "Browser/1.0 (Desk)" "-"',
+    '192.0.2.99 - - [03/Mar/2021:08:01:44 +0000] "GET /search/tea|green a,b HTTP/1.1" 304 - "-" "Crawler/2.5" "-"',
+    '2001:db8::5 - - [04/Mar/2021:00:00:00 +0000] "GET /s?q=\\"x\\" HTTP/1.1" 200 171 "-" "say \\"hi\\"" "-"',
+]
+BROKEN = [
     "not a log line",
     None,
+    'garbage "a" "b" "c" "d" "e" f',
+    '192.0.2.17 - - [31/Foo/2021:23:10:05 +0330] "GET / HTTP/1.1" 200 5 "-" "x" "-"',
+    '192.0.2.17 - - [03/Mar/2021:23:10:05 +0330] "GET / HTTP/1.1" ok 5 "-" "x" "-"',
 ]
 
 
 def test_access_log_lines(spark):
-    df = spark.createDataFrame([(line,) for line in LINES], "value string")
-    first, second, third, fourth = access_log.parse_lines(df).collect()
+    df = spark.createDataFrame([(line,) for line in LINES + BROKEN], "value string")
+    first, second, third, *broken = access_log.parse_lines(df).collect()
     assert tuple(first) == (
-        "5.78.198.52", datetime(2019, 1, 22, 0, 26, 26), "POST", "/m/update?a=b", 200, 171, "https://example.org/x",
-        "Mozilla/5.0 (Linux)",
+        "192.0.2.17", datetime(2021, 3, 3, 19, 40, 5), "POST", "/basket/add?item=7", 200, 512,
+        "https://shop.example/list", "Browser/1.0 (Desk)",
     )
-    assert second["path"] == "/filter/27|13 a,b" and second["response_size"] is None and second["status"] == 304
-    assert second["ts"] == datetime(2019, 1, 22, 3, 56, 14)
-    assert all(v is None for v in third) and all(v is None for v in fourth)
+    assert second["path"] == "/search/tea|green a,b" and second["response_size"] is None and second["status"] == 304
+    assert second["ts"] == datetime(2021, 3, 3, 8, 1, 44)
+    assert (third["ip"], third["path"], third["status"], third["response_size"]) == ("2001:db8::5", '/s?q=\\"x\\"', 200, 171)
+    assert third["agent"] == 'say \\"hi\\"' and third["referer"] == "-"
+    assert len(broken) == len(BROKEN) and all(v is None for row in broken for v in row)
 
 
 def test_access_log_files(spark, tmp_path):
-    (tmp_path / "a.log").write_text("\n".join(LINES[:3]))
+    (tmp_path / "a.log").write_text("\n".join([*LINES[:2], BROKEN[0]]))
     assert access_log.read_access_log(spark, str(tmp_path)).where("ip is not null").count() == 2
     assert access_log.stream_access_log(spark, str(tmp_path)).isStreaming
 
 
 def test_csv_by_position(spark, tmp_path):
     (tmp_path / "in.csv").write_text(
-        ",".join(f"c{i}" for i in range(16)) + "\nFSO,2013-01-04 19:55,32.0,25.7,77.28,27.42,240.0,4.6,29.71,-1.0,0.00,10.0,OVC,3200.0,M,M\n"
+        ",".join(f"c{i}" for i in range(16)) + "\nXYZ,2021-05-06 07:08,50.5,40.0,60.00,50.10,90.0,3.2,30.01,-1.0,0.00,9.0,FEW,2100.0,M,M\n"
     )
     row = files.read_csv(spark, str(tmp_path)).first()
-    assert row["station"] == "FSO" and row["mslp"] == "-1.0" and row["ice_acceretion_1hr"] == "M"
+    assert row["station"] == "XYZ" and row["mslp"] == "-1.0" and row["ice_acceretion_1hr"] == "M"
     assert files.stream_csv(spark, str(tmp_path)).schema == RAW_SCHEMA
 
 
 def test_messages_on_disk(spark):
-    df = spark.createDataFrame([[f if f != "valid" else "2013-01-04 19:55" for f in FIELDS]], RAW_SCHEMA)
+    df = spark.createDataFrame([[f if f != "valid" else "2021-05-06 07:08" for f in FIELDS]], RAW_SCHEMA)
     path = shared_folder(spark, "messages")
     to_messages(df).write.text(path)
     assert files.read_messages(spark, path).count() == 1
@@ -95,4 +104,4 @@ def test_sizing_follows_the_data():
     assert small["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "8"
     large = sizing(100 * MIB * MIB, 4000)
     assert large["spark.sql.files.maxPartitionBytes"] == str(1024 * MIB)
-    assert large["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "20000"
+    assert large["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == str(100 * MIB * MIB // (256 * MIB))

@@ -5,6 +5,7 @@ from datetime import datetime, timedelta
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from obsflow.functions.time import WEEK
 from obsflow.operators import trailing
@@ -93,3 +94,19 @@ def test_week_long_frames(rows):
             assert r["stddev_temp"] is None
     (equal,) = [r for r in got if r["station"] == "c" and r["valid"] == datetime(2024, 1, 8, 12)]
     assert (equal["avg_temp"], equal["stddev_temp"]) == (5.0, 0.0)
+
+
+def test_trailing_week_of_times_within_a_second(spark):
+    """Sub-second times are times of their own, and a key far from others keeps its deviation."""
+    rows = [("a", "2024-01-03 00:00:00.100", 1.0), ("a", "2024-01-03 00:00:00.500", 3.0)]
+    rows += [("near", f"2024-01-0{d} 10:00:00.25", v) for d, v in ((1, 0.0), (2, 0.1), (3, 0.2))]
+    rows += [("far", f"2024-01-0{d} 10:00:00.25", 1e8 + v) for d, v in ((1, 0.0), (2, 0.1), (3, 0.2))]
+    df = spark.createDataFrame(rows, "station string, valid string, tmpf double")
+    df = df.withColumn("valid", F.col("valid").cast("timestamp"))
+    got = {(r.station, str(r.valid)): r for r in trailing.trailing_stats(df, "valid", "tmpf", "station", WEEK).collect()}
+    assert len(got) == 8
+    first, second = got["a", "2024-01-03 00:00:00.100000"], got["a", "2024-01-03 00:00:00.500000"]
+    assert (first.avg_temp, first.stddev_temp) == (1.0, None)
+    assert second.avg_temp == 2.0 and second.stddev_temp == pytest.approx(2**0.5)
+    for station in ("near", "far"):
+        assert got[station, "2024-01-03 10:00:00.250000"].stddev_temp == pytest.approx(0.1, rel=1e-5)

@@ -134,3 +134,12 @@ def test_counts_and_means(rows):
     means = windows.window_mean(df, "valid", "tmpf").orderBy("window_start").collect()
     assert [r["moving_average"] for r in means] == [2.0, 5.0]
     assert [tuple(r) for r in windows.count_by(df, "station").collect()] == [("a", 2), ("b", 1)]
+
+
+def test_standardise_keeps_rows_without_key_or_time(spark):
+    rows = [("a", "2024-01-01 00:00:00", 1.0), ("a", "2024-01-01 00:00:01", 3.0), (None, "2024-01-01 00:00:00", 2.0)]
+    rows += [(None, "2024-01-01 00:00:02", 4.0), ("a", None, 9.0)]
+    df = spark.createDataFrame(rows, "station string, valid string, tmpf double").selectExpr("station", "cast(valid as timestamp) valid", "tmpf")
+    got = {(r.station, r.tmpf): r.tmpf_norm for r in windows.standardise(df, "valid", ["tmpf"], "station").collect()}
+    assert len(got) == 5 and got["a", 9.0] is None
+    assert got["a", 1.0] == -got["a", 3.0] == got[None, 2.0] == -got[None, 4.0] < 0
