@@ -44,6 +44,8 @@ from obsflow.session import materialise
 SHINGLE = 3
 PERCENT = 90
 ATTEMPTS = 4
+#: Bits of the sketch that candidates are compared on before their sets are.
+BITS = 1024
 _GROWTH = 1.4
 _LARGEST = 1 << 40
 
@@ -144,6 +146,18 @@ def sketch_keys(hashes, first, percent=PERCENT):
     return np.concatenate(keys), np.concatenate(owners)
 
 
+def wide_sketches(hashes, first):
+    """Parity sketches of ``BITS`` bits, one for each set, as rows of bytes."""
+    out = np.zeros((len(first) - 1, BITS // 8), dtype=np.uint8)
+    bit = (mix(hashes, 97) >> np.uint64(54)).astype(np.int64) % BITS
+    for lo in range(0, len(out), 2048):
+        hi = min(lo + 2048, len(out))
+        own = np.repeat(np.arange(hi - lo), np.diff(first[lo : hi + 1]))
+        count = np.bincount(own * BITS + bit[first[lo] : first[hi]], minlength=(hi - lo) * BITS)
+        out[lo:hi] = np.packbits((count & 1).astype(np.uint8).reshape(hi - lo, BITS), axis=1)
+    return out
+
+
 _MARKS = pa.schema(
     [
         ("block", pa.int32()),
@@ -153,12 +167,13 @@ _MARKS = pa.schema(
         ("_t", pa.int64()),
         ("n", pa.int64()),
         ("name", pa.binary()),
+        ("sketch", pa.binary()),
         ("owner", pa.binary()),
         ("key", pa.binary()),
     ]
 )
 _MARKS_DDL = (
-    "block int, row long, doc_id long, _k long, _t long, n long, name binary, owner binary, key binary"
+    "block int, row long, doc_id long, _k long, _t long, n long, name binary, sketch binary, owner binary, key binary"
 )
 
 
@@ -172,9 +187,9 @@ def _mark(shingle, percent, blocks):
             ids, texts = (b.column(c).to_numpy(zero_copy_only=False) for c in ("_k", "_t"))
             for part in slices(b.column("text"), lower=True):
                 hashes, first = sets_of(part, shingle)
-                names, sizes = set_keys(hashes, first), np.diff(first)
+                names, sizes, wide = set_keys(hashes, first), np.diff(first), wide_sketches(hashes, first)
                 rows = [
-                    (None, row + d, doc_ids[part.lo + d], int(ids[part.lo + d]), int(texts[part.lo + d]), int(sizes[d]), names[d].tobytes() if sizes[d] else None, None, None)
+                    (None, row + d, doc_ids[part.lo + d], int(ids[part.lo + d]), int(texts[part.lo + d]), int(sizes[d]), names[d].tobytes() if sizes[d] else None, wide[d].tobytes(), None, None)
                     for d in range(part.n_docs)
                 ]
                 # Of equal sets in a slice the first sends its pieces for all.
@@ -186,7 +201,7 @@ def _mark(shingle, percent, blocks):
                     for block, chosen in deal(block_of(keys, blocks)):
                         chosen = chosen[np.argsort(owner[chosen], kind="stable")]
                         steps = np.diff(one[owner[chosen]], prepend=0).astype(np.int32)
-                        rows.append((block, row, None, None, None, None, None, pack(steps), pack(keys[chosen])))
+                        rows.append((block, row, None, None, None, None, None, None, pack(steps), pack(keys[chosen])))
                 row += part.n_docs
                 yield batch(_MARKS, rows)
 
@@ -239,6 +254,20 @@ def _set_blobs(shingle):
     return run
 
 
+def _near(percent):
+    """Task side: whether sizes and sketches of two sets allow the similarity."""
+
+    def run(batches):
+        for b in batches:
+            m, n = (b.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("m", "n"))
+            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), dtype=np.uint64).reshape(b.num_rows, -1) for c in ("x", "y"))
+            apart = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+            near = (100 * np.minimum(m, n) >= percent * np.maximum(m, n)) & (apart <= (m + n) * (100 - percent) // (100 + percent))
+            yield pa.record_batch([b.column("a"), b.column("b"), pa.array(near)], names=["a", "b", "near"])
+
+    return run
+
+
 def _verify(percent):
     """Task side: whether two sets reach the similarity, exactly."""
 
@@ -285,7 +314,7 @@ def _labelled(docs, shingle, percent):
     spark = shipped(docs.sparkSession)
     keyed = with_keys(docs.select("doc_id", "text")).select("_k", "_t", "text", F.col("_row.doc_id").cast("long").alias("doc_id"))
     marks = materialise(keyed.mapInArrow(_mark(shingle, percent, n_blocks(spark)), _MARKS_DDL), "marks")
-    members = marks.where("block is null").select("row", "doc_id", "_k", "_t", "n", "name")
+    members = marks.where("block is null").select("row", "doc_id", "_k", "_t", "n", "name", "sketch")
     classes = members.where("n > 0").groupBy("name").agg(
         F.min("row").alias("rep"), F.min("doc_id").alias("class_id"), F.min(F.struct("row", "_k", "_t")).alias("place")
     )
@@ -302,21 +331,32 @@ def _labelled(docs, shingle, percent):
     stars = by_rep(shared.mapInArrow(_stars(False), "a long, b long").distinct()).where("a <> b")
     stars = materialise(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "stars")
 
-    # The sets of the rows that meet others, from their texts.
-    met = stars.select("a").union(stars.select("b")).distinct().withColumnRenamed("a", "row")
-    places = classes.select("place.*").join(met, "row", "left_semi")
-    texts = squeeze(keyed.select("_k", "_t", "text"))
-    held = texts.join(places.hint("merge"), ["_k", "_t"]).select("row", "text")
-    sets = held.mapInArrow(_set_blobs(shingle), "row long, elements binary")
-    sets = materialise(sets.dropDuplicates(["row"]), "sets")
+    sketches = members.select("row", "n", "sketch")
+    texts = keyed.select("_k", "_t", "text")
 
     def verified(pairs):
+        """Pairs with whether they link: compared on their sketches, and those that are near on their sets."""
+        x = sketches.select(F.col("row").alias("a"), F.col("n").alias("m"), F.col("sketch").alias("x"))
+        y = sketches.select(F.col("row").alias("b"), "n", F.col("sketch").alias("y"))
+        both = pairs.join(x, "a").join(y, "b").select("a", "b", "m", "n", "x", "y")
+        compared = materialise(both.mapInArrow(_near(percent), "a long, b long, near boolean"), "compared")
+        near = compared.where("near").select("a", "b")
+        far = compared.where("not near").select("a", "b", F.lit(False).alias("linked"))
+        if near.isEmpty():
+            return far
+        # The sets of what is left, from the texts.
+        met = near.select("a").union(near.select("b")).distinct().withColumnRenamed("a", "row")
+        places = classes.select("place.*").join(met, "row", "left_semi")
+        held = squeeze(texts).join(places.hint("merge"), ["_k", "_t"]).select("row", "text")
+        sets = materialise(held.mapInArrow(_set_blobs(shingle), "row long, elements binary"), "sets")
         # Dealt by row once: both joins read the same exchange.
         dealt = sets.repartition("row")
         x = dealt.select(F.col("row").alias("a"), F.col("elements").alias("x"))
         y = dealt.select(F.col("row").alias("b"), F.col("elements").alias("y"))
-        both = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")
-        return materialise(both.mapInArrow(_verify(percent), "a long, b long, linked boolean"), "checked")
+        both = near.join(x, "a").join(y, "b").select("a", "b", "x", "y")
+        linked = both.mapInArrow(_verify(percent), "a long, b long, linked boolean")
+        # A document repeated row by row gives its pairs more than once.
+        return materialise(linked.union(far).distinct(), "checked")
 
     def labels():
         return materialise(components(checked.where("linked").select("a", "b")), "components")
@@ -357,7 +397,7 @@ def _labelled(docs, shingle, percent):
     labelled = classes.select("name", "rep", "class_id").join(found, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     smallest = labelled.groupBy("component").agg(F.min("class_id").alias("component_id"))
     labelled = labelled.join(smallest, "component").select("name", "class_id", "component", "component_id")
-    return members.join(labelled, "name", "left")
+    return members.drop("sketch").join(labelled, "name", "left")
 
 
 def jaccard_components(docs, shingle=SHINGLE, percent=PERCENT):
