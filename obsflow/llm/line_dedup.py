@@ -42,6 +42,8 @@ PERCENT = 80
 COUNTERS = 1 << 18
 #: Earlier partners of a line that one group names; groups with more are finished exactly in a second step.
 NAMED = 2
+#: Lines of so many words have a bitmap of 256 bits as well: 64 say little about them.
+LONG = 90
 
 
 def line_bounds(part):
@@ -102,6 +104,16 @@ def rarity(docs):
     return out
 
 
+def wide_bitmaps(words, line, chosen):
+    """Parity of a 256-bit sketch for each chosen set (ascending), as rows of four 64-bit numbers."""
+    at = np.searchsorted(chosen, line)
+    held = np.flatnonzero((at < len(chosen)) & (chosen[np.minimum(at, len(chosen) - 1)] == line)) if len(chosen) else at[:0]
+    out = np.zeros((len(chosen), 4), dtype=np.uint64)
+    bit = mix(words[held], 63)
+    np.bitwise_xor.at(out, (at[held], (bit >> np.uint64(62)).astype(np.int64)), np.uint64(1) << (bit & np.uint64(63)))
+    return out
+
+
 def bitmaps(words, line, n):
     """Parity of a 64-bit sketch for each of ``n`` sets."""
     out = np.zeros(n, dtype=np.uint64)
@@ -114,9 +126,9 @@ def bitmaps(words, line, n):
 _NAMES, _GONE, _WORDS = 0, 1, 2
 _ROWS = pa.schema(
     [("block", pa.int32()), ("kind", pa.int32())]
-    + [(c, pa.binary()) for c in ("k", "doc", "line", "key", "name", "bits", "size", "place")]
+    + [(c, pa.binary()) for c in ("k", "doc", "line", "key", "name", "bits", "size", "place", "wide")]
 )
-_ROWS_DDL = "block int, kind int, " + ", ".join(f"{c} binary" for c in ("k", "doc", "line", "key", "name", "bits", "size", "place"))
+_ROWS_DDL = "block int, kind int, " + ", ".join(f"{c} binary" for c in ("k", "doc", "line", "key", "name", "bits", "size", "place", "wide"))
 #: The place of a line: id of its document, number, and name, which tells apart rows that share an id.
 _LINE = ["k", "line", "name"]
 _FIRST = ["k0", "line0", "name0"]
@@ -149,8 +161,10 @@ def _post(counts, percent, blocks):
                         chosen = chosen[np.argsort(lines[chosen], kind="stable")]
                         own = lines[chosen]
                         held, back = np.unique(doc[own], return_inverse=True)
-                        row = dict.fromkeys(("key", "name", "bits", "size", "place"))
+                        row = dict.fromkeys(("key", "name", "bits", "size", "place", "wide"))
                         row |= {c: pack(v[chosen]) for c, v in more.items()}
+                        if kind == _WORDS:
+                            row["wide"] = pack(wide[np.searchsorted(long, own[sizes[own] >= LONG])])
                         yield (
                             block,
                             kind,
@@ -178,6 +192,8 @@ def _post(counts, percent, blocks):
                 prefix = position < n - (percent * n + 99) // 100 + 1
                 own_words, own_line, position = own_words[prefix], own_line[prefix], position[prefix]
                 bits = bitmaps(words, line, len(doc))
+                long = np.unique(own_line[sizes[own_line] >= LONG])
+                wide = wide_bitmaps(words, line, long)
                 rows += rows_of(
                     _WORDS,
                     block_of(mix(own_words, 81), blocks),
@@ -221,6 +237,9 @@ def _meet(percent):
             for c, kind in (("key", np.uint64), ("name", np.int64), ("bits", np.uint64), ("size", np.int32), ("place", np.int32)):
                 if row[c] is not None:
                     own[c] = unpack(row[c], kind)
+            if row["wide"] is not None:
+                own["wide"] = np.zeros((len(doc), 4), dtype=np.uint64)
+                own["wide"][own["size"] >= LONG] = unpack(row["wide"], np.uint64).reshape(-1, 4)
             for c, v in own.items():
                 columns.setdefault(row["kind"], {}).setdefault(c, []).append(v)
         columns = {kind: {c: np.concatenate(v) for c, v in own.items()} for kind, own in columns.items()}
@@ -259,6 +278,10 @@ def _meet(percent):
                 i, j = spot[active], spot[early]
                 room = np.minimum(i, j) + 1 + np.minimum(x - i, y - j) - 1
                 apart = np.bitwise_count(own["bits"][active] ^ own["bits"][early]).astype(np.int64)
+                # Bits that differ are words that are not common, in either bitmap.
+                both = np.flatnonzero((x >= LONG) & (y >= LONG))
+                wider = np.bitwise_count(own["wide"][active[both]] ^ own["wide"][early[both]]).sum(axis=1, dtype=np.int64)
+                apart[both] = np.maximum(apart[both], wider)
                 good = (100 * np.minimum(x, y) >= percent * np.maximum(x, y)) & (room >= need) & (apart <= x + y - 2 * need)
                 late, early = active[good], early[good]
                 named[late] += 1
