@@ -7,6 +7,8 @@ import sys
 import pytest
 
 import __spark_entry__ as entry
+from obsflow.plans.oracle import ORACLE
+from obsflow.plans.registry import QUERIES
 from tools.compare import compare, connect
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
@@ -18,25 +20,25 @@ def con():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, con, name):
     count, problem = compare(spark, con, FOLDER, name)
     assert not problem and count > 0
 
 
 def test_every_query_has_sql_where_sql_can_say_it():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == ROWS_ONLY
-    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(QUERIES) - set(ORACLE) == ROWS_ONLY
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-STREAMED = {n for n in entry.queries() if n.startswith("stream_")} | {"anomaly_log"}
+STREAMED = {n for n in QUERIES if n.startswith("stream_")} | {"anomaly_log"}
 
 
-@pytest.mark.parametrize("name", [n for n in entry.queries() if n not in STREAMED | ROWS_ONLY])
+@pytest.mark.parametrize("name", [n for n in QUERIES if n not in STREAMED | ROWS_ONLY])
 def test_plans_have_no_products_and_no_python(spark, name):
     plan = plan_of(entry.queries()[name](spark, FOLDER))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas", "SinglePartition, REPARTITION"):
