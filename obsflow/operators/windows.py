@@ -227,7 +227,8 @@ def with_window_stats(df, ts, columns, keys=(), seconds=10, digits=None):
     """
     keys = _names(keys)
     # F.window would drop rows without a time.
-    start = F.timestamp_seconds(F.floor(epoch(ts) / F.lit(seconds)) * F.lit(seconds))
+    at = epoch(F.col(ts).cast("timestamp"))
+    start = F.timestamp_seconds(F.floor(at / F.lit(seconds)) * F.lit(seconds)).cast(df.schema[ts].dataType)
     rows = df.withColumn("window_start", start)
     aggregates = []
     for c in columns:
