@@ -89,14 +89,13 @@ def _count(batches):
     total = np.zeros(COUNTERS, dtype=np.int64)
     for b in batches:
         for part in slices(b.column("text")):
-            words, _, _, _ = _line_sets(part)
-            total += np.bincount(_slot(words), minlength=COUNTERS)
+            total += np.bincount(_slot(part.word_hashes()), minlength=COUNTERS)
     slot = np.flatnonzero(total)
     yield pa.record_batch([pa.array(slot), pa.array(total[slot])], names=["slot", "n"])
 
 
 def rarity(docs):
-    """How many lines hold a word of each counter: an array of ``COUNTERS``."""
+    """How often words of each counter occur in all documents: an array of ``COUNTERS``."""
     counted = docs.select("text").mapInArrow(_count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
     out = np.zeros(COUNTERS, dtype=np.int64)
     for row in counted.collect():  # at most COUNTERS rows
@@ -134,8 +133,8 @@ _LINE = ["k", "line", "name"]
 _FIRST = ["k0", "line0", "name0"]
 _PLACE = [("k", pa.int64()), ("line", pa.int32()), ("name", pa.int64())]
 _PLACE_DDL = "k long, line int, name long"
-_FOUND_DDL = f"kind int, key long, {_PLACE_DDL}, k0 long, line0 int, name0 long"
-_FOUND = pa.schema([("kind", pa.int32()), ("key", pa.int64()), *_PLACE, *((f"{c}0", kind) for c, kind in _PLACE)])
+_FOUND_DDL = f"kind int, key long, {_PLACE_DDL}, k0 long, line0 int, name0 long, members binary"
+_FOUND = pa.schema([("kind", pa.int32()), ("key", pa.int64()), *_PLACE, *((f"{c}0", kind) for c, kind in _PLACE), ("members", pa.binary())])
 _PAIR, _OPEN, _MEMBER = 2, 3, 4
 
 
@@ -218,7 +217,8 @@ def _meet(percent):
     """Block side: later copies of equal lines, and for every line earlier lines that pass the filters."""
 
     def run(key, table):
-        out = {f.name: [] for f in _FOUND}
+        out = {f.name: [] for f in _FOUND if f.name != "members"}
+        groups = []
 
         def give(kind, keys, late, early=None):
             zero = np.zeros(len(late["k"]), np.int64)
@@ -292,14 +292,28 @@ def _meet(percent):
             if full.any():
                 word = own["key"].view(np.int64)
                 give(_OPEN, word[full], at(own, full))
-                kept = np.isin(group, np.unique(group[full]))
-                give(_MEMBER, word[kept], at(own, kept))
+                for g in np.unique(group[full]):
+                    i, j = start[g], start[g] + size[g]
+                    groups.append((int(word[i]), pack(own["k"][i:j]) + pack(own["name"][i:j]) + pack(own["line"][i:j])))
         arrays = [pa.array(np.concatenate(v) if v else [], type=_FOUND.field(c).type) for c, v in out.items()]
-        return pa.table(arrays, schema=_FOUND)
+        flat = pa.table([*arrays, pa.nulls(len(arrays[0]), pa.binary())], schema=_FOUND)
+        whole = {"kind": [_MEMBER] * len(groups), "key": [k for k, _ in groups], "members": [m for _, m in groups]}
+        columns = [pa.array(whole.get(f.name, [None] * len(groups)), type=f.type) for f in _FOUND]
+        return pa.concat_tables([flat, pa.table(columns, schema=_FOUND)])
 
     return run
 
 
+def _unpacked(batches):
+    """Task side: the lines of whole groups, one row each."""
+    for b in batches:
+        for key, members in zip(b.column("key").to_pylist(), b.column("members").to_pylist()):
+            k, name, line = unpack(members, np.int64).reshape(3, -1)
+            yield pa.record_batch(
+                [pa.array(np.full(len(k), key)), pa.array(k), pa.array(line.astype(np.int32)), pa.array(name)], names=["key", *_LINE]
+            )
+
+
 def _elements(batches):
     """Task side: the word sets of the lines asked for."""
     for b in loosen(batches):
@@ -387,11 +401,14 @@ def removed_lines(docs, percent=PERCENT):
     found = materialise(posted.groupBy("block").applyInArrow(_meet(percent), _FOUND_DDL), "lines")
     pairs = found.where(f"kind = {_PAIR}").select(*_LINE, *_FIRST).distinct()
     open_lines = found.where(f"kind = {_OPEN}").select("key", *_LINE)
-    members = found.where(f"kind = {_MEMBER}").select("key", *_LINE)
-    asked = pairs.select(*_LINE).union(pairs.select(*_FIRST)).union(members.select(*_LINE)).distinct()
-    asked = asked.groupBy(F.col("k").alias("_k")).agg(F.collect_list(F.struct("line", "name")).alias("asked"))
-    sets = squeeze(keyed).join(asked.hint("merge"), "_k").mapInArrow(_elements, f"{_PLACE_DDL}, elements binary")
-    sets = materialise(sets, "sets")
+
+    def sets_of(places):
+        """The words of lines, from the texts."""
+        asked = places.groupBy(F.col("k").alias("_k")).agg(F.collect_list(F.struct("line", "name")).alias("asked"))
+        met = squeeze(keyed).join(asked.hint("merge"), "_k")
+        return materialise(met.mapInArrow(_elements, f"{_PLACE_DDL}, elements binary"), "sets")
+
+    sets = sets_of(pairs.select(*_LINE).union(pairs.select(*_FIRST)).distinct())
     # Dealt by place once: both joins read the same exchange.
     dealt = sets.repartition(*_LINE)
     later = dealt.withColumnRenamed("elements", "x")
@@ -399,10 +416,15 @@ def removed_lines(docs, percent=PERCENT):
     met = pairs.join(later, _LINE).join(earlier, _FIRST).select(*_LINE, "x", "y")
     near = materialise(met.mapInArrow(_verify(percent), _PLACE_DDL).distinct(), "near")
     # What the named partners did not settle goes against its whole group.
-    left = open_lines.join(near, _LINE, "left_anti").withColumn("unsettled", F.lit(True))
-    groups = members.join(left.select("key").distinct(), "key", "left_semi").join(left, ["key", *_LINE], "left")
-    groups = groups.join(sets, _LINE).select("key", *_LINE, "elements", F.coalesce("unsettled", F.lit(False)).alias("unsettled"))
-    rest = materialise(groups.groupBy("key").applyInArrow(_finish(percent), _PLACE_DDL), "rest")
+    rest = materialise(open_lines.join(near, _LINE, "left_anti"), "open")
+    if not rest.isEmpty():
+        left = rest.withColumn("unsettled", F.lit(True))
+        whole = found.where(f"kind = {_MEMBER}").select("key", "members").join(rest.select("key").distinct(), "key", "left_semi")
+        members = materialise(whole.mapInArrow(_unpacked, f"key long, {_PLACE_DDL}"), "members")
+        groups = members.join(left, ["key", *_LINE], "left").join(sets_of(members.select(*_LINE).distinct()), _LINE)
+        groups = groups.select("key", *_LINE, "elements", F.coalesce("unsettled", F.lit(False)).alias("unsettled"))
+        rest = materialise(groups.groupBy("key").applyInArrow(_finish(percent), _PLACE_DDL), "rest")
+    rest = rest.select(*_LINE)
     return found.where(f"kind = {_GONE}").select(*_LINE).union(near).union(rest).distinct()
 
 
