@@ -254,6 +254,12 @@ def _set_blobs(shingle):
     return run
 
 
+def _may_link(m, n, x, y, percent):
+    """Whether sizes and sketches of sets allow the similarity."""
+    apart = np.bitwise_count(x ^ y).sum(axis=-1, dtype=np.int64)
+    return (100 * np.minimum(m, n) >= percent * np.maximum(m, n)) & (apart <= (m + n) * (100 - percent) // (100 + percent))
+
+
 def _near(percent):
     """Task side: whether sizes and sketches of two sets allow the similarity."""
 
@@ -261,8 +267,7 @@ def _near(percent):
         for b in batches:
             m, n = (b.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("m", "n"))
             x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), dtype=np.uint64).reshape(b.num_rows, -1) for c in ("x", "y"))
-            apart = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
-            near = (100 * np.minimum(m, n) >= percent * np.maximum(m, n)) & (apart <= (m + n) * (100 - percent) // (100 + percent))
+            near = _may_link(m, n, x, y, percent)
             yield pa.record_batch([b.column("a"), b.column("b"), pa.array(near)], names=["a", "b", "near"])
 
     return run
@@ -286,13 +291,14 @@ def _verify(percent):
     return run
 
 
-def _cross_pairs(limit):
-    """Group side: pairs of members of a piece from different components, the earliest ``limit`` for each member."""
+def _cross_pairs(limit, percent):
+    """Group side: near pairs of members of a piece from different components, the earliest ``limit`` for each member."""
 
     def run(key, table):
-        row, comp = (table.column(c).to_numpy() for c in ("row", "component"))
+        row, comp, size = (table.column(c).to_numpy() for c in ("row", "component", "n"))
         order = np.argsort(row)
-        row, comp = row[order], comp[order]
+        bits = np.frombuffer(b"".join(table.column("sketch").to_pylist()), dtype=np.uint64).reshape(len(row), -1)[order]
+        row, comp, size = row[order], comp[order], size[order]
         a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         taken = np.zeros(len(row), dtype=np.int64)
         active = np.arange(len(row))
@@ -301,6 +307,7 @@ def _cross_pairs(limit):
             if not len(active):
                 break
             met = active[comp[active] != comp[i]]
+            met = met[_may_link(size[i], size[met], bits[i], bits[met], percent)]
             taken[met] += 1
             a.append(np.full(len(met), row[i]))
             b.append(row[met])
@@ -386,7 +393,8 @@ def _labelled(docs, shingle, percent):
         split = label(groups, found, "row").withColumnRenamed("row_component", "component")
         several = split.groupBy("key").agg(F.min("component").alias("u"), F.max("component").alias("v")).where("u <> v")
         split = split.join(several.select("key"), "key", "left_semi")
-        pairs = split.groupBy("key").applyInArrow(_cross_pairs(limit), "a long, b long").distinct()
+        split = split.join(sketches, "row").select("key", "row", "component", "n", "sketch")
+        pairs = split.groupBy("key").applyInArrow(_cross_pairs(limit, percent), "a long, b long").distinct()
         pairs = materialise(pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
         if pairs.isEmpty():
             break
