@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from obsflow.llm.blocks import changes, shipped
+from obsflow.llm.blocks import changes, loosen, shipped, squeeze
 from obsflow.llm.bpe import texts_of
 from obsflow.llm.words import mix
 from obsflow.session import materialise
@@ -196,7 +196,7 @@ def _neighbours(batches):
     """Task side: documents of a sorted partition against the next; the first and the last leave their texts."""
     part = TaskContext.get().partitionId()
     last = None
-    for b in batches:
+    for b in loosen(batches):
         ids = iter(b.column("doc_id").to_pylist())
         for texts in texts_of(b.column("text")):
             own = [next(ids) for _ in texts]
@@ -235,7 +235,7 @@ def fingerprints(docs):
     order = [F.desc_nulls_last("doc_id"), F.asc("_t")]
     keyed = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("_t"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = keyed.repartitionByRange(parts, *order).sortWithinPartitions(*order).drop("_t")
+    dealt = squeeze(keyed).repartitionByRange(parts, *order).sortWithinPartitions(*order).drop("_t")
     rows = materialise(dealt.mapInArrow(_neighbours, f"{_DDL}, role int, part int, text string"), "fingerprints")
     heads = rows.where(f"role = {_HEAD}").select("part", F.col("text").alias("following"))
     tails = rows.where(f"role = {_TAIL}").select("part", "doc_id", "text")
