@@ -109,16 +109,16 @@ class Tree:
             own, far = self.members[node], self.member_distance[node]
             lo, hi = np.searchsorted(far, [distance - limit, distance + limit + slack])
             own = own[lo:hi]
+            # Before the cut: a repeated id of the query has many rows, and none may take a place.
+            own = own[ids[own] != skip]
             if not len(own):
                 continue
             scores = score_of(own)
             if len(best) == k:
                 good = scores >= best[0][0]
                 own, scores = own[good], scores[good]
-            order = np.lexsort((ids[own], -scores))[: k + 1]
+            order = np.lexsort((ids[own], -scores))[:k]
             for i in order:
-                if ids[own[i]] == skip:
-                    continue
                 entry = (int(scores[i]), -int(ids[own[i]]))
                 if len(best) < k:
                     heapq.heappush(best, entry)

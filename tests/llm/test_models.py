@@ -86,6 +86,15 @@ def test_vectors_that_take_no_part(spark):
     assert top_k(df.limit(0), df, 3).count() == 0 and top_k(df, df.limit(0), 3).count() == 0
 
 
+@pytest.mark.parametrize("repeats", [3, 9])
+def test_rows_of_the_query_take_no_place_of_others(spark, repeats):
+    rows = [(0, [10.0, 1.0])] * repeats + [(i, [10.0 - i / 8, 1.0]) for i in range(1, 40)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(1)
+    held = [(i, [int(256 * x) for x in v]) for i, v in rows]
+    got = sorted(tuple(r) for r in top_k(df, df.where("vec_id = 0"), 3).collect())
+    assert got == sorted(best(held, {0: held[0][1]}, 3)) and len(got) == 3
+
+
 def test_large_components_stay_exact(spark):
     big = [(0, [2.0**22, 1.0]), (1, [2.0**22, 2.0]), (2, [2.0**22, 3.0])]
     df = spark.createDataFrame(big, "vec_id long, embedding array<double>")
