@@ -46,6 +46,8 @@ PERCENT = 90
 ATTEMPTS = 4
 #: Bits of the sketch that candidates are compared on before their sets are.
 BITS = 1024
+#: Earlier partners that a member of a group is paired with in the first round; each round takes 16 times as many.
+EARLIEST = 16
 _GROWTH = 1.4
 _LARGEST = 1 << 40
 
@@ -292,7 +294,10 @@ def _verify(percent):
 
 
 def _cross_pairs(limit, percent):
-    """Group side: near pairs of members of a piece from different components, the earliest ``limit`` for each member."""
+    """Group side: near pairs of members of a piece from different components, the earliest ``limit`` for each member.
+
+    A row of nulls says that a member reached the limit and has earlier rows left.
+    """
 
     def run(key, table):
         row, comp, size = (table.column(c).to_numpy() for c in ("row", "component", "n"))
@@ -302,8 +307,12 @@ def _cross_pairs(limit, percent):
         a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         taken = np.zeros(len(row), dtype=np.int64)
         active = np.arange(len(row))
+        capped = False
         for i in range(len(row)):
-            active = active[(active > i) & (taken[active] < limit)]
+            active = active[active > i]
+            full = taken[active] >= limit
+            capped |= bool(full.any())
+            active = active[~full]
             if not len(active):
                 break
             met = active[comp[active] != comp[i]]
@@ -311,7 +320,9 @@ def _cross_pairs(limit, percent):
             taken[met] += 1
             a.append(np.full(len(met), row[i]))
             b.append(row[met])
-        return pa.table({"a": pa.array(np.concatenate(a)), "b": pa.array(np.concatenate(b))})
+        a, b = pa.array(np.concatenate(a)), pa.array(np.concatenate(b))
+        more = pa.nulls(int(capped), pa.int64())
+        return pa.table({"a": pa.concat_arrays([a, more]), "b": pa.concat_arrays([b, more])})
 
     return run
 
@@ -388,7 +399,7 @@ def _labelled(docs, shingle, percent):
     groups = flat.select("key", "row").join(touched, "key", "left_semi").distinct()
     large = groups.groupBy("key").agg(F.count("*").alias("m")).where("m > 2").select("key")
     groups = materialise(groups.join(large, "key", "left_semi"), "groups")
-    limit = 16
+    limit = EARLIEST
     while True:
         split = label(groups, found, "row").withColumnRenamed("row_component", "component")
         several = split.groupBy("key").agg(F.min("component").alias("u"), F.max("component").alias("v")).where("u <> v")
@@ -396,10 +407,12 @@ def _labelled(docs, shingle, percent):
         split = split.join(sketches, "row").select("key", "row", "component", "n", "sketch")
         pairs = split.groupBy("key").applyInArrow(_cross_pairs(limit, percent), "a long, b long").distinct()
         pairs = materialise(pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
-        if pairs.isEmpty():
+        fresh = pairs.where("a is not null")
+        if not fresh.isEmpty():
+            checked = materialise(checked.union(verified(fresh)), "checked")
+            found = labels()
+        elif pairs.isEmpty():  # nothing new, and no member with rows left that it was not compared with
             break
-        checked = materialise(checked.union(verified(pairs)), "checked")
-        found = labels()
         limit *= 16
     found = found.select(F.col("node").alias("rep"), "component")
     labelled = classes.select("name", "rep", "class_id").join(found, "rep", "left").withColumn("component", F.coalesce("component", "rep"))

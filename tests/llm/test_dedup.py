@@ -112,6 +112,16 @@ def test_links_beyond_the_first_of_a_group(spark):
     assert set(got.values()) == {0}
 
 
+def test_links_behind_partners_tried_elsewhere(spark, monkeypatch):
+    """The last two link, but share only pieces of the first, which looks near to both and was tried already."""
+    monkeypatch.setattr(ngram_join, "EARLIEST", 1)
+    same = "w2231 w903 w2583 w2846 w2115 w1846 w914 w2145 w2656 w125 w1617 w2764 w2358 w1315 w2702 w2584 w1746 w240 "
+    rows = [(7, same + "w1203 w1428"), (2, same + "w1223 w514"), (5, same + "w1223 w868")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: r.component_id for r in jaccard_components(docs, shingle=1).collect()}
+    assert got == {7: 7, 2: 2, 5: 2}
+
+
 @pytest.mark.parametrize("sizes", [(9, 10), (10, 11), (19, 20), (27, 30), (180, 200)])
 def test_links_across_bands(spark, sizes):
     words = [f"w{i}" for i in range(max(sizes) + 2)]
