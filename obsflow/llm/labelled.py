@@ -12,10 +12,11 @@ def held_out(doc_id, modulus, remainder):
 
 
 def labelled_sample(docs, labels, label, out, size, worst):
-    """``text`` and ``label`` of at most ``size`` documents of each label that are not held out (``out``).
+    """``doc_id``, ``text`` and ``label`` of at most ``size`` documents of each label that are not held out (``out``).
 
     Taken by a hash of the id, so the sample is the same at every run. A document
-    with several labels counts with the ``worst``: 0 or 1.
+    with several labels counts with the ``worst``: 0 or 1. Rows that share an id
+    are one document, with the text whose hash is smallest.
     """
     given = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & ~out(F.col("doc_id")))
     given = given.groupBy("doc_id").agg((F.max(label) if worst else F.min(label)).alias("label"))
@@ -23,7 +24,10 @@ def labelled_sample(docs, labels, label, out, size, worst):
     for value in (0, 1):
         own = given.where(F.col("label") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(size)
         picked = own if picked is None else picked.union(own)
-    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(picked, "doc_id")
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    # Broadcast, and one text per id inside map tasks: an id on many rows is not dealt to one task.
+    met = texts.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "label")
+    return met.agg(F.min(F.struct(F.xxhash64("text"), "text"))["text"].alias("text")).select("doc_id", "text", "label")
 
 
 def sigmoid(x):

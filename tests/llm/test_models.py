@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from obsflow.llm import quality, sharding, topk, toxicity
-from obsflow.llm.labelled import held_out
+from obsflow.llm.labelled import held_out, labelled_sample
 from obsflow.llm.quality import fit_quality, score_quality
 from obsflow.llm.topk import top_k
 from obsflow.llm.toxicity import fit_toxicity, score_toxicity
@@ -119,6 +119,21 @@ def labelled(spark, n=240):
     return spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
 
 
+def test_sample_holds_one_row_of_each_id(spark):
+    rows = [(i, f"text {i}") for i in range(20)] + [(3, f"more {j}") for j in range(50)] + [(4, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, toxic int")
+    got = [
+        labelled_sample(d, labels, "toxic", lambda c: F.lit(False), 8, worst=1).collect()
+        for d in (docs.coalesce(1), docs.repartition(5), docs.where("doc_id = 3 or doc_id < 3"))
+    ]
+    assert collections.Counter(r.label for r in got[0]) == {0: 8, 1: 8}
+    assert len({r.doc_id for r in got[0]}) == 16 and sorted(got[0]) == sorted(got[1])
+    own = labelled_sample(docs, labels, "toxic", lambda c: F.lit(False), 20, worst=1).where("doc_id = 3").collect()
+    assert len(own) == 1 and (3, own[0].text) in rows
+    assert {r.doc_id for r in got[2]} <= {0, 1, 2, 3} and len({r.doc_id for r in got[2]}) == len(got[2])
+
+
 def accuracy(scored, labels, label, out):
     rows = scored.join(labels.dropna().distinct(), "doc_id").where(out(F.col("doc_id"))).select("_predicted", label).collect()
     assert len(rows) > 20
