@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from obsflow.functions.scalar import is_finite, outside, steady_round, z_score
@@ -15,6 +16,8 @@ from obsflow.functions.time import DAY, WEEK, epoch, interval_text
 from obsflow.session import materialise
 
 LIST_PAGE = 100_000
+#: Value ranges that the ranks of a window of several pages are counted in.
+RANGES = 256
 
 
 def spread(df, ts, seconds, slide=None):
@@ -156,12 +159,13 @@ def moments_result(n, mean, m2, lo, hi):
 def window_lists(df, ts, value, keys=(), seconds=7200, slide=3600, page_rows=LIST_PAGE, stats=()):
     """Values of each window as a sorted list, with optional statistics.
 
-    A window small enough gives one row with ``page`` 0. A larger one is split
-    into as many pages as it needs: the pages of a window together are its list,
-    so nothing is dropped and no task ever holds more than about a page.
+    Page p holds the elements p * ``page_rows`` to (p + 1) * ``page_rows`` - 1 of the
+    sorted list, so the pages of a window in order are its list and a list within
+    ``page_rows`` is page 0. Nothing is dropped and no task ever holds more than
+    about a page.
 
-    Equal values are counted before the shuffle and travel as one row; a count
-    above the page size is itself cut into pieces. How many pages a window needs
+    Equal values are counted before the shuffle and travel as one row, which
+    is cut where a page ends. How many pages a window needs
     is settled first, in a table that names only the windows with more than one
     (or every window, when statistics are asked for).
     """
@@ -184,17 +188,19 @@ def window_lists(df, ts, value, keys=(), seconds=7200, slide=3600, page_rows=LIS
             "c.n",
         )
     )
-    pieces = F.sequence(F.lit(0).cast("long"), F.ceil(F.col("n") / F.lit(page_rows)) - 1)
-    copies = F.least(F.lit(page_rows), F.col("n") - F.col("piece") * F.lit(page_rows))
+    large = settled.where("pages > 1").select(*group)
+    small = joined.where("pages = 1").withColumn("begin", F.lit(0).cast("long"))
+    ranked = small if large.isEmpty() else small.unionByName(_ranked(joined.where("pages > 1"), group))
+    size, begin = F.lit(page_rows).cast("long"), F.col("begin")
+    last = F.when(F.col("value").isNotNull(), F.floor((begin + F.col("n") - 1) / size)).otherwise(F.lit(0))
+    copies = F.least(begin + F.col("n"), (F.col("page") + 1) * size) - F.greatest(begin, F.col("page") * size)
     # Missing values are in no list, but a window that has no others still has an empty one.
-    paged = joined.withColumn("n", F.when(F.col("value").isNotNull(), F.col("n")).otherwise(F.lit(1))).withColumn(
-        "piece", F.explode(pieces)
+    paged = ranked.withColumn(
+        "page", F.explode(F.sequence(F.when(F.col("value").isNotNull(), F.floor(begin / size)).otherwise(F.lit(0)), last))
     ).select(
         *group,
         *extra,
-        F.when(F.col("value").isNull(), F.lit(0)).otherwise(
-            F.pmod(F.xxhash64("value", "piece"), F.col("pages"))
-        ).alias("page"),
+        "page",
         "value",
         F.when(F.col("value").isNotNull(), copies).otherwise(F.lit(0)).cast("int").alias("copies"),
     )
@@ -207,6 +213,32 @@ def window_lists(df, ts, value, keys=(), seconds=7200, slide=3600, page_rows=LIS
     return lists.select(*group, *extra, "page", F.sort_array("values").alias("values"))
 
 
+def _ranked(counted, group):
+    """Counted values of windows with ``begin``, how many elements of the window's sorted list stand before.
+
+    Values are cut into ranges at estimated quantiles: counts add up over the
+    ranges of a window and within each range, so no task orders a whole window.
+    The ranks are exact wherever the cuts lie.
+    """
+    counted = materialise(counted, "ranked")
+    present = counted.where("value is not null")
+    shares = [i / RANGES for i in range(1, RANGES)]
+    cuts = present.groupBy(*group).agg(F.percentile_approx("value", shares).alias("cuts"))
+    placed = present.alias("c").join(cuts.alias("s"), same_keys("c", "s", group)).select(
+        *[F.col(f"c.`{c}`") for c in counted.columns],
+        F.size(F.filter(F.col("s.cuts"), lambda x: x < F.col("c.value"))).alias("range"),
+    )
+    ranges = placed.groupBy(*group, "range").agg(F.sum("n").alias("held"))
+    above = Window.partitionBy(*group).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.withColumn("before", F.coalesce(F.sum("held").over(above), F.lit(0))).drop("held")
+    inner = Window.partitionBy(*group, "range").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    inside = placed.withColumn("inside", F.coalesce(F.sum("n").over(inner), F.lit(0)))
+    ranked = inside.alias("v").join(ranges.alias("r"), same_keys("v", "r", [*group, "range"])).select(
+        *[F.col(f"v.`{c}`") for c in counted.columns], (F.col("r.before") + F.col("v.inside")).alias("begin")
+    )
+    return ranked.unionByName(counted.where("value is null").withColumn("begin", F.lit(0).cast("long")))
+
+
 def window_summary(df, ts, value, keys=(), seconds=10, digits=4, page_rows=LIST_PAGE):
     """Rounded mean and deviation, row count and value list per tumbling window."""
     stats = [

@@ -90,6 +90,20 @@ def test_list_pages_hold_every_value(rows, page_rows):
         assert len(crowded) > 10 and max(len(r["values"]) for r in crowded) < 100
 
 
+@pytest.mark.parametrize("page_rows", [7, 40])
+def test_pages_are_cuts_of_the_sorted_list(rows, page_rows):
+    crowd = [("a", "2024-01-03 10:00:00", v) for v in [3.5] * 30 + [i * 37 % 101 / 4 for i in range(101)] + [None, float("nan")]]
+    got = windows.window_lists(rows(crowd), "valid", "tmpf", "station", 7200, 3600, page_rows).collect()
+    whole = sorted(v for _, _, v in crowd[:-2])
+    for start in {r["window_start"] for r in got}:
+        pages = sorted((r["page"], r["values"]) for r in got if r["window_start"] == start)
+        assert [p for p, _ in pages] == list(range(-(-132 // page_rows)))
+        assert all(len(v) == page_rows for _, v in pages[:-1])
+        values = [x for _, v in pages for x in v]
+        assert values[:-1] == whole and values[-1] != values[-1]
+    assert len(got) == 2 * -(-132 // page_rows)
+
+
 def test_summary_matches_statistics(rows):
     items = walk(3, 120)
     got = windows.window_summary(rows(items), "valid", "tmpf", seconds=DAY).collect()
