@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from obsflow.llm import sharding, sql
 from obsflow.llm.blocks import shipped
 from obsflow.llm.bpe import bpe_decode, bpe_encode
+from obsflow.llm.divergence import divergence
 from obsflow.llm.fingerprints import fingerprints
 from obsflow.llm.line_dedup import dedup_lines
 from obsflow.llm.labelled import held_out
@@ -112,6 +113,11 @@ def op10_toxicity(spark, folder):
     return _scored(score_toxicity(docs, model, threshold=0.7), 3, 1)
 
 
+def op11_source_divergence(spark, folder):
+    """Divergence of every two sources of a language, and the terms each source overuses."""
+    return divergence(_table(spark, folder, "documents").select("text", "lang", "source"))
+
+
 def pipeline(spark, folder):
     """All stages of the corpus pipeline."""
     import corpus_pipeline
@@ -130,6 +136,7 @@ QUERIES = {
     "op8_fingerprints": op8_fingerprints,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_toxicity": op10_toxicity,
+    "op11_source_divergence": op11_source_divergence,
     "pipeline": pipeline,
 }
 
@@ -139,4 +146,5 @@ ORACLE = {
     "op4_ngram_jaccard_join": sql.OP4,
     "op5_sharding": sharding.place_sql("documents", "doc_id", sharding.SHARDS, sharding.SLOTS),
     "op6_top_k": sql.OP6,
+    "op11_source_divergence": sql.OP11,
 }

@@ -91,3 +91,42 @@ OP6 = """
     )
     SELECT query_id, place::INTEGER AS rank, vec_id, score FROM ranked WHERE place <= 5
 """
+
+OP11 = rf"""
+    WITH docs AS (
+        SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+               translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS t FROM documents
+    ), terms AS (
+        SELECT d, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs
+    ), kept AS (
+        SELECT lang, term, count(*) AS lang_n FROM terms GROUP BY lang, term HAVING count(DISTINCT d) >= 10
+    ), langs AS (
+        SELECT lang, count(*) AS v, sum(lang_n) AS lang_total FROM kept GROUP BY lang
+    ), counted AS (
+        SELECT lang, source, term, count(*) AS n FROM terms JOIN kept USING (lang, term) GROUP BY lang, source, term
+    ), groups AS (
+        SELECT g.lang, g.source, coalesce(sum(n), 0) AS total
+        FROM (SELECT DISTINCT lang, source FROM docs) g LEFT JOIN counted c ON g.lang = c.lang AND g.source = c.source
+        GROUP BY g.lang, g.source
+    ), shares AS (
+        SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+               1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 2)) // (g.total + 2 * l.v) AS p,
+               1 + (1000000000::HUGEINT * (k.lang_n + 2)) // (l.lang_total + 2 * l.v) AS q
+        FROM groups g JOIN kept k ON g.lang = k.lang JOIN langs l ON g.lang = l.lang
+        LEFT JOIN counted c ON g.lang = c.lang AND g.source = c.source AND k.term = c.term
+    ), summed AS (
+        SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+        FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+        GROUP BY a.lang, a.source, b.source
+    ), found AS (
+        SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+        FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+        LEFT JOIN summed s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+        UNION ALL
+        SELECT lang, source, 'term', term, ((p - q) * (p - q)) // (p + q) FROM shares WHERE n > 0 AND p > q
+    ), ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS place FROM found
+    )
+    SELECT lang, source, part, item, value::BIGINT AS value, place::INTEGER AS rank FROM ranked
+    WHERE part = 'pair' OR place <= 10
+"""
