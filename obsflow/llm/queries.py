@@ -12,6 +12,7 @@ from obsflow.llm.divergence import divergence
 from obsflow.llm.fingerprints import fingerprints
 from obsflow.llm.line_dedup import dedup_lines
 from obsflow.llm.labelled import held_out
+from obsflow.llm.near_vectors import near_vectors
 from obsflow.llm.ngram_join import jaccard_components
 from obsflow.llm.packing import pack_sequences
 from obsflow.llm.quality import fit_quality, score_quality
@@ -118,6 +119,11 @@ def op11_source_divergence(spark, folder):
     return divergence(_table(spark, folder, "documents").select("text", "lang", "source"))
 
 
+def op13_near_vectors(spark, folder):
+    """Links and components of embeddings with one label and a cosine of 0.93 or more."""
+    return near_vectors(_table(spark, folder, "embeddings"), threshold=0.93)
+
+
 def pipeline(spark, folder):
     """All stages of the corpus pipeline."""
     import corpus_pipeline
@@ -137,6 +143,7 @@ QUERIES = {
     "op9_quality_classifier": op9_quality_classifier,
     "op10_toxicity": op10_toxicity,
     "op11_source_divergence": op11_source_divergence,
+    "op13_near_vectors": op13_near_vectors,
     "pipeline": pipeline,
 }
 
@@ -147,4 +154,5 @@ ORACLE = {
     "op5_sharding": sharding.place_sql("documents", "doc_id", sharding.SHARDS, sharding.SLOTS),
     "op6_top_k": sql.OP6,
     "op11_source_divergence": sql.OP11,
+    "op13_near_vectors": sql.OP13,
 }

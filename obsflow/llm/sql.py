@@ -130,3 +130,18 @@ OP11 = rf"""
     SELECT lang, source, part, item, value::BIGINT AS value, place::INTEGER AS rank FROM ranked
     WHERE part = 'pair' OR place <= 10
 """
+
+OP13 = """
+    WITH RECURSIVE whole AS (
+        SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+        WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+          AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    ), links AS (
+        SELECT x.vec_id AS a, y.vec_id AS b FROM whole x JOIN whole y ON x.label = y.label AND len(x.v) = len(y.v) AND x.vec_id <> y.vec_id
+        WHERE list_cosine_similarity(x.v, y.v) >= 0.93
+    ), reach AS (
+        SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+    )
+    SELECT e.vec_id, (SELECT count(*) FROM links l WHERE l.a = e.vec_id) AS n_links, min(r.b) AS component_id, e.vec_id = min(r.b) AS kept
+    FROM embeddings e JOIN reach r ON e.vec_id = r.a GROUP BY e.vec_id
+"""
