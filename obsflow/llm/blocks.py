@@ -135,3 +135,26 @@ def loosen(batches, rows=2000):
             large = [None if x is None else opener.decompress(x) for x in b.column(at).to_pylist()]
             yield b.set_column(at, "text", pa.array(large, type=pa.binary()).cast(pa.string()))
 
+
+
+def added_up(tables, keys, limit=400_000):
+    """Record batches of ``tables`` with every other column summed by ``keys``, over about ``limit`` rows at a time."""
+
+    def together(some):
+        both = pa.concat_tables(some)
+        sums = [c for c in both.schema.names if c not in keys]
+        found = both.group_by(list(keys), use_threads=False).aggregate([(c, "sum") for c in sums])
+        return found.rename_columns({f"{c}_sum": c for c in sums}).select(both.schema.names)
+
+    pending, size = [], 0
+    for table in tables:
+        pending.append(table)
+        size += len(table)
+        if size > limit:
+            pending = [together(pending)]
+            size = len(pending[0])
+            if size > limit // 2:
+                yield from pending[0].to_batches()
+                pending, size = [], 0
+    if pending:
+        yield from together(pending).to_batches()

@@ -25,7 +25,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from obsflow.llm.words import NO_LETTER, slices
+from obsflow.llm.blocks import added_up
+from obsflow.llm.words import NO_LETTER, slices, strings
 from obsflow.session import materialise
 
 MIN_DOCUMENTS = 10
@@ -39,18 +40,9 @@ _PENDING = 400_000
 _COUNTED = "lang string, source string, term string, n long, docs long"
 
 
-def _terms(part):
-    """The words of a slice as an Arrow dictionary array."""
-    letters = part.data[~NO_LETTER[part.data]]
-    ends = np.zeros(len(part.start) + 1, dtype=np.int32)
-    np.cumsum(part.end - part.start, out=ends[1:])
-    words = pa.StringArray.from_buffers(len(part.start), pa.py_buffer(ends), pa.py_buffer(letters))
-    return words.dictionary_encode()
-
-
 def _counts(part, group):
     """(group, term, occurrences, documents) of a slice; ``group``: code of each of its documents."""
-    terms = _terms(part)
+    terms = strings(part, NO_LETTER)
     n_terms = max(len(terms.dictionary), 1)
     code = terms.indices.to_numpy().astype(np.int64)
     own, times = np.unique(part.doc * n_terms + code, return_counts=True)
@@ -62,34 +54,21 @@ def _counts(part, group):
     return found // n_terms, terms.dictionary.take(pa.array(found % n_terms)), n, docs
 
 
-def _together(tables):
-    """Counts of equal (lang, source, term) added."""
-    both = pa.concat_tables(tables).group_by(["lang", "source", "term"], use_threads=False)
-    added = both.aggregate([("n", "sum"), ("docs", "sum")])
-    return added.rename_columns({"n_sum": "n", "docs_sum": "docs"}).select(["lang", "source", "term", "n", "docs"])
-
-
 def count_terms(batches):
     """Counts of terms by group, added up inside the task before they are sent."""
-    pending, size = [], 0
-    for b in batches:
-        lang, source = (pc.fill_null(b.column(c), "").dictionary_encode() for c in ("lang", "source"))
-        n_sources = max(len(source.dictionary), 1)
-        group = lang.indices.to_numpy().astype(np.int64) * n_sources + source.indices.to_numpy()
-        for part in slices(b.column("text"), lower=True, gaps=NO_LETTER):
-            g, term, n, docs = _counts(part, group[part.lo : part.lo + part.n_docs])
-            names = [lang.dictionary.take(pa.array(g // n_sources)), source.dictionary.take(pa.array(g % n_sources))]
-            table = pa.table([*names, term, pa.array(n), pa.array(docs)], ["lang", "source", "term", "n", "docs"])
-            pending.append(table)
-            size += len(table)
-            if size > _PENDING:
-                table = _together(pending)
-                pending, size = [table], len(table)
-                if size > _PENDING // 2:
-                    yield from table.to_batches()
-                    pending, size = [], 0
-    if pending:
-        yield from _together(pending).to_batches()
+
+    def tables():
+        for b in batches:
+            lang, source = (pc.fill_null(b.column(c), "").dictionary_encode() for c in ("lang", "source"))
+            n_sources = max(len(source.dictionary), 1)
+            group = lang.indices.to_numpy().astype(np.int64) * n_sources + source.indices.to_numpy()
+            for part in slices(b.column("text"), lower=True, gaps=NO_LETTER):
+                g, term, n, docs = _counts(part, group[part.lo : part.lo + part.n_docs])
+                names = [lang.dictionary.take(pa.array(g // n_sources)), source.dictionary.take(pa.array(g % n_sources))]
+                columns = [*names, term, pa.array(n), pa.array(docs)]
+                yield pa.table(columns, ["lang", "source", "term", "n", "docs"])
+
+    yield from added_up(tables(), ("lang", "source", "term"), _PENDING)
 
 
 def _cells(key, table):

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from obsflow.llm import sharding, sql
 from obsflow.llm.blocks import shipped
 from obsflow.llm.bpe import bpe_decode, bpe_encode
+from obsflow.llm.collocations import collocations
 from obsflow.llm.divergence import divergence
 from obsflow.llm.fingerprints import fingerprints
 from obsflow.llm.line_dedup import dedup_lines
@@ -119,6 +120,11 @@ def op11_source_divergence(spark, folder):
     return divergence(_table(spark, folder, "documents").select("text", "lang", "source"))
 
 
+def op12_collocations(spark, folder):
+    """The 2,000 phrases of each language with the highest scores."""
+    return collocations(_table(spark, folder, "documents").select("text", "lang"))
+
+
 def op13_near_vectors(spark, folder):
     """Links and components of embeddings with one label and a cosine of 0.93 or more."""
     return near_vectors(_table(spark, folder, "embeddings"), threshold=0.93)
@@ -143,6 +149,7 @@ QUERIES = {
     "op9_quality_classifier": op9_quality_classifier,
     "op10_toxicity": op10_toxicity,
     "op11_source_divergence": op11_source_divergence,
+    "op12_collocations": op12_collocations,
     "op13_near_vectors": op13_near_vectors,
     "pipeline": pipeline,
 }
@@ -154,5 +161,6 @@ ORACLE = {
     "op5_sharding": sharding.place_sql("documents", "doc_id", sharding.SHARDS, sharding.SLOTS),
     "op6_top_k": sql.OP6,
     "op11_source_divergence": sql.OP11,
+    "op12_collocations": sql.OP12,
     "op13_near_vectors": sql.OP13,
 }

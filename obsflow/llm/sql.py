@@ -145,3 +145,39 @@ OP13 = """
     SELECT e.vec_id, (SELECT count(*) FROM links l WHERE l.a = e.vec_id) AS n_links, min(r.b) AS component_id, e.vec_id = min(r.b) AS kept
     FROM embeddings e JOIN reach r ON e.vec_id = r.a GROUP BY e.vec_id
 """
+
+OP12 = rf"""
+    WITH docs AS (
+        SELECT row_number() OVER () AS d, coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS t FROM documents
+    ), pieces AS (
+        SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS words
+        FROM (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM docs)
+    ), totals AS (
+        SELECT lang, sum(len(words))::BIGINT AS n FROM pieces GROUP BY lang
+    ), grams AS (
+        SELECT lang, array_to_string(words[i : i + k - 1], ' ') AS phrase, words[i : i + k - 1] AS list
+        FROM (SELECT lang, words, k, unnest(generate_series(1, len(words) - k + 1)) AS i
+              FROM (SELECT lang, words, unnest([1, 2, 3, 4, 5]) AS k FROM pieces) WHERE len(words) >= k)
+    ), counted AS (
+        SELECT lang, phrase, any_value(list) AS list, count(*) AS f FROM grams GROUP BY lang, phrase HAVING count(*) >= 100
+    ), cuts AS (
+        SELECT c.lang, c.phrase, c.f AS a, x.f AS l, y.f AS r, t.n, c.k, (1000::HUGEINT * c.f * t.n) // (x.f::HUGEINT * y.f) AS score
+        FROM (SELECT *, unnest(generate_series(1, len(list) - 1)) AS k FROM counted WHERE len(list) > 1) c
+        JOIN counted x ON x.lang = c.lang AND x.phrase = array_to_string(c.list[: c.k], ' ')
+        JOIN counted y ON y.lang = c.lang AND y.phrase = array_to_string(c.list[c.k + 1 :], ' ')
+        JOIN totals t ON t.lang = c.lang
+    ), inner_parts AS (
+        SELECT lang, f, list, i, unnest(generate_series(i + 1, len(list))) AS j
+        FROM (SELECT lang, f, list, unnest(generate_series(1, len(list) - 1)) AS i FROM counted)
+    ), covered AS (
+        SELECT DISTINCT c.lang, c.phrase FROM counted c
+        JOIN inner_parts p ON p.lang = c.lang AND array_to_string(p.list[p.i : p.j], ' ') = c.phrase AND p.j - p.i + 1 < len(p.list)
+        WHERE 100 * p.f >= 100 * c.f
+    ), lowest AS (
+        SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+    ), ranked AS (
+        SELECT l.*, row_number() OVER (PARTITION BY l.lang ORDER BY score DESC, a DESC, l.phrase) AS place
+        FROM lowest l ANTI JOIN covered c ON l.lang = c.lang AND l.phrase = c.phrase
+    )
+    SELECT lang, place AS rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked WHERE place <= 2000
+"""

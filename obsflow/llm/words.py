@@ -145,3 +145,11 @@ def slices(column, lower=False, limit=SLICE_BYTES, gaps=_SPACE):
         first = np.searchsorted(start, at)
         doc = np.repeat(np.arange(hi - lo), np.diff(first))
         yield Slice(lo, own, at, start, end, first, doc)
+
+
+def strings(part, gaps=_SPACE):
+    """The words of a slice as an Arrow dictionary array; ``gaps`` as the slice was made with."""
+    letters = part.data[~gaps[part.data]]
+    ends = np.zeros(len(part.start) + 1, dtype=np.int32)
+    np.cumsum(part.end - part.start, out=ends[1:])
+    return pa.StringArray.from_buffers(len(part.start), pa.py_buffer(ends), pa.py_buffer(letters)).dictionary_encode()
