@@ -252,9 +252,12 @@ def _scored(nodes, known, columns):
     cuts = nodes.select("h", "n", "ls", F.posexplode("ends").alias("k", "end"))
     known = known.select(F.col("h").alias("end"), F.col("a").alias("r"))
     cuts = cuts.join(known, "end").withColumns({"a": F.element_at("ls", -1), "l": F.expr("ls[k]")})
-    wide = {c: f"cast({c} AS decimal(19,0))" for c in "anlr"}
-    score = F.expr(f"(1000BD * {wide['a']} * {wide['n']}) div ({wide['l']} * {wide['r']})")
-    lowest = cuts.groupBy("h").agg(F.min(F.struct(score.alias("score"), "k", "a", "l", "r")).alias("c"))
+    # floor(1000 a n / (l r)) by l first, then by r: every step is exact and within 38 digits for any longs.
+    cuts = cuts.withColumns({c: F.col(c).cast("decimal(19,0)") for c in "anlr"})
+    by_l = "cast((a * n) div l AS decimal(19,0)) * 1000 + (1000 * ((a * n) % l)) div l"
+    score = F.expr(f"cast({by_l} AS decimal(24,0)) div r")
+    cuts = cuts.select("h", "k", score.alias("score"), *[F.col(c).cast("long").alias(c) for c in "alr"])
+    lowest = cuts.groupBy("h").agg(F.min(F.struct("score", "k", "a", "l", "r")).alias("c"))
     return nodes.join(lowest, "h").select(*columns, "before", "behind", "c.score", "c.a", "c.l", "c.r")
 
 
