@@ -46,6 +46,8 @@ FIRST = 2000
 SHARE = 0.5
 #: Bits of a bitmap, as a power of two: 2 MB, whatever the data.
 BITMAP = 24
+#: Bytes of text that become one row of names, or one text if it is longer.
+_SLICE = 3 << 19
 
 _CUT = np.zeros(256, dtype=bool)
 _CUT[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
@@ -73,7 +75,7 @@ def count_words(batches):
         for b in batches:
             codes, salts = _languages(b.column("lang"))
             lang = codes.indices.to_numpy().astype(np.int64)
-            for part in slices(b.column("text"), lower=True, gaps=_GAP):
+            for part in slices(b.column("text"), lower=True, limit=_SLICE, gaps=_GAP):
                 own = lang[part.lo : part.lo + part.n_docs]
                 words = strings(part, _GAP)
                 n_words = max(len(words.dictionary), 1)
@@ -119,7 +121,7 @@ def _write_runs(bitmap):
         for b in batches:
             codes, salts = _languages(b.column("lang"))
             lang = codes.indices.to_numpy()
-            for part in slices(b.column("text"), lower=True, gaps=_GAP):
+            for part in slices(b.column("text"), lower=True, limit=_SLICE, gaps=_GAP):
                 if not len(part.start):
                     continue
                 names = _names(part, salts[lang[part.lo : part.lo + part.n_docs]])
@@ -178,7 +180,7 @@ def _count_extensions(bitmap, lengths):
                     at = run.places(length + 1)
                     yield _counted(run.names(at[_hit(bitmap, run.names(at, length))], length + 1))
 
-    return lambda batches: added_up(tables(batches), ("h",), 1_500_000)
+    return lambda batches: added_up(tables(batches), ("h",))
 
 
 def _count_phrases(bitmap, lengths):
