@@ -12,7 +12,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from obsflow.functions.time import DAY, QUARTER_HOUR, TWO_HOURS, WEEK, epoch, interval_text, shift
-from obsflow.operators.windows import _names, merge_moments, moments_result, same_keys
+from obsflow.operators.windows import _names, merge_all, moments_result, same_keys
 
 
 def trailing_mean(df, ts, values, keys, seconds=TWO_HOURS, empty=0.0, bucket_column=None):
@@ -158,14 +158,11 @@ def trailing_stats(df, ts, value, keys, seconds=WEEK, pane=DAY, names=("avg_temp
         .agg(F.sort_array(F.collect_list(F.struct("ahead", "part"))).alias("parts"))
     )
     joined = ends.alias("e").join(middle.alias("m"), same_keys("e", "m", [*keys, "pane"]), "left")
-    empty = F.struct(F.lit(0.0).alias("n"), *[F.lit(None).cast("double").alias(c) for c in moments[1:]])
-    inner = F.aggregate("m.parts", empty, lambda a, p: merge_moments(a, p["part"]))
-    outer = F.aggregate("e.parts", empty, lambda a, p: merge_moments(a, p["part"]))
-    total = joined.select(
-        *[F.col(f"e.{k}").alias(k) for k in keys],
-        "at",
-        F.when(F.col("m.parts").isNull(), outer).otherwise(merge_moments(outer, inner)).alias("t"),
-    )
+    # One fold over the parts of both sides: a merge of two folds would repeat each of them in every field.
+    parts = [F.transform(c, lambda p: p["part"]) for c in ("e.parts", "m.parts")]
+    parts = F.when(F.col("m.parts").isNull(), parts[0]).otherwise(F.concat(*parts))
+    total = joined.select(*[F.col(f"e.{k}").alias(k) for k in keys], "at", parts.alias("parts"))
+    total = total.withColumn("t", merge_all("parts"))
     mean, deviation = moments_result("t.n", "t.mean", "t.m2", "t.lo", "t.hi")
     kind = df.schema[ts].dataType.simpleString()
     at = F.timestamp_micros("at").cast(kind) if kind != "timestamp" else F.timestamp_micros("at")

@@ -70,7 +70,7 @@ def window_stats(df, ts, value, keys=(), seconds=WEEK, slide=None, digits=None,
     return _bounds(grouped, [*keys, *names])
 
 
-def _pane_moments(value):
+def pane_moments(value):
     """Count, mean, squared deviations and range of one pane, as one struct."""
     n = F.count(value).cast("double")
     return F.struct(
@@ -96,6 +96,12 @@ def merge_moments(a, b):
     return F.when(b["n"] == 0, a).when(a["n"] == 0, b).otherwise(both)
 
 
+def merge_all(parts, field=None):
+    """Moments of all elements of an array, or of one field of each, folded once."""
+    empty = F.struct(F.lit(0.0).alias("n"), *[F.lit(None).cast("double").alias(c) for c in ("mean", "m2", "lo", "hi")])
+    return F.aggregate(parts, empty, lambda a, p: merge_moments(a, p[field] if field else p))
+
+
 def sliding_stats(df, ts, value, keys=(), seconds=WEEK, slide=DAY, digits=None, names=("avg_temp", "stddev_temp")):
     """Mean and sample deviation of overlapping windows, built from panes.
 
@@ -109,7 +115,7 @@ def sliding_stats(df, ts, value, keys=(), seconds=WEEK, slide=DAY, digits=None,
     keys = _names(keys)
     panes = (
         df.groupBy(*keys, F.window(ts, interval_text(slide)).alias("pane"))
-        .agg(_pane_moments(value).alias("moments"))
+        .agg(pane_moments(value).alias("moments"))
         .withColumn("pane_start", F.unix_seconds("pane.start"))
     )
     windows = panes.select(
@@ -123,18 +129,11 @@ def sliding_stats(df, ts, value, keys=(), seconds=WEEK, slide=DAY, digits=None,
     parts = windows.groupBy(*keys, "start").agg(
         F.sort_array(F.collect_list(F.struct("pane_start", "moments"))).alias("parts")
     )
-    empty = F.struct(
-        F.lit(0.0).alias("n"),
-        F.lit(None).cast("double").alias("mean"),
-        F.lit(None).cast("double").alias("m2"),
-        F.lit(None).cast("double").alias("lo"),
-        F.lit(None).cast("double").alias("hi"),
-    )
     total = parts.select(
         *keys,
         F.timestamp_seconds("start").alias("window_start"),
         F.timestamp_seconds(F.col("start") + F.lit(seconds)).alias("window_end"),
-        F.aggregate("parts", empty, lambda a, p: merge_moments(a, p["moments"])).alias("t"),
+        merge_all("parts", "moments").alias("t"),
     )
     mean, deviation = moments_result("t.n", "t.mean", "t.m2", "t.lo", "t.hi")
     if digits is not None:
@@ -191,6 +190,28 @@ def window_lists(df, ts, value, keys=(), seconds=7200, slide=3600, page_rows=LIS
     large = settled.where("pages > 1").select(*group)
     small = joined.where("pages = 1").withColumn("begin", F.lit(0).cast("long"))
     ranked = small if large.isEmpty() else small.unionByName(_ranked(joined.where("pages > 1"), group))
+    return _paged(ranked, group, extra, page_rows)
+
+
+def lists_of_counts(counted, group, page_rows=LIST_PAGE):
+    """The same pages from windows whose values are counted already: columns of ``group``, ``value`` and ``n``.
+
+    For windows a stream has closed: their state is one row per distinct value, and
+    the lists exist only here, a page at a time.
+    """
+    counted = materialise(counted, "counted")
+    held = F.sum(F.when(F.col("value").isNotNull(), F.col("n")))
+    pages = F.greatest(F.ceil(F.coalesce(held, F.lit(0)) / F.lit(page_rows)), F.lit(1))
+    settled = materialise(counted.groupBy(*group).agg(pages.alias("pages")).where("pages > 1"), "windows")
+    large = counted.alias("c").join(settled.alias("s"), same_keys("c", "s", group), "left_semi")
+    small = counted.alias("c").join(settled.alias("s"), same_keys("c", "s", group), "left_anti")
+    small = small.withColumn("begin", F.lit(0).cast("long"))
+    ranked = small if settled.isEmpty() else small.unionByName(_ranked(large, group))
+    return _paged(ranked, group, [], page_rows)
+
+
+def _paged(ranked, group, extra, page_rows):
+    """Counted values that know how many stand before them, as the pages of their window's sorted list."""
     size, begin = F.lit(page_rows).cast("long"), F.col("begin")
     last = F.when(F.col("value").isNotNull(), F.floor((begin + F.col("n") - 1) / size)).otherwise(F.lit(0))
     copies = F.least(begin + F.col("n"), (F.col("page") + 1) * size) - F.greatest(begin, F.col("page") * size)

@@ -3,8 +3,17 @@
 from __future__ import annotations
 
 from obsflow.operators.kmeans import FEATURES as POINT
-from obsflow.operators.svm import FEATURES
-from obsflow.plans.registry import EXAMPLE_CENTRES, EXAMPLE_WEIGHTS, MEASURED, PLACES
+from obsflow.operators.svm import (
+    FEATURES,
+    ITERATIONS,
+    MIN_ROWS,
+    REGULARISATION,
+    SPLIT_SEED,
+    STEP,
+    TOLERANCE,
+    TRAIN_SHARE,
+)
+from obsflow.plans.registry import EXAMPLE_CENTRES, EXAMPLE_WEIGHTS, LOG_THRESHOLD, MEASURED, PLACES
 from obsflow.schema import DIVISORS, FIELDS, MESSAGE_KEY, SKY_CODES, STATION_CODES
 
 
@@ -166,6 +175,39 @@ linear AS (
   FROM scored)"""
 
 
+def _trained(columns=FEATURES, threshold=2):
+    """Subgradient descent as a recursive query: a row per round, the last one with the weights."""
+    weights = [f"w{i}" for i in range(len(columns))]
+    margin = " + ".join(f"{c} * {w}" for c, w in zip(columns, weights))
+    pulls = ", ".join(f"sum(CASE WHEN sign * ({margin}) < 1 THEN sign * {c} ELSE 0 END) AS g{i}" for i, c in enumerate(columns))
+    pace = f"({STEP}::DOUBLE / sqrt(i + 1))"
+    new = ", ".join(f"{w} * (1 - {pace} * {REGULARISATION}::DOUBLE) + {pace} * (g{i} / n) AS n{i}" for i, w in enumerate(weights))
+    change = " + ".join(f"pow(n{i} - {w}, 2)" for i, w in enumerate(weights))
+    length = " + ".join(f"pow(n{i}, 2)" for i in range(len(weights)))
+    return f"""WITH RECURSIVE {SCORED.lstrip()},
+judged AS (
+  SELECT *, CASE WHEN abs(z_score) > {threshold} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS label,
+    CAST('0x' || substr(md5(station || '|' || strftime(valid, '%Y-%m-%d %H:%M:%S') || '|{SPLIT_SEED}'), 1, 8) AS BIGINT)
+      / 4294967296.0 < {TRAIN_SHARE} AS is_train FROM scored),
+train AS MATERIALIZED (SELECT label * 2 - 1 AS sign, {", ".join(columns)} FROM judged WHERE is_train),
+rounds(i, {", ".join(weights)}, done) AS (
+  SELECT 0, {", ".join("0.0::DOUBLE" for _ in weights)}, false
+  UNION ALL
+  SELECT i + 1, {", ".join(f"n{i}" for i in range(len(weights)))},
+    i > 0 AND sqrt({change}) < {TOLERANCE}::DOUBLE * greatest(sqrt({length}), 1.0)
+  FROM (SELECT *, {new} FROM (
+    SELECT i, {", ".join(weights)}, count(*) AS n, {pulls}
+    FROM rounds, train WHERE NOT done AND i < {ITERATIONS} GROUP BY i, {", ".join(weights)}))),
+model AS (SELECT * FROM rounds WHERE i > 0 ORDER BY i DESC LIMIT 1),
+gate AS (
+  SELECT count(*) > {MIN_ROWS} AND count(*) FILTER (is_train) > 0 AND coalesce(sum(label) FILTER (is_train), 0) > 0
+    AND coalesce(sum(label) FILTER (is_train), 0) < count(*) FILTER (is_train) AS ready FROM judged),
+predicted AS (
+  SELECT station, valid, label, {margin} AS score, CASE WHEN {margin} > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction
+  FROM judged, model, gate WHERE NOT is_train AND ready)
+SELECT station, valid, label, {_round('predicted.score')} AS score, prediction FROM predicted"""
+
+
 def _distance(centre):
     return "sqrt(" + " + ".join(f"pow({c} - ({x}), 2)" for c, x in zip(POINT, centre)) + ")"
 
@@ -196,6 +238,42 @@ SELECT id::INTEGER AS cluster, {_round('kept + count(cluster)')} AS weight, {mov
 FROM centres LEFT JOIN assigned ON cluster = id GROUP BY id, kept, {olds}"""
 
 
+def _followed(decay=0.9):
+    """Two batches of closed windows: the first flagged with the first centres, the second with those it moved."""
+    values = ", ".join(
+        f"({i}, {w * decay}::DOUBLE, " + ", ".join(f"({x})::DOUBLE" for x in p) + ")"
+        for i, (p, w) in enumerate(zip(EXAMPLE_CENTRES.points, EXAMPLE_CENTRES.weights))
+    )
+    olds = ", ".join(f"o{i}" for i in range(len(POINT)))
+    new = ", ".join(
+        f"CASE WHEN count(cluster) = 0 THEN o{i} ELSE (o{i} * kept + sum({c})) / (kept + count(cluster)) END AS o{i}"
+        for i, c in enumerate(POINT)
+    )
+    near = "sqrt(" + " + ".join(f"pow({c} - o{i}, 2)" for i, c in enumerate(POINT)) + ")"
+    return f"""WITH {SCORED},
+half AS (
+  SELECT make_timestamp(epoch_us(min(valid)) + (epoch_us(max(valid)) - epoch_us(min(valid))) // 2 + 1) AS bound FROM clean),
+marks AS (
+  SELECT (SELECT max(valid) FROM aligned, half WHERE valid < bound) - INTERVAL 15 MINUTES AS one,
+    (SELECT max(valid) FROM aligned) - INTERVAL 15 MINUTES AS two),
+points AS (
+  SELECT DISTINCT station, valid, {", ".join(POINT)}, CASE WHEN valid + INTERVAL 15 MINUTES <= one THEN 1 ELSE 2 END AS batch
+  FROM scored, marks WHERE valid + INTERVAL 15 MINUTES <= two),
+centres(id, kept, {olds}) AS (VALUES {values}),
+first_near AS (
+  SELECT station, valid, {", ".join(POINT)}, arg_min(id, ({near}, id)) AS cluster, min({near}) AS distance
+  FROM points, centres WHERE batch = 1 GROUP BY ALL),
+moved AS (SELECT id, {new} FROM centres LEFT JOIN first_near ON cluster = id GROUP BY id, kept, {olds}),
+second_near AS (
+  SELECT station, valid, {", ".join(POINT)}, min({near}) AS distance FROM points, moved WHERE batch = 2 GROUP BY ALL),
+both_batches AS (
+  SELECT station, valid, {", ".join(POINT)}, distance, 1 AS batch FROM first_near
+  UNION ALL SELECT station, valid, {", ".join(POINT)}, distance, 2 FROM second_near),
+moments AS (SELECT batch, avg(distance) AS m, stddev_samp(distance) AS s FROM both_batches GROUP BY batch)
+SELECT station, valid, {_shown(POINT)}, coalesce((distance - m) / nullif(s, 0) > 1, false) AS prediction
+FROM both_batches JOIN moments USING (batch)"""
+
+
 MESSAGE_FIELDS = ", ".join(f for f in FIELDS if f != "valid")
 
 # A window is final once the watermark, a quarter hour behind the last row, has
@@ -204,6 +282,8 @@ CLOSED_SHORT = (
     "valid + INTERVAL 15 MINUTES <= (SELECT max(valid) FROM aligned) - INTERVAL 15 MINUTES"
 )
 
+CLOSED_TWO_HOURS = "window_start + INTERVAL 2 HOURS <= (SELECT max(valid) FROM {table}) - INTERVAL 15 MINUTES"
+
 ORACLE = {
     "flagship_zscore": f"WITH {SCORED} SELECT {SCORED_COLUMNS} FROM scored",
     "zscore_anomalies": f"WITH {SCORED} SELECT {SCORED_COLUMNS}, 1.0::DOUBLE AS label FROM scored WHERE abs(z_score) > 2",
@@ -306,18 +386,61 @@ SELECT station, valid, {_shown(['distance', 'distance_z'])}, distance_z > 1 AS a
     "kmeans_step": _moved(),
     "top_anomalies": f"""WITH {SCORED} SELECT station, valid, {_shown(['temp', 'avg_temp', 'stddev_temp', 'z_score'])}
 FROM scored WHERE abs(z_score) > 2 ORDER BY abs({_round('scored.z_score')}) DESC, station, valid LIMIT 10""",
-    "access_log_parse": """SELECT '10.0.' || (user_id // 256) || '.' || (user_id % 256) AS ip,
-  date_trunc('second', ts) - INTERVAL 210 MINUTES AS ts, ['GET', 'POST', 'HEAD', 'OPTIONS'][event_id % 4 + 1] AS request_type,
-  '/' || event_type || '?id=' || event_id AS path, CAST(CASE WHEN event_id % 2 = 0 THEN 200 ELSE 404 END AS INTEGER) AS status,
-  CAST(floor(value * 100) AS BIGINT) AS response_size, '-' AS referer, 'agent/' || (user_id % 7) AS agent
-FROM events""",
+    "access_log_parse": """WITH lines AS (SELECT *, event_id % 13 <> 5 AND event_id % 19 <> 6 AS good FROM events)
+SELECT CASE WHEN good THEN '10.0.' || (user_id // 256) || '.' || (user_id % 256) END AS ip,
+  CASE WHEN good THEN date_trunc('second', ts) - INTERVAL 210 MINUTES END AS ts,
+  CASE WHEN good THEN ['GET', 'POST', 'HEAD', 'OPTIONS'][event_id % 4 + 1] END AS request_type,
+  CASE WHEN good THEN '/' || event_type || CASE WHEN event_id % 17 = 4 THEN chr(1) ELSE '?' END || 'id=' || event_id END AS path,
+  CAST(CASE WHEN good THEN CASE WHEN event_id % 2 = 0 THEN 200 ELSE 404 END END AS INTEGER) AS status,
+  CASE WHEN good THEN CAST(floor(value * 100) AS BIGINT) END AS response_size, CASE WHEN good THEN '-' END AS referer,
+  CASE WHEN good THEN CASE WHEN event_id % 11 = 3 THEN 'say \\"' || (user_id % 7) || '\\"' ELSE 'agent/' || (user_id % 7) END END AS agent
+FROM lines""",
     "stream_weekly": f"""WITH {CLEAN} SELECT * FROM ({_weekly('TRUE')})
 WHERE window_end <= (SELECT max(valid) FROM clean) - INTERVAL 15 MINUTES""",
     "stream_trailing_mean": f"WITH {SHORT} SELECT {SHORT_COLUMNS} FROM short WHERE {CLOSED_SHORT}",
     "stream_zscore_join": f"WITH {SCORED} SELECT {SCORED_COLUMNS} FROM scored WHERE {CLOSED_SHORT}",
+    "stream_window_outliers": f"""WITH stats AS (
+  SELECT {_floor('ts', 21600)} AS window_start, {_round('avg(value)', 4)} AS avg,
+    {_round('stddev_samp(value)', 4)} AS standard_dev FROM events GROUP BY ALL),
+scored AS (
+  SELECT window_start, avg, standard_dev, value, (value - avg) / nullif(standard_dev, 0) AS z_score
+  FROM events JOIN stats ON {_floor('ts', 21600)} = window_start)
+SELECT window_start, {_shown(['avg', 'standard_dev', 'value', 'z_score'])} FROM scored
+WHERE abs(z_score) > 1 AND window_start + INTERVAL 6 HOURS <= (SELECT max(ts) FROM events) - INTERVAL 15 MINUTES""",
+    "stream_window_standardise": f"""WITH {CLEAN},
+placed AS (SELECT *, {_floor('valid', 21600)} AS window_start FROM clean),
+stats AS (SELECT window_start, {", ".join(f"avg({c}) AS {c}_m, stddev_samp({c}) AS {c}_s" for c in MEASURED)}
+  FROM placed GROUP BY window_start)
+SELECT event_id, window_start,
+  {", ".join(f"{_round(f'({c} - {c}_m) / nullif({c}_s, 0)')} AS {c}_norm" for c in MEASURED)}
+FROM placed JOIN stats USING (window_start)
+WHERE window_start + INTERVAL 6 HOURS <= (SELECT max(valid) FROM clean) - INTERVAL 15 MINUTES""",
+    "stream_two_hour_lists": f"""WITH {RAW},
+two_hours AS (
+  SELECT station, CAST(date_trunc('hour', valid) - to_hours(CAST(h AS INTEGER)) AS TIMESTAMP) AS window_start, tmpf
+  FROM raw, (SELECT unnest(range(0, 2)) AS h))
+SELECT station, window_start, window_start + INTERVAL 2 HOURS AS window_end, CAST(0 AS BIGINT) AS page,
+  string_agg(CAST(CAST(round(tmpf * 100) AS BIGINT) AS VARCHAR), ',' ORDER BY tmpf) AS list
+FROM two_hours WHERE {CLOSED_TWO_HOURS.format(table='raw')} GROUP BY station, window_start""",
+    "stream_two_hour_list_pages": f"""WITH {RAW},
+two_hours AS (
+  SELECT station, CAST(date_trunc('hour', valid) - to_hours(CAST(h AS INTEGER)) AS TIMESTAMP) AS window_start, tmpf
+  FROM raw, (SELECT unnest(range(0, 2)) AS h)),
+placed AS (
+  SELECT *, (row_number() OVER (PARTITION BY station, window_start ORDER BY tmpf) - 1) // 2 AS page FROM two_hours)
+SELECT station, window_start, window_start + INTERVAL 2 HOURS AS window_end, page,
+  string_agg(CAST(CAST(round(tmpf * 100) AS BIGINT) AS VARCHAR), ',' ORDER BY tmpf) AS list
+FROM placed WHERE {CLOSED_TWO_HOURS.format(table='raw')} GROUP BY station, window_start, page""",
+    "stream_two_hour_exploded": f"""WITH {CLEAN}, {TWO_HOURS}
+SELECT station, window_start, window_end, {_shown(['temperature'])}, prev_week_start, prev_week_end FROM dated
+WHERE {CLOSED_TWO_HOURS.format(table='clean')}""",
+    "stream_distinct": "SELECT DISTINCT * FROM events",
     "stream_count_sorted": "SELECT event_type, count(*) AS count FROM events GROUP BY event_type",
     "stream_range_join": f"WITH {RANGED} SELECT {RANGED_COLUMNS} FROM ranged WHERE abs(z_score) > 2",
     "anomaly_log": f"""WITH {POINTS},
 moments AS (SELECT avg(distance) AS m, stddev_samp(distance) AS s FROM assigned)
 SELECT station, valid, {_shown(POINT)}, (distance - m) / nullif(s, 0) > 1 AS prediction FROM assigned, moments""",
+    "svm_fit_predict": _trained(),
+    "supervised_log": _trained(threshold=LOG_THRESHOLD) + " WHERE prediction > 0",
+    "stream_kmeans": _followed(),
 }

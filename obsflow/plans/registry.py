@@ -29,6 +29,7 @@ EXAMPLE_CENTRES = kmeans.Centres(
 )
 
 COLD_START = "2024-01-01"
+LOG_THRESHOLD = 0.5
 
 
 def _events(spark, folder):
@@ -319,6 +320,57 @@ def stream_zscore_join(spark, folder):
     return _show(_replayed(spark, folder, stream_windows.scored))
 
 
+def stream_window_outliers(spark, folder):
+    """Rows joined with the closed aggregate of their own window."""
+    events = _events(spark, folder).select("event_id", F.col("ts").cast("timestamp").alias("ts"), "value")
+    found = replayed(events, "ts", lambda s: stream_windows.window_outliers(s, "ts", "value", 6 * 3600), 3)
+    return _show(found)
+
+
+def stream_window_standardise(spark, folder):
+    rows = _clean(spark, folder).select("event_id", "valid", *MEASURED)
+    found = replayed(rows, "valid", lambda s: stream_windows.standardise(s, "valid", MEASURED, seconds=6 * 3600), 2)
+    return _show(found.select("event_id", "window_start", *[f"{c}_norm" for c in MEASURED]))
+
+
+def _temperatures(spark, folder):
+    return _timed(spark, folder).select("station", "valid", F.col("tmpf").try_cast("double").alias("tmpf"))
+
+
+def stream_two_hour_lists(spark, folder):
+    """Lists of closed windows, from a state of counted values."""
+    return _stream_lists(spark, folder, windows.LIST_PAGE)
+
+
+def stream_two_hour_list_pages(spark, folder):
+    """The same lists in pages of two, so that most windows have several."""
+    return _stream_lists(spark, folder, 2)
+
+
+def _stream_lists(spark, folder, page_rows):
+    out, checkpoint = shared_folder(spark, "lists"), shared_folder(spark, "checkpoint")
+
+    def run(stream):
+        group = ["station", "window_start", "window_end"]
+        return stream_windows.to_lists(stream_windows.value_counts(stream), out, checkpoint, group, page_rows)
+
+    replay(_temperatures(spark, folder), "valid", run, 2)
+    lists = BatchStore(spark, out).read()
+    return wall_clock(lists.select("station", "window_start", "window_end", "page", _listed("values")))
+
+
+def stream_two_hour_exploded(spark, folder):
+    """The same windows expanded to rows with their comparison dates."""
+    rows = _clean(spark, folder).select("station", "valid", "tmpf")
+    return _show(replayed(rows, "valid", stream_windows.two_hour_rows, 2))
+
+
+def stream_distinct(spark, folder):
+    """A table that holds every row twice, taken from a stream once."""
+    events = _events(spark, folder).withColumn("ts", F.col("ts").cast("timestamp"))
+    return wall_clock(replayed(events.union(events), "ts", lambda s: stream_windows.distinct(s, "ts"), 3))
+
+
 def stream_count_sorted(spark, folder):
     """Complete mode: an ordered aggregate rewritten per batch, read from its last snapshot."""
     events = _events(spark, folder).select("event_id", "event_type")
@@ -359,8 +411,29 @@ def anomaly_log(spark, folder):
     return _show(log.select("station", F.col("valid").cast("timestamp"), *values, F.col("prediction").cast("boolean")))
 
 
+def supervised_log(spark, folder):
+    """Rows the classifier flags in a batch of a stream, written by batch and read back.
+
+    Half a deviation labels a row here: with two, so few rows are positive that none is flagged.
+    """
+    scored = _scored(spark, folder)
+    stream = stream_parquet(spark, write_shared(scored, "in"), scored.schema)
+    out, checkpoint = shared_folder(spark, "flagged"), shared_folder(spark, "checkpoint")
+
+    def handle(batch, batch_id):
+        supervised.detect(batch, BatchStore(batch.sparkSession, out), batch_id, LOG_THRESHOLD)
+
+    for_each_batch(stream, handle, checkpoint).awaitTermination()
+    columns = ["station", "valid", "label", "score", "prediction"]
+    store = BatchStore(spark, out)
+    if not store.batches():
+        nothing = svm.linear_score(svm.labelled(scored, LOG_THRESHOLD), EXAMPLE_WEIGHTS).where(F.lit(False))
+        return _show(nothing.select(*columns))
+    return _show(store.read().select(*columns))
+
+
 def stream_kmeans(spark, folder):
-    """The whole unsupervised job over a replay; its centres move, so no SQL says the same."""
+    """The whole unsupervised job over a replay; its centres move with each batch of closed windows."""
     raw = _timed(spark, folder)
     out, model = shared_folder(spark, "log"), shared_folder(spark, "model")
     checkpoint = shared_folder(spark, "checkpoint")
@@ -369,7 +442,9 @@ def stream_kmeans(spark, folder):
         return unsupervised.run_stream(stream, out, model, checkpoint, EXAMPLE_CENTRES, decay=0.9, seconds=None)
 
     replay(raw.drop("event_id"), "valid", run, 2)
-    return BatchStore(spark, out, "csv").read().select("station", "valid", *kmeans.FEATURES, "prediction")
+    log = BatchStore(spark, out, "csv").read()
+    values = [F.col(c).cast("double").alias(c) for c in kmeans.FEATURES]
+    return _show(log.select("station", F.col("valid").cast("timestamp"), *values, F.col("prediction").cast("boolean")))
 
 
 QUERIES = {
@@ -425,9 +500,16 @@ QUERIES = {
         stream_weekly,
         stream_trailing_mean,
         stream_zscore_join,
+        stream_window_outliers,
+        stream_window_standardise,
+        stream_two_hour_lists,
+        stream_two_hour_list_pages,
+        stream_two_hour_exploded,
+        stream_distinct,
         stream_count_sorted,
         stream_range_join,
         anomaly_log,
+        supervised_log,
         stream_kmeans,
     ]
 }

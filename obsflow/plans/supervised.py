@@ -13,12 +13,14 @@ from obsflow.streaming.sinks import for_each_batch
 from obsflow.streaming.store import BatchStore
 
 
-def detect(scored, store=None, batch_id=0):
+def detect(scored, store=None, batch_id=0, threshold=2.0):
     """Train and predict on one batch of scored rows; flagged rows go to the store once.
 
+    ``threshold`` is the distance from the weekly mean, in deviations, that labels a row.
+
     Returns None when the batch is too small or has a single class.
     """
-    found = svm.train_and_detect(scored)
+    found = svm.train_and_detect(scored, threshold=threshold)
     if found is not None and store is not None:
         store.write(found.predictions.where("prediction > 0"), batch_id)
     return found

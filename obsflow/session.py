@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -78,6 +79,18 @@ def prepare(spark):
     return spark
 
 
+@contextmanager
+def fixed_plans(spark):
+    """Jobs run inside are planned once, without adaptive steps: for many small jobs over the same cached rows."""
+    key = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def shared_folder(spark, name):
     """A fresh folder that every executor can reach.
 

@@ -49,14 +49,24 @@ def observations_from_events(events):
 
 
 def log_lines_from_events(events):
-    """One access-log line per event, in a column ``value``."""
-    user, size = F.col("user_id"), F.floor(F.col("value") * 100)
+    """One access-log line per event, in a column ``value``.
+
+    Some agents hold escaped quotes, some paths the character U+0001, and some lines are no
+    log lines: their status is a word, or they are fields with U+0001 between.
+    """
+    user, number, size = F.col("user_id"), F.col("event_id"), F.floor(F.col("value") * 100)
+    at = F.date_format(F.col("ts").cast("timestamp"), "dd/MMM/yyyy:HH:mm:ss")
+    address = F.concat(F.lit("10.0."), F.floor(user / 256), F.lit("."), user % 256)
+    agent = F.when(number % 11 == 3, F.concat(F.lit('say \\"'), user % 7, F.lit('\\"'))).otherwise(
+        F.concat(F.lit("agent/"), user % 7)
+    )
     line = F.concat(
-        F.lit("10.0."), F.floor(user / 256), F.lit("."), user % 256,
-        F.lit(" - - ["), F.date_format(F.col("ts").cast("timestamp"), "dd/MMM/yyyy:HH:mm:ss"), F.lit(" +0330] \""),
-        pick(["GET", "POST", "HEAD", "OPTIONS"], F.col("event_id") % 4),
-        F.lit(" /"), F.col("event_type"), F.lit("?id="), F.col("event_id"), F.lit(" HTTP/1.1\" "),
-        pick(["200", "404"], F.col("event_id") % 2), F.lit(" "), size,
-        F.lit(" \"-\" \"agent/"), user % 7, F.lit("\" \"-\""),
+        address, F.lit(" - - ["), at, F.lit(" +0330] \""),
+        pick(["GET", "POST", "HEAD", "OPTIONS"], number % 4),
+        F.lit(" /"), F.col("event_type"), F.when(number % 17 == 4, F.lit("\u0001")).otherwise(F.lit("?")),
+        F.lit("id="), number, F.lit(" HTTP/1.1\" "),
+        F.when(number % 13 == 5, F.lit("ok")).otherwise(pick(["200", "404"], number % 2)),
+        F.lit(" "), size, F.lit(" \"-\" \""), agent, F.lit("\" \"-\""),
     )
-    return events.select(line.alias("value"))
+    fields = F.concat_ws("\u0001", address, F.concat(at, F.lit(" +0330")), F.lit("GET / HTTP/1.1"), F.lit("200"), size, F.lit("-"), F.lit("x"))
+    return events.select(F.when(number % 19 == 6, fields).otherwise(line).alias("value"))

@@ -21,6 +21,7 @@ BROKEN = [
     'garbage "a" "b" "c" "d" "e" f',
     '192.0.2.17 - - [31/Foo/2021:23:10:05 +0330] "GET / HTTP/1.1" 200 5 "-" "x" "-"',
     '192.0.2.17 - - [03/Mar/2021:23:10:05 +0330] "GET / HTTP/1.1" ok 5 "-" "x" "-"',
+    "\u0001".join(["192.0.2.17", "03/Mar/2021:23:10:05 +0330", "GET / HTTP/1.1", "200", "5", "-", "x"]),
 ]
 
 
@@ -38,6 +39,13 @@ def test_access_log_lines(spark):
     assert len(broken) == len(BROKEN) and all(v is None for row in broken for v in row)
 
 
+def test_separator_inside_a_line_is_data(spark):
+    paths = ["item=\u00017", "\u0002a\u0001\u0002\u0002b", "\u0002", '\\\u0001\\"']
+    lines = [(LINES[0].replace("item=7", path),) for path in paths]
+    rows = access_log.parse_lines(spark.createDataFrame(lines, "value string")).collect()
+    assert [(r["ip"], r["path"], r["status"]) for r in rows] == [("192.0.2.17", f"/basket/add?{path}", 200) for path in paths]
+
+
 def test_access_log_files(spark, tmp_path):
     (tmp_path / "a.log").write_text("\n".join([*LINES[:2], BROKEN[0]]))
     assert access_log.read_access_log(spark, str(tmp_path)).where("ip is not null").count() == 2
