@@ -7,9 +7,10 @@ import logging
 
 from obsflow.operators.clean import observations, with_valid
 from obsflow.plans import exploration, supervised, unsupervised
-from obsflow.session import build_session
+from obsflow.session import build_session, tidy, tune
 from obsflow.sources import files, kafka
-from obsflow.streaming.sinks import dropped_rows
+from obsflow.streaming.sinks import late_counter
+from obsflow.streaming.store import BatchStore
 
 
 def parser():
@@ -41,12 +42,13 @@ def parser():
             type=int,
             help="at most so many files in a batch, oldest file first; rows of a later batch that are behind the watermark are dropped",
         )
-        job.add_argument("--checkpoint", required=True)
+        job.add_argument("--checkpoint", help="folder of the stream's progress; needed unless --batch")
         job.add_argument("--seconds", type=int, help="trigger; without it, take what there is and stop")
         if name != "baselines":
             job.add_argument("--out", required=True)
         if name in ("supervised", "unsupervised"):
             job.add_argument("--delay", default="15 minutes", help="how late rows may come")
+            job.add_argument("--batch", action="store_true", help="take the files as one table, without a stream")
         if name == "unsupervised":
             job.add_argument("--model", required=True, help="folder of the centres")
             job.add_argument("--decay", type=float, default=1.0)
@@ -79,20 +81,41 @@ def start(spark, args):
     return exploration.run_compare_stream(measured, args.weeks, args.out, args.checkpoint, args.seconds)
 
 
+def run_table(spark, args):
+    """A detection job over whole files: flagged rows, and the moved centres, as batch 0 of their folders.
+
+    Split and shuffle sizes follow the bytes of the files, and tables written on the way are deleted.
+    """
+    tune(spark, args.csv or args.json)
+    rows = with_valid(files.read_csv(spark, args.csv)) if args.csv else observations(files.read_messages(spark, args.json))
+    with tidy(spark):
+        if args.job == "supervised":
+            return supervised.run_batch(rows, args.out)
+        flagged, centres = unsupervised.run_batch(rows, decay=args.decay)
+        BatchStore(spark, args.out, "csv").write(unsupervised.log_lines(flagged), 0)
+        unsupervised.save_centres(spark, BatchStore(spark, args.model), centres, 0)
+        return centres
+
+
 def main(argv=None):
     """Run one command to its end."""
-    args = parser().parse_args(argv)
+    top = parser()
+    args = top.parse_args(argv)
+    batch = getattr(args, "batch", False)
+    if batch and args.servers:
+        top.error("--batch takes files")
+    if args.job != "publish" and not batch and not args.checkpoint:
+        top.error("--checkpoint is needed")
     spark = build_session(f"obsflow-{args.job}")
     if args.job == "publish":
         kafka.publish(files.read_csv(spark, args.csv), args.servers, args.topic)
+    elif batch:
+        run_table(spark, args)
     else:
-        query = start(spark, args)
-        try:
-            query.awaitTermination()
-        finally:
-            late = dropped_rows(query)
-            if late:
-                logging.getLogger("obsflow").warning("%d rows came behind the watermark and were dropped", late)
+        with late_counter(spark) as late:
+            start(spark, args).awaitTermination()
+        if late.rows:
+            logging.getLogger("obsflow").warning("%d rows came behind the watermark and were dropped", late.rows)
 
 
 if __name__ == "__main__":

@@ -9,8 +9,8 @@ from obsflow.operators.scoring import range_compare, two_hour_rows
 from obsflow.operators.windows import day_and_night, sliding_stats, window_stats
 from obsflow.session import materialise
 from obsflow.streaming import windows
-from obsflow.streaming.sinks import for_each_batch, to_snapshots
-from obsflow.streaming.store import BatchStore
+from obsflow.streaming.sinks import for_each_batch, to_keyed_table
+from obsflow.streaming.store import BatchStore, KeyedTable
 
 
 def measured(observations):
@@ -39,10 +39,10 @@ def weekly_day_night(observations):
     return day_and_night(weekly_day(observations), weekly_night(observations))
 
 
-def sliding_week(observations):
-    """Weeks that slide by a day; panes on a table, plain windows on a stream."""
+def sliding_week(observations, delay=windows.WEEKLY_DELAY):
+    """Weeks that slide by a day; panes on a table, plain windows under a watermark on a stream."""
     if observations.isStreaming:
-        return window_stats(observations, "valid", "tmpf", "station", WEEK, DAY)
+        return windows.weekly(observations, delay=delay, slide=DAY)
     return sliding_stats(observations, "valid", "tmpf", "station", WEEK, DAY)
 
 
@@ -69,25 +69,38 @@ def compare_with_itself(observations):
     return compare(observations, materialise(sliding_week(observations), "weeks"))
 
 
-def run_baseline_stream(observations, snapshots, checkpoint, seconds=10):
-    """Keep the sliding weeks of a stream as a table, written anew per batch."""
-    return to_snapshots(sliding_week(observations), snapshots, checkpoint, seconds=seconds)
+WEEK_KEYS = ("station", "window_start")
 
 
-def run_compare_stream(observations, snapshots, out, checkpoint, seconds=10, threshold=2.0):
-    """Flag the rows of each batch against the latest snapshot of the baselines.
+def run_baseline_stream(observations, weeks, checkpoint, seconds=10, delay=windows.WEEKLY_DELAY):
+    """Keep the sliding weeks of a stream as a table by station and week.
 
-    Without a snapshot the batch fails, so that a restart takes it again: no
+    State holds the weeks that can still change, and a batch writes only the start days it
+    has rows for. Rows more than ``delay`` behind the latest no longer change anything.
+    """
+    return to_keyed_table(
+        sliding_week(observations, delay), weeks, checkpoint, WEEK_KEYS, "window_start", seconds
+    )
+
+
+def read_weeks(spark, weeks):
+    """The table of sliding weeks; None before there is one."""
+    return KeyedTable(spark, weeks, WEEK_KEYS, "window_start").read()
+
+
+def run_compare_stream(observations, weeks, out, checkpoint, seconds=10, threshold=2.0):
+    """Flag the rows of each batch against the table of baselines as it is then.
+
+    Without a table the batch fails, so that a restart takes it again: no
     row passes by before there is something to compare it with.
     """
 
     def handle(batch, batch_id):
         spark = batch.sparkSession
-        table = BatchStore(spark, snapshots)
-        latest = table.latest()
-        if latest is None:
-            raise RuntimeError(f"no snapshot of baselines in {snapshots}; start the baselines job first")
-        found = compare_anomalies(batch, table.read(latest), threshold)
+        table = read_weeks(spark, weeks)
+        if table is None:
+            raise RuntimeError(f"no table of baselines in {weeks}; start the baselines job first")
+        found = compare_anomalies(batch, table, threshold)
         BatchStore(spark, out).write(found, batch_id)
 
     return for_each_batch(observations, handle, checkpoint, seconds=seconds)

@@ -434,6 +434,7 @@ FROM placed WHERE {CLOSED_TWO_HOURS.format(table='raw')} GROUP BY station, windo
     "stream_two_hour_exploded": f"""WITH {CLEAN}, {TWO_HOURS}
 SELECT station, window_start, window_end, {_shown(['temperature'])}, prev_week_start, prev_week_end FROM dated
 WHERE {CLOSED_TWO_HOURS.format(table='clean')}""",
+    "stream_paced": f"WITH {RAW} SELECT event_id, valid, {MESSAGE_FIELDS} FROM raw",
     "stream_distinct": "SELECT DISTINCT * FROM events",
     "stream_count_sorted": "SELECT event_type, count(*) AS count FROM events GROUP BY event_type",
     "stream_range_join": f"WITH {RANGED} SELECT {RANGED_COLUMNS} FROM ranged WHERE abs(z_score) > 2",

@@ -14,8 +14,8 @@ from obsflow.sources import access_log
 from obsflow.sources.events import log_lines_from_events, observations_from_events, read_events
 from obsflow.sources.files import read_csv, stream_parquet, write_csv
 from obsflow.streaming import windows as stream_windows
-from obsflow.streaming.replay import replay, replayed
-from obsflow.streaming.sinks import for_each_batch, read_snapshot, state_partitions, to_snapshots
+from obsflow.streaming.replay import await_rows, paced, replay, replayed
+from obsflow.streaming.sinks import for_each_batch, read_snapshot, state_partitions, to_batches, to_snapshots
 from obsflow.streaming.store import BatchStore
 
 # Places that results are shown with, so both engines agree on the last bits.
@@ -371,6 +371,18 @@ def stream_distinct(spark, folder):
     return wall_clock(replayed(events.union(events), "ts", lambda s: stream_windows.distinct(s, "ts"), 3))
 
 
+def stream_paced(spark, folder):
+    """A table sent at a set pace, batch by batch; the union of the batches is the table."""
+    raw = _raw(spark, folder)
+    rows = raw.count()
+    out, checkpoint = shared_folder(spark, "paced"), shared_folder(spark, "checkpoint")
+    with state_partitions(spark):
+        await_rows(to_batches(paced(raw, max(1, rows // 4)), out, checkpoint, seconds=1), rows)
+    numbers = ["tmpf", "dwpf", "relh", "feel", "drct", "sped", "alti", "vsby"]
+    sent = BatchStore(spark, out).read().select("event_id", *FIELDS)
+    return wall_clock(sent.withColumn("valid", parse_valid("valid")).withColumns({c: F.col(c).try_cast("double") for c in numbers}))
+
+
 def stream_count_sorted(spark, folder):
     """Complete mode: an ordered aggregate rewritten per batch, read from its last snapshot."""
     events = _events(spark, folder).select("event_id", "event_type")
@@ -383,7 +395,7 @@ def stream_count_sorted(spark, folder):
 
 
 def stream_range_join(spark, folder):
-    """Sliding weeks kept as snapshots of a stream, and the stream compared with the last one."""
+    """Sliding weeks of a stream kept as a table by key, and the stream compared with it."""
     rows = _clean(spark, folder).select(*STREAM_COLUMNS)
     source = write_shared(rows, "in")
     weeks, out = shared_folder(spark, "weeks"), shared_folder(spark, "out")
@@ -506,6 +518,7 @@ QUERIES = {
         stream_two_hour_list_pages,
         stream_two_hour_exploded,
         stream_distinct,
+        stream_paced,
         stream_count_sorted,
         stream_range_join,
         anomaly_log,

@@ -53,6 +53,15 @@ def sizing(data_bytes, cores):
     }
 
 
+def tune(spark, path):
+    """Apply ``sizing`` for the files under a path; returns their bytes."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    held = at.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(at).getLength()
+    for key, value in sizing(held, spark.sparkContext.defaultParallelism).items():
+        spark.conf.set(key, value)
+    return held
+
+
 def build_session(app_name="obsflow", master=None, shuffle_partitions=None, conf=None):
     """A session with the settings the jobs expect; ``master`` only for local runs.
 
@@ -106,9 +115,30 @@ def shared_folder(spark, name):
     return os.path.join(parent, f"{name}-{uuid.uuid4().hex}")
 
 
+_intermediate = []
+
+
+@contextmanager
+def tidy(spark):
+    """Delete the tables that ``materialise`` and ``write_shared`` wrote inside, once the block is left.
+
+    For jobs that have written their results by then; a table read from such a folder is gone.
+    """
+    first = len(_intermediate)
+    try:
+        yield
+    finally:
+        hadoop = spark._jvm.org.apache.hadoop.fs
+        for folder in _intermediate[first:]:
+            at = hadoop.Path(folder)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        del _intermediate[first:]
+
+
 def write_shared(df, name="table"):
     """Write a table to a fresh shared folder and return the folder."""
     folder = shared_folder(df.sparkSession, name)
+    _intermediate.append(folder)
     df.write.parquet(folder)
     return folder
 

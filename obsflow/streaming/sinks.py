@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from contextlib import contextmanager
 
-from obsflow.streaming.store import BatchStore
+from pyspark.sql.streaming import StreamingQueryListener
+
+from obsflow.streaming.store import BatchStore, KeyedTable
 
 
 @contextmanager
@@ -40,10 +42,39 @@ def start(df, sink, mode="append", seconds=None, checkpoint=None, name=None, opt
     return writer.start()
 
 
-def dropped_rows(query):
-    """Rows that came behind the watermark, in the batches whose progress Spark still holds."""
-    states = [s for p in query.recentProgress for s in p["stateOperators"]]
-    return sum(s["numRowsDroppedByWatermark"] for s in states)
+class LateRows(StreamingQueryListener):
+    """Adds up the rows that came behind the watermark, over every batch of every query while it listens."""
+
+    def __init__(self):
+        self.rows = 0
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        self.rows += sum(s.numRowsDroppedByWatermark for s in event.progress.stateOperators)
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass
+
+
+@contextmanager
+def late_counter(spark):
+    """Count late rows of the queries that run inside; the count is whole once the block is left.
+
+    Spark remembers the progress of the last hundred batches only, and a listener hears of all.
+    Events come on a queue of their own, which is emptied before the listener goes.
+    """
+    late = LateRows()
+    spark.streams.addListener(late)
+    try:
+        yield late
+    finally:
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        spark.streams.removeListener(late)
 
 
 def to_console(df, mode="append", seconds=5, checkpoint=None):
@@ -97,3 +128,12 @@ def to_batches(df, path, checkpoint, mode="append", seconds=None, format="parque
         BatchStore(batch.sparkSession, path, format).write(batch, batch_id)
 
     return for_each_batch(df, handle, checkpoint, mode, seconds)
+
+
+def to_keyed_table(df, path, checkpoint, keys, partition, seconds=None):
+    """Keep an aggregate as a table by key: each batch replaces the rows it changed and the partitions they are in."""
+
+    def handle(batch, batch_id):
+        KeyedTable(batch.sparkSession, path, keys, partition).update(batch, batch_id)
+
+    return for_each_batch(df, handle, checkpoint, "update", seconds)

@@ -11,8 +11,8 @@ from obsflow.sources.events import observations_from_events
 from obsflow.sources.files import stream_messages, stream_parquet
 from obsflow.streaming import sinks
 from obsflow.streaming import windows as live
-from obsflow.streaming.replay import replay, replayed, time_slices
-from obsflow.streaming.store import BatchStore
+from obsflow.streaming.replay import await_rows, paced, replay, replayed, time_slices
+from obsflow.streaming.store import BatchStore, KeyedTable
 
 SF = "/root/testdata/sf0.001"
 
@@ -79,6 +79,31 @@ def test_late_rows_are_dropped_and_counted(spark, tmp_path):
     ]
 
 
+def test_late_rows_are_counted_over_the_whole_run(spark):
+    """The count comes from every batch's progress, also of queries that ended long ago."""
+    source, (out, checkpoint) = shared_folder(spark, "in"), folders(spark)
+    schema = "station string, valid timestamp, tmpf double"
+    days = ["2024-01-19", "2024-01-05", "2024-01-06", "2024-02-19", "2024-01-20"]
+    with sinks.late_counter(spark) as late:
+        for day in days:
+            rows = spark.createDataFrame([("a", day, 1.0)], "station string, valid string, tmpf double")
+            rows.withColumn("valid", F.col("valid").cast("timestamp")).coalesce(1).write.mode("append").parquet(source)
+            stream = live.weekly(stream_parquet(spark, source, schema), delay="15 minutes")
+            sinks.to_files(stream, out, checkpoint).awaitTermination()
+    assert late.rows == 3
+
+
+def test_paced_replay_gives_every_row_once(spark, clean):
+    out, checkpoint = folders(spark)
+    stream = paced(clean.repartition(3), 300)
+    query = sinks.to_batches(stream, out, checkpoint, seconds=1)
+    await_rows(query, clean.count())
+    store = BatchStore(spark, out)
+    got = store.read().drop("batch_id")
+    assert got.count() == clean.count() and got.exceptAll(clean).count() == 0
+    assert max(store.read(n).count() for n in store.batches()) == 300
+
+
 def test_output_modes_and_memory_sink(spark, clean):
     folder = shared_folder(spark, "in")
     clean.write.parquet(folder)
@@ -94,22 +119,72 @@ def test_output_modes_and_memory_sink(spark, clean):
     query.stop()
 
 
-def test_snapshot_of_an_aggregate_and_stream_against_it(spark, clean):
+def test_snapshot_of_an_aggregate(spark, clean):
     folder, (snapshots, checkpoint) = shared_folder(spark, "in"), folders(spark)
     clean.write.parquet(folder)
+    counts = windows.count_by(stream_parquet(spark, folder, clean.schema), "station")
+    sinks.to_snapshots(counts, snapshots, checkpoint).awaitTermination()
+    assert set(sinks.read_snapshot(spark, snapshots).collect()) == set(windows.count_by(clean, "station").collect())
+
+
+def test_table_of_weeks_and_stream_against_it(spark, clean):
+    folder, (weeks, checkpoint) = shared_folder(spark, "in"), folders(spark)
+    clean.write.parquet(folder)
     stream = stream_parquet(spark, folder, clean.schema)
-    exploration.run_baseline_stream(stream, snapshots, checkpoint, seconds=None).awaitTermination()
+    with pytest.raises(Exception, match="no table of baselines"):
+        exploration.run_compare_stream(stream, weeks, *folders(spark), seconds=None).awaitTermination()
+    exploration.run_baseline_stream(stream, weeks, checkpoint, seconds=None).awaitTermination()
     columns = ["station", "window_start", F.round("avg_temp", 9)]
-    table = sinks.read_snapshot(spark, snapshots)
+    table = exploration.read_weeks(spark, weeks)
     assert keyed(table, *columns) == keyed(exploration.sliding_week(clean), *columns)
 
     out, again = folders(spark)
-    exploration.run_compare_stream(stream, snapshots, out, again, seconds=None, threshold=1.0).awaitTermination()
+    exploration.run_compare_stream(stream, weeks, out, again, seconds=None, threshold=1.0).awaitTermination()
     expected = exploration.compare_anomalies(clean, exploration.sliding_week(clean), 1.0)
     columns = ["station", "window_start", "temperature", "baseline_start", F.round("z_score", 6)]
     assert keyed(spark.read.parquet(out), *columns) == keyed(expected, *columns)
 
 
+def test_ten_weeks_keep_the_state_of_a_few(spark):
+    """State holds weeks that can still change, and a batch writes only the days it changed."""
+    rows = spark.range(10 * 7 * 4).selectExpr(
+        "'a' AS station", "timestamp '2024-01-01' + make_interval(0, 0, 0, 0, cast(id * 6 as int)) AS valid", "cast(id as double) AS tmpf"
+    )
+    weeks, checkpoint = folders(spark)
+    held, written = [], []
+
+    def run(stream):
+        query = exploration.run_baseline_stream(stream, weeks, checkpoint, seconds=None)
+        query.awaitTermination()
+        held.append(max(s["numRowsTotal"] for p in query.recentProgress for s in p["stateOperators"]))
+        folders_now = exploration.KeyedTable(spark, weeks, exploration.WEEK_KEYS, "window_start").manifest()["folders"]
+        last = max(int(f.split("/")[0].split("=")[1]) for f in folders_now.values())
+        written.append(sum(f.startswith(f"batch={last}/") for f in folders_now.values()))
+        return query
+
+    replay(rows, "valid", run, 5)
+    assert max(held) <= 45 and max(written) <= 25
+    columns = ["station", "window_start", F.round("avg_temp", 9), F.round("stddev_temp", 9)]
+    assert keyed(exploration.read_weeks(spark, weeks), *columns) == keyed(exploration.sliding_week(rows), *columns)
+
+
+def test_keyed_table_replaces_rows_and_repeats_no_batch(spark):
+    table = KeyedTable(spark, shared_folder(spark, "keyed"), ["k"], "day", keep=1)
+    assert table.read() is None
+
+    def rows(*items):
+        return spark.createDataFrame(items, "k string, day string, v int")
+
+    table.update(rows(("a", "x y/z", 1), ("b", "x y/z", 1), (None, None, 1)), 0)
+    table.update(rows(("a", "x y/z", 2), ("c", "d2", 2)), 1)
+    table.update(rows(("a", "x y/z", 9)), 1)
+    table.update(rows(), 2)
+    table.update(rows((None, None, 3)), 3)
+    got = {tuple(r) for r in table.read().collect()}
+    assert got == {("a", "x y/z", 2), ("b", "x y/z", 1), ("c", "d2", 2), (None, None, 3)}
+    assert table.manifest()["batch_id"] == 3
+
+
 def test_only_the_last_snapshots_stay(spark):
     store = BatchStore(spark, shared_folder(spark, "store"))
     assert store.batches() == [] and store.latest() is None
