@@ -12,7 +12,7 @@ from obsflow.plans.registry import QUERIES
 from tools.compare import compare, connect
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
-ROWS_ONLY = {"svm_fit_predict", "stream_kmeans"}
+ROWS_ONLY = set()
 
 
 @pytest.fixture(scope="module")
