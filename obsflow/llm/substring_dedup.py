@@ -1,15 +1,15 @@
-"""Substring dedup by relative Lempel-Ziv parsing.
+"""Substring dedup by hashing windows, in place of relative Lempel-Ziv parsing.
 
 The reference is the corpus itself. It is cut into passages at content-defined
 anchors (the smallest hash of six words within a window), and passages with the
 same anchor meet in the same block, wherever their documents lie, so a document
-is factored against every block that could hold a part of it. A block indexes
-its passages in reading order. A passage is factored greedily: a factor starts
-at the first window that the index holds from an earlier place and is extended
-while the next window, one word on, is held too; the words between are
-literals. Windows across a factor boundary are looked up like any other, so a
-repeat that begins inside one factor and ends in the next is not missed.
-Factors of at least one window become duplicate spans.
+is held against every block that could hold a part of it. A block looks every
+window of a passage up among those of earlier places. A window that is found is
+marked, and marked neighbours become one duplicate span; the words between spans
+are kept. Every window is looked up, so a repeat that begins in one source and
+ends in the next is not missed. No factor with a source place and a length is made: the
+words removed are those that a greedy parse into factors of at least one
+window covers, but the source text does not travel with a passage.
 
 Equal windows have equal anchors, and only anchors that occur twice can have
 equal windows, so anchors are counted first and only their windows travel.
@@ -214,7 +214,7 @@ def _passage_rows(window, anchor, blocks):
 
 
 def _factor(window):
-    """Block side: factor every passage against the index of the passages before it."""
+    """Block side: look the windows of every passage up among those of the passages before it."""
 
     def run(key, table):
         columns = {c: [] for c in ("k", "t", "word", "anchor", "hash", "known")}
