@@ -340,6 +340,13 @@ framed AS (
   WINDOW w AS (PARTITION BY station ORDER BY valid RANGE BETWEEN INTERVAL 7 DAYS PRECEDING AND CURRENT ROW))
 SELECT station, valid, {_round('max(a)')} AS avg_temp, {_round('max(s)')} AS stddev_temp
 FROM framed GROUP BY station, valid""",
+    "trailing_week_events": f"""WITH marked AS (
+  SELECT CASE WHEN event_id % 3 = 0 THEN 'hot' ELSE event_type END AS kind, ts,
+    value + 10 * CASE WHEN event_id % 3 = 0 THEN 0 ELSE length(event_type) END AS value FROM events),
+framed AS (
+  SELECT kind, ts, avg(value) OVER w AS a, stddev_samp(value) OVER w AS s FROM marked
+  WINDOW w AS (PARTITION BY kind ORDER BY ts RANGE BETWEEN INTERVAL 7 DAYS PRECEDING AND CURRENT ROW))
+SELECT kind, ts, {_round('max(a)')} AS avg_temp, {_round('max(s)')} AS stddev_temp FROM framed GROUP BY kind, ts""",
     "two_hour_lists": f"""WITH {RAW},
 two_hours AS (
   SELECT station, CAST(date_trunc('hour', valid) - to_hours(CAST(h AS INTEGER)) AS TIMESTAMP) AS window_start, tmpf

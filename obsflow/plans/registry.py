@@ -188,6 +188,17 @@ def trailing_week(spark, folder):
     return _show(trailing.trailing_stats(_clean(spark, folder), "valid", "tmpf", "station", WEEK))
 
 
+def trailing_week_events(spark, folder):
+    """The same over times of microseconds, a third of the rows under one key, values around a level of their key's own."""
+    kind, hot = F.col("event_type"), F.col("event_id") % 3 == 0
+    rows = _events(spark, folder).select(
+        F.when(hot, F.lit("hot")).otherwise(kind).alias("kind"),
+        F.col("ts").cast("timestamp").alias("ts"),
+        (F.col("value") + 10 * F.when(hot, F.lit(0)).otherwise(F.length(kind))).alias("value"),
+    )
+    return _show(trailing.trailing_stats(rows, "ts", "value", "kind", WEEK))
+
+
 def two_hour_lists(spark, folder):
     rows = _timed(spark, folder).withColumn("tmpf", F.col("tmpf").try_cast("double"))
     lists = windows.window_lists(rows, "valid", "tmpf", "station", TWO_HOURS, 3600)
@@ -488,6 +499,7 @@ QUERIES = {
         weekly_day_night,
         sliding_week,
         trailing_week,
+        trailing_week_events,
         two_hour_lists,
         two_hour_exploded,
         range_join_compare,
