@@ -4,20 +4,25 @@ A document is the set of its word shingles. Every shingle hashes to one bit of a
 sketch, and the bits are combined by exclusive or, so two sketches differ in at
 most as many bits as their sets have elements that are not common: Hamming
 distance is a lower bound of the symmetric difference. At a similarity of t two
-sets of S elements together differ in at most S (1 - t) / (1 + t), so a sketch is
-made of one 64-bit piece more than that, and by the pigeonhole principle two
-linked sets agree on a whole piece. Sizes are cut into bands; a band fixes the
-number of pieces, and a set near the upper end of its band is sketched for the
-next one as well. Documents that agree on a piece are verified on their sets.
-
-A piece without a set bit says nothing and would make everybody meet. A set
-that has one is sketched again with another hash; both sides of a link that
-agree on such a piece only do so. The last attempt uses the empty pieces too,
-so no link is lost.
+sets of S elements together differ in at most S (1 - t) / (1 + t) bits, and in no
+more pieces of a sketch. Sizes are cut into bands; a band fixes the number of
+pieces, and a set near the upper end of its band is sketched for the next one as
+well. A piece is 2^64 bits wide, so that few set bits already tell sets apart,
+and is named by the exclusive or of the numbers of its set bits. Documents that
+agree on a piece are verified on their sets.
+
+A piece without a set bit says nothing and is never a key. By the pigeonhole
+principle two linked sets agree on a piece with set bits if one of them has more
+such pieces than the two may differ in. Bands have pieces enough for nearly
+every set. A set that falls short is sketched again with another hash and more
+pieces, until it does not: of two linked sets either one suffices, or both go on
+to the same next sketch, so no link is lost.
 """
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -43,24 +48,28 @@ from obsflow.session import materialise
 
 SHINGLE = 3
 PERCENT = 90
-ATTEMPTS = 4
 #: Bits of the sketch that candidates are compared on before their sets are.
 BITS = 1024
 #: Earlier partners that a member of a group is paired with in the first round; each round takes 16 times as many.
 EARLIEST = 16
+#: Members of a group that one task compares with as many others; larger groups are cut into pairs of such parts.
+PART = 2048
 _GROWTH = 1.4
 _LARGEST = 1 << 40
 
 
-def band_edges():
-    """Lower ends of the size bands."""
-    edges = [1]
+@functools.cache
+def band_edges(percent):
+    """Lower ends of the size bands: partners of a set lie in its own band, the next or the one before."""
+    edges, growth = [1], max(_GROWTH, 100 / percent)
     while edges[-1] < _LARGEST:
-        edges.append(max(edges[-1] + 1, int(np.ceil(edges[-1] * _GROWTH))))
+        edges.append(max(edges[-1] + 1, int(np.ceil(edges[-1] * growth))))
     return np.array(edges, dtype=np.int64)
 
 
-_EDGES = band_edges()
+def _differing(m, n, percent):
+    """In how many elements linked sets of these sizes differ at most."""
+    return (m + n) * (100 - percent) // (100 + percent)
 
 
 def sets_of(part, k):
@@ -99,9 +108,12 @@ def set_keys(hashes, first):
 
 
 def _pieces(hashes, sizes, band, percent, attempt):
-    """Keys of the sketch pieces of sets laid end to end, the set of each, and which sets have an empty piece."""
-    allowed = 2 * (_EDGES[band + 1] - 1) * (100 - percent) // (100 + percent)
-    count = (allowed + 1).astype(np.uint64)
+    """Keys of the sketch pieces of sets laid end to end, the set of each, and which sets have too few for their links."""
+    largest = band_edges(percent)[band + 1] - 1
+    least = _differing(largest, largest, percent) + 1
+    # Room for twice the empty pieces that the largest sets of the band are to have.
+    spare = np.ceil(2 * least * np.exp(-largest / least)).astype(np.int64)
+    count = ((least + spare) * (attempt + 1)).astype(np.uint64)
     owner = np.repeat(np.arange(len(sizes)), sizes)
     if attempt:
         hashes = mix(hashes, 100 + attempt)
@@ -109,42 +121,39 @@ def _pieces(hashes, sizes, band, percent, attempt):
         hashes = hashes[order]
     piece = ((hashes >> np.uint64(32)) * count[owner]) >> np.uint64(32)
     begin = np.flatnonzero(changes(owner, piece))
-    bits = np.uint64(1) << (mix(hashes, 31) & np.uint64(63))
+    bits = mix(hashes, 31)
     parity = np.bitwise_xor.reduceat(bits, begin) if len(begin) else bits
     owner, piece = owner[begin], piece[begin]
     full = parity != 0
     owner, piece, parity = owner[full], piece[full], parity[full]
-    weak = np.bincount(owner, minlength=len(sizes)) < count
-    if attempt == ATTEMPTS - 1 and weak.any():
-        # Exactness of the last attempt: its empty pieces are keys like others.
-        every = np.repeat(np.flatnonzero(weak), count[weak].astype(np.int64))
-        ends = np.cumsum(count[weak].astype(np.int64))
-        inner = np.arange(len(every)) - np.repeat(ends - count[weak].astype(np.int64), count[weak].astype(np.int64))
-        there = set(zip(owner.tolist(), piece.tolist()))
-        empty = np.array([(o, p) not in there for o, p in zip(every.tolist(), inner.tolist())])
-        owner = np.concatenate([owner, every[empty]])
-        piece = np.concatenate([piece, inner[empty].astype(np.uint64)])
-        parity = np.concatenate([parity, np.zeros(int(empty.sum()), np.uint64)])
+    partner = np.minimum(largest, 100 * sizes // percent)
+    weak = np.bincount(owner, minlength=len(sizes)) <= _differing(sizes, partner, percent)
     name = (band[owner].astype(np.uint64) << np.uint64(40)) ^ piece
     return mix(mix(parity, 41 + attempt) ^ mix(name, 51)), owner, weak
 
 
 def sketch_keys(hashes, first, percent=PERCENT):
-    """Keys of all pieces of all sets, and the set of each key."""
-    sizes = np.diff(first)
-    band = np.searchsorted(_EDGES, sizes, side="right") - 1
+    """Keys of all pieces of all sets, and the set of each key.
+
+    At 50 percent or less a set may differ from a partner in as many elements as
+    it has, so no number of pieces suffices.
+    """
+    if percent <= 50:
+        raise ValueError("percent must be above 50")
+    sizes, edges = np.diff(first), band_edges(percent)
+    band = np.searchsorted(edges, sizes, side="right") - 1
     keys, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     for up in (0, 1):
         # The next band holds partners of sets that reach percent of its lower end.
-        those = np.flatnonzero((sizes > 0) & ((100 * sizes >= percent * _EDGES[band + 1]) if up else True))
-        for attempt in range(ATTEMPTS):
-            if not len(those):
-                break
+        those = np.flatnonzero((sizes > 0) & ((100 * sizes >= percent * edges[band + 1]) if up else True))
+        attempt = 0
+        while len(those):
             part = np.concatenate([hashes[first[i] : first[i + 1]] for i in those])
             key, owner, weak = _pieces(part, sizes[those], band[those] + up, percent, attempt)
             keys.append(key)
             owners.append(those[owner])
             those = those[weak]
+            attempt += 1
     return np.concatenate(keys), np.concatenate(owners)
 
 
@@ -259,7 +268,7 @@ def _set_blobs(shingle):
 def _may_link(m, n, x, y, percent):
     """Whether sizes and sketches of sets allow the similarity."""
     apart = np.bitwise_count(x ^ y).sum(axis=-1, dtype=np.int64)
-    return (100 * np.minimum(m, n) >= percent * np.maximum(m, n)) & (apart <= (m + n) * (100 - percent) // (100 + percent))
+    return (100 * np.minimum(m, n) >= percent * np.maximum(m, n)) & (apart <= _differing(m, n, percent))
 
 
 def _near(percent):
@@ -294,16 +303,18 @@ def _verify(percent):
 
 
 def _cross_pairs(limit, percent):
-    """Group side: near pairs of members of a piece from different components, the earliest ``limit`` for each member.
+    """Group side: near pairs of members of two parts of a piece from different components, the earliest ``limit`` for each member.
 
-    A row of nulls says that a member reached the limit and has earlier rows left.
+    A part that meets itself gives its own pairs. A row of nulls says that a
+    member reached the limit and has earlier rows left.
     """
 
     def run(key, table):
-        row, comp, size = (table.column(c).to_numpy() for c in ("row", "component", "n"))
+        row, comp, size, part = (table.column(c).to_numpy() for c in ("row", "component", "n", "part"))
+        two = key[1].as_py() != key[2].as_py()
         order = np.argsort(row)
         bits = np.frombuffer(b"".join(table.column("sketch").to_pylist()), dtype=np.uint64).reshape(len(row), -1)[order]
-        row, comp, size = row[order], comp[order], size[order]
+        row, comp, size, part = row[order], comp[order], size[order], part[order]
         a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         taken = np.zeros(len(row), dtype=np.int64)
         active = np.arange(len(row))
@@ -316,6 +327,8 @@ def _cross_pairs(limit, percent):
             if not len(active):
                 break
             met = active[comp[active] != comp[i]]
+            if two:
+                met = met[part[met] != part[i]]
             met = met[_may_link(size[i], size[met], bits[i], bits[met], percent)]
             taken[met] += 1
             a.append(np.full(len(met), row[i]))
@@ -329,6 +342,8 @@ def _cross_pairs(limit, percent):
 
 def _labelled(docs, shingle, percent):
     """Every document (``row``, keys, id, size of its set) with its class and its component, null for empty sets."""
+    if percent <= 50:
+        raise ValueError("percent must be above 50")
     spark = shipped(docs.sparkSession)
     keyed = with_keys(docs.select("doc_id", "text")).select("_k", "_t", "text", F.col("_row.doc_id").cast("long").alias("doc_id"))
     marks = materialise(keyed.mapInArrow(_mark(shingle, percent, n_blocks(spark)), _MARKS_DDL), "marks")
@@ -402,10 +417,13 @@ def _labelled(docs, shingle, percent):
     limit = EARLIEST
     while True:
         split = label(groups, found, "row").withColumnRenamed("row_component", "component")
-        several = split.groupBy("key").agg(F.min("component").alias("u"), F.max("component").alias("v")).where("u <> v")
-        split = split.join(several.select("key"), "key", "left_semi")
-        split = split.join(sketches, "row").select("key", "row", "component", "n", "sketch")
-        pairs = split.groupBy("key").applyInArrow(_cross_pairs(limit, percent), "a long, b long").distinct()
+        several = split.groupBy("key").agg(F.min("component").alias("u"), F.max("component").alias("v"), F.count("*").alias("m"))
+        parts = several.where("u <> v").select("key", F.ceil(F.col("m") / PART).alias("parts"))
+        split = split.join(parts, "key").withColumn("part", F.expr("pmod(xxhash64(row), parts)"))
+        split = split.withColumn("other", F.explode(F.expr("sequence(0L, parts - 1)"))).join(sketches, "row")
+        lower, upper = F.least("part", "other").alias("lower"), F.greatest("part", "other").alias("upper")
+        split = split.select("key", lower, upper, "part", "row", "component", "n", "sketch")
+        pairs = split.groupBy("key", "lower", "upper").applyInArrow(_cross_pairs(limit, percent), "a long, b long").distinct()
         pairs = materialise(pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
         fresh = pairs.where("a is not null")
         if not fresh.isEmpty():
@@ -425,7 +443,7 @@ def jaccard_components(docs, shingle=SHINGLE, percent=PERCENT):
     """One row per document: ``doc_id``, ``n_shingles``, ``class_id``, ``component_id``.
 
     Two documents link when 100 times the shingles they share are at least
-    ``percent`` times the shingles either has. ``component_id`` is the smallest
+    ``percent`` times, above 50, the shingles either has. ``component_id`` is the smallest
     ``doc_id`` reachable by links, ``class_id`` the smallest with an equal set.
     Words are compared with A-Z in lower case.
 

@@ -145,6 +145,48 @@ def test_empty_pieces_lose_no_link():
             assert len(np.intersect1d(x, y))
 
 
+@pytest.mark.parametrize("percent", [60, 80, 90])
+def test_linked_sets_share_a_key_at_every_size(percent):
+    """Pairs as far apart as the similarity allows, of equal and of different sizes."""
+    import numpy as np
+
+    random = np.random.default_rng(percent)
+    for n in [*range(1, 40), 75, 140, 700]:
+        for _ in range(10):
+            m = random.integers(-(-n * percent // 100), n + 1)
+            differing = int((m + n) * (100 - percent) // (100 + percent))
+            common = int((m + n - differing + 1) // 2)
+            pool = random.integers(0, 1 << 64, m + n - common, dtype=np.uint64)
+            a, b = np.sort(pool[:n]), np.sort(np.concatenate([pool[:common], pool[n:]]))
+            assert 100 * common >= percent * len(pool)
+            x, _ = ngram_join.sketch_keys(a, np.array([0, len(a)]), percent)
+            y, _ = ngram_join.sketch_keys(b, np.array([0, len(b)]), percent)
+            assert len(np.intersect1d(x, y))
+
+
+def test_keys_stay_fewer_than_shingles():
+    """Half a key for a shingle at 80 percent: no set needs its empty pieces."""
+    import numpy as np
+
+    random = np.random.default_rng(2)
+    sizes = random.integers(30, 3000, 200)
+    hashes = np.concatenate([np.sort(random.integers(0, 1 << 64, n, dtype=np.uint64)) for n in sizes])
+    keys, _ = ngram_join.sketch_keys(hashes, np.concatenate([[0], np.cumsum(sizes)]), 80)
+    assert len(keys) < 0.6 * len(hashes)
+
+
+def test_large_groups_meet_in_parts(spark, monkeypatch):
+    """Documents that share a passage and link in far apart pairs, compared two by two parts of a group."""
+    monkeypatch.setattr(ngram_join, "PART", 3)
+    monkeypatch.setattr(ngram_join, "EARLIEST", 1)
+    passage = " ".join(f"s{i}" for i in range(60))
+    rows = [(i, f"{passage} " + " ".join(f"o{i % 8}_{j}" for j in range(20)) + f" end{i // 8 % 2}") for i in range(32)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.component_id for r in jaccard_components(docs).collect()}
+    assert got == {i: min(g)[0] for i, (_, g) in enumerate(brute.components(rows))}
+    assert set(got.values()) == set(range(8))
+
+
 def test_one_document_of_each_group_stays(documents):
     got = one_of_each(documents, 3, 90)
     assert got.columns == documents.columns
