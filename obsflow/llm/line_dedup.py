@@ -42,6 +42,10 @@ PERCENT = 80
 COUNTERS = 1 << 18
 #: Earlier partners of a line that one group names; groups with more are finished exactly in a second step.
 NAMED = 2
+#: Earliest candidates in a part that an unsettled line is verified with first; sixteen times as many in each round after.
+EARLIEST = 64
+#: Lines of a group that meet in one task; parts of larger groups meet in pairs.
+PART = 2048
 #: Lines of so many words have a bitmap of 256 bits as well: 64 say little about them.
 LONG = 90
 
@@ -104,11 +108,14 @@ def rarity(docs):
 
 
 def wide_bitmaps(words, line, chosen):
-    """Parity of a 256-bit sketch for each chosen set (ascending), as rows of four 64-bit numbers."""
+    """Parity of a 256-bit sketch for each chosen set (ascending), as rows of four 64-bit numbers.
+
+    The four numbers of a row XORed are the set's bitmap of 64 bits.
+    """
     at = np.searchsorted(chosen, line)
     held = np.flatnonzero((at < len(chosen)) & (chosen[np.minimum(at, len(chosen) - 1)] == line)) if len(chosen) else at[:0]
     out = np.zeros((len(chosen), 4), dtype=np.uint64)
-    bit = mix(words[held], 63)
+    bit = mix(words[held], 61)
     np.bitwise_xor.at(out, (at[held], (bit >> np.uint64(62)).astype(np.int64)), np.uint64(1) << (bit & np.uint64(63)))
     return out
 
@@ -122,6 +129,18 @@ def bitmaps(words, line, n):
     return out
 
 
+def _small(values):
+    """Numbers from 0 in the narrowest type, as bytes after one byte that names its width."""
+    largest = int(values.max(initial=0))
+    width = next(w for w in (1, 2, 4) if largest < 1 << 8 * w)
+    return bytes([width]) + pack(values.astype(f"u{width}"))
+
+
+def _large(value):
+    """What ``_small`` packed."""
+    return np.frombuffer(value, dtype=f"u{value[0]}", offset=1).astype(np.int32)
+
+
 _NAMES, _GONE, _WORDS = 0, 1, 2
 _ROWS = pa.schema(
     [("block", pa.int32()), ("kind", pa.int32())]
@@ -135,6 +154,7 @@ _PLACE = [("k", pa.int64()), ("line", pa.int32()), ("name", pa.int64())]
 _PLACE_DDL = "k long, line int, name long"
 _FOUND_DDL = f"kind int, key long, {_PLACE_DDL}, k0 long, line0 int, name0 long, members binary"
 _FOUND = pa.schema([("kind", pa.int32()), ("key", pa.int64()), *_PLACE, *((f"{c}0", kind) for c, kind in _PLACE), ("members", pa.binary())])
+_PAIRS_DDL = f"{_PLACE_DDL}, k0 long, line0 int, name0 long"
 _PAIR, _OPEN, _MEMBER = 2, 3, 4
 
 
@@ -163,7 +183,10 @@ def _post(counts, percent, blocks):
                         row = dict.fromkeys(("key", "name", "bits", "size", "place", "wide"))
                         row |= {c: pack(v[chosen]) for c, v in more.items()}
                         if kind == _WORDS:
-                            row["wide"] = pack(wide[np.searchsorted(long, own[sizes[own] >= LONG])])
+                            short = sizes[own] < LONG
+                            row["bits"] = pack(bits[own[short]])
+                            row["wide"] = pack(wide[np.searchsorted(long, own[~short])])
+                            row["size"], row["place"] = _small(sizes[own]), _small(position[chosen])
                         yield (
                             block,
                             kind,
@@ -193,16 +216,9 @@ def _post(counts, percent, blocks):
                 bits = bitmaps(words, line, len(doc))
                 long = np.unique(own_line[sizes[own_line] >= LONG])
                 wide = wide_bitmaps(words, line, long)
-                rows += rows_of(
-                    _WORDS,
-                    block_of(mix(own_words, 81), blocks),
-                    own_line,
-                    key=own_words,
-                    name=names[own_line, 1],
-                    bits=bits[own_line],
-                    size=sizes[own_line].astype(np.int32),
-                    place=position.astype(np.int32),
-                )
+                # Half of a hash of the word: words that share it only meet more often than they must.
+                key = own_words.astype(np.uint32)
+                rows += rows_of(_WORDS, block_of(mix(own_words, 81), blocks), own_line, key=key, name=names[own_line, 1])
                 yield batch(_ROWS, rows)
 
     return run
@@ -213,6 +229,45 @@ def _needed(x, y, percent):
     return -(-percent * (x + y) // (100 + percent))
 
 
+def _may_match(own, late, other, early, percent):
+    """Which pairs of postings (rows of two tables) of one word pass the filters of length, position and bitmaps."""
+    x, y = own["size"][late].astype(np.int64), other["size"][early].astype(np.int64)
+    i, j = own["place"][late].astype(np.int64), other["place"][early].astype(np.int64)
+    need = _needed(x, y, percent)
+    room = np.minimum(i, j) + np.minimum(x - i, y - j)
+    good = (100 * np.minimum(x, y) >= percent * np.maximum(x, y)) & (room >= need)
+    good = np.flatnonzero(good & (own["name"][late] != other["name"][early]))
+    out = np.zeros(len(late), dtype=bool)
+    late, early, x, y, need = late[good], early[good], x[good], y[good], need[good]
+    apart = np.bitwise_count(own["bits"][late] ^ other["bits"][early]).astype(np.int64)
+    # Bits that differ are words that are not common, in either bitmap.
+    both = np.flatnonzero((x >= LONG) & (y >= LONG))
+    wider = np.bitwise_count(own["wide"][late[both]] ^ other["wide"][early[both]]).sum(axis=1, dtype=np.int64)
+    apart[both] = np.maximum(apart[both], wider)
+    out[good] = apart <= x + y - 2 * need
+    return out
+
+
+#: How the postings of a part of a group are laid out in a row.
+_HELD = [("k", np.int64), ("name", np.int64), ("bits", np.uint64), ("wide", np.uint64), ("line", np.int32), ("size", np.int32), ("place", np.int32)]
+
+
+def _hold(own, rows):
+    """Postings as bytes."""
+    return pack(np.array([len(rows)])) + b"".join(pack(own[c][rows].astype(kind)) for c, kind in _HELD)
+
+
+def _held(value):
+    """What ``_hold`` packed."""
+    n, at, out = int(np.frombuffer(value, np.int64, 1)[0]), 8, {}
+    for c, kind in _HELD:
+        count = n * (4 if c == "wide" else 1)
+        out[c] = np.frombuffer(value, kind, count, at)
+        at += out[c].nbytes
+    out["wide"] = out["wide"].reshape(n, 4)
+    return out
+
+
 def _meet(percent):
     """Block side: later copies of equal lines, and for every line earlier lines that pass the filters."""
 
@@ -234,12 +289,17 @@ def _meet(percent):
         for row in table.to_pylist():
             doc = np.cumsum(unpack(row["doc"], np.int32).astype(np.int64))
             own = {"k": np.cumsum(unpack(row["k"], np.int64))[doc], "line": unpack(row["line"], np.int32).astype(np.int64)}
-            for c, kind in (("key", np.uint64), ("name", np.int64), ("bits", np.uint64), ("size", np.int32), ("place", np.int32)):
-                if row[c] is not None:
-                    own[c] = unpack(row[c], kind)
-            if row["wide"] is not None:
-                own["wide"] = np.zeros((len(doc), 4), dtype=np.uint64)
-                own["wide"][own["size"] >= LONG] = unpack(row["wide"], np.uint64).reshape(-1, 4)
+            if row["name"] is not None:
+                own["name"] = unpack(row["name"], np.int64)
+            if row["kind"] == _WORDS:
+                own["key"] = unpack(row["key"], np.uint32)
+                own["size"], own["place"] = _large(row["size"]), _large(row["place"])
+                short = own["size"] < LONG
+                wide = np.zeros((len(doc), 4), dtype=np.uint64)
+                wide[~short] = unpack(row["wide"], np.uint64).reshape(-1, 4)
+                own["bits"] = np.bitwise_xor.reduce(wide, axis=1)
+                own["bits"][short] = unpack(row["bits"], np.uint64)
+                own["wide"] = wide
             for c, v in own.items():
                 columns.setdefault(row["kind"], {}).setdefault(c, []).append(v)
         columns = {kind: {c: np.concatenate(v) for c, v in own.items()} for kind, own in columns.items()}
@@ -255,63 +315,73 @@ def _meet(percent):
             give(_GONE, None, at(own, later))
         if _WORDS in columns:
             own = columns[_WORDS]
-            # One posting for each name and word: that of the first line of the name.
-            order = np.lexsort((own["line"], own["k"], own["name"], own["key"]))
-            order = order[changes(own["key"][order], own["name"][order])]
+            # One posting for each name and word: that of the first line of the name. Two words of
+            # a line can share a key, but not their place.
+            order = np.lexsort((own["line"], own["k"], own["place"], own["name"], own["key"]))
+            order = order[changes(own["key"][order], own["name"][order], own["place"][order])]
             order = order[np.lexsort((own["name"][order], own["line"][order], own["k"][order], own["key"][order]))]
             own = {c: v[order] for c, v in own.items()}
             group = np.cumsum(changes(own["key"])) - 1
             start = np.flatnonzero(changes(own["key"]))
             size = np.diff(np.append(start, len(group)))
             rank = np.arange(len(group)) - start[group]
-            n, spot = own["size"].astype(np.int64), own["place"].astype(np.int64)
             named = np.zeros(len(group), dtype=np.int64)
             active = np.flatnonzero(size[group] > 1)
-            step = 0
-            while True:
+            for step in range(PART):
                 active = active[(rank[active] > step) & (named[active] < NAMED)]
                 if not len(active):
                     break
                 early = start[group[active]] + step
-                x, y = n[active], n[early]
-                need = _needed(x, y, percent)
-                i, j = spot[active], spot[early]
-                room = np.minimum(i, j) + 1 + np.minimum(x - i, y - j) - 1
-                apart = np.bitwise_count(own["bits"][active] ^ own["bits"][early]).astype(np.int64)
-                # Bits that differ are words that are not common, in either bitmap.
-                both = np.flatnonzero((x >= LONG) & (y >= LONG))
-                wider = np.bitwise_count(own["wide"][active[both]] ^ own["wide"][early[both]]).sum(axis=1, dtype=np.int64)
-                apart[both] = np.maximum(apart[both], wider)
-                good = (100 * np.minimum(x, y) >= percent * np.maximum(x, y)) & (room >= need) & (apart <= x + y - 2 * need)
+                good = _may_match(own, active, own, early, percent)
                 late, early = active[good], early[good]
                 named[late] += 1
                 give(_PAIR, None, at(own, late), at(own, early))
-                step += 1
-            # A line named NAMED times may have more partners: its group is kept whole for the second step.
-            full = (named >= NAMED) & (rank > NAMED)
+            # A line named NAMED times, or behind PART lines of its group, may have more partners:
+            # the parts of its group are kept for the second step.
+            full = ((named >= NAMED) & (rank > NAMED)) | (rank > PART)
             if full.any():
-                word = own["key"].view(np.int64)
-                give(_OPEN, word[full], at(own, full))
+                word = (key[0].as_py() << 32) + own["key"].astype(np.int64)
+                give(_OPEN, word[full], at(own, full), {"k": rank[full], "line": rank[full] // PART, "name": rank[full]})
                 for g in np.unique(group[full]):
-                    i, j = start[g], start[g] + size[g]
-                    groups.append((int(word[i]), pack(own["k"][i:j]) + pack(own["name"][i:j]) + pack(own["line"][i:j])))
+                    for lo in range(start[g], start[g] + size[g], PART):
+                        rows = np.arange(lo, min(lo + PART, start[g] + size[g]))
+                        groups.append((int(word[lo]), (lo - start[g]) // PART, _hold(own, rows)))
         arrays = [pa.array(np.concatenate(v) if v else [], type=_FOUND.field(c).type) for c, v in out.items()]
         flat = pa.table([*arrays, pa.nulls(len(arrays[0]), pa.binary())], schema=_FOUND)
-        whole = {"kind": [_MEMBER] * len(groups), "key": [k for k, _ in groups], "members": [m for _, m in groups]}
+        # ``line`` of a part of a group is its number, as is ``line0`` of an open line that of its part.
+        whole = {"kind": [_MEMBER] * len(groups)} | dict(zip(("key", "line", "members"), zip(*groups)))
         columns = [pa.array(whole.get(f.name, [None] * len(groups)), type=f.type) for f in _FOUND]
         return pa.concat_tables([flat, pa.table(columns, schema=_FOUND)])
 
     return run
 
 
-def _unpacked(batches):
-    """Task side: the lines of whole groups, one row each."""
-    for b in batches:
-        for key, members in zip(b.column("key").to_pylist(), b.column("members").to_pylist()):
-            k, name, line = unpack(members, np.int64).reshape(3, -1)
-            yield pa.record_batch(
-                [pa.array(np.full(len(k), key)), pa.array(k), pa.array(line.astype(np.int32)), pa.array(name)], names=["key", *_LINE]
-            )
+def _candidates(percent, tried, limit):
+    """Task side: for unsettled lines of a part of a group, the earlier lines of a part that pass the filters.
+
+    For each line those after the first ``tried``, up to ``limit``; a row with a null partner says that there are more.
+    """
+
+    def run(batches):
+        for b in batches:
+            for r in range(b.num_rows):
+                row = {c: b.column(c)[r].as_py() for c in b.schema.names}
+                own, other = _held(row["late"]), _held(row["early"])
+                asked = {tuple(x[c] for c in _LINE) for x in row["unsettled"]}
+                same = row["part"] == row["part0"]
+                out = [[] for _ in (*_LINE, *_FIRST)]
+                for i, place in enumerate(zip(*(own[c].tolist() for c in _LINE))):
+                    if place not in asked:
+                        continue
+                    early = np.arange(i if same else len(other["k"]))
+                    near = early[_may_match(own, np.full(len(early), i), other, early, percent)]
+                    partners = [other[c][near[tried:limit]].tolist() + [None] * (len(near) > limit) for c in _LINE]
+                    for c, v in zip(out, [*([x] * len(partners[0]) for x in place), *partners]):
+                        c += v
+                kinds = [kind for _, kind in _PLACE] * 2
+                yield pa.record_batch([pa.array(v, type=kind) for v, kind in zip(out, kinds)], names=[*_LINE, *_FIRST])
+
+    return run
 
 
 def _elements(batches):
@@ -353,25 +423,6 @@ def _verify(percent):
     return run
 
 
-def _finish(percent):
-    """Group side: unsettled lines of a large group against all earlier ones, until one is similar."""
-
-    def run(key, table):
-        rows = {tuple(r[c] for c in _LINE): r for r in table.to_pylist()}
-        rows = [rows[place] for place in sorted(rows)]
-        sets = [unpack(r["elements"], np.uint64) for r in rows]
-        sizes = np.array([len(s) for s in sets])
-        gone = []
-        for i, r in enumerate(rows):
-            if r["unsettled"]:
-                near = np.flatnonzero(100 * np.minimum(sizes[:i], sizes[i]) >= percent * np.maximum(sizes[:i], sizes[i]))
-                if any(_similar(sets[i], sets[j], percent) for j in near):
-                    gone.append(r)
-        return pa.table({c: pa.array([r[c] for r in gone], type=kind) for c, kind in _PLACE})
-
-    return run
-
-
 def _drop(batches):
     """Task side: texts without the lines that are gone."""
     for b in loosen(batches):
@@ -400,32 +451,39 @@ def removed_lines(docs, percent=PERCENT):
     posted = keyed.mapInArrow(_post(rarity(docs), percent, n_blocks(spark)), _ROWS_DDL)
     found = materialise(posted.groupBy("block").applyInArrow(_meet(percent), _FOUND_DDL), "lines")
     pairs = found.where(f"kind = {_PAIR}").select(*_LINE, *_FIRST).distinct()
-    open_lines = found.where(f"kind = {_OPEN}").select("key", *_LINE)
+    open_lines = found.where(f"kind = {_OPEN}").select("key", F.col("line0").alias("part"), *_LINE)
 
-    def sets_of(places):
-        """The words of lines, from the texts."""
-        asked = places.groupBy(F.col("k").alias("_k")).agg(F.collect_list(F.struct("line", "name")).alias("asked"))
+    def similar(pairs):
+        """The later lines of the pairs that are similar, by the words of both from the texts."""
+        places = pairs.select(*_LINE).union(pairs.select(*_FIRST)).distinct()
+        asked = materialise(places.groupBy(F.col("k").alias("_k")).agg(F.collect_list(F.struct("line", "name")).alias("asked")), "asked")
         met = squeeze(keyed).join(asked.hint("merge"), "_k")
-        return materialise(met.mapInArrow(_elements, f"{_PLACE_DDL}, elements binary"), "sets")
-
-    sets = sets_of(pairs.select(*_LINE).union(pairs.select(*_FIRST)).distinct())
-    # Dealt by place once: both joins read the same exchange.
-    dealt = sets.repartition(*_LINE)
-    later = dealt.withColumnRenamed("elements", "x")
-    earlier = dealt.select(*(F.col(c).alias(f"{c}0") for c in _LINE), F.col("elements").alias("y"))
-    met = pairs.join(later, _LINE).join(earlier, _FIRST).select(*_LINE, "x", "y")
-    near = materialise(met.mapInArrow(_verify(percent), _PLACE_DDL).distinct(), "near")
-    # What the named partners did not settle goes against its whole group.
+        sets = materialise(met.mapInArrow(_elements, f"{_PLACE_DDL}, elements binary"), "sets")
+        # Dealt by place once: both joins read the same exchange.
+        dealt = sets.repartition(*_LINE)
+        later = dealt.withColumnRenamed("elements", "x")
+        earlier = dealt.select(*(F.col(c).alias(f"{c}0") for c in _LINE), F.col("elements").alias("y"))
+        both = pairs.join(later, _LINE).join(earlier, _FIRST).select(*_LINE, "x", "y")
+        return materialise(both.mapInArrow(_verify(percent), _PLACE_DDL).distinct(), "near")
+
+    gone = near = similar(pairs)
     rest = materialise(open_lines.join(near, _LINE, "left_anti"), "open")
-    if not rest.isEmpty():
-        left = rest.withColumn("unsettled", F.lit(True))
-        whole = found.where(f"kind = {_MEMBER}").select("key", "members").join(rest.select("key").distinct(), "key", "left_semi")
-        members = materialise(whole.mapInArrow(_unpacked, f"key long, {_PLACE_DDL}"), "members")
-        groups = members.join(left, ["key", *_LINE], "left").join(sets_of(members.select(*_LINE).distinct()), _LINE)
-        groups = groups.select("key", *_LINE, "elements", F.coalesce("unsettled", F.lit(False)).alias("unsettled"))
-        rest = materialise(groups.groupBy("key").applyInArrow(_finish(percent), _PLACE_DDL), "rest")
-    rest = rest.select(*_LINE)
-    return found.where(f"kind = {_GONE}").select(*_LINE).union(near).union(rest).distinct()
+    parts = found.where(f"kind = {_MEMBER}").select("key", F.col("line").alias("part"), "members")
+    tried, limit = 0, EARLIEST
+    # What the named partners did not settle meets its whole group, a pair of parts at a time.
+    while not rest.isEmpty():
+        asked = rest.groupBy("key", "part").agg(F.collect_list(F.struct(*_LINE)).alias("unsettled"))
+        late = parts.withColumnRenamed("members", "late").join(asked, ["key", "part"])
+        early = parts.select("key", F.col("part").alias("part0"), F.col("members").alias("early"))
+        met = late.join(early, "key").where("part0 <= part")
+        pairs = materialise(met.mapInArrow(_candidates(percent, tried, limit), _PAIRS_DDL).distinct(), "candidates")
+        near = similar(pairs.where("k0 is not null"))
+        gone = gone.union(near)
+        # Lines with more candidates than the limit, and none similar so far, go on.
+        more = pairs.where("k0 is null").select(*_LINE)
+        rest = materialise(rest.join(more, _LINE, "left_semi").join(near, _LINE, "left_anti"), "open")
+        tried, limit = limit, limit * 16
+    return found.where(f"kind = {_GONE}").select(*_LINE).union(gone).distinct()
 
 
 def dedup_lines(docs, percent=PERCENT):

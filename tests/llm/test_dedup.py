@@ -2,6 +2,7 @@
 
 import hashlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -90,6 +91,34 @@ def test_large_groups_of_near_lines_are_finished(spark, monkeypatch):
     assert got == {i: brute.lines(rows)[i, t][1] for i, t in rows}
 
 
+def test_lines_of_one_template_meet_in_pairs_of_parts(spark, monkeypatch):
+    """Lines that share their rarest word and pass the filters without being similar, over several parts and rounds."""
+    for name, value in (("NAMED", 1), ("PART", 4), ("EARLIEST", 1)):
+        monkeypatch.setattr(line_dedup, name, value)
+    base = [f"w{i}" for i in range(30)]
+    texts = [" ".join(base[:23] + [f"x{i}y{j}" for j in range(7)]) for i in range(14)]
+    texts += [" ".join(base[:23] + [f"x{i}y{j}" for j in range(6)]) for i in (13, 2, 9)]
+    texts += [" ".join(base[:23] + ["x5y0", "x5y1", "x5y2", "x5y3", "x5y4", f"z{i}", "z"]) for i in range(6)]
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r._n_removed for r in dedup_lines(docs).collect()}
+    want = {i: brute.lines(rows)[i, t][1] for i, t in rows}
+    assert got == want and 0 < sum(want.values()) < len(rows)
+
+
+def test_two_words_of_one_key_do_not_hide_each_other(spark):
+    """A group can hold two postings of a line, at different places."""
+    own = {"size": np.array([10, 10, 10]), "place": np.array([0, 1, 1]), "name": np.array([5, 5, 7])}
+    own |= {"bits": np.zeros(3, np.uint64), "wide": np.zeros((3, 4), np.uint64)}
+    late, early = np.array([1, 2, 2]), np.array([0, 0, 1])
+    assert line_dedup._may_match(own, late, own, early, 80).tolist() == [False, True, True]
+
+
+def test_small_numbers_come_back():
+    for values in ([], [0, 255], [256, 3], [65536, 1]):
+        assert line_dedup._large(line_dedup._small(np.array(values, dtype=np.int64))).tolist() == values
+
+
 def test_components_equal_brute_force(documents, rows):
     want = {}
     for row, (size, group) in zip(rows, brute.components([(r[0], r[1]) for r in rows])):
