@@ -16,6 +16,8 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import functions as F
 
+from obsflow.session import write_shared
+
 PER_PARTITION = 2
 #: Stands for a null document id where ids are compared; sorts before every id.
 NO_ID = -(1 << 63)
@@ -125,6 +127,14 @@ def squeeze(df):
     return df.mapInArrow(run, ", ".join(kinds))
 
 
+def written(df, name):
+    """``df`` written to the shared folder and read again, and the bytes of its files."""
+    folder = write_shared(df, name)
+    hadoop = df.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
+    files = hadoop.getFileSystem(df.sparkSession._jsc.hadoopConfiguration())
+    return df.sparkSession.read.parquet(folder), files.getContentSummary(hadoop).getLength()
+
+
 def loosen(batches, rows=2000):
     """Batches of a squeezed frame, a few thousand rows at a time, with ``text`` as it was."""
     opener = zstandard.ZstdDecompressor()

@@ -33,6 +33,7 @@ from obsflow.llm.blocks import (
     unpack,
     with_keys,
     without_keys,
+    written,
 )
 from obsflow.llm.words import mix, slices
 from obsflow.session import materialise
@@ -46,6 +47,8 @@ NAMED = 2
 EARLIEST = 64
 #: Lines of a group that meet in one task; parts of larger groups meet in pairs.
 PART = 2048
+#: Lines asked for go to the texts up to so many bytes of files; beyond that texts are joined by key.
+BROADCAST = 4 << 20
 #: Lines of so many words have a bitmap of 256 bits as well: 64 say little about them.
 LONG = 90
 
@@ -155,11 +158,29 @@ _PLACE_DDL = "k long, line int, name long"
 _FOUND_DDL = f"kind int, key long, {_PLACE_DDL}, k0 long, line0 int, name0 long, members binary"
 _FOUND = pa.schema([("kind", pa.int32()), ("key", pa.int64()), *_PLACE, *((f"{c}0", kind) for c, kind in _PLACE), ("members", pa.binary())])
 _PAIRS_DDL = f"{_PLACE_DDL}, k0 long, line0 int, name0 long"
+_SETS_DDL = f"{_PLACE_DDL}, elements binary"
 _PAIR, _OPEN, _MEMBER = 2, 3, 4
 
 
+def _by_rarity(words, line, rank):
+    """An order of the words (ascending within their line, lines ascending) by line, rank of their counter, and word."""
+    if not len(words):
+        return np.zeros(0, np.int64)
+    bits = np.uint64(int(line[-1]).bit_length())
+    slot = rank[_slot(words)].astype(np.uint64)
+    # One number to sort by: line, rank (18 bits), and of the word below its counter what fits.
+    rest = (words << np.uint64(18)) >> (bits + np.uint64(18))
+    both = (slot << (np.uint64(46) - bits)) | rest
+    both |= line.astype(np.uint64) << (np.uint64(64) - bits) if bits else np.uint64(0)
+    order = np.argsort(both)
+    if not changes(both[order]).all():  # what did not fit decides
+        order = np.lexsort((words, slot, line))
+    return order
+
+
 def _post(counts, percent, blocks):
     """Task side: names of lines and postings of their rarest words, packed by block."""
+    rank = np.argsort(np.argsort(counts, kind="stable")).astype(np.uint32)
 
     def run(batches):
         for b in batches:
@@ -205,7 +226,7 @@ def _post(counts, percent, blocks):
                 held = np.flatnonzero((100 * (sizes_first - 1) >= percent * sizes_first)[line] | (100 * sizes_first >= percent * (sizes_first + 1))[line])
                 held = held[sizes_first[line[held]] > 0]
                 own_words, own_line = words[held], line[held]
-                order = np.lexsort((own_words, counts[_slot(own_words)], own_line))
+                order = _by_rarity(own_words, own_line, rank)
                 own_words, own_line = own_words[order], own_line[order]
                 begin = np.flatnonzero(changes(own_line))
                 length = np.diff(np.append(begin, len(own_line)))
@@ -384,9 +405,14 @@ def _candidates(percent, tried, limit):
     return run
 
 
+def _elements_squeezed(batches):
+    """Task side: ``_elements`` from squeezed texts."""
+    yield from _elements(loosen(batches))
+
+
 def _elements(batches):
     """Task side: the word sets of the lines asked for."""
-    for b in loosen(batches):
+    for b in batches:
         asked, ids = b.column("asked").to_pylist(), b.column("_k").to_pylist()
         for part in slices(b.column("text")):
             words, line, doc, number = _line_sets(part)
@@ -453,12 +479,18 @@ def removed_lines(docs, percent=PERCENT):
     pairs = found.where(f"kind = {_PAIR}").select(*_LINE, *_FIRST).distinct()
     open_lines = found.where(f"kind = {_OPEN}").select("key", F.col("line0").alias("part"), *_LINE)
 
-    def similar(pairs):
-        """The later lines of the pairs that are similar, by the words of both from the texts."""
+    def similar(pairs, rest=False):
+        """The later lines of the pairs that are similar, by the words of both from the texts.
+
+        What is asked of the ``rest`` goes to the texts if it is small, by the size it was written with.
+        """
         places = pairs.select(*_LINE).union(pairs.select(*_FIRST)).distinct()
-        asked = materialise(places.groupBy(F.col("k").alias("_k")).agg(F.collect_list(F.struct("line", "name")).alias("asked")), "asked")
-        met = squeeze(keyed).join(asked.hint("merge"), "_k")
-        sets = materialise(met.mapInArrow(_elements, f"{_PLACE_DDL}, elements binary"), "sets")
+        asked, size = written(places.groupBy(F.col("k").alias("_k")).agg(F.collect_list(F.struct("line", "name")).alias("asked")), "asked")
+        if rest and size <= BROADCAST:
+            sets = keyed.join(F.broadcast(asked), "_k").mapInArrow(_elements, _SETS_DDL)
+        else:
+            sets = squeeze(keyed).join(asked.hint("merge"), "_k").mapInArrow(_elements_squeezed, _SETS_DDL)
+        sets = materialise(sets, "sets")
         # Dealt by place once: both joins read the same exchange.
         dealt = sets.repartition(*_LINE)
         later = dealt.withColumnRenamed("elements", "x")
@@ -477,7 +509,7 @@ def removed_lines(docs, percent=PERCENT):
         early = parts.select("key", F.col("part").alias("part0"), F.col("members").alias("early"))
         met = late.join(early, "key").where("part0 <= part")
         pairs = materialise(met.mapInArrow(_candidates(percent, tried, limit), _PAIRS_DDL).distinct(), "candidates")
-        near = similar(pairs.where("k0 is not null"))
+        near = similar(pairs.where("k0 is not null"), rest=True)
         gone = gone.union(near)
         # Lines with more candidates than the limit, and none similar so far, go on.
         more = pairs.where("k0 is null").select(*_LINE)

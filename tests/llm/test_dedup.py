@@ -91,9 +91,10 @@ def test_large_groups_of_near_lines_are_finished(spark, monkeypatch):
     assert got == {i: brute.lines(rows)[i, t][1] for i, t in rows}
 
 
-def test_lines_of_one_template_meet_in_pairs_of_parts(spark, monkeypatch):
+@pytest.mark.parametrize("broadcast", [0, line_dedup.BROADCAST])
+def test_lines_of_one_template_meet_in_pairs_of_parts(spark, monkeypatch, broadcast):
     """Lines that share their rarest word and pass the filters without being similar, over several parts and rounds."""
-    for name, value in (("NAMED", 1), ("PART", 4), ("EARLIEST", 1)):
+    for name, value in (("NAMED", 1), ("PART", 4), ("EARLIEST", 1), ("BROADCAST", broadcast)):
         monkeypatch.setattr(line_dedup, name, value)
     base = [f"w{i}" for i in range(30)]
     texts = [" ".join(base[:23] + [f"x{i}y{j}" for j in range(7)]) for i in range(14)]
@@ -114,6 +115,21 @@ def test_two_words_of_one_key_do_not_hide_each_other(spark):
     assert line_dedup._may_match(own, late, own, early, 80).tolist() == [False, True, True]
 
 
+def test_one_number_orders_words_by_rarity():
+    random = np.random.default_rng(3)
+    rank = random.permutation(line_dedup.COUNTERS).astype(np.uint32)
+    for lines, values in ((1, 40), (50, 900), (3000, 20000)):
+        # Words that differ in their last bits only must be told apart too.
+        words = random.integers(0, 1 << 60, values, dtype=np.uint64) * np.uint64(16)
+        words = np.concatenate([words, words[: values // 4] + np.uint64(1)])
+        line = np.concatenate([part := random.integers(0, lines, values), part[: values // 4]])
+        order = np.lexsort((words, line))
+        words, line = words[order], line[order]
+        want = np.lexsort((words, rank[line_dedup._slot(words)], line))
+        assert (line_dedup._by_rarity(words, line, rank) == want).all()
+    assert not len(line_dedup._by_rarity(words[:0], line[:0], rank))
+
+
 def test_small_numbers_come_back():
     for values in ([], [0, 255], [256, 3], [65536, 1]):
         assert line_dedup._large(line_dedup._small(np.array(values, dtype=np.int64))).tolist() == values
