@@ -43,8 +43,6 @@ PERCENT = 80
 COUNTERS = 1 << 18
 #: Earlier partners of a line that one group names; groups with more are finished exactly in a second step.
 NAMED = 2
-#: Earliest candidates in a part that an unsettled line is verified with first; sixteen times as many in each round after.
-EARLIEST = 64
 #: Lines of a group that meet in one task; parts of larger groups meet in pairs.
 PART = 2048
 #: Lines asked for go to the texts up to so many bytes of files; beyond that texts are joined by key.
@@ -157,7 +155,8 @@ _PLACE = [("k", pa.int64()), ("line", pa.int32()), ("name", pa.int64())]
 _PLACE_DDL = "k long, line int, name long"
 _FOUND_DDL = f"kind int, key long, {_PLACE_DDL}, k0 long, line0 int, name0 long, members binary"
 _FOUND = pa.schema([("kind", pa.int32()), ("key", pa.int64()), *_PLACE, *((f"{c}0", kind) for c, kind in _PLACE), ("members", pa.binary())])
-_PAIRS_DDL = f"{_PLACE_DDL}, k0 long, line0 int, name0 long"
+_GROUP = [("key", pa.int64()), ("part", pa.int32()), ("part0", pa.int32())]
+_WANTED_DDL = f"key long, part int, part0 int, {_PLACE_DDL}, unsettled boolean"
 _SETS_DDL = f"{_PLACE_DDL}, elements binary"
 _PAIR, _OPEN, _MEMBER = 2, 3, 4
 
@@ -377,11 +376,8 @@ def _meet(percent):
     return run
 
 
-def _candidates(percent, tried, limit):
-    """Task side: for unsettled lines of a part of a group, the earlier lines of a part that pass the filters.
-
-    For each line those after the first ``tried``, up to ``limit``; a row with a null partner says that there are more.
-    """
+def _wanted(percent):
+    """Task side: of two parts of a group, the unsettled lines of the later and the lines of the earlier that pass the filters with one another."""
 
     def run(batches):
         for b in batches:
@@ -389,18 +385,40 @@ def _candidates(percent, tried, limit):
                 row = {c: b.column(c)[r].as_py() for c in b.schema.names}
                 own, other = _held(row["late"]), _held(row["early"])
                 asked = {tuple(x[c] for c in _LINE) for x in row["unsettled"]}
-                same = row["part"] == row["part0"]
-                out = [[] for _ in (*_LINE, *_FIRST)]
-                for i, place in enumerate(zip(*(own[c].tolist() for c in _LINE))):
-                    if place not in asked:
-                        continue
-                    early = np.arange(i if same else len(other["k"]))
-                    near = early[_may_match(own, np.full(len(early), i), other, early, percent)]
-                    partners = [other[c][near[tried:limit]].tolist() + [None] * (len(near) > limit) for c in _LINE]
-                    for c, v in zip(out, [*([x] * len(partners[0]) for x in place), *partners]):
-                        c += v
-                kinds = [kind for _, kind in _PLACE] * 2
-                yield pa.record_batch([pa.array(v, type=kind) for v, kind in zip(out, kinds)], names=[*_LINE, *_FIRST])
+                unsettled = [i for i, place in enumerate(zip(*(own[c].tolist() for c in _LINE))) if place in asked]
+                late, early = np.zeros(len(own["k"]), bool), np.zeros(len(other["k"]), bool)
+                for i in unsettled:
+                    before = np.arange(i if row["part"] == row["part0"] else len(early))
+                    near = before[_may_match(own, np.full(len(before), i), other, before, percent)]
+                    late[i] = len(near)
+                    early[near] = True
+                if row["part"] == row["part0"]:
+                    early &= ~late  # once is enough: in its own part an unsettled line can be the earlier one too
+                n = int(late.sum()), int(early.sum())
+                places = [pa.array(np.concatenate([own[c][late], other[c][early]]), type=kind) for c, kind in _PLACE]
+                where = [pa.array(np.full(sum(n), row[c]), type=kind) for c, kind in _GROUP]
+                flag = pa.array(np.arange(sum(n)) < n[0])
+                yield pa.record_batch([*where, *places, flag], names=[*(c for c, _ in _GROUP), *_LINE, "unsettled"])
+
+    return run
+
+
+def _finish(percent):
+    """Group side: unsettled lines of a part against the earlier lines of a part, until one is similar."""
+
+    def run(key, table):
+        table = table.sort_by([(c, "ascending") for c in _LINE])
+        sets = [unpack(x, np.uint64) for x in table.column("elements").to_pylist()]
+        sizes = np.array([len(x) for x in sets], dtype=np.int64)
+        line = np.repeat(np.arange(len(sets)), sizes)
+        bits = wide_bitmaps(np.concatenate(sets) if sets else np.zeros(0, np.uint64), line, np.arange(len(sets)))
+        gone = np.zeros(len(sets), dtype=bool)
+        for i in np.flatnonzero(table.column("unsettled").to_numpy(zero_copy_only=False)):
+            least = _needed(sizes[:i], sizes[i], percent)
+            apart = np.bitwise_count(bits[:i] ^ bits[i]).sum(axis=1, dtype=np.int64)
+            near = (100 * np.minimum(sizes[:i], sizes[i]) >= percent * np.maximum(sizes[:i], sizes[i])) & (apart <= sizes[:i] + sizes[i] - 2 * least)
+            gone[i] = any(_similar(sets[i], sets[j], percent) for j in np.flatnonzero(near))
+        return table.select(_LINE).filter(pa.array(gone))
 
     return run
 
@@ -479,42 +497,36 @@ def removed_lines(docs, percent=PERCENT):
     pairs = found.where(f"kind = {_PAIR}").select(*_LINE, *_FIRST).distinct()
     open_lines = found.where(f"kind = {_OPEN}").select("key", F.col("line0").alias("part"), *_LINE)
 
-    def similar(pairs, rest=False):
-        """The later lines of the pairs that are similar, by the words of both from the texts.
+    def sets_of(places, rest=False):
+        """The words of lines, from the texts.
 
         What is asked of the ``rest`` goes to the texts if it is small, by the size it was written with.
         """
-        places = pairs.select(*_LINE).union(pairs.select(*_FIRST)).distinct()
         asked, size = written(places.groupBy(F.col("k").alias("_k")).agg(F.collect_list(F.struct("line", "name")).alias("asked")), "asked")
         if rest and size <= BROADCAST:
             sets = keyed.join(F.broadcast(asked), "_k").mapInArrow(_elements, _SETS_DDL)
         else:
             sets = squeeze(keyed).join(asked.hint("merge"), "_k").mapInArrow(_elements_squeezed, _SETS_DDL)
-        sets = materialise(sets, "sets")
-        # Dealt by place once: both joins read the same exchange.
-        dealt = sets.repartition(*_LINE)
-        later = dealt.withColumnRenamed("elements", "x")
-        earlier = dealt.select(*(F.col(c).alias(f"{c}0") for c in _LINE), F.col("elements").alias("y"))
-        both = pairs.join(later, _LINE).join(earlier, _FIRST).select(*_LINE, "x", "y")
-        return materialise(both.mapInArrow(_verify(percent), _PLACE_DDL).distinct(), "near")
-
-    gone = near = similar(pairs)
-    rest = materialise(open_lines.join(near, _LINE, "left_anti"), "open")
-    parts = found.where(f"kind = {_MEMBER}").select("key", F.col("line").alias("part"), "members")
-    tried, limit = 0, EARLIEST
+        return materialise(sets, "sets")
+
+    sets = sets_of(pairs.select(*_LINE).union(pairs.select(*_FIRST)).distinct())
+    # Dealt by place once: both joins read the same exchange.
+    dealt = sets.repartition(*_LINE)
+    later = dealt.withColumnRenamed("elements", "x")
+    earlier = dealt.select(*(F.col(c).alias(f"{c}0") for c in _LINE), F.col("elements").alias("y"))
+    met = pairs.join(later, _LINE).join(earlier, _FIRST).select(*_LINE, "x", "y")
+    gone = near = materialise(met.mapInArrow(_verify(percent), _PLACE_DDL).distinct(), "near")
     # What the named partners did not settle meets its whole group, a pair of parts at a time.
-    while not rest.isEmpty():
+    rest = materialise(open_lines.join(near, _LINE, "left_anti"), "open")
+    if not rest.isEmpty():
+        parts = found.where(f"kind = {_MEMBER}").select("key", F.col("line").alias("part"), "members")
         asked = rest.groupBy("key", "part").agg(F.collect_list(F.struct(*_LINE)).alias("unsettled"))
         late = parts.withColumnRenamed("members", "late").join(asked, ["key", "part"])
         early = parts.select("key", F.col("part").alias("part0"), F.col("members").alias("early"))
         met = late.join(early, "key").where("part0 <= part")
-        pairs = materialise(met.mapInArrow(_candidates(percent, tried, limit), _PAIRS_DDL).distinct(), "candidates")
-        near = similar(pairs.where("k0 is not null"), rest=True)
-        gone = gone.union(near)
-        # Lines with more candidates than the limit, and none similar so far, go on.
-        more = pairs.where("k0 is null").select(*_LINE)
-        rest = materialise(rest.join(more, _LINE, "left_semi").join(near, _LINE, "left_anti"), "open")
-        tried, limit = limit, limit * 16
+        wanted = materialise(met.mapInArrow(_wanted(percent), _WANTED_DDL), "wanted")
+        both = wanted.join(sets_of(wanted.select(*_LINE).distinct(), rest=True), _LINE)
+        gone = near.union(materialise(both.groupBy("key", "part", "part0").applyInArrow(_finish(percent), _PLACE_DDL), "rest"))
     return found.where(f"kind = {_GONE}").select(*_LINE).union(gone).distinct()
 
 
