@@ -12,6 +12,8 @@ which need no padding.
 
 from __future__ import annotations
 
+from functools import partial
+
 import numpy as np
 import pyarrow as pa
 import tiktoken
@@ -20,7 +22,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from obsflow.llm.blocks import pack, shipped, unpack
-from obsflow.llm.bpe import SPLIT, Pieces, texts_of, vocabulary
+from obsflow.llm.bpe import SPLIT, texts_of, vocabulary
 from obsflow.session import materialise
 
 WINDOW = 2048
@@ -101,20 +103,17 @@ def powers_of_two(n):
 
 
 def _encoder(path):
-    """Ids of texts by a vocabulary file, piece by piece (see ``bpe.Pieces``), and the size of the vocabulary.
+    """Ids of a text by a vocabulary file, as an array, and the size of the vocabulary.
 
     tiktoken gives the ids of the tokenizers library for byte-level vocabularies
-    whose ids follow the order of merges, in a third of its time.
+    whose ids follow the order of merges, in a third of its time. It takes whole texts: to look
+    up words that were met before costs more than to merge them again.
     """
     if path not in _encoders:
         known = vocabulary(path)
         ranks = {token: i for i, token in enumerate(known.text) if i not in known.special.values()}
         encoding = tiktoken.Encoding("pieces", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens=known.special)
-
-        def encode(texts):
-            return [np.array(encoding.encode(t, allowed_special="all"), dtype="<u4").tobytes() for t in texts]
-
-        _encoders[path] = Pieces(encode), len(known.text)
+        _encoders[path] = partial(encoding.encode_to_numpy, allowed_special="all"), len(known.text)
     return _encoders[path]
 
 
@@ -131,8 +130,8 @@ def _encode(path, window, end):
             names = iter(b.column("doc_id").to_pylist())
             for texts in texts_of(b.column("text")):
                 out = {c: [] for c in ("row", "doc_id", "n", "full", "nth", "ids")}
-                for ids in encode(texts):
-                    ids = np.append(np.frombuffer(ids, dtype="<u4"), np.uint32(end))
+                for text in texts:
+                    ids = np.append(encode(text), np.uint32(end))
                     rest = len(ids) % window
                     for c, v in zip(out, (row, next(names), len(ids), full, int(seen[rest]), ids.astype(small).tobytes())):
                         out[c].append(v)

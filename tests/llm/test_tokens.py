@@ -3,11 +3,13 @@
 import collections
 import hashlib
 import random
+import time
 import zlib
 
 import numpy as np
 import public_tokenizers
 import pytest
+import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -15,7 +17,7 @@ from pyspark.sql import functions as F
 import brute
 from obsflow.llm import fingerprints as fp
 from obsflow.llm import packing
-from obsflow.llm.bpe import Pieces, bpe_decode, bpe_encode, vocabulary
+from obsflow.llm.bpe import SPLIT, Pieces, bpe_decode, bpe_encode, vocabulary
 from obsflow.llm.packing import pack_sequences
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -209,3 +211,29 @@ def test_empty_tables(empty):
     assert bpe_decode(bpe_encode(empty, PATH), PATH).count() == 0
     assert pack_sequences(empty, PATH).count() == 0
     assert fp.fingerprints(empty).count() == 0
+
+
+def test_packing_encodes_in_little_more_than_the_time_of_the_ids():
+    r = random.Random(5)
+    texts = [" ".join("".join(r.choices("etaoinshr", k=r.randint(3, 9))) for _ in range(2000)) for _ in range(100)]
+    plain = tiktoken.Encoding("plain", pat_str=SPLIT, mergeable_ranks=packing_ranks(), special_tokens=vocabulary(PATH).special)
+    encode, _ = packing._encoder(PATH)
+
+    def seconds(work):
+        began = time.process_time()
+        work()
+        return time.process_time() - began
+
+    best = min(seconds(lambda: [plain.encode_to_numpy(t, allowed_special="all") for t in texts]) for _ in range(3))
+    assert min(seconds(lambda: [encode(t) for t in texts]) for _ in range(3)) < 1.5 * best + 0.05
+    assert all((encode(t) == plain.encode_to_numpy(t, allowed_special="all")).all() for t in texts)
+
+
+def packing_ranks():
+    known = vocabulary(PATH)
+    return {token: i for i, token in enumerate(known.text) if i not in known.special.values()}
+
+
+@pytest.mark.parametrize("text", BITS + ["", "a\n\nb  c ", " lead", "x <|endoftext|> y\t"])
+def test_packing_ids_equal_the_library(text, library):
+    assert packing._encoder(PATH)[0](text).tolist() == ids_of(library, text)
