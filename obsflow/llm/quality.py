@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from obsflow.llm.blocks import changes, pack, shipped, unpack
 from obsflow.llm.labelled import Adam, held_out, labelled_sample, sigmoid, temperature
-from obsflow.llm.words import _BYTE, mix, prefix_hashes, slices, span_hashes
+from obsflow.llm.words import byte_hashes, mix, slices
 
 WORDS, SHAPES = 1 << 14, 1 << 11
 DIM = 48
@@ -59,8 +59,7 @@ def terms(part):
     new[1:] = kind[1:] != kind[:-1]
     new[part.start] = True
     place = np.concatenate([[0], np.cumsum(new)])
-    prefix = prefix_hashes(_BYTE[kind[new]])
-    shapes = mix(span_hashes(prefix, place[part.start], place[part.end]), 203)
+    shapes = mix(byte_hashes(kind[new], place[part.start], place[part.end]), 203)
     return words.astype(np.int64), ((shapes >> np.uint64(20)) % np.uint64(SHAPES)).astype(np.int64)
 
 

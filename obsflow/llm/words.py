@@ -15,6 +15,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 4 << 20
+#: Bytes that words are hashed over at a time: the numbers of so many stay in a core's cache.
+HASH_BYTES = 1 << 16
 
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -62,6 +64,16 @@ def span_hashes(prefix, start, end):
     return (prefix[end] - prefix[start]) * powers(len(prefix), down=True)[start]
 
 
+def byte_hashes(data, start, end):
+    """``span_hashes`` of spans of bytes that follow each other, without the prefixes of all bytes at once."""
+    out = np.empty(len(start), dtype=np.uint64)
+    for lo, hi in cuts(np.append(start, len(data)), HASH_BYTES):
+        begin = start[lo]
+        prefix = prefix_hashes(_BYTE[data[begin : end[hi - 1]]])
+        out[lo:hi] = span_hashes(prefix, start[lo:hi] - begin, end[lo:hi] - begin)
+    return out
+
+
 @dataclass
 class Slice:
     """Some documents of a column. ``lo``: row of the first in its batch. ``start``, ``end``: bounds of
@@ -85,8 +97,7 @@ class Slice:
 
     def word_hashes(self):
         """64-bit hash of every word."""
-        prefix = prefix_hashes(_BYTE[self.data])
-        return mix(span_hashes(prefix, self.start, self.end) + (self.end - self.start).astype(np.uint64))
+        return mix(byte_hashes(self.data, self.start, self.end) + (self.end - self.start).astype(np.uint64))
 
     def run_hashes(self, words, k):
         """Hash of every ``k`` consecutive words, also across documents; see ``inside``."""
