@@ -200,18 +200,32 @@ def lists_of_counts(counted, group, page_rows=LIST_PAGE):
     the lists exist only here, a page at a time.
     """
     counted = materialise(counted, "counted")
-    held = F.sum(F.when(F.col("value").isNotNull(), F.col("n")))
-    pages = F.greatest(F.ceil(F.coalesce(held, F.lit(0)) / F.lit(page_rows)), F.lit(1))
-    settled = materialise(counted.groupBy(*group).agg(pages.alias("pages")).where("pages > 1"), "windows")
-    large = counted.alias("c").join(settled.alias("s"), same_keys("c", "s", group), "left_semi")
-    small = counted.alias("c").join(settled.alias("s"), same_keys("c", "s", group), "left_anti")
-    small = small.withColumn("begin", F.lit(0).cast("long"))
-    ranked = small if settled.isEmpty() else small.unionByName(_ranked(large, group))
-    return _paged(ranked, group, [], page_rows)
-
-
-def _paged(ranked, group, extra, page_rows):
-    """Counted values that know how many stand before them, as the pages of their window's sorted list."""
+    held = F.coalesce(F.sum(F.when(F.col("value").isNotNull(), F.col("n"))), F.lit(0))
+    summary = counted.groupBy(*group).agg(held.alias("held"))
+    large = materialise(summary.where(F.col("held") > max(page_rows, LIST_PAGE)).select(*group), "windows")
+    if large.isEmpty():
+        return _near_pages(counted, group, page_rows)
+    same = same_keys("c", "s", group)
+    near = counted.alias("c").join(large.alias("s"), same, "left_anti")
+    ranked = _ranked(counted.alias("c").join(large.alias("s"), same, "left_semi"), group)
+    return _near_pages(near, group, page_rows).unionByName(_paged(ranked, group, [], page_rows))
+
+
+def _near_pages(counted, group, page_rows):
+    """Pages of windows of about ``LIST_PAGE`` values at most: one exchange brings a window together, which is
+    ranked and cut where it is."""
+    if page_rows >= LIST_PAGE:
+        return _paged(counted.withColumn("begin", F.lit(0).cast("long")), group, [], page_rows)
+    above = Window.partitionBy(*group).orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.sum(F.when(F.col("value").isNotNull(), F.col("n"))).over(above)
+    return _paged(counted.withColumn("begin", F.coalesce(before, F.lit(0))), group, [], page_rows, dealt=True)
+
+
+def _paged(ranked, group, extra, page_rows, dealt=False):
+    """Counted values that know how many stand before them, as the pages of their window's sorted list.
+
+    ``dealt``: the windows are small and lie whole in a partition each, so their pages need no exchange.
+    """
     size, begin = F.lit(page_rows).cast("long"), F.col("begin")
     last = F.when(F.col("value").isNotNull(), F.floor((begin + F.col("n") - 1) / size)).otherwise(F.lit(0))
     copies = F.least(begin + F.col("n"), (F.col("page") + 1) * size) - F.greatest(begin, F.col("page") * size)
@@ -227,7 +241,7 @@ def _paged(ranked, group, extra, page_rows):
     )
     # The exchange names the page too, so the pages of one window spread over tasks.
     lists = (
-        paged.repartition(*group, "page")
+        (paged if dealt else paged.repartition(*group, "page"))
         .groupBy(*group, *extra, "page")
         .agg(F.flatten(F.collect_list(F.array_repeat("value", F.col("copies")))).alias("values"))
     )

@@ -157,3 +157,31 @@ def test_standardise_keeps_rows_without_key_or_time(spark):
     got = {(r.station, r.tmpf): r.tmpf_norm for r in windows.standardise(df, "valid", ["tmpf"], "station").collect()}
     assert len(got) == 5 and got["a", 9.0] is None
     assert got["a", 1.0] == -got["a", 3.0] == got[None, 2.0] == -got[None, 4.0] < 0
+
+
+@pytest.mark.parametrize("kept", [4, 100_000])
+def test_pages_of_counted_values(spark, monkeypatch, kept):
+    """Windows below ``LIST_PAGE`` are ranked where they are, those above by ranges of values; null keys and values stay."""
+    monkeypatch.setattr(windows, "LIST_PAGE", kept)
+    rng = random.Random(4)
+    want, items = {}, []
+    for key in ("a", "b", "c", "d", None):
+        values = [rng.randint(0, 6) / 10 for _ in range({"a": 2, "b": 3, "c": 4}.get(key, 60))]
+        if key == "d":
+            values += [0.5] * 30
+        want[key] = sorted(values)
+        items += [(key, v, values.count(v)) for v in set(values)] + [(key, None, 7)]
+    items.append(("none", None, 3))
+    want["none"] = []
+    got = defaultdict(dict)
+    for r in windows.lists_of_counts(spark.createDataFrame(items, "station string, value double, n long"), ["station"], 2).collect():
+        assert r["page"] not in got[r["station"]]
+        got[r["station"]][r["page"]] = r["values"]
+    assert {k: [x for p in sorted(pages) for x in pages[p]] for k, pages in got.items()} == want
+    assert all(len(x) == 2 for pages in got.values() for p, x in pages.items() if p < max(pages))
+
+
+def test_pages_of_windows_take_one_exchange(spark):
+    counted = spark.range(1000).selectExpr("id % 50 station", "id / 7 value", "id % 3 + 1 n")
+    plan = windows.lists_of_counts(counted, ["station"], 2)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hash") == 1
