@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from obsflow.session import write_shared
 
 PER_PARTITION = 2
+#: Bytes of the batches that Python workers are given: Spark's own 64 MB are held several times over in a worker and its executor.
+BATCH = "4m"
 #: Stands for a null document id where ids are compared; sorts before every id.
 NO_ID = -(1 << 63)
 
@@ -38,6 +40,12 @@ def shipped(spark):
     return spark
 
 
+def in_small_batches(spark):
+    """``shipped``, and tasks get their rows in batches of ``BATCH`` bytes, or one row if it is longer."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH)
+    return shipped(spark)
+
+
 def n_blocks(spark):
     """How many blocks the session's shuffles are to have."""
     return int(spark.conf.get("spark.sql.shuffle.partitions")) * PER_PARTITION

@@ -25,10 +25,10 @@ from obsflow.llm.blocks import (
     but,
     changes,
     deal,
+    in_small_batches,
     loosen,
     n_blocks,
     pack,
-    shipped,
     squeeze,
     unpack,
     with_keys,
@@ -490,7 +490,7 @@ def _drop(batches):
 
 def removed_lines(docs, percent=PERCENT):
     """``k``, ``line`` (from 0), ``name``: the lines that repeat an earlier one, by the keys of ``with_keys``."""
-    spark = shipped(docs.sparkSession)
+    spark = in_small_batches(docs.sparkSession)
     keyed = with_keys(docs.select("doc_id", "text")).select("_k", "text")
     posted = keyed.mapInArrow(_post(rarity(docs), percent, n_blocks(spark)), _ROWS_DDL)
     found = materialise(posted.groupBy("block").applyInArrow(_meet(percent), _FOUND_DDL), "lines")

@@ -33,10 +33,10 @@ from obsflow.llm.blocks import (
     block_of,
     changes,
     deal,
+    in_small_batches,
     loosen,
     n_blocks,
     pack,
-    shipped,
     squeeze,
     unpack,
     with_keys,
@@ -344,7 +344,7 @@ def _labelled(docs, shingle, percent):
     """Every document (``row``, keys, id, size of its set) with its class and its component, null for empty sets."""
     if percent <= 50:
         raise ValueError("percent must be above 50")
-    spark = shipped(docs.sparkSession)
+    spark = in_small_batches(docs.sparkSession)
     keyed = with_keys(docs.select("doc_id", "text")).select("_k", "_t", "text", F.col("_row.doc_id").cast("long").alias("doc_id"))
     marks = materialise(keyed.mapInArrow(_mark(shingle, percent, n_blocks(spark)), _MARKS_DDL), "marks")
     members = marks.where("block is null").select("row", "doc_id", "_k", "_t", "n", "name", "sketch")

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from obsflow.llm.blocks import pack, shipped, unpack
+from obsflow.llm.blocks import in_small_batches, pack, unpack
 from obsflow.llm.bpe import SPLIT, texts_of, vocabulary
 from obsflow.session import materialise
 
@@ -216,7 +216,7 @@ def pack_sequences(docs, path, window=WINDOW, end=END, grid=GRID):
     of the document. Rows that repeat an id or a text are documents each; a null
     ``doc_id`` stays null. Columns other than ``doc_id`` and ``text`` are not read.
     """
-    spark = shipped(docs.sparkSession)
+    spark = in_small_batches(docs.sparkSession)
     groups = int(spark.conf.get("spark.sql.shuffle.partitions"))
     fields = "row long, doc_id long, n long, full long, nth long, ids binary, width int, part int"
     encoded = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_encode(path, window, end), fields)

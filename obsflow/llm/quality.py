@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import functions as F
 
-from obsflow.llm.blocks import changes, pack, shipped, unpack
+from obsflow.llm.blocks import in_small_batches, pack, unpack
 from obsflow.llm.labelled import Adam, held_out, labelled_sample, sigmoid, temperature
 from obsflow.llm.words import byte_hashes, mix, slices
 
@@ -33,6 +33,8 @@ HIDDEN = 32
 ROWS = 512
 SALTS = 64
 SLICE = 1 << 20
+#: Bytes of text whose word vectors are held at once; they take some 200 bytes for each.
+ROOM = 1 << 17
 
 _SHAPE = np.arange(256, dtype=np.uint8)
 _SHAPE[0x41:0x5B] = 0x41
@@ -180,7 +182,7 @@ def train(features, labels, weights, vectors, epochs=60, seed=7):
 def _featured(vectors):
     def run(batches):
         for b in batches:
-            for part in slices(b.column("text"), limit=SLICE):
+            for part in slices(b.column("text"), limit=ROOM):
                 rows = [pack(x) for x in document_features(part, vectors)]
                 yield pa.record_batch([b.column("label").slice(part.lo, part.n_docs), pa.array(rows, type=pa.binary())], names=["label", "features"])
 
@@ -192,7 +194,7 @@ def fit_quality(docs, labels, sample=SAMPLE, out=None, label="quality"):
 
     ``out`` maps a doc_id column to whether a document is held out. None if no document has a label.
     """
-    shipped(docs.sparkSession)
+    in_small_batches(docs.sparkSession)
     out = out or (lambda c: held_out(c, 5, 0))
     vectors = word_vectors(docs)
     picked = labelled_sample(docs, labels, label, out, sample, worst=0)
@@ -217,6 +219,20 @@ def _broadcast_features(vectors):
     return run
 
 
+def _scored(model, threshold, names):
+    """Task side: the columns of ``names``, then scores and what they predict; ``model`` gives the model in a task."""
+
+    def run(batches):
+        own = model()
+        for b in batches:
+            scores = [own.score(np.clip(document_features(p, own.vectors), -1e6, 1e6)) for p in slices(b.column("text"), limit=ROOM)]
+            scores = np.concatenate(scores) if scores else np.zeros(0)
+            predicted = pa.array((scores >= threshold).astype(np.int32))
+            yield pa.record_batch([*(b.column(c) for c in names), pa.array(scores), predicted], names=[*names, "_score", "_predicted"])
+
+    return run
+
+
 def score_quality(docs, model, threshold=0.3):
     """``docs`` with ``_score`` (0 to 1, higher: label 1 likelier) and ``_predicted``.
 
@@ -224,19 +240,11 @@ def score_quality(docs, model, threshold=0.3):
     words. Without a model (no labels) every score is 1. Columns stay; those
     named like the new ones are replaced.
     """
-    spark = shipped(docs.sparkSession)
+    spark = in_small_batches(docs.sparkSession)
     names = [c for c in docs.columns if c not in ("_score", "_predicted")]
     docs = docs.select(*(F.col(f"`{c}`") for c in names))
     if model is None:
         return docs.withColumns({"_score": F.lit(1.0), "_predicted": F.lit(1)})
     sent = spark.sparkContext.broadcast(model)
-
-    def run(batches):
-        for b in batches:
-            scores = [sent.value.score(np.clip(document_features(p, sent.value.vectors), -1e6, 1e6)) for p in slices(b.column("text"), limit=SLICE)]
-            scores = np.concatenate(scores) if scores else np.zeros(0)
-            predicted = pa.array((scores >= threshold).astype(np.int32))
-            yield pa.record_batch([*(b.column(c) for c in names), pa.array(scores), predicted], names=[*names, "_score", "_predicted"])
-
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, f"{fields}, _score double, _predicted int")
+    return docs.mapInArrow(_scored(lambda: sent.value, threshold, names), f"{fields}, _score double, _predicted int")

@@ -30,10 +30,10 @@ from obsflow.llm.blocks import (
     but,
     changes,
     deal,
+    in_small_batches,
     n_blocks,
     pack,
     ranges,
-    shipped,
     unpack,
     with_keys,
     without_keys,
@@ -327,7 +327,7 @@ def dedup_substrings(docs, window=WINDOW, anchor=ANCHOR):
     follow each other by a hash of their texts. Words are compared by 64-bit hashes
     of a window among windows with the same 64-bit anchor.
     """
-    spark = shipped(docs.sparkSession)
+    spark = in_small_batches(docs.sparkSession)
     blocks = n_blocks(spark)
     added = {"_n_words": "long", "_n_removed": "long", "_kept_sha256": "string", "_spans": "array<struct<start: long, end: long>>"}
     docs = but(docs, *added)

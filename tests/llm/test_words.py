@@ -4,7 +4,11 @@ import tracemalloc
 
 import numpy as np
 import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
 
+from obsflow.llm import quality
+from obsflow.llm.blocks import in_small_batches
 from obsflow.llm.words import _BYTE, mix, powers, prefix_hashes, slices, span_hashes
 
 
@@ -26,3 +30,30 @@ def test_word_hashes_take_little_more_than_the_words():
     tracemalloc.stop()
     # Prefixes of all bytes take eight bytes for each and as much for every step.
     assert peak < 100 * len(part.start) < 24 * len(part.data)
+
+
+def test_workers_get_small_batches(spark):
+    """Thirty megabytes of text in one partition come a few megabytes at a time."""
+    docs = spark.range(3000).repartition(1).select(F.repeat(F.lit("some words "), 1000).alias("text"))
+    in_small_batches(spark)
+    sizes = [r.n for r in docs.mapInArrow(lambda batches: (pa.record_batch([[b.nbytes]], ["n"]) for b in batches), "n long").collect()]
+    assert sum(sizes) > 30 << 20
+    assert max(sizes) < 5 << 20
+
+
+@pytest.mark.parametrize("learn", [False, True])
+def test_word_vectors_are_held_for_a_part_of_a_batch(learn):
+    """The vectors of the words of four megabytes would take 600 MB."""
+    vectors = [np.ones((n, quality.DIM), dtype=np.float32) for n, _ in quality._TABLES]
+    text = pa.array(["a few words of text " * 200] * 1000)
+    rows = pa.record_batch([text, pa.array([1] * len(text), pa.int32())], ["text", "label"])
+    weights = [np.zeros((4 * quality.DIM + 2, quality.HIDDEN)), np.zeros(quality.HIDDEN), np.zeros(quality.HIDDEN), np.zeros(1)]
+    model = quality.Model(vectors, 0.0, 1.0, weights, 1.0)
+    run = quality._featured(vectors) if learn else quality._scored(lambda: model, 0.3, ["text"])
+    sum(b.num_rows for b in run(iter([rows.slice(0, 10)])))
+    tracemalloc.start()
+    done = sum(b.num_rows for b in run(iter([rows])))
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert done == len(text)
+    assert peak < 60 << 20
