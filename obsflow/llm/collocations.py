@@ -35,7 +35,7 @@ import zstandard
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from obsflow.llm.blocks import added_up
+from obsflow.llm.blocks import added_up, in_small_batches
 from obsflow.llm.words import mix, prefix_hashes, slices, span_hashes, strings
 from obsflow.session import materialise
 
@@ -150,7 +150,7 @@ class _Run:
     """The phrases of one row of names."""
 
     def __init__(self, packed):
-        self.tokens = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), dtype=np.uint64)
+        self.tokens = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed.as_buffer()), dtype=np.uint64)
         self._prefix = prefix_hashes(self.tokens)
         self._gaps = np.zeros(len(self.tokens) + 1, dtype=np.int64)
         np.cumsum(self.tokens == 0, out=self._gaps[1:])
@@ -174,7 +174,7 @@ def _count_extensions(bitmap, lengths):
 
     def tables(batches):
         for b in batches:
-            for packed in b.column("tokens").to_pylist():
+            for packed in b.column("tokens"):
                 run = _Run(packed)
                 for length in lengths:
                     at = run.places(length + 1)
@@ -188,7 +188,7 @@ def _count_phrases(bitmap, lengths):
 
     def tables(batches):
         for b in batches:
-            for packed in b.column("tokens").to_pylist():
+            for packed in b.column("tokens"):
                 run = _Run(packed)
                 for length in lengths:
                     names = run.names(run.places(length), length)
@@ -208,7 +208,7 @@ def _around(bitmap, lengths):
 
     def run(batches):
         for b in batches:
-            for packed in b.column("tokens").to_pylist():
+            for packed in b.column("tokens"):
                 own = _Run(packed)
                 for length in lengths:
                     at = own.places(length)
@@ -272,7 +272,7 @@ def collocations(docs, first=FIRST, least=LEAST):
     many phrases share the last score is not limited while the search runs. Other
     columns of ``docs`` are not looked at.
     """
-    spark = docs.sparkSession
+    spark = in_small_batches(docs.sparkSession)
     texts = docs.select(F.col("lang").cast("string").alias("lang"), "text")
     found = texts.mapInArrow(count_words, "lang string, word string, h long, n long")
     found = found.groupBy("lang", "word", "h").agg(F.sum("n").alias("a"))

@@ -98,3 +98,22 @@ def test_empty_and_wordless_tables(spark):
     for rows in ([], [(None, None)], [("a", "en"), ("b. c", "en")]):
         got = collocations(spark.createDataFrame(rows, "text string, lang string"), 5, 1)
         assert got.count() == 0 and got.columns == COLUMNS
+
+
+def test_workers_get_small_batches(spark, monkeypatch):
+    """Texts and rows of names come a few megabytes at a time, not ten thousand rows."""
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    seen, sizes = spark.sparkContext.accumulator(0), module.count_words
+
+    def watched(batches):
+        def told():
+            for b in batches:
+                seen.add(b.nbytes > 5 << 20)
+                yield b
+
+        return sizes(told())
+
+    monkeypatch.setattr(module, "count_words", watched)
+    docs = spark.range(1500).repartition(1).selectExpr("repeat('some words ', 1000) text", "'en' lang")
+    assert collocations(docs).count()
+    assert seen.value == 0
