@@ -125,7 +125,7 @@ def squeeze(df):
     """``df`` with ``text`` compressed, for joins that move whole texts; ``loosen`` undoes it in a task."""
 
     def run(batches):
-        packer = zstandard.ZstdCompressor(level=3)
+        packer = zstandard.ZstdCompressor(level=1)  # half the time of level 3 for a hundredth more bytes
         for b in batches:
             at = b.schema.get_field_index("text")
             small = [None if x is None else packer.compress(x) for x in b.column(at).cast(pa.binary()).to_pylist()]

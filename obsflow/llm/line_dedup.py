@@ -61,11 +61,21 @@ def line_bounds(part):
     return at, doc, number, np.searchsorted(part.start, np.append(at, len(part.data)))
 
 
-def _line_sets(part):
-    """Distinct words of each line (hashes, sorted within a line), their line, and the bounds of lines."""
+def _line_sets(part, asked=None):
+    """Distinct words of each line (hashes, sorted within a line), their line, and the bounds of lines.
+
+    ``asked`` gives the numbers of the lines wanted of a document; other lines then have no words.
+    """
     at, doc, number, first = line_bounds(part)
-    words = part.word_hashes()
     line = np.repeat(np.arange(len(at)), np.diff(first))
+    if asked is None:
+        words = part.word_hashes()
+    else:
+        chosen, begin = np.zeros(len(at), dtype=bool), np.searchsorted(doc, np.arange(part.n_docs + 1))
+        for d in range(part.n_docs):
+            chosen[[begin[d] + i for i in asked(d) if i < begin[d + 1] - begin[d]]] = True
+        held = np.flatnonzero(chosen[line])
+        words, line = part.word_hashes(held), line[held]
     order = np.argsort(words)
     kind = np.uint16 if len(at) < 1 << 16 else np.int64
     order = order[np.argsort(line[order].astype(kind), kind="stable")]
@@ -193,13 +203,13 @@ def _post(counts, percent, blocks):
                 order = some[np.lexsort((number[some], k[some], names[some, 1], names[some, 0]))]
                 new = changes(names[order, 0], names[order, 1])
                 place = changes(k[order], number[order])
-                first, again = order[new], order[~new & place]
+                first, again = np.sort(order[new]), np.sort(order[~new & place])
 
                 def rows_of(kind, where, lines, **more):
                     for block, chosen in deal(where):
-                        chosen = chosen[np.argsort(lines[chosen], kind="stable")]
-                        own = lines[chosen]
-                        held, back = np.unique(doc[own], return_inverse=True)
+                        own = lines[chosen]  # ascending, as ``lines`` are
+                        new = changes(doc[own])
+                        held, back = doc[own[new]], np.cumsum(new) - 1
                         row = dict.fromkeys(("key", "name", "bits", "size", "place", "wide"))
                         row |= {c: pack(v[chosen]) for c, v in more.items()}
                         if kind == _WORDS:
@@ -433,7 +443,7 @@ def _elements(batches):
     for b in batches:
         asked, ids = b.column("asked").to_pylist(), b.column("_k").to_pylist()
         for part in slices(b.column("text")):
-            words, line, doc, number = _line_sets(part)
+            words, line, doc, number = _line_sets(part, lambda d: (x["line"] for x in asked[part.lo + d]))
             names = _names(words, line, len(doc))[:, 1].view(np.int64)
             first = np.searchsorted(doc, np.arange(part.n_docs + 1))
             begin = np.searchsorted(line, np.arange(len(doc) + 1))
@@ -474,7 +484,7 @@ def _drop(batches):
         gone = b.column("gone").to_pylist()
         touched = [i for i, x in enumerate(gone) if x]
         for part in slices(b.column("text").take(pa.array(touched, type=pa.int64()))):
-            words, line, doc, _ = _line_sets(part)
+            words, line, doc, _ = _line_sets(part, lambda d: (x["line"] for x in gone[touched[part.lo + d]]))
             names = _names(words, line, len(doc))[:, 1].view(np.int64)
             first = np.searchsorted(doc, np.arange(part.n_docs + 1))
             for d in range(part.n_docs):
@@ -547,7 +557,7 @@ def dedup_lines(docs, percent=PERCENT):
     docs = but(docs, "_n_removed")
     gone = removed_lines(docs, percent)
     gone = gone.groupBy(F.col("k").alias("_k")).agg(F.collect_list(F.struct("line", "name")).alias("gone"))
-    keyed = squeeze(with_keys(docs))
+    keyed = squeeze(with_keys(docs).drop("_t"))
     row = keyed.schema["_row"].dataType.simpleString()
     cut = keyed.join(gone.hint("merge"), "_k", "left").mapInArrow(_drop, f"_row {row}, text string, _n_removed long")
     return without_keys(cut, docs, "_n_removed")

@@ -95,9 +95,10 @@ class Slice:
     def n_words(self):
         return np.diff(self.first)
 
-    def word_hashes(self):
-        """64-bit hash of every word."""
-        return mix(byte_hashes(self.data, self.start, self.end) + (self.end - self.start).astype(np.uint64))
+    def word_hashes(self, held=None):
+        """64-bit hash of every word, or of the words at ``held`` (ascending)."""
+        start, end = (self.start, self.end) if held is None else (self.start[held], self.end[held])
+        return mix(byte_hashes(self.data, start, end) + (end - start).astype(np.uint64))
 
     def run_hashes(self, words, k):
         """Hash of every ``k`` consecutive words, also across documents; see ``inside``."""

@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from obsflow.llm import quality
+from obsflow.llm import line_dedup, quality
 from obsflow.llm.blocks import in_small_batches
 from obsflow.llm.words import _BYTE, mix, powers, prefix_hashes, slices, span_hashes
 
@@ -57,3 +57,15 @@ def test_word_vectors_are_held_for_a_part_of_a_batch(learn):
     tracemalloc.stop()
     assert done == len(text)
     assert peak < 60 << 20
+
+
+def test_words_of_the_lines_asked_for_only():
+    """Sets of lines asked for equal those of all lines; words of other lines are neither hashed nor sorted."""
+    texts = ["a b a\n\nc d", None, "x" * 70_000 + "\ne f\n" + "g h " * 40_000 + "\nc b a", "", "b a"]
+    asked = [[0, 2, 9], [0], [1, 3], [], [0]]
+    (part,) = slices(pa.array(texts))
+    words, line, doc, number = line_dedup._line_sets(part)
+    keep = np.array([n in asked[d] for d, n in zip(doc, number)])
+    some, own, doc2, number2 = line_dedup._line_sets(part, lambda d: asked[d])
+    assert (doc == doc2).all() and (number == number2).all()
+    assert (some == words[keep[line]]).all() and (own == line[keep[line]]).all() and 0 < len(own) < len(line)
