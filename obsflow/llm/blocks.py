@@ -68,9 +68,12 @@ def unpack(value, dtype):
 
 def deal(blocks):
     """An order that groups values by block, and each block with its slice of that order."""
+    if blocks.max(initial=0) < 1 << 16:
+        blocks = blocks.astype(np.uint16)  # sorts by counting
     order = np.argsort(blocks, kind="stable")
-    found, begin = np.unique(blocks[order], return_index=True)
-    ends = np.append(begin[1:], len(order))
+    dealt = blocks[order]
+    begin = np.flatnonzero(changes(dealt))
+    found, ends = dealt[begin], np.append(begin[1:], len(order))
     return [(int(b), order[i:j]) for b, i, j in zip(found, begin, ends)]
 
 

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from obsflow.llm.blocks import (
@@ -29,6 +30,7 @@ from obsflow.llm.blocks import (
     loosen,
     n_blocks,
     pack,
+    ranges,
     squeeze,
     unpack,
     with_keys,
@@ -41,6 +43,10 @@ from obsflow.session import materialise
 PERCENT = 80
 #: Counters of the rarity table (1 MB in all), whatever the number of words.
 COUNTERS = 1 << 18
+#: Counters that travel in one row.
+SHARE = 1 << 10
+#: Bytes worked on at a time where nothing is packed by block: their numbers need no fresh memory each time.
+SLICE = 1 << 20
 #: Earlier partners of a line that one group names; groups with more are finished exactly in a second step.
 NAMED = 2
 #: Lines of a group that meet in one task; parts of larger groups meet in pairs.
@@ -61,10 +67,11 @@ def line_bounds(part):
     return at, doc, number, np.searchsorted(part.start, np.append(at, len(part.data)))
 
 
-def _line_sets(part, asked=None):
+def _line_sets(part, asked=None, rank=None):
     """Distinct words of each line (hashes, sorted within a line), their line, and the bounds of lines.
 
     ``asked`` gives the numbers of the lines wanted of a document; other lines then have no words.
+    With ``rank`` the words of a line are sorted as in ``_by_rarity``, which takes no more time.
     """
     at, doc, number, first = line_bounds(part)
     line = np.repeat(np.arange(len(at)), np.diff(first))
@@ -73,25 +80,23 @@ def _line_sets(part, asked=None):
     else:
         chosen, begin = np.zeros(len(at), dtype=bool), np.searchsorted(doc, np.arange(part.n_docs + 1))
         for d in range(part.n_docs):
-            chosen[[begin[d] + i for i in asked(d) if i < begin[d + 1] - begin[d]]] = True
+            numbers = np.asarray(asked(d), dtype=np.int64)
+            chosen[begin[d] + numbers[numbers < begin[d + 1] - begin[d]]] = True
         held = np.flatnonzero(chosen[line])
         words, line = part.word_hashes(held), line[held]
-    order = np.argsort(words)
-    kind = np.uint16 if len(at) < 1 << 16 else np.int64
-    order = order[np.argsort(line[order].astype(kind), kind="stable")]
-    words, line = words[order], line[order]
+    words = words[_by_rarity(words, line, rank)]
     new = changes(line, words)
     return words[new], line[new], doc, number
 
 
 def _names(words, line, n):
     """128 bits that name the set of words of each of ``n`` lines, whatever their order."""
-    ends = np.cumsum(np.bincount(line, minlength=n))
-    begins = np.concatenate([[0], ends[:-1]]) if n else ends
     out = np.zeros((n, 2), dtype=np.uint64)
+    begin = np.flatnonzero(changes(line))
     for i in (0, 1):
-        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(words, 71 + i))])
-        out[:, i] = mix(total[ends] - total[begins], 75)
+        if len(begin):
+            out[line[begin], i] = np.add.reduceat(mix(words, 71 + i), begin)
+        out[:, i] = mix(out[:, i], 75)
     return out
 
 
@@ -100,22 +105,30 @@ def _slot(words):
 
 
 def _count(batches):
-    """Task side: counters of the words of all lines of a partition, where not zero."""
+    """Task side: counters of the words of all lines of a partition, packed ``SHARE`` to a row, where not all zero."""
     total = np.zeros(COUNTERS, dtype=np.int64)
     for b in batches:
-        for part in slices(b.column("text")):
+        for part in slices(b.column("text"), limit=SLICE):
             total += np.bincount(_slot(part.word_hashes()), minlength=COUNTERS)
-    slot = np.flatnonzero(total)
-    yield pa.record_batch([pa.array(slot), pa.array(total[slot])], names=["slot", "n"])
+    rows = [(i, _small(x)) for i, x in enumerate(total.reshape(-1, SHARE)) if x.any()]
+    yield batch(_COUNTS, rows)
+
+
+def _add_up(key, table):
+    """Group side: the sums of one share of the counters."""
+    total = np.zeros(SHARE, dtype=np.int64)
+    for x in table.column("n"):
+        total += _large(x.as_py())
+    return pa.table([key, [pack(total)]], schema=_COUNTS)
 
 
 def rarity(docs):
     """How often words of each counter occur in all documents: an array of ``COUNTERS``."""
-    counted = docs.select("text").mapInArrow(_count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
-    out = np.zeros(COUNTERS, dtype=np.int64)
-    for row in counted.collect():  # at most COUNTERS rows
-        out[row["slot"]] = row["n"]
-    return out
+    counted = docs.select("text").mapInArrow(_count, _COUNTS_DDL).groupBy("share").applyInArrow(_add_up, _COUNTS_DDL)
+    out = np.zeros((COUNTERS // SHARE, SHARE), dtype=np.int64)
+    for row in counted.collect():  # at most COUNTERS numbers
+        out[row["share"]] = unpack(row["n"], np.int64)
+    return out.ravel()
 
 
 def wide_bitmaps(words, line, chosen):
@@ -123,12 +136,14 @@ def wide_bitmaps(words, line, chosen):
 
     The four numbers of a row XORed are the set's bitmap of 64 bits.
     """
-    at = np.searchsorted(chosen, line)
-    held = np.flatnonzero((at < len(chosen)) & (chosen[np.minimum(at, len(chosen) - 1)] == line)) if len(chosen) else at[:0]
-    out = np.zeros((len(chosen), 4), dtype=np.uint64)
+    at = np.full(max(line.max(initial=-1), chosen.max(initial=-1)) + 1, -1)
+    at[chosen] = np.arange(len(chosen))
+    at = at[line]
+    held = np.flatnonzero(at >= 0)
+    out = np.zeros(4 * len(chosen), dtype=np.uint64)
     bit = mix(words[held], 61)
-    np.bitwise_xor.at(out, (at[held], (bit >> np.uint64(62)).astype(np.int64)), np.uint64(1) << (bit & np.uint64(63)))
-    return out
+    np.bitwise_xor.at(out, at[held] * 4 + (bit >> np.uint64(62)).astype(np.int64), np.uint64(1) << (bit & np.uint64(63)))
+    return out.reshape(-1, 4)
 
 
 def bitmaps(words, line, n):
@@ -143,15 +158,17 @@ def bitmaps(words, line, n):
 def _small(values):
     """Numbers from 0 in the narrowest type, as bytes after one byte that names its width."""
     largest = int(values.max(initial=0))
-    width = next(w for w in (1, 2, 4) if largest < 1 << 8 * w)
+    width = next(w for w in (1, 2, 4, 8) if largest < 1 << 8 * w)
     return bytes([width]) + pack(values.astype(f"u{width}"))
 
 
 def _large(value):
     """What ``_small`` packed."""
-    return np.frombuffer(value, dtype=f"u{value[0]}", offset=1).astype(np.int32)
+    return np.frombuffer(value, dtype=f"u{value[0]}", offset=1).astype(np.int32 if value[0] < 4 else np.int64)
 
 
+_COUNTS = pa.schema([("share", pa.int32()), ("n", pa.binary())])
+_COUNTS_DDL = "share int, n binary"
 _NAMES, _GONE, _WORDS = 0, 1, 2
 _ROWS = pa.schema(
     [("block", pa.int32()), ("kind", pa.int32())]
@@ -171,20 +188,29 @@ _SETS_DDL = f"{_PLACE_DDL}, elements binary"
 _PAIR, _OPEN, _MEMBER = 2, 3, 4
 
 
-def _by_rarity(words, line, rank):
-    """An order of the words (ascending within their line, lines ascending) by line, rank of their counter, and word."""
+def _by_rarity(words, line, rank=None):
+    """An order of the words (lines ascending) by line, rank of their counter, and word; of equal ones the first comes first.
+
+    Without ``rank`` by line and word.
+    """
     if not len(words):
         return np.zeros(0, np.int64)
-    bits = np.uint64(int(line[-1]).bit_length())
-    slot = rank[_slot(words)].astype(np.uint64)
-    # One number to sort by: line, rank (18 bits), and of the word below its counter what fits.
-    rest = (words << np.uint64(18)) >> (bits + np.uint64(18))
-    both = (slot << (np.uint64(46) - bits)) | rest
-    both |= line.astype(np.uint64) << (np.uint64(64) - bits) if bits else np.uint64(0)
-    order = np.argsort(both)
-    if not changes(both[order]).all():  # what did not fit decides
-        order = np.lexsort((words, slot, line))
-    return order
+    slot = _slot(words) if rank is None else rank[_slot(words)]
+    above, below = int(line[-1]).bit_length(), (len(words) - 1).bit_length()
+    rest = 46 - above - below
+    if rest > 0:
+        # One number to sort by: line, rank (18 bits), of the word below its counter what fits, and where it stands.
+        # Numbers sort in a third of the time that an order of them takes.
+        both = ((words << np.uint64(18)) >> np.uint64(64 - rest) << np.uint64(below)) | np.arange(len(words), dtype=np.uint64)
+        both |= slot.astype(np.uint64) << np.uint64(rest + below)
+        both |= line.astype(np.uint64) << np.uint64(64 - above) if above else np.uint64(0)
+        both.sort()
+        order = (both & np.uint64((1 << below) - 1)).astype(np.int64)
+        both >>= np.uint64(below)
+        same = np.flatnonzero(both[1:] == both[:-1])
+        if (words[order[same]] == words[order[same + 1]]).all():
+            return order
+    return np.lexsort((words, slot, line))  # what did not fit decides
 
 
 def _post(counts, percent, blocks):
@@ -195,7 +221,7 @@ def _post(counts, percent, blocks):
         for b in batches:
             ids = b.column("_k").to_numpy(zero_copy_only=False)
             for part in slices(b.column("text")):
-                words, line, doc, number = _line_sets(part)
+                words, line, doc, number = _line_sets(part, rank=rank)
                 sizes = np.bincount(line, minlength=len(doc))
                 names = _names(words, line, len(doc))
                 k = ids[part.lo + doc]
@@ -221,8 +247,8 @@ def _post(counts, percent, blocks):
                             block,
                             kind,
                             pack(np.diff(ids[part.lo + held], prepend=0)),
-                            pack(np.diff(back, prepend=0).astype(np.int32)),
-                            pack(number[own].astype(np.int32)),
+                            _small(np.diff(back, prepend=0)),
+                            _small(number[own]),
                             *row.values(),
                         )
 
@@ -232,18 +258,13 @@ def _post(counts, percent, blocks):
                 # The rarest words of lines that can have a partner of another name.
                 sizes_first = np.zeros(len(doc), dtype=np.int64)
                 sizes_first[first] = sizes[first]
-                held = np.flatnonzero((100 * (sizes_first - 1) >= percent * sizes_first)[line] | (100 * sizes_first >= percent * (sizes_first + 1))[line])
-                held = held[sizes_first[line[held]] > 0]
-                own_words, own_line = words[held], line[held]
-                order = _by_rarity(own_words, own_line, rank)
-                own_words, own_line = own_words[order], own_line[order]
-                begin = np.flatnonzero(changes(own_line))
-                length = np.diff(np.append(begin, len(own_line)))
-                position = np.arange(len(own_line)) - np.repeat(begin, length)
-                n = sizes[own_line]
-                prefix = position < n - (percent * n + 99) // 100 + 1
-                own_words, own_line, position = own_words[prefix], own_line[prefix], position[prefix]
-                bits = bitmaps(words, line, len(doc))
+                partners = (100 * (sizes_first - 1) >= percent * sizes_first) | (100 * sizes_first >= percent * (sizes_first + 1))
+                length = np.where(partners & (sizes_first > 0), sizes_first - (percent * sizes_first + 99) // 100 + 1, 0)
+                position = np.arange(len(line)) - (np.cumsum(sizes) - sizes)[line]
+                held = np.flatnonzero(position < length[line])
+                own_words, own_line, position = words[held], line[held], position[held]
+                short = np.flatnonzero((sizes < LONG)[line])
+                bits = bitmaps(words[short], line[short], len(doc))
                 long = np.unique(own_line[sizes[own_line] >= LONG])
                 wide = wide_bitmaps(words, line, long)
                 # Half of a hash of the word: words that share it only meet more often than they must.
@@ -260,15 +281,18 @@ def _needed(x, y, percent):
 
 
 def _may_match(own, late, other, early, percent):
-    """Which pairs of postings (rows of two tables) of one word pass the filters of length, position and bitmaps."""
+    """Which pairs of postings (rows of two tables) of one word pass the filters of length, position and bitmaps.
+
+    A similar pair passes in the group of the first word, by rarity, that both lines have, if in no other.
+    """
     x, y = own["size"][late].astype(np.int64), other["size"][early].astype(np.int64)
-    i, j = own["place"][late].astype(np.int64), other["place"][early].astype(np.int64)
-    need = _needed(x, y, percent)
-    room = np.minimum(i, j) + np.minimum(x - i, y - j)
-    good = (100 * np.minimum(x, y) >= percent * np.maximum(x, y)) & (room >= need)
-    good = np.flatnonzero(good & (own["name"][late] != other["name"][early]))
+    # Common words all stand behind the first of them, and in its group the pair meets as well.
+    room = np.minimum(x - own["place"][late], y - other["place"][early])
+    good = np.flatnonzero((100 + percent) * room >= percent * (x + y))  # that there is room says the lengths are near
+    good = good[own["name"][late[good]] != other["name"][early[good]]]
     out = np.zeros(len(late), dtype=bool)
-    late, early, x, y, need = late[good], early[good], x[good], y[good], need[good]
+    late, early, x, y = late[good], early[good], x[good], y[good]
+    need = _needed(x, y, percent)
     apart = np.bitwise_count(own["bits"][late] ^ other["bits"][early]).astype(np.int64)
     # Bits that differ are words that are not common, in either bitmap.
     both = np.flatnonzero((x >= LONG) & (y >= LONG))
@@ -298,6 +322,37 @@ def _held(value):
     return out
 
 
+def _in_order(own):
+    """An order of postings by key, document, number and name."""
+    k, line = own["k"], own["line"]
+    if (int(k.max()) - int(k.min())).bit_length() + int(line.max()).bit_length() > 32:
+        k = np.unique(k, return_inverse=True)[1]
+    low, last = int(k.min()), int(line.max()).bit_length()
+    if (int(k.max()) - low).bit_length() + last <= 32:
+        both = (own["key"].astype(np.uint64) << np.uint64(32)) | ((k - low).astype(np.uint64) << np.uint64(last)) | line.astype(np.uint64)
+        order = np.argsort(both)
+        if changes(both[order]).all():
+            return order
+    return np.lexsort((own["name"], line, k, own["key"]))
+
+
+def _repeated(own):
+    """Postings whose key, name and place an earlier one has."""
+    below = np.uint64((len(own["key"]) - 1).bit_length())
+    both = mix(own["name"].view(np.uint64) ^ mix((own["key"].astype(np.uint64) << np.uint64(32)) | own["place"].astype(np.uint64)))
+    both = (both >> below << below) | np.arange(len(both), dtype=np.uint64)
+    both.sort()
+    order = (both & np.uint64((1 << int(below)) - 1)).astype(np.int64)
+    both >>= below
+    same = np.flatnonzero(both[1:] == both[:-1])
+    early, late = order[same], order[same + 1]
+    columns = [own[c] for c in ("place", "name", "key")]
+    if all((c[early] == c[late]).all() for c in columns):
+        return late
+    order = np.lexsort(columns)
+    return order[~changes(*(c[order] for c in columns))]
+
+
 def _meet(percent):
     """Block side: later copies of equal lines, and for every line earlier lines that pass the filters."""
 
@@ -317,8 +372,8 @@ def _meet(percent):
 
         columns = {}
         for row in table.to_pylist():
-            doc = np.cumsum(unpack(row["doc"], np.int32).astype(np.int64))
-            own = {"k": np.cumsum(unpack(row["k"], np.int64))[doc], "line": unpack(row["line"], np.int32).astype(np.int64)}
+            doc = np.cumsum(_large(row["doc"]), dtype=np.int64)
+            own = {"k": np.cumsum(unpack(row["k"], np.int64))[doc], "line": _large(row["line"]).astype(np.int64)}
             if row["name"] is not None:
                 own["name"] = unpack(row["name"], np.int64)
             if row["kind"] == _WORDS:
@@ -327,7 +382,7 @@ def _meet(percent):
                 short = own["size"] < LONG
                 wide = np.zeros((len(doc), 4), dtype=np.uint64)
                 wide[~short] = unpack(row["wide"], np.uint64).reshape(-1, 4)
-                own["bits"] = np.bitwise_xor.reduce(wide, axis=1)
+                own["bits"] = wide[:, 0] ^ wide[:, 1] ^ wide[:, 2] ^ wide[:, 3]
                 own["bits"][short] = unpack(row["bits"], np.uint64)
                 own["wide"] = wide
             for c, v in own.items():
@@ -347,22 +402,23 @@ def _meet(percent):
             own = columns[_WORDS]
             # One posting for each name and word: that of the first line of the name. Two words of
             # a line can share a key, but not their place.
-            order = np.lexsort((own["line"], own["k"], own["place"], own["name"], own["key"]))
-            order = order[changes(own["key"][order], own["name"][order], own["place"][order])]
-            order = order[np.lexsort((own["name"][order], own["line"][order], own["k"][order], own["key"][order]))]
-            own = {c: v[order] for c, v in own.items()}
+            order = _in_order(own)
+            order = np.delete(order, _repeated({c: own[c][order] for c in ("key", "name", "place")}))
+            own = {c: v.take(order, axis=0) for c, v in own.items()}
             group = np.cumsum(changes(own["key"])) - 1
             start = np.flatnonzero(changes(own["key"]))
             size = np.diff(np.append(start, len(group)))
             rank = np.arange(len(group)) - start[group]
             named = np.zeros(len(group), dtype=np.int64)
-            active = np.flatnonzero(size[group] > 1)
+            active = np.flatnonzero(rank)
+            begin = start[group[active]]
             for step in range(PART):
-                active = active[(rank[active] > step) & (named[active] < NAMED)]
+                on = (active - begin > step) & (named[active] < NAMED)
+                active, begin = active[on], begin[on]
                 if not len(active):
                     break
-                early = start[group[active]] + step
-                good = _may_match(own, active, own, early, percent)
+                early = begin + step
+                good = np.flatnonzero(_may_match(own, active, own, early, percent))
                 late, early = active[good], early[good]
                 named[late] += 1
                 give(_PAIR, None, at(own, late), at(own, early))
@@ -438,24 +494,36 @@ def _elements_squeezed(batches):
     yield from _elements(loosen(batches))
 
 
+def _places(column):
+    """A column of lists of lines as arrays: where the lines of each row begin and end, their numbers, and their names."""
+    ends = np.cumsum(pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False))
+    flat = column.flatten()
+    return np.append(0, ends), *(flat.field(c).to_numpy(zero_copy_only=False) for c in ("line", "name"))
+
+
 def _elements(batches):
     """Task side: the word sets of the lines asked for."""
     for b in batches:
-        asked, ids = b.column("asked").to_pylist(), b.column("_k").to_pylist()
-        for part in slices(b.column("text")):
-            words, line, doc, number = _line_sets(part, lambda d: (x["line"] for x in asked[part.lo + d]))
+        ids = b.column("_k").to_numpy(zero_copy_only=False)
+        bound, lines, wanted = _places(b.column("asked"))
+        row = ranges(np.diff(bound))
+        for part in slices(b.column("text"), limit=SLICE):
+            words, line, doc, number = _line_sets(part, lambda d: lines[bound[part.lo + d] : bound[part.lo + d + 1]])
             names = _names(words, line, len(doc))[:, 1].view(np.int64)
             first = np.searchsorted(doc, np.arange(part.n_docs + 1))
+            asked = np.arange(bound[part.lo], bound[part.lo + part.n_docs])
+            d = row[asked] - part.lo
+            there = lines[asked] < np.diff(first)[d]
+            asked, at = asked[there], first[d[there]] + lines[asked[there]]
+            same = names[at] == wanted[asked]
+            asked, at = asked[same], at[same]
             begin = np.searchsorted(line, np.arange(len(doc) + 1))
-            out = {"k": [], "line": [], "name": [], "elements": []}
-            for d in range(part.n_docs):
-                for x in asked[part.lo + d]:
-                    at = first[d] + x["line"]
-                    if at < first[d + 1] and names[at] == x["name"]:
-                        for c, v in zip(out, (ids[part.lo + d], x["line"], x["name"], pack(words[begin[at] : begin[at + 1]]))):
-                            out[c].append(v)
-            kinds = (*(kind for _, kind in _PLACE), pa.binary())
-            yield pa.record_batch([pa.array(v, type=kind) for v, kind in zip(out.values(), kinds)], names=list(out))
+            length = begin[at + 1] - begin[at]
+            ends = np.cumsum(length)
+            held = words[np.arange(length.sum()) + np.repeat(begin[at] - ends + length, length)]
+            sets = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(8 * np.append(0, ends)), pa.py_buffer(held)])
+            places = [pa.array(v, type=kind) for v, (_, kind) in zip((ids[row[asked]], lines[asked], wanted[asked]), _PLACE)]
+            yield pa.record_batch([*places, sets.cast(pa.binary())], names=[*_LINE, "elements"])
 
 
 def _similar(x, y, percent):
@@ -478,22 +546,26 @@ def _verify(percent):
 
 
 def _drop(batches):
-    """Task side: texts without the lines that are gone."""
+    """Task side: texts without the lines that are gone; ``shared`` says that other rows have the id, too."""
     for b in loosen(batches):
         texts, removed = b.column("text").to_pylist(), [0] * b.num_rows
-        gone = b.column("gone").to_pylist()
-        touched = [i for i, x in enumerate(gone) if x]
-        for part in slices(b.column("text").take(pa.array(touched, type=pa.int64()))):
-            words, line, doc, _ = _line_sets(part, lambda d: (x["line"] for x in gone[touched[part.lo + d]]))
+        bound, lines, wanted = _places(b.column("gone"))
+        shared = pc.fill_null(b.column("shared"), False).to_numpy(zero_copy_only=False)
+        touched = np.diff(bound) > 0
+        out = {i: lines[bound[i] : bound[i + 1]].tolist() for i in np.flatnonzero(touched & ~shared).tolist()}
+        # Rows that share an id have lines of other names at the same numbers.
+        some = np.flatnonzero(touched & shared)
+        for part in slices(b.column("text").take(pa.array(some))):
+            words, line, doc, _ = _line_sets(part, lambda d: lines[bound[some[part.lo + d]] : bound[some[part.lo + d] + 1]])
             names = _names(words, line, len(doc))[:, 1].view(np.int64)
             first = np.searchsorted(doc, np.arange(part.n_docs + 1))
             for d in range(part.n_docs):
-                i = touched[part.lo + d]
-                # Rows that share an id have lines of other names at the same numbers.
-                own = names[first[d] : first[d + 1]]
-                out = {x["line"] for x in gone[i] if x["line"] < len(own) and own[x["line"]] == x["name"]}
-                texts[i] = "\n".join(x for j, x in enumerate(texts[i].split("\n")) if j not in out)
-                removed[i] = len(out)
+                i, own = some[part.lo + d], names[first[d] : first[d + 1]]
+                out[i] = [x for x, name in zip(lines[bound[i] : bound[i + 1]], wanted[bound[i] : bound[i + 1]]) if x < len(own) and own[x] == name]
+        for i, gone in out.items():
+            gone = set(gone)
+            texts[i] = "\n".join(x for j, x in enumerate(texts[i].split("\n")) if j not in gone)
+            removed[i] = len(gone)
         arrays = [b.column("_row"), pa.array(texts, type=pa.string()), pa.array(removed, type=pa.int64())]
         yield pa.record_batch(arrays, names=["_row", "text", "_n_removed"])
 
@@ -557,7 +629,9 @@ def dedup_lines(docs, percent=PERCENT):
     docs = but(docs, "_n_removed")
     gone = removed_lines(docs, percent)
     gone = gone.groupBy(F.col("k").alias("_k")).agg(F.collect_list(F.struct("line", "name")).alias("gone"))
-    keyed = squeeze(with_keys(docs).drop("_t"))
+    keyed = with_keys(docs).drop("_t")
+    shared = keyed.groupBy("_k").count().where("count > 1").select("_k", F.lit(True).alias("shared"))
+    gone = gone.join(shared.hint("merge"), "_k", "left")
     row = keyed.schema["_row"].dataType.simpleString()
-    cut = keyed.join(gone.hint("merge"), "_k", "left").mapInArrow(_drop, f"_row {row}, text string, _n_removed long")
+    cut = squeeze(keyed).join(gone.hint("merge"), "_k", "left").mapInArrow(_drop, f"_row {row}, text string, _n_removed long")
     return without_keys(cut, docs, "_n_removed")

@@ -55,7 +55,8 @@ def powers(n, down=False):
 def prefix_hashes(values):
     """``p[i]``: polynomial hash of the first ``i`` values, modulo 2**64."""
     out = np.zeros(len(values) + 1, dtype=np.uint64)
-    np.cumsum(values * powers(len(values)), out=out[1:])
+    np.multiply(values, powers(len(values)), out=out[1:])
+    np.cumsum(out[1:], out=out[1:])
     return out
 
 
@@ -69,7 +70,8 @@ def byte_hashes(data, start, end):
     out = np.empty(len(start), dtype=np.uint64)
     for lo, hi in cuts(np.append(start, len(data)), HASH_BYTES):
         begin = start[lo]
-        prefix = prefix_hashes(_BYTE[data[begin : end[hi - 1]]])
+        own = data[begin : end[hi - 1]]
+        prefix = prefix_hashes(np.take(_BYTE, own, out=np.empty(len(own), dtype=np.uint64), mode="clip"))
         out[lo:hi] = span_hashes(prefix, start[lo:hi] - begin, end[lo:hi] - begin)
     return out
 
@@ -147,13 +149,16 @@ def slices(column, lower=False, limit=SLICE_BYTES, gaps=_SPACE):
         own = _LOWER[own] if lower else own
         at = offsets[lo : hi + 1] - offsets[lo]
         word = np.zeros(len(own) + 2, dtype=bool)
-        np.logical_not(gaps[own], out=word[1:-1])
-        begins, ends = word[1:-1] & ~word[:-2], word[1:-1] & ~word[2:]
-        inner = at[1:-1]
-        inner = inner[(inner > 0) & (inner < len(own))]
-        begins[inner] = word[inner + 1]
-        ends[inner - 1] = word[inner]
-        start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
+        if gaps is _SPACE:  # the same by two comparisons, which take a tenth of the time
+            np.logical_and(own != 0x20, own - np.uint8(0x09) > 4, out=word[1:-1])
+        else:
+            np.logical_not(gaps[own], out=word[1:-1])
+        # Words begin and end where the kind of byte changes, and at a bound of documents between two of their bytes.
+        edges = np.flatnonzero(word[1:] != word[:-1])
+        inner = np.unique(at[1:-1])
+        inner = np.repeat(inner[word[inner] & word[inner + 1]], 2)
+        edges = np.insert(edges, np.searchsorted(edges, inner), inner).reshape(-1, 2)
+        start, end = np.ascontiguousarray(edges[:, 0]), np.ascontiguousarray(edges[:, 1])
         first = np.searchsorted(start, at)
         doc = np.repeat(np.arange(hi - lo), np.diff(first))
         yield Slice(lo, own, at, start, end, first, doc)

@@ -3,7 +3,9 @@
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from obsflow.llm import line_dedup, ngram_join
@@ -11,6 +13,7 @@ from obsflow.llm.line_dedup import dedup_lines
 from obsflow.llm.links import components
 from obsflow.llm.ngram_join import jaccard_components, one_of_each
 from obsflow.llm.substring_dedup import dedup_substrings
+from obsflow.llm.words import slices
 import brute
 
 
@@ -115,6 +118,58 @@ def test_two_words_of_one_key_do_not_hide_each_other(spark):
     assert line_dedup._may_match(own, late, own, early, 80).tolist() == [False, True, True]
 
 
+def test_pairs_pass_in_the_group_of_their_first_common_word_only():
+    """At place 1 of ten words each, nine can follow; at place 2 only eight, so an earlier word is common or too few are."""
+    own = {"size": np.array([10, 10, 10]), "place": np.array([1, 1, 2]), "name": np.array([5, 6, 7])}
+    own |= {"bits": np.zeros(3, np.uint64), "wide": np.zeros((3, 4), np.uint64)}
+    late, early = np.array([1, 2]), np.array([0, 0])
+    assert line_dedup._may_match(own, late, own, early, 80).tolist() == [True, False]
+    own["place"][0] = 2
+    assert line_dedup._may_match(own, late, own, early, 80).tolist() == [False, False]
+
+
+@pytest.mark.parametrize("ids", [range(300), [-(1 << 63), (1 << 63) - 1, *range(298)], [7] * 300])
+def test_postings_are_ordered_and_repeated_ones_found(ids):
+    """By one number, or, where ids lie far apart or postings tie, by their columns."""
+    random = np.random.default_rng(4)
+    own = {"key": random.integers(0, 9, 300).astype(np.uint32), "k": random.permutation(np.array(ids, np.int64))}
+    own |= {"line": random.integers(0, 5, 300), "name": random.integers(0, 20, 300), "place": random.integers(0, 2, 300).astype(np.int32)}
+    rows = [*zip(*(own[c].tolist() for c in ("key", "k", "line", "name")))]
+    order = line_dedup._in_order(own)
+    assert [rows[i] for i in order] == sorted(rows)
+    seen, again = set(), []
+    for i, posting in enumerate(zip(*(own[c].tolist() for c in ("key", "name", "place")))):
+        if posting in seen:
+            again.append(i)
+        seen.add(posting)
+    assert sorted(line_dedup._repeated(own)) == again and again
+
+
+def test_counters_travel_in_few_rows(spark):
+    texts = [f"a {i} b{i % 7}\n\nc a" for i in range(5000)] + [None, ""]
+    rows = pa.record_batch([pa.array(texts)], ["text"])
+    (counted,) = line_dedup._count(iter([rows, rows]))
+    assert counted.num_rows <= line_dedup.COUNTERS // line_dedup.SHARE
+    docs = spark.createDataFrame([(x,) for x in texts + texts], "text string").repartition(3)
+    want = np.zeros(line_dedup.COUNTERS, dtype=np.int64)
+    for part in slices(pa.array(texts + texts)):
+        np.add.at(want, line_dedup._slot(part.word_hashes()), 1)
+    assert (line_dedup.rarity(docs) == want).all() and want.sum() == 50_000
+
+
+def test_words_are_hashed_again_only_where_rows_share_an_id(monkeypatch):
+    texts, gone = ["a b\nc\n", None, "q\nr", "a b\nc"], [[{"line": 0, "name": 1}, {"line": 2, "name": 2}], None, None, [{"line": 1, "name": 3}]]
+    columns = [pa.array([x and zstandard.compress(x.encode()) for x in texts]), pa.array(gone), pa.array([None] * 4, pa.bool_()), pa.array(range(4))]
+    with monkeypatch.context() as m:
+        m.setattr(line_dedup, "_line_sets", None)
+        (out,) = line_dedup._drop(iter([pa.record_batch(columns, ["text", "gone", "shared", "_row"])]))
+    assert out.column("text").to_pylist() == ["c", None, "q\nr", "a b"]
+    assert out.column("_n_removed").to_pylist() == [2, 0, 0, 1]
+    columns[2] = pa.array([None, None, None, True])  # of these rows no line has the name
+    (out,) = line_dedup._drop(iter([pa.record_batch(columns, ["text", "gone", "shared", "_row"])]))
+    assert out.column("_n_removed").to_pylist() == [2, 0, 0, 0]
+
+
 def test_one_number_orders_words_by_rarity():
     random = np.random.default_rng(3)
     rank = random.permutation(line_dedup.COUNTERS).astype(np.uint32)

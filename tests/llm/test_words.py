@@ -1,5 +1,6 @@
 """Hashes of words: the same wherever words stand, in little memory."""
 
+import re
 import tracemalloc
 
 import numpy as np
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from obsflow.llm import line_dedup, quality
 from obsflow.llm.blocks import in_small_batches
-from obsflow.llm.words import _BYTE, mix, powers, prefix_hashes, slices, span_hashes
+from obsflow.llm.words import _BYTE, _SPACE, NO_LETTER, mix, powers, prefix_hashes, slices, span_hashes
 
 
 def test_word_hashes_are_those_of_prefixes_of_the_whole_slice():
@@ -20,6 +21,17 @@ def test_word_hashes_are_those_of_prefixes_of_the_whole_slice():
         assert (part.word_hashes() == want).all()
 
 
+@pytest.mark.parametrize("gaps", [_SPACE, NO_LETTER])
+def test_bounds_of_words_are_those_of_each_text(gaps):
+    """Also where texts follow each other without a byte between words, and around empty ones."""
+    texts = ["", "a b", "c", "", "", "d\te ", None, " f\n", "gh", "é x\x0b\x1cy-z", ""]
+    (part,) = slices(pa.array(texts), gaps=gaps)
+    got = [part.data[a:b].tobytes() for a, b in zip(part.start, part.end)]
+    kind = rb"[^\x20\x09-\x0D]+" if gaps is _SPACE else rb"[A-Za-z\x80-\xff]+"
+    words = [re.findall(kind, (x or "").encode()) for x in texts]
+    assert got == sum(words, []) and part.n_words.tolist() == [len(x) for x in words]
+
+
 def test_word_hashes_take_little_more_than_the_words():
     (part,) = slices(pa.array(["some words of a text " * 150_000]))
     powers(1 << 17), powers(1 << 17, down=True)
