@@ -11,10 +11,13 @@ well. A piece is 2^64 bits wide, so that few set bits already tell sets apart,
 and is named by the exclusive or of the numbers of its set bits. Documents that
 agree on a piece are verified on their sets.
 
-A piece without a set bit says nothing and is never a key. By the pigeonhole
-principle two linked sets agree on a piece with set bits if one of them has more
-such pieces than the two may differ in. Bands have pieces enough for nearly
-every set. A set that falls short is sketched again with another hash and more
+A piece without a set bit says nothing and is never a key. A piece of one
+shingle is shared by all that use a common phrase, and pairs of those grow with
+the square of the corpus; so where the similarity allows it, a piece is a key
+only if it holds two shingles. By the pigeonhole principle two linked sets agree
+on such a piece if one of them has more of them than the two may differ in.
+Bands have pieces enough for nearly every set. A set that falls short is
+sketched again with another hash, pieces of one shingle and, each time, more
 pieces, until it does not: of two linked sets either one suffices, or both go on
 to the same next sketch, so no link is lost.
 """
@@ -37,6 +40,7 @@ from obsflow.llm.blocks import (
     loosen,
     n_blocks,
     pack,
+    ranges,
     squeeze,
     unpack,
     with_keys,
@@ -48,13 +52,15 @@ from obsflow.session import materialise
 
 SHINGLE = 3
 PERCENT = 90
-#: Bits of the sketch that candidates are compared on before their sets are.
+#: Bits of the sketch that candidates are compared on before their sets are; large sets get a power of two times as many.
 BITS = 1024
 #: Earlier partners that a member of a group is paired with in the first round; each round takes 16 times as many.
 EARLIEST = 16
 #: Members of a group that one task compares with as many others; larger groups are cut into pairs of such parts.
 PART = 2048
 _GROWTH = 1.4
+#: By how many standard deviations the pieces of two shingles are to exceed what linked sets differ in.
+_SURE = 1
 _LARGEST = 1 << 40
 
 
@@ -107,13 +113,34 @@ def set_keys(hashes, first):
     return mix(out, 5)
 
 
+@functools.cache
+def _pairing(band, percent):
+    """The least number of pieces of which nearly every set of a band has enough that hold two shingles; 0 if there is none."""
+    edges = band_edges(percent)
+    largest = int(edges[band + 1]) - 1
+    n = np.unique(np.linspace(-(-percent * int(edges[band]) // 100), largest, 33).astype(np.int64))
+    differing = _differing(n, np.minimum(largest, 100 * n // percent), percent)
+    least = _differing(largest, largest, percent) + 1
+    count = np.unique(np.ceil(np.geomspace(least, max(least, largest), 200)).astype(np.int64))[:, None]
+    each = n / count
+    hold = 1 - np.exp(-each) * (1 + each)
+    spread = np.sqrt(np.maximum(count * (hold * (1 - hold) - each**3 * np.exp(-2 * each)), 0))
+    enough = (count * hold >= differing + 0.5 + _SURE * spread).all(axis=1)
+    return int(count[enough.argmax(), 0]) if enough.any() else 0
+
+
 def _pieces(hashes, sizes, band, percent, attempt):
     """Keys of the sketch pieces of sets laid end to end, the set of each, and which sets have too few for their links."""
     largest = band_edges(percent)[band + 1] - 1
     least = _differing(largest, largest, percent) + 1
     # Room for twice the empty pieces that the largest sets of the band are to have.
     spare = np.ceil(2 * least * np.exp(-largest / least)).astype(np.int64)
-    count = ((least + spare) * (attempt + 1)).astype(np.uint64)
+    bands, at = np.unique(band, return_inverse=True)
+    paired = np.array([_pairing(int(b), percent) for b in bands], dtype=np.int64)[at]
+    # Where pieces of two shingles come first, those of one begin with the second sketch.
+    count = (least + spare) * (attempt + (paired == 0))
+    count = (np.where(paired > 0, paired, count) if attempt == 0 else count).astype(np.uint64)
+    hold = np.where((paired > 0) & (attempt == 0), 2, 1)
     owner = np.repeat(np.arange(len(sizes)), sizes)
     if attempt:
         hashes = mix(hashes, 100 + attempt)
@@ -123,8 +150,9 @@ def _pieces(hashes, sizes, band, percent, attempt):
     begin = np.flatnonzero(changes(owner, piece))
     bits = mix(hashes, 31)
     parity = np.bitwise_xor.reduceat(bits, begin) if len(begin) else bits
+    held = np.diff(begin, append=len(owner))
     owner, piece = owner[begin], piece[begin]
-    full = parity != 0
+    full = (parity != 0) & (held >= hold[owner])
     owner, piece, parity = owner[full], piece[full], parity[full]
     partner = np.minimum(largest, 100 * sizes // percent)
     weak = np.bincount(owner, minlength=len(sizes)) <= _differing(sizes, partner, percent)
@@ -157,18 +185,34 @@ def sketch_keys(hashes, first, percent=PERCENT):
     return np.concatenate(keys), np.concatenate(owners)
 
 
-def wide_sketches(hashes, first):
-    """Parity sketches of ``BITS`` bits, one for each set, as rows of bytes."""
-    out = np.zeros((len(first) - 1, BITS // 8), dtype=np.uint8)
-    bit = (mix(hashes, 97) >> np.uint64(54)).astype(np.int64) % BITS
-    for lo in range(0, len(out), 2048):
-        hi = min(lo + 2048, len(out))
-        own = np.repeat(np.arange(hi - lo), np.diff(first[lo : hi + 1]))
-        count = np.bincount(own * BITS + bit[first[lo] : first[hi]], minlength=(hi - lo) * BITS)
-        out[lo:hi] = np.packbits((count & 1).astype(np.uint8).reshape(hi - lo, BITS), axis=1)
+def _widths(sizes, percent):
+    """Bits of the sketch of each set: six times what linked sets differ in, so that sets that have little in common differ in far more bits."""
+    times = 6 * _differing(sizes, sizes, percent) / BITS
+    return BITS << np.ceil(np.log2(np.maximum(times, 1))).astype(np.int64)
+
+
+def wide_sketches(hashes, first, percent=PERCENT):
+    """Parity sketches of the sets, as rows of bytes; those of large sets are wider."""
+    sizes = np.diff(first)
+    widths, bits, out = _widths(sizes, percent), mix(hashes, 97), [b""] * len(sizes)
+    for width in np.unique(widths):
+        chosen, step = np.flatnonzero(widths == width), max(1, 2048 * BITS // int(width))
+        for lo in range(0, len(chosen), step):
+            some = chosen[lo : lo + step]
+            own = ranges(sizes[some])
+            at = np.concatenate([bits[first[i] : first[i + 1]] for i in some]) & np.uint64(width - 1)
+            count = np.bincount(own * width + at.astype(np.int64), minlength=len(some) * width)
+            rows = np.packbits((count & 1).astype(np.uint8).reshape(len(some), -1), axis=1)
+            for i, row in zip(some, rows):
+                out[i] = row.tobytes()
     return out
 
 
+def _folded(sketches, words):
+    """Sketches as rows of 64-bit words, folded to so many words: what a narrower sketch of the same set would be."""
+    return np.bitwise_xor.reduce(sketches.reshape(*sketches.shape[:-1], sketches.shape[-1] // words, words), axis=-2)
+
+
 _MARKS = pa.schema(
     [
         ("block", pa.int32()),
@@ -198,9 +242,9 @@ def _mark(shingle, percent, blocks):
             ids, texts = (b.column(c).to_numpy(zero_copy_only=False) for c in ("_k", "_t"))
             for part in slices(b.column("text"), lower=True):
                 hashes, first = sets_of(part, shingle)
-                names, sizes, wide = set_keys(hashes, first), np.diff(first), wide_sketches(hashes, first)
+                names, sizes, wide = set_keys(hashes, first), np.diff(first), wide_sketches(hashes, first, percent)
                 rows = [
-                    (None, row + d, doc_ids[part.lo + d], int(ids[part.lo + d]), int(texts[part.lo + d]), int(sizes[d]), names[d].tobytes() if sizes[d] else None, wide[d].tobytes(), None, None)
+                    (None, row + d, doc_ids[part.lo + d], int(ids[part.lo + d]), int(texts[part.lo + d]), int(sizes[d]), names[d].tobytes() if sizes[d] else None, wide[d], None, None)
                     for d in range(part.n_docs)
                 ]
                 # Of equal sets in a slice the first sends its pieces for all.
@@ -267,6 +311,8 @@ def _set_blobs(shingle):
 
 def _may_link(m, n, x, y, percent):
     """Whether sizes and sketches of sets allow the similarity."""
+    words = min(x.shape[-1], y.shape[-1])
+    x, y = _folded(x, words), _folded(y, words)
     apart = np.bitwise_count(x ^ y).sum(axis=-1, dtype=np.int64)
     return (100 * np.minimum(m, n) >= percent * np.maximum(m, n)) & (apart <= _differing(m, n, percent))
 
@@ -277,8 +323,13 @@ def _near(percent):
     def run(batches):
         for b in batches:
             m, n = (b.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("m", "n"))
-            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), dtype=np.uint64).reshape(b.num_rows, -1) for c in ("x", "y"))
-            near = _may_link(m, n, x, y, percent)
+            sketches = [np.array(b.column(c).to_pylist(), dtype=object) for c in ("x", "y")]
+            lengths = np.array([[len(v) for v in c] for c in sketches], dtype=np.int64).reshape(2, -1)
+            near = np.zeros(b.num_rows, dtype=bool)
+            for widths in np.unique(lengths, axis=1).T:
+                some = np.flatnonzero((lengths == widths[:, None]).all(axis=0))
+                x, y = (np.frombuffer(b"".join(c[some]), dtype=np.uint64).reshape(len(some), -1) for c in sketches)
+                near[some] = _may_link(m[some], n[some], x, y, percent)
             yield pa.record_batch([b.column("a"), b.column("b"), pa.array(near)], names=["a", "b", "near"])
 
     return run
@@ -313,7 +364,9 @@ def _cross_pairs(limit, percent):
         row, comp, size, part = (table.column(c).to_numpy() for c in ("row", "component", "n", "part"))
         two = key[1].as_py() != key[2].as_py()
         order = np.argsort(row)
-        bits = np.frombuffer(b"".join(table.column("sketch").to_pylist()), dtype=np.uint64).reshape(len(row), -1)[order]
+        bits = [unpack(v, np.uint64) for v in table.column("sketch").to_pylist()]
+        words = min(map(len, bits))
+        bits = np.stack([_folded(v, words) for v in bits])[order]
         row, comp, size, part = row[order], comp[order], size[order], part[order]
         a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         taken = np.zeros(len(row), dtype=np.int64)

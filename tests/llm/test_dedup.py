@@ -275,6 +275,46 @@ def test_keys_stay_fewer_than_shingles():
     assert len(keys) < 0.6 * len(hashes)
 
 
+def test_a_common_phrase_makes_no_candidates():
+    """Sets that have a few shingles in common agree on next to no piece: two of those would have to fall into one."""
+    random = np.random.default_rng(5)
+    common = random.integers(0, 1 << 64, 20, dtype=np.uint64)
+    sizes = random.integers(1700, 2200, 400)
+    hashes = np.concatenate([np.sort(np.append(random.integers(0, 1 << 64, n - 20, dtype=np.uint64), common)) for n in sizes])
+    keys, _ = ngram_join.sketch_keys(hashes, np.concatenate([[0], np.cumsum(sizes)]), 80)
+    _, held = np.unique(keys, return_counts=True)
+    assert (held > 1).sum() < 10
+
+
+@pytest.mark.parametrize("sizes", [(700, 800), (1500, 1540), (3000, 3700), (9000, 9000)])
+def test_large_sets_are_told_apart_by_their_sketches(sizes):
+    """Linked sets share a key and may link, also where one sketch is wider; sets that have half in common may not."""
+    random = np.random.default_rng(sizes[0])
+    n, m = sizes
+    differing = (m + n) * 20 // 180
+    for common, linked in (((m + n - differing + 1) // 2, True), (n // 2, False)):
+        pool = random.integers(0, 1 << 64, m + n - common, dtype=np.uint64)
+        a, b = np.sort(pool[:n]), np.sort(np.concatenate([pool[:common], pool[n:]]))
+        first = np.array([0, n, n + m])
+        x, y = (np.frombuffer(s, np.uint64) for s in ngram_join.wide_sketches(np.concatenate([a, b]), first, 80))
+        assert ngram_join._may_link(n, m, x, y, 80) == linked
+        assert ngram_join._may_link(m, n, y, x, 80) == linked
+        if linked:
+            assert len(np.intersect1d(*(ngram_join.sketch_keys(s, np.array([0, len(s)]), 80)[0] for s in (a, b))))
+
+
+def test_long_documents_with_one_passage_need_no_sets(spark, monkeypatch):
+    """Long documents that share a passage and nothing else are refused before their sets are fetched."""
+    names, write = [], ngram_join.materialise
+    monkeypatch.setattr(ngram_join, "materialise", lambda df, name: names.append(name) or write(df, name))
+    passage = " ".join(f"s{i}" for i in range(300))
+    rows = [(i, f"{passage} " + " ".join(f"o{i}_{j}" for j in range(3200 + i))) for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.component_id for r in jaccard_components(docs, 5, 80).collect()}
+    assert got == {i: i for i in range(12)}
+    assert "stars" in names and "sets" not in names
+
+
 def test_large_groups_meet_in_parts(spark, monkeypatch):
     """Documents that share a passage and link in far apart pairs, compared two by two parts of a group."""
     monkeypatch.setattr(ngram_join, "PART", 3)
